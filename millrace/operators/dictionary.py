@@ -17,17 +17,17 @@ def dictionary(df: DataFrame, column: str, max_cardinality: int) -> DataFrame |
     """Table ``(code, value)`` of the distinct values in value order, or None
     when there are more than ``max_cardinality`` of them."""
     values = df.select(F.col(f"`{column}`").alias("value")).where("value IS NOT NULL").distinct()
-    if max_cardinality < BROADCAST_VALUES:
-        size = values.limit(max_cardinality + 1).agg(F.count("*").alias("n"), F.sum(F.octet_length("value")).alias("bytes")).first()
-        if size.n > max_cardinality:
-            return None
-        if (size.bytes or 0) <= BROADCAST_BYTES:
-            found = sorted(row.value for row in values.collect())
-            table = df.sparkSession.createDataFrame(list(enumerate(found)), "code int, value string")
-            return F.broadcast(table)
-    elif values.limit(max_cardinality + 1).count() > max_cardinality:
+    if max_cardinality >= BROADCAST_VALUES:
+        values = checkpointed(values)
+        return None if values.count() > max_cardinality else _sorted_codes(values)
+    values = checkpointed(values.limit(max_cardinality + 1))
+    size = values.agg(F.count("*").alias("n"), F.sum(F.octet_length("value")).alias("bytes")).first()
+    if size.n > max_cardinality:
         return None
-    return _sorted_codes(values)
+    if (size.bytes or 0) > BROADCAST_BYTES:
+        return _sorted_codes(values)
+    found = sorted(row.value for row in values.collect())
+    return F.broadcast(df.sparkSession.createDataFrame(list(enumerate(found)), "code int, value string"))
 
 
 def dictionary_encode(df: DataFrame, column: str, max_cardinality: int = 50, code_column: str | None = None) -> DataFrame:

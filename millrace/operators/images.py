@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import struct
 import zlib
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from functools import lru_cache
 from typing import Any
 
@@ -12,6 +12,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.config import enum, section
 from millrace.errors import ConfigError
@@ -23,6 +24,7 @@ _ARROW_IMAGE = pa.struct(
     [("origin", pa.string()), ("height", pa.int32()), ("width", pa.int32()),
      ("nChannels", pa.int32()), ("mode", pa.int32()), ("data", pa.binary())]
 )
+BATCH_BYTES = 64 << 20
 _BGR_MODE = 16  # Fixed value: the mode code of three 8-bit channels in Spark's image schema.
 
 
@@ -166,14 +168,32 @@ def resize_pixels(pixels: np.ndarray, cfg: Mapping[str, Any]) -> np.ndarray:
     return canvas
 
 
-def resize_images(image: str | Column, config: Mapping[str, Any]) -> Column:
-    """Image struct → resized image struct. An image that is not valid gives null."""
-    cfg = resize_config(config)
+def map_images(df: DataFrame, image: str, output: str, kind: str, arrow_kind, convert, row_bytes: int) -> DataFrame:
+    """Apply ``convert`` to every image struct, as column ``output``.
 
-    def run(images: pa.Array) -> pa.Array:
-        return pa.array([_resized(value, cfg) for value in images], _ARROW_IMAGE)
+    Results can be much larger than what they are made from, so a batch is given
+    back in slices of about ``BATCH_BYTES``.
+    """
+    kept = [name for name in df.columns if name != output]
+    needed = df.select(*kept, *([image] if image not in kept else []))
+    schema = T.StructType([*df.select(*kept).schema.fields, T.StructField(output, T.StructType.fromDDL(f"c {kind}")[0].dataType)])
+    step = max(1, BATCH_BYTES // max(row_bytes, 1))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, step):
+                part = batch.slice(start, step)
+                found = pa.array([convert(value) for value in part.column(image)], arrow_kind)
+                yield pa.RecordBatch.from_arrays([*(part.column(name) for name in kept), found], [*kept, output])
 
-    return F.arrow_udf(run, IMAGE)(image)
+    return needed.mapInArrow(run, schema)
+
+
+def resize_images(df: DataFrame, config: Mapping[str, Any], image: str = "image", output: str = "image") -> DataFrame:
+    """Image structs → resized image structs. An image that is not valid gives null."""
+    cfg = resize_config(config)
+    size = 3 * cfg["output_width"] * cfg["output_height"]
+    return map_images(df, image, output, IMAGE, _ARROW_IMAGE, lambda value: _resized(value, cfg), size)
 
 
 def _resized(value, cfg: Mapping[str, Any]) -> dict[str, Any] | None:
@@ -263,25 +283,26 @@ def blob_config(config: Mapping[str, Any]) -> dict[str, Any]:
     return cfg
 
 
-def blob_preprocess(image: str | Column, config: Mapping[str, Any]) -> Column:
-    """Image struct → ``struct(shape, data)``: float pixels, channel by channel,
+def blob_preprocess(df: DataFrame, config: Mapping[str, Any], image: str = "image", output: str = "blob") -> DataFrame:
+    """Image structs → ``struct(shape, data)``: float pixels, channel by channel,
     ``(pixel - mean) * scale``; an input size of zero is the image's own."""
     cfg = blob_config(config)
     kind = "struct<shape: array<int>, data: array<float>>"
     arrow_kind = pa.struct([("shape", pa.list_(pa.int32())), ("data", pa.list_(pa.float32()))])
 
-    def run(images: pa.Array) -> pa.Array:
-        rows = []
-        for value in images:
-            pixels = image_pixels(value)
-            if pixels is None:
-                rows.append(None)
-                continue
-            blob = pixels_blob(pixels, cfg)
-            rows.append({"shape": blob.shape, "data": blob.ravel()})
-        return pa.array(rows, arrow_kind)
+    def convert(value) -> dict[str, Any] | None:
+        pixels = image_pixels(value)
+        if pixels is None:
+            return None
+        blob = pixels_blob(pixels, cfg)
+        return {"shape": blob.shape, "data": blob.ravel()}
+
+    return map_images(df, image, output, kind, arrow_kind, convert, blob_bytes(cfg))
+
 
-    return F.arrow_udf(run, kind)(image)
+def blob_bytes(cfg: Mapping[str, Any]) -> int:
+    """Bytes of one tensor; images of their own size are taken as 512 × 512."""
+    return 12 * (cfg["input_width"] or 512) * (cfg["input_height"] or 512)
 
 
 def pixels_blob(pixels: np.ndarray, cfg: Mapping[str, Any]) -> np.ndarray:

@@ -7,12 +7,12 @@ from typing import Any
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.config import require, section
 from millrace.errors import ConfigError
-from millrace.operators.images import blob_preprocess
+from millrace.operators.images import BATCH_BYTES, blob_bytes, blob_config, image_pixels, map_images, pixels_blob
 
 # A model is sent to every executor; larger ones must be on the executors' disks.
 MODEL_BYTES = 1 << 30
@@ -20,6 +20,7 @@ TENSORS = "array<struct<name: string, shape: array<int>, data: array<float>>>"
 _ARROW_TENSORS = pa.list_(
     pa.struct([("name", pa.string()), ("shape", pa.list_(pa.int32())), ("data", pa.list_(pa.float32()))])
 )
+_BLOB_FIELDS = ("input_width", "input_height", "scale", "mean_values", "swap_rb", "crop")
 _sessions: dict[tuple[int, int], Any] = {}
 
 
@@ -48,19 +49,24 @@ def score(
 
     def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         session = _session(model)
-        inputs = {i.name: i for i in session.get_inputs()}
-        if input_name and input_name not in inputs:
-            raise ConfigError(f"the model has no input {input_name}")
-        chosen = inputs[input_name] if input_name else session.get_inputs()[0]
-        outputs = list(output_names) or [o.name for o in session.get_outputs()]
-        labels = list(output_names) or (["output"] if len(outputs) == 1 else outputs)
-        several = not isinstance(chosen.shape[0], int)
+        ends = _ends(session, input_name, output_names)
         for values, shapes in batches:
-            yield _score_batch(session, chosen.name, outputs, labels, several, values, shapes)
+            yield _score_batch(session, *ends, values, shapes)
 
     return F.arrow_udf(run, TENSORS)(data, shape)
 
 
+def _ends(session, input_name: str, output_names: Sequence[str]):
+    """Input name, output names, their labels, and whether the batch size is free."""
+    inputs = {i.name: i for i in session.get_inputs()}
+    if input_name and input_name not in inputs:
+        raise ConfigError(f"the model has no input {input_name}")
+    chosen = inputs[input_name] if input_name else session.get_inputs()[0]
+    outputs = list(output_names) or [o.name for o in session.get_outputs()]
+    labels = list(output_names) or (["output"] if len(outputs) == 1 else outputs)
+    return chosen.name, outputs, labels, not isinstance(chosen.shape[0], int)
+
+
 def _session(model):
     import onnxruntime
 
@@ -80,18 +86,25 @@ def _score_batch(session, input_name, outputs, labels, several, values: pa.Array
             groups.setdefault(tuple(shape.as_py()), []).append(row)
     results: list[list[dict[str, Any]] | None] = [None] * len(values)
     for shape, rows in groups.items():
-        tensors = [values[r].values.to_numpy(zero_copy_only=False).astype(np.float32).reshape(shape) for r in rows]
-        runs = [(rows, np.concatenate(tensors))] if several else [([r], t) for r, t in zip(rows, tensors)]
-        for members, tensor in runs:
-            found = session.run(outputs, {input_name: tensor})
-            for position, row in enumerate(members):
-                results[row] = [
-                    _tensor(label, value[position:position + 1] if len(members) > 1 else value)
-                    for label, value in zip(labels, found)
-                ]
+        step = max(1, BATCH_BYTES // (4 * int(np.prod(shape)))) if several else 1
+        for start in range(0, len(rows), step):
+            members = rows[start:start + step]
+            tensors = [values[r].values.to_numpy(zero_copy_only=False).astype(np.float32).reshape(shape) for r in members]
+            for row, tensors_out in zip(members, _run(session, input_name, outputs, labels, tensors)):
+                results[row] = tensors_out
     return pa.array(results, _ARROW_TENSORS)
 
 
+def _run(session, input_name, outputs, labels, tensors: list[np.ndarray]) -> Iterator[list[dict[str, Any]]]:
+    """Output tensors per input; the inputs have one shape and are scored at once."""
+    found = session.run(outputs, {input_name: np.concatenate(tensors)})
+    for position in range(len(tensors)):
+        yield [
+            _tensor(label, value[position:position + 1] if len(tensors) > 1 else value)
+            for label, value in zip(labels, found)
+        ]
+
+
 def _tensor(name: str, value: np.ndarray) -> dict[str, Any]:
     value = np.asarray(value)
     return {"name": name, "shape": list(value.shape), "data": value.astype(np.float32).ravel()}
@@ -119,10 +132,23 @@ def inference_config(config: Mapping[str, Any]) -> dict[str, Any]:
     return cfg
 
 
-def infer_images(spark: SparkSession, image: str | Column, config: Mapping[str, Any]) -> Column:
-    """Image struct → JSON of the model's outputs; null for an image that is not valid."""
+def infer_images(df: DataFrame, config: Mapping[str, Any], image: str = "image", output: str = "json") -> DataFrame:
+    """Image structs → JSON of the model's outputs; null for an image that is not valid.
+
+    An image's tensor only lives until it is scored.
+    """
     cfg = inference_config(config)
-    model = load_model(spark, cfg["model_path"])
-    names = ("input_width", "input_height", "scale", "mean_values", "swap_rb", "crop")
-    blob = blob_preprocess(image, {name: cfg[name] for name in names})
-    return tensor_json(score(blob["data"], blob["shape"], model, cfg["input_name"], cfg["output_names"]))
+    model = load_model(df.sparkSession, cfg["model_path"])
+    blob_cfg = blob_config({name: cfg[name] for name in _BLOB_FIELDS})
+    input_name, output_names = cfg["input_name"], list(cfg["output_names"])
+
+    def convert(value) -> list[dict[str, Any]] | None:
+        pixels = image_pixels(value)
+        if pixels is None:
+            return None
+        session = _session(model)
+        name, outputs, labels, _ = _ends(session, input_name, output_names)
+        return next(_run(session, name, outputs, labels, [pixels_blob(pixels, blob_cfg)]))
+
+    scored = map_images(df, image, output, TENSORS, _ARROW_TENSORS, convert, blob_bytes(blob_cfg))
+    return scored.withColumn(output, tensor_json(output))

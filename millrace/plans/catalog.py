@@ -733,18 +733,15 @@ def resize_nearest(spark, folder):
 
 
 @query(
-    """SELECT vec_id, list_transform(range(16), lambda p: round((
+    """SELECT vec_id, list_transform(range(16), lambda p: CAST((
     embedding[(p // 4) * 16 + (p % 4) * 2 + 1]::DOUBLE + embedding[(p // 4) * 16 + (p % 4) * 2 + 2]::DOUBLE
-    + embedding[(p // 4) * 16 + (p % 4) * 2 + 9]::DOUBLE + embedding[(p // 4) * 16 + (p % 4) * 2 + 10]::DOUBLE) / 4, 5) + 0) AS grid
+    + embedding[(p // 4) * 16 + (p % 4) * 2 + 9]::DOUBLE + embedding[(p // 4) * 16 + (p % 4) * 2 + 10]::DOUBLE) / 4 AS FLOAT)) AS grid
     FROM embeddings"""
 )
 def resize_area(spark, folder):
     """8 × 8 grids reduced to 4 × 4 by area."""
     config = {"output_width": 4, "output_height": 4, "resize_mode": "stretch", "interpolation": "AREA"}
-    grid = images.resize_grid("embedding", 8, 8, config)
-    return table(spark, folder, "embeddings").select(
-        "vec_id", F.transform(grid, lambda v: F.round(v.cast("double"), 5) + 0).alias("grid")
-    )
+    return table(spark, folder, "embeddings").select("vec_id", images.resize_grid("embedding", 8, 8, config).alias("grid"))
 
 
 @query("SELECT vec_id, list_transform(embedding, lambda x: (x::DOUBLE - 0.25) * 2.0) AS blob FROM embeddings")
@@ -772,7 +769,7 @@ def _byte_images(spark, folder) -> DataFrame:
 def image_letterbox(spark, folder):
     """8 × 8 images fitted into 12 × 16 with a border."""
     config = {"output_width": 12, "output_height": 16, "interpolation": "INTERPOLATION_NEAREST", "pad_color": [7]}
-    resized = _byte_images(spark, folder).select("vec_id", images.resize_images("image", config).alias("image"))
+    resized = images.resize_images(_byte_images(spark, folder), config)
     return resized.select("vec_id", F.lower(F.hex("image.data")).alias("pixels"))
 
 
@@ -782,9 +779,9 @@ def image_letterbox(spark, folder):
 )
 def image_blob(spark, folder):
     """Images as float tensors, channel by channel."""
-    blob = images.blob_preprocess("image", {"mean_values": [10, 20, 30], "scale": 0.5, "swap_rb": True})
-    found = _byte_images(spark, folder).select("vec_id", blob.alias("b"))
-    return found.select("vec_id", "b.shape", F.transform("b.data", lambda v: v.cast("double")).alias("blob"))
+    config = {"mean_values": [10, 20, 30], "scale": 0.5, "swap_rb": True}
+    found = images.blob_preprocess(_byte_images(spark, folder), config)
+    return found.select("vec_id", "blob.shape", F.transform("blob.data", lambda v: v.cast("double")).alias("blob"))
 
 
 def _weights() -> np.ndarray:

@@ -139,6 +139,8 @@ def _plan(spark: SparkSession, steps: list[dict[str, Any]], streaming: bool):
                 entry = (IMAGE, registry.read_image_files(spark, item["config"]))
             else:
                 entry = (step.gives, step.run(spark, item["config"], streaming))
+                if step.gives == TABLE and reader is not None and registry.step(reader["type"]).takes == PAYLOAD:
+                    entry = (PAYLOAD, arrow_encode(entry[1], _batch_rows(item["config"])).select("payload"))
         else:
             kind, table = queue(item["input_queue"])
             entry = (step.gives, step.run(_as(table, kind, step.takes, item), item["config"]))
@@ -150,6 +152,13 @@ def _plan(spark: SparkSession, steps: list[dict[str, Any]], streaming: bool):
     return {name: queue(name) for name in filled}, sinks
 
 
+def _batch_rows(config: Mapping[str, Any]) -> int | None:
+    """Rows per Arrow payload where a source is to give single record batches."""
+    if str(config.get("output_type", "")).upper().endswith("RECORD_BATCH"):
+        return config.get("batch_size")
+    return None
+
+
 def _as(table: DataFrame, kind: str, wanted: str, item: Mapping[str, Any]) -> DataFrame:
     """Rows in the form the next step takes: tables become Arrow payloads and back."""
     if kind == wanted:

@@ -84,12 +84,12 @@ _UNAVAILABLE = {
 
 
 def _resize(df: DataFrame, config: Mapping[str, Any]) -> DataFrame:
-    return df.select(resize_images("image", config).alias("image")).where("image IS NOT NULL")
+    return resize_images(df.select("image"), config).where("image IS NOT NULL")
 
 
 def _infer(df: DataFrame, config: Mapping[str, Any]) -> DataFrame:
-    json = infer_images(df.sparkSession, "image", config)
-    return df.select(F.encode(json, "UTF-8").alias("payload")).where("payload IS NOT NULL")
+    scored = infer_images(df.select("image"), config)
+    return scored.select(F.encode("json", "UTF-8").alias("payload")).where("payload IS NOT NULL")
 
 
 def image_payloads(df: DataFrame, output_format: str) -> DataFrame:

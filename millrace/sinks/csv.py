@@ -63,7 +63,9 @@ def write_csv(df: DataFrame, config: Mapping[str, Any]) -> None:
     lines = df.select(line.alias("value"))
     if codec in _TEXT_CODECS:
         mode = "append" if cfg["append"] else "overwrite"
-        lines.write.mode(mode).options(lineSep=opts["eol"], compression=_TEXT_CODECS[codec]).text(path)
+        lines.write.mode(mode).options(
+            lineSep=opts["eol"], compression=_TEXT_CODECS[codec], maxRecordsPerFile="0"
+        ).text(path)
         return
     name = stream_codec(STEP, codec)
     end = opts["eol"].encode()

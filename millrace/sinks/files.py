@@ -18,7 +18,7 @@ from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterComm
 from millrace.config import enum, require, section
 from millrace.errors import ConfigError
 from millrace.operators.payload import drop_empty
-from millrace.storage import arrow_filesystem, use_storage
+from millrace.storage import arrow_filesystem, qualified, use_storage
 
 STEP = "file_sink"
 COMPRESSION = ("UNSPECIFIED", "NONE", "GZIP")
@@ -89,6 +89,7 @@ def save_payloads(
 ) -> None:
     """Write rows ``(path, payload)`` in the order each task sees them."""
     register(rows.sparkSession)
+    base = qualified(rows.sparkSession, base)
     rows.write.format(FORMAT).mode("append").options(
         base=base, layout=layout, codec=codec, level=str(level), append=str(append).lower(), suffix=suffix
     ).save()

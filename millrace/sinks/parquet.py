@@ -25,7 +25,6 @@ PAGE_VERSIONS = ("V1", "V2")
 SIZE_LEVELS = ("NONE", "COLUMN_CHUNK", "PAGE_AND_COLUMN_CHUNK")
 _DICTIONARY_ENCODINGS = ("PLAIN_DICTIONARY", "RLE_DICTIONARY")
 _DELTA_ENCODINGS = ("DELTA_BINARY_PACKED", "DELTA_LENGTH_BYTE_ARRAY", "DELTA_BYTE_ARRAY")
-DEFAULT_MAX_PARTITIONS = 1024
 DEFAULT_BASENAME = "part-{i}.parquet"
 
 
@@ -154,7 +153,9 @@ def write_parquet(df: DataFrame, config: Mapping[str, Any]) -> None:
     """Write a table as Parquet.
 
     Without ``write_opts`` the files below ``path`` are replaced. With it, rows
-    go to ``column=value/`` directories of a new or empty ``path``.
+    go to ``column=value/`` directories of a new or empty ``path``. A limit on
+    the number of directories is checked before the write, in a pass of its own
+    over the partition columns, and only where ``max_partitions`` sets one.
     """
     cfg = parquet_sink_config(config)
     spark = df.sparkSession
@@ -168,7 +169,8 @@ def write_parquet(df: DataFrame, config: Mapping[str, Any]) -> None:
         if missing:
             raise ConfigError(f"{STEP}: missing partition column: {', '.join(missing)}")
         _require_empty(spark, path)
-        partition_guard(df, opts["partition_columns"], opts["max_partitions"] or DEFAULT_MAX_PARTITIONS)
+        if opts["max_partitions"]:
+            partition_guard(df, opts["partition_columns"], opts["max_partitions"])
         df = partition_files(df, opts["partition_columns"])
         basename = opts["basename_template"].split("{i}")[0].rstrip("-_.")
         if basename:

@@ -14,10 +14,9 @@ from millrace.functions.convert import FALSE_TOKENS, NULL_TOKENS, TRUE_TOKENS, T
 from millrace.operators.dictionary import dictionary_encode
 from millrace.schema import ColumnSpec, column_spec, enable_time_type
 from millrace.sources.lines import decoded_lines, first_lines, native_codec, text_lines, without_leading
-from millrace.storage import common_section, resolve_codec, use_storage
+from millrace.storage import common_section, output_type, resolve_codec, use_storage
 
 STEP = "csv_source"
-OUTPUT_TYPES = ("TABLE", "RECORD_BATCH")
 
 # Fields are handled as Latin-1 text, one character per byte, so that these two
 # marks cannot be part of the data. A quoted empty field is read as the first
@@ -35,6 +34,7 @@ def csv_config(config: Mapping[str, Any]) -> dict[str, Any]:
         {"path": "", "output_type": "TABLE", "read_options": {}, "parse_options": {}, "convert_options": {}, "common": {}},
     )
     require(STEP, cfg, "path")
+    cfg["output_type"] = output_type(STEP, cfg)
     cfg["common"] = common_section(STEP, cfg["common"])
     cfg["read_options"] = read = section(
         f"{STEP}.read_options",

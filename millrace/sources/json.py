@@ -16,7 +16,7 @@ from millrace.errors import ConfigError, DataError
 from millrace.functions.convert import TextRules, convert, infer_specs, require_ansi
 from millrace.schema import ColumnSpec, checked, column_spec, enable_time_type, spark_type
 from millrace.sources.lines import decoded_lines, native_codec, text_lines
-from millrace.storage import common_section, resolve_codec, use_storage
+from millrace.storage import common_section, output_type, resolve_codec, use_storage
 
 STEP = "json_source"
 UNEXPECTED = ("INFER_TYPE", "IGNORE", "ERROR")
@@ -31,6 +31,7 @@ _JSON_KINDS = {
 def json_config(config: Mapping[str, Any]) -> dict[str, Any]:
     cfg = section(STEP, config, {"path": "", "output_type": "TABLE", "read_options": {}, "parse_options": {}, "common": {}})
     require(STEP, cfg, "path")
+    cfg["output_type"] = output_type(STEP, cfg)
     cfg["common"] = common_section(STEP, cfg["common"])
     cfg["read_options"] = section(f"{STEP}.read_options", cfg["read_options"], {"use_threads": True, "block_size": None})
     cfg["parse_options"] = parse = section(

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from millrace.config import require, section
 from millrace.errors import ConfigError
-from millrace.storage import common_section, use_storage
+from millrace.storage import common_section, output_type, use_storage
 
 STEP = "orc_source"
 
@@ -18,6 +18,7 @@ def read_orc(spark: SparkSession, config: Mapping[str, Any], streaming: bool = F
     """ORC files → table. The files describe themselves; a codec setting is ignored."""
     cfg = section(STEP, config, {"path": "", "output_type": "TABLE", "common": {}})
     require(STEP, cfg, "path")
+    output_type(STEP, cfg)
     path = use_storage(spark, cfg["path"], common_section(STEP, cfg["common"]))
     reader = spark.readStream if streaming else spark.read
     if schema is not None:

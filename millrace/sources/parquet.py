@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from millrace.config import non_negative, require, section
 from millrace.errors import ConfigError, DataError
-from millrace.storage import arrow_filesystem, common_section, use_storage
+from millrace.storage import arrow_filesystem, common_section, output_type, use_storage
 
 STEP = "parquet_source"
 
@@ -19,6 +19,7 @@ STEP = "parquet_source"
 def parquet_config(config: Mapping[str, Any]) -> dict[str, Any]:
     cfg = section(STEP, config, {"path": "", "output_type": "TABLE", "batch_size": None, "common": {}})
     require(STEP, cfg, "path")
+    cfg["output_type"] = output_type(STEP, cfg)
     non_negative(STEP, cfg, "batch_size")
     cfg["common"] = common_section(STEP, cfg["common"])
     return cfg

@@ -59,6 +59,14 @@ AZURE_CREDENTIALS = (
 )
 
 
+OUTPUT_TYPES = ("TABLE", "RECORD_BATCH")
+
+
+def output_type(step: str, cfg: Mapping[str, Any]) -> str:
+    """Whether a source's Arrow payloads hold whole tables or single batches."""
+    return enum(step, cfg["output_type"], "OUTPUT_TYPE_", OUTPUT_TYPES)
+
+
 def common_section(step: str, common: Mapping[str, Any] | None) -> dict[str, Any]:
     fields = section(step, common, _COMMON_FIELDS)
     fields["filesystem"] = enum(step, fields["filesystem"], "FILE_SYSTEM_", FILE_SYSTEMS)
@@ -102,6 +110,14 @@ def use_storage(spark: SparkSession, path: str, common: Mapping[str, Any]) -> st
     return resolved
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path as a full URI, so that tasks find it without Hadoop's defaults."""
+    context = spark.sparkContext
+    hadoop_path = context._jvm.org.apache.hadoop.fs.Path(path)
+    filesystem = hadoop_path.getFileSystem(context._jsc.hadoopConfiguration())
+    return filesystem.makeQualified(hadoop_path).toString()
+
+
 def resolve_codec(path: str, codec: str) -> str:
     """An explicit codec, or the one the suffix names, or none."""
     if codec != "AUTO":

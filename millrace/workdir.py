@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from millrace.errors import ConfigError
+from millrace.storage import qualified
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
@@ -15,12 +16,13 @@ CHECKPOINT_SETTING = "spark.checkpoint.dir"
 def work_root(spark: SparkSession) -> str:
     """The shared scratch folder of this session.
 
-    ``spark.checkpoint.dir`` wins. Only a local master, where driver and
+    ``spark.checkpoint.dir`` wins, then the context's checkpoint folder. Only a local master, where driver and
     executors are one process, falls back to a fresh temporary folder.
     """
-    named = spark.conf.get(CHECKPOINT_SETTING, None) or spark.sparkContext.getConf().get(CHECKPOINT_SETTING)
+    context = spark.sparkContext
+    named = spark.conf.get(CHECKPOINT_SETTING, None) or context.getConf().get(CHECKPOINT_SETTING) or context.getCheckpointDir()
     if named:
-        return named.rstrip("/")
+        return qualified(spark, named).rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ConfigError(f"set {CHECKPOINT_SETTING} to a folder that all executors share")
     root = "file://" + tempfile.mkdtemp(prefix="millrace-")

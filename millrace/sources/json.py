@@ -21,11 +21,12 @@ from millrace.storage import common_section, output_type, resolve_codec, use_sto
 STEP = "json_source"
 UNEXPECTED = ("INFER_TYPE", "IGNORE", "ERROR")
 
-# Types a JSON value has by itself; the others are read from its text.
-_JSON_KINDS = {
-    "BOOL", "INT8", "INT16", "INT32", "INT64", "UINT8", "UINT16", "UINT32", "UINT64",
-    "FLOAT16", "FLOAT32", "FLOAT64", "STRING", "LARGE_STRING",
-}
+# How the value of each explicit type is written in JSON.
+_NUMBERS = {"INT8", "INT16", "INT32", "INT64", "UINT8", "UINT16", "UINT32", "UINT64", "FLOAT32", "FLOAT64"}
+_TEXTS = {"STRING", "LARGE_STRING", "BINARY", "LARGE_BINARY", "TIMESTAMP"}
+_COUNTS = {"DATE32", "DATE64", "TIME32", "TIME64"}  # days, or units since midnight
+_NUMBERS_OR_TEXTS = {"DECIMAL128", "DECIMAL256"}
+_PLAIN_TEXT = TextRules(null_values=())
 
 
 def json_config(config: Mapping[str, Any]) -> dict[str, Any]:
@@ -40,6 +41,8 @@ def json_config(config: Mapping[str, Any]) -> dict[str, Any]:
         {"explicit_schema": {}, "newlines_in_values": False, "unexpected_field_behavior": "INFER_TYPE"},
     )
     parse["explicit_schema"] = {name: column_spec(value, name) for name, value in parse["explicit_schema"].items()}
+    for name, spec in parse["explicit_schema"].items():
+        _read_type(spec, name)
     parse["unexpected_field_behavior"] = enum(
         STEP, parse["unexpected_field_behavior"], "UNEXPECTED_FIELD_BEHAVIOR_", UNEXPECTED
     )
@@ -79,9 +82,7 @@ def parse_objects(objects: DataFrame, explicit: Mapping[str, ColumnSpec], behavi
     stamps: dict[str, ColumnSpec] = {}
     if behavior == "INFER_TYPE":
         inferred, stamps = _infer(objects, set(explicit))
-    read_types = {
-        name: spark_type(spec, name) if spec.kind in _JSON_KINDS else T.StringType() for name, spec in explicit.items()
-    }
+    read_types = {name: _read_type(spec, name) for name, spec in explicit.items()}
     fields = [T.StructField(name, kind) for name, kind in {**read_types, **inferred}.items()]
     if not fields:
         raise ConfigError(f"{STEP}: no columns; give an explicit schema or let the types be inferred")
@@ -93,15 +94,49 @@ def parse_objects(objects: DataFrame, explicit: Mapping[str, ColumnSpec], behavi
     columns = []
     for name in [*explicit, *inferred]:
         column = F.col("row").getField(name)
-        spec = explicit.get(name) or stamps.get(name)
-        if spec is not None and spec.kind in _JSON_KINDS:
-            column = checked(column, spec, name)
-        elif spec is not None:
-            column = convert(column, spec, TextRules(null_values=("",), strings_can_be_null=False), name)
+        if name in explicit:
+            column = _typed(column, explicit[name], name)
+        elif name in stamps:
+            column = convert(column, stamps[name], TextRules(null_values=("",)), name)
         columns.append(column.alias(name))
     return table.select(*columns)
 
 
+def _read_type(spec: ColumnSpec, name: str) -> T.DataType:
+    if spec.kind in _NUMBERS or spec.kind == "BOOL":
+        return spark_type(spec, name)
+    if spec.kind in _TEXTS or spec.kind == "NULL":
+        return T.VariantType()  # keeps texts and numbers apart
+    if spec.kind in _COUNTS:
+        return T.LongType()
+    if spec.kind in _NUMBERS_OR_TEXTS:
+        return T.StringType()
+    raise ConfigError(f"column {name}: JSON has no {spec.kind.lower()} values")
+
+
+def _typed(value: Column, spec: ColumnSpec, name: str) -> Column:
+    """The value in its column type; a JSON value of another kind is an error."""
+    if spec.kind in _TEXTS or spec.kind == "NULL":
+        kind = F.schema_of_variant(value)
+        wanted = kind.isin("VOID", *(["STRING"] if spec.kind in _TEXTS else []))
+        message = F.concat(F.lit(f"column {name}: not a {spec.kind.lower()} value but "), kind)
+        text = F.when(value.isNull() | wanted, F.variant_get(value, "$", "string")).otherwise(
+            F.raise_error(message).cast("string")
+        )
+        return F.lit(None) if spec.kind == "NULL" else convert(text, spec, _PLAIN_TEXT, name)
+    if spec.kind == "DATE32":
+        return F.date_from_unix_date(value.cast("int"))
+    if spec.kind == "DATE64":
+        return F.date_from_unix_date(F.floor(value / 86_400_000).cast("int"))
+    if spec.kind in _COUNTS:
+        per_second = {"SECOND": 1, "MILLI": 1_000, "MICRO": 1_000_000, "NANO": 1_000_000_000}[spec.unit]
+        seconds = (value.cast("decimal(20,0)") / F.lit(per_second)).cast("decimal(18,6)")
+        return (F.expr("time'00:00:00'") + F.make_dt_interval(secs=seconds)).cast(spark_type(spec, name))
+    if spec.kind in _NUMBERS_OR_TEXTS:
+        return convert(value, spec, _PLAIN_TEXT, name)
+    return checked(value, spec, name)
+
+
 def unexpected_fields(value: Column, known: list[str]) -> Column:
     """Names of an object's fields that are not known."""
     return F.array_except(F.json_object_keys(value), F.array(*map(F.lit, known)).cast("array<string>"))

@@ -6,8 +6,11 @@ from collections.abc import Iterator, Mapping
 from typing import Any
 
 import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import from_arrow_type, to_arrow_schema
 
 from millrace.config import non_negative, require, section
 from millrace.errors import ConfigError, DataError
@@ -41,46 +44,95 @@ def read_parquet(
         reader = reader.schema(schema)
     elif streaming:
         raise ConfigError("a streaming Parquet read needs a schema")
-    if path.endswith(".parquet"):
-        direct = reader.parquet(path)
-        return direct if streaming or not strict else _same_schema(spark, path, direct)
-    options = {"recursiveFileLookup": "true", "pathGlobFilter": "*.parquet"}
+    options = {} if path.endswith(".parquet") else {"recursiveFileLookup": "true", "pathGlobFilter": "*.parquet"}
     if not streaming and strict:
-        _check_footers(spark, path, options)
+        stored = _common_schema(spark, path, options)
+        if any(_needs_arrow(field.type) for field in stored):
+            return _read_by_arrow(spark, path, options, stored)
     return reader.options(**options).parquet(path)
 
 
-def _same_schema(spark: SparkSession, path: str, table: DataFrame) -> DataFrame:
-    """A path named ``x.parquet`` may itself be a directory of part files."""
-    if len(table.inputFiles()) > 1:
-        _check_footers(spark, path, {"recursiveFileLookup": "true", "pathGlobFilter": "*.parquet"})
-    return table
+def _files(spark: SparkSession, path: str, options: Mapping[str, str]) -> DataFrame:
+    # A path named x.parquet may itself be a folder of part files.
+    return spark.read.format("binaryFile").options(**{"pathGlobFilter": "*.parquet", **options}).load(path).select("path")
 
 
-def _check_footers(spark: SparkSession, path: str, options: Mapping[str, str]) -> None:
-    files = spark.read.format("binaryFile").options(**options).load(path).select("path")
-    schemas = (
-        files.repartition(min(max(spark.sparkContext.defaultParallelism, 1), 1024))
-        .mapInArrow(footer_schemas, "path string, schema string")
+def _common_schema(spark: SparkSession, path: str, options: Mapping[str, str]) -> pa.Schema:
+    """The one schema in the footers of all files."""
+    tasks = min(max(spark.sparkContext.defaultParallelism, 1), 1024)
+    found = (
+        _files(spark, path, options)
+        .repartition(tasks)
+        .mapInArrow(footer_schemas, "path string, schema binary")
         .groupBy("schema")
         .agg(F.min("path").alias("path"))
         .limit(2)
         .collect()
     )
-    if not schemas:
+    if not found:
         raise DataError(f"no .parquet file below {path}")
-    if len(schemas) > 1:
-        raise DataError(f"schemas differ: {schemas[0].path} and {schemas[1].path}")
+    if len(found) > 1:
+        raise DataError(f"schemas differ: {found[0].path} and {found[1].path}")
+    return pa.ipc.read_schema(pa.BufferReader(found[0].schema))
 
 
 def footer_schemas(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    import pyarrow.parquet as pq
-
     for batch in batches:
         paths = batch.column(0).to_pylist()
         schemas = []
         for path in paths:
             filesystem, name = arrow_filesystem(path)
             with filesystem.open_input_file(name) as file:
-                schemas.append(pq.read_schema(file).remove_metadata().to_string(show_field_metadata=False))
-        yield pa.RecordBatch.from_arrays([pa.array(paths, pa.string()), pa.array(schemas, pa.string())], ["path", "schema"])
+                schema = pq.read_schema(file)
+            plain = pa.schema([pa.field(f.name, f.type, True) for f in schema])
+            schemas.append(plain.serialize().to_pybytes())
+        yield pa.RecordBatch.from_arrays([pa.array(paths, pa.string()), pa.array(schemas, pa.binary())], ["path", "schema"])
+
+
+# ------------------------------------------------ types Spark's reader refuses
+def _needs_arrow(kind: pa.DataType) -> bool:
+    return pa.types.is_float16(kind) or pa.types.is_time(kind) or (pa.types.is_timestamp(kind) and kind.unit == "ns")
+
+
+def _read_by_arrow(spark: SparkSession, path: str, options: Mapping[str, str], stored: pa.Schema) -> DataFrame:
+    """Files with half floats, times of day or nanosecond timestamps: one row per
+    row group is spread over the tasks, which read and convert those groups."""
+    spark.conf.set("spark.sql.timeType.enabled", "true")
+    fields = []
+    for field in stored:
+        if pa.types.is_float16(field.type):
+            kind: T.DataType = T.FloatType()
+        elif pa.types.is_time(field.type):
+            kind = T.TimeType(6)
+        elif pa.types.is_timestamp(field.type):
+            kind = T.TimestampNTZType() if field.type.tz is None else T.TimestampType()
+        else:
+            kind = from_arrow_type(field.type, prefer_timestamp_ntz=True)
+        fields.append(T.StructField(field.name, kind))
+    struct = T.StructType(fields)
+    target = to_arrow_schema(struct)
+    groups = _files(spark, path, options).mapInArrow(row_groups, "path string, number int")
+    spread = groups.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path, number in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                filesystem, name = arrow_filesystem(path)
+                with filesystem.open_input_file(name) as file:
+                    for part in pq.ParquetFile(file).iter_batches(10_000, row_groups=[number]):
+                        columns = [part.column(f.name).cast(f.type, safe=False) for f in target]
+                        yield pa.RecordBatch.from_arrays(columns, schema=target)
+
+    return spread.mapInArrow(read, struct)
+
+
+def row_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        paths, numbers = [], []
+        for path in batch.column(0).to_pylist():
+            filesystem, name = arrow_filesystem(path)
+            with filesystem.open_input_file(name) as file:
+                count = pq.read_metadata(file).num_row_groups
+            paths += [path] * count
+            numbers += range(count)
+        yield pa.RecordBatch.from_arrays([pa.array(paths, pa.string()), pa.array(numbers, pa.int32())], ["path", "number"])

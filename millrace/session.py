@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import zipfile
 from pathlib import Path
@@ -14,10 +15,13 @@ _PACKAGE = Path(__file__).resolve().parent
 def prepare(spark: SparkSession) -> SparkSession:
     """Send the package to the Python workers, once per Spark context.
 
-    Not needed where the package is installed on every node.
+    Not needed where the package is installed on every node. The Python process
+    that plans streaming reads runs beside the driver and gets the search path.
     """
     context = spark.sparkContext
     if not getattr(context, "_millrace_sent", False):
+        paths = [context.environment.get("PYTHONPATH"), str(_PACKAGE.parent)]
+        context.environment["PYTHONPATH"] = os.pathsep.join(filter(None, paths))
         if not _PACKAGE.suffix and ".zip" not in str(_PACKAGE):
             archive = Path(tempfile.mkdtemp(prefix="millrace-package-")) / f"{_PACKAGE.name}.zip"
             with zipfile.ZipFile(archive, "w") as out:

@@ -11,13 +11,14 @@ from typing import Any
 
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
 from millrace.config import enum, require, section
 from millrace.errors import ConfigError
 from millrace.operators.payload import drop_empty
+from millrace.session import prepare
 from millrace.storage import arrow_filesystem, qualified, use_storage
 
 STEP = "file_sink"
@@ -88,17 +89,13 @@ def save_payloads(
     rows: DataFrame, base: str, layout: str, codec: str, level: int = 0, append: bool = False, suffix: str = ""
 ) -> None:
     """Write rows ``(path, payload)`` in the order each task sees them."""
-    register(rows.sparkSession)
+    prepare(rows.sparkSession).dataSource.register(PayloadFiles)
     base = qualified(rows.sparkSession, base)
     rows.write.format(FORMAT).mode("append").options(
         base=base, layout=layout, codec=codec, level=str(level), append=str(append).lower(), suffix=suffix
     ).save()
 
 
-def register(spark: SparkSession) -> None:
-    spark.dataSource.register(PayloadFiles)
-
-
 class PayloadFiles(DataSource):
     @classmethod
     def name(cls) -> str:

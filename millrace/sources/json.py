@@ -118,12 +118,12 @@ def _typed(value: Column, spec: ColumnSpec, name: str) -> Column:
     """The value in its column type; a JSON value of another kind is an error."""
     if spec.kind in _TEXTS or spec.kind == "NULL":
         kind = F.schema_of_variant(value)
-        wanted = kind.isin("VOID", *(["STRING"] if spec.kind in _TEXTS else []))
-        message = F.concat(F.lit(f"column {name}: not a {spec.kind.lower()} value but "), kind)
-        text = F.when(value.isNull() | wanted, F.variant_get(value, "$", "string")).otherwise(
-            F.raise_error(message).cast("string")
-        )
-        return F.lit(None) if spec.kind == "NULL" else convert(text, spec, _PLAIN_TEXT, name)
+        refused = F.raise_error(F.concat(F.lit(f"column {name}: not a {spec.kind.lower()} value but "), kind))
+        if spec.kind == "NULL":
+            return F.when(value.isNotNull() & (kind != "VOID"), refused)
+        text = F.variant_get(value, "$", "string")
+        text = F.when(value.isNull() | kind.isin("VOID", "STRING"), text).otherwise(refused.cast("string"))
+        return convert(text, spec, _PLAIN_TEXT, name)
     if spec.kind == "DATE32":
         return F.date_from_unix_date(value.cast("int"))
     if spec.kind == "DATE64":

@@ -90,6 +90,9 @@ def footer_schemas(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 # ------------------------------------------------ types Spark's reader refuses
+_UNSIGNED = {"uint8": T.ShortType(), "uint16": T.IntegerType(), "uint32": T.LongType(), "uint64": T.DecimalType(20, 0)}
+
+
 def _needs_arrow(kind: pa.DataType) -> bool:
     return pa.types.is_float16(kind) or pa.types.is_time(kind) or (pa.types.is_timestamp(kind) and kind.unit == "ns")
 
@@ -102,6 +105,8 @@ def _read_by_arrow(spark: SparkSession, path: str, options: Mapping[str, str], s
     for field in stored:
         if pa.types.is_float16(field.type):
             kind: T.DataType = T.FloatType()
+        elif str(field.type) in _UNSIGNED:
+            kind = _UNSIGNED[str(field.type)]
         elif pa.types.is_time(field.type):
             kind = T.TimeType(6)
         elif pa.types.is_timestamp(field.type):

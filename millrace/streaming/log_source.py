@@ -13,6 +13,7 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStrea
 
 from millrace.config import non_negative, require, section
 from millrace.operators.payload import field_extract
+from millrace.session import prepare
 from millrace.sinks.messages import NATS_URL, redis_settings
 from millrace.streaming.publish import load_client
 
@@ -46,7 +47,7 @@ def read_log(
     is looked up once. A range is cut into ``partitions`` tasks;
     ``max_positions`` bounds the range of one micro-batch.
     """
-    spark.dataSource.register(MessageLog)
+    prepare(spark).dataSource.register(MessageLog)
     reader = spark.readStream if streaming else spark.read
     return (
         reader.format(FORMAT)

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Row
 from pyspark.sql.datasource import DataSource, DataSourceStreamWriter, DataSourceWriter, WriterCommitMessage
 
 from millrace.errors import DataError
+from millrace.session import prepare
 
 FORMAT = "millrace_publish"
 
@@ -31,8 +32,7 @@ def publish(frame: DataFrame, client: str, settings: Mapping[str, Any], checkpoi
     ``close()``. Spark repeats failed tasks, so a message may be sent twice: put
     a key column in the frame where the receiver must tell repeats.
     """
-    spark = frame.sparkSession
-    spark.dataSource.register(MessageSink)
+    prepare(frame.sparkSession).dataSource.register(MessageSink)
     options = {"client": client, "settings": json.dumps(dict(settings))}
     if not frame.isStreaming:
         frame.write.format(FORMAT).mode("append").options(**options).save()

@@ -16,7 +16,9 @@ SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    found = prepare(session(4))
+    found = session(4)
+    found.sparkContext.environment["PYTHONPATH"] = str(Path(__file__).parent)
+    prepare(found)
     found.sparkContext.addPyFile(str(Path(__file__).with_name("fake_clients.py")))
     yield found
     found.stop()

@@ -77,23 +77,18 @@ def convert(text: Column, spec: ColumnSpec, rules: TextRules, name: str, quoted:
         per_second = {"SECOND": 1, "MILLI": 1_000, "MICRO": 1_000_000, "NANO": 1_000_000_000}[spec.unit]
         seconds = (text.cast("decimal(28,0)") / F.lit(per_second)).cast("decimal(18,6)")
         value = F.make_dt_interval(secs=seconds)
-    elif spec.kind in ("TIMESTAMP", "TIMESTAMP_UTC"):
-        value = _full_hour(text).cast(target)
     elif spec.kind in ("FLOAT16", "FLOAT32", "FLOAT64", "DECIMAL128", "DECIMAL256"):
-        value = decimal_point(F.trim(text), rules.decimal_point).cast(target)
-    else:
+        value = decimal_point(text, rules.decimal_point).cast(target)
+    elif spec.kind in ("TIME32", "TIME64"):
         value = F.trim(text).cast(target)
+    else:
+        value = text.cast(target)  # casts to numbers and dates trim by themselves
     value = checked(value, spec, name)
     if spec.is_text and not rules.strings_can_be_null:
         return value
     return F.when(~null_token(text, rules, quoted), value)
 
 
-def _full_hour(text: Column) -> Column:
-    """``2020-01-01 11`` → ``2020-01-01 11:00``."""
-    return F.when(F.length(text) == 13, F.concat(text, F.lit(":00"))).otherwise(text)
-
-
 # ---------------------------------------------------------------- inference
 # One bit per candidate type, in the order in which candidates are preferred.
 _CANDIDATES: tuple[ColumnSpec, ...] = (
@@ -113,30 +108,40 @@ _CLOCK = r"[ T]\d{2}(:\d{2}(:\d{2})?)?"
 _ZONE = r"(Z|[+-]\d{2}(:?\d{2})?)"
 
 
-def type_mask(text: Column, rules: TextRules) -> Column:
-    """Bit set of the candidate types one text can be read as."""
-    trimmed = F.trim(text)
-    point = "\\" + rules.decimal_point
-    number = rf"^[+-]?(\d+{point}?\d*|{point}\d+)([eE][+-]?\d+)?$"
+def type_mask(text: Column, trimmed: Column, rules: TextRules) -> Column:
+    """Bit set of the candidate types one text can be read as.
+
+    Cheap tests on single characters come first and patterns next. A failing
+    ``try_cast`` raises inside the JVM and is slow, so casts come last.
+    """
     is_bool = trimmed.isin(*rules.true_values, *rules.false_values)
-    stamp = _full_hour(F.substring(text, 1, 19)).try_cast("timestamp_ntz").isNotNull()
-    day = text.try_cast("date").isNotNull()
+    bool_bit = F.when(is_bool, F.lit(_BOOL)).otherwise(F.lit(0))
+    first = F.ascii(trimmed)
+    like_number = first.between(ord("+"), ord("9")) | first.isin(*map(ord, "iInN" + rules.decimal_point))
+    point = "\\" + rules.decimal_point
+    number = trimmed.rlike(rf"^[+-]?([0-9]+{point}?[0-9]*|{point}[0-9]+)([eE][+-]?[0-9]+)?$")
+    special = F.lower(trimmed).isin(*[sign + word for sign in ("", "+", "-") for word in ("inf", "infinity", "nan")])
+    fits_int = (F.length(trimmed) <= 18) | trimmed.try_cast("bigint").isNotNull()
+    dashed = (F.substring(text, 5, 1) == "-") & (F.length(text) >= 10)
+    stamp = text.rlike(rf"^{_DAY}{_CLOCK}(\.\d{{1,9}})?{_ZONE}?$")
+    zone = F.substring(text, 11, 99).rlike(rf"{_ZONE}$")
+    fraction = F.instr(text, ".") > 0
+    local = F.substring(text, 1, 19).try_cast("timestamp_ntz").isNotNull()
+    zoned = text.try_cast("timestamp").isNotNull()
     return (
-        F.when(
-            trimmed.rlike(r"^-?\d+$"),
-            F.when(trimmed.try_cast("bigint").isNotNull(), F.lit(_INT | _DOUBLE)).otherwise(F.lit(_DOUBLE)).bitwiseOR(
-                F.when(is_bool, F.lit(_BOOL)).otherwise(F.lit(0))
-            ),
+        F.when(dashed & (F.length(text) == 10) & text.rlike(rf"^{_DAY}$") & text.try_cast("date").isNotNull(), _DATE | _TS | _TS_FRACTION)
+        .when(
+            dashed & stamp,
+            F.when(zone, F.when(~zoned, 0).when(fraction, _TSZ_FRACTION).otherwise(_TSZ | _TSZ_FRACTION))
+            .when(~local, 0).when(fraction, _TS_FRACTION).otherwise(_TS | _TS_FRACTION),
+        )
+        .when(
+            like_number & trimmed.rlike("^-?[0-9]+$"),
+            F.when(fits_int, F.lit(_INT | _DOUBLE)).otherwise(F.lit(_DOUBLE)).bitwiseOR(bool_bit),
         )
-        .when(is_bool, _BOOL)
-        .when(trimmed.rlike(number) | F.lower(trimmed).rlike(r"^[+-]?(inf|infinity|nan)$"), _DOUBLE)
-        .when(text.rlike(rf"^{_DAY}$") & day, _DATE | _TS | _TS_FRACTION)
-        .when(text.rlike(r"^([01]\d|2[0-3]):[0-5]\d(:[0-5]\d)?$"), _TIME)
-        .when(text.rlike(rf"^{_DAY}{_CLOCK}$") & stamp, _TS | _TS_FRACTION)
-        .when(text.rlike(rf"^{_DAY}{_CLOCK}\.\d{{1,9}}$") & stamp, _TS_FRACTION)
-        .when(text.rlike(rf"^{_DAY}{_CLOCK}{_ZONE}$") & text.try_cast("timestamp").isNotNull(), _TSZ | _TSZ_FRACTION)
-        .when(text.rlike(rf"^{_DAY}{_CLOCK}\.\d{{1,9}}{_ZONE}$") & text.try_cast("timestamp").isNotNull(), _TSZ_FRACTION)
-        .otherwise(0)
+        .when((F.substring(text, 3, 1) == ":") & text.rlike(r"^([01]\d|2[0-3]):[0-5]\d(:[0-5]\d)?$"), _TIME)
+        .when(like_number & (number | special), F.lit(_DOUBLE).bitwiseOR(bool_bit))
+        .otherwise(bool_bit)
     )
 
 
@@ -150,19 +155,25 @@ def infer_specs(df: DataFrame, columns: Sequence[str], rules: TextRules, latin_b
     """
     if not columns:
         return {}
-    found = []
-    for position, name in enumerate(columns):
-        text = F.col(f"`{name}`")
-        is_quoted = F.col(quoted[name]) if quoted else None
-        seen = F.when(text.isNotNull() & ~null_token(text, rules, is_quoted), type_mask(text, rules))
-        found.append(F.bit_and(seen).alias(f"m{position}"))
-        if latin_bytes:
-            valid = F.bool_and(F.is_valid_utf8(F.encode(text, "ISO-8859-1").cast("string")))
-            found.append(valid.alias(f"v{position}"))
-    row = df.agg(*found).first()
+    # One row per field keeps the generated code short enough to be compiled well,
+    # however many columns there are.
+    fields = [
+        F.struct(F.col(f"`{name}`").alias("text"), (F.col(quoted[name]) if quoted else F.lit(False)).alias("quoted"))
+        for name in columns
+    ]
+    single = df.select(F.posexplode(F.array(*fields)).alias("position", "field")).select("position", "field.*")
+    single = single.select("*", F.trim("text").alias("trimmed"))
+    seen = F.col("text").isNotNull() & ~null_token(F.col("text"), rules, F.col("quoted"))
+    masked = single.select("position", "text", F.when(seen, type_mask(F.col("text"), F.col("trimmed"), rules)).alias("mask"))
+    valid = F.lit(True)
+    if latin_bytes:
+        is_utf8 = F.is_valid_utf8(F.encode("text", "ISO-8859-1").cast("string"))
+        valid = F.when(F.col("mask") == 0, is_utf8).otherwise(True)
+    found = masked.groupBy("position").agg(F.bit_and("mask").alias("mask"), F.bool_and(valid).alias("valid")).collect()
+    by_position = {row.position: row for row in found}  # one row per column
     return {
-        name: _pick(row[f"m{position}"], not latin_bytes or row[f"v{position}"] is not False)
-        for position, name in enumerate(columns)
+        name: _pick(by_position[i].mask, by_position[i].valid) if i in by_position else ColumnSpec("NULL")
+        for i, name in enumerate(columns)
     }
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from dataclasses import replace
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -83,6 +84,8 @@ def read_csv(spark: SparkSession, config: Mapping[str, Any], streaming: bool = F
         conv["quoted_strings_can_be_null"],
         conv["decimal_point"],
     )
+    # Where an empty field spells null, null fields need not be made empty first.
+    bare_rules = replace(rules, null_values=(*rules.null_values, _QUOTED_EMPTY))
     types = conv["column_types"]
     native = streaming or native_codec(spark, STEP, path, cfg["common"]["compression"])
     tell_quoted = parse["quoting"] and not rules.quoted_strings_can_be_null
@@ -135,12 +138,14 @@ def read_csv(spark: SparkSession, config: Mapping[str, Any], streaming: bool = F
             if name in types:
                 column = convert(F.lit(None).cast("string"), spec, rules, name)
         else:
-            text = texts[name]
+            text, column_rules = texts[name], rules
+            if not spec.is_text and not tell_quoted and "" in rules.null_values:
+                text, column_rules = F.col(f"c{names.index(name)}"), bare_rules
             if spec.is_text:
                 text = F.encode(text, "ISO-8859-1").cast("string")
                 if conv["check_utf8"] and name in types and spec.kind in ("STRING", "LARGE_STRING"):
                     text = F.validate_utf8(text)
-            column = convert(text, spec, rules, name, quoted.get(name))
+            column = convert(text, spec, column_rules, name, quoted.get(name))
         columns.append(column.alias(name))
     table = raw.select(*columns)
     if conv["auto_dict_encode"] and not streaming:

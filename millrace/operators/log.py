@@ -14,8 +14,10 @@ from millrace.workdir import checkpointed
 TOP_LIMIT = 1_000
 # A hot stream's candidates are first reduced in this many groups.
 SALTS = 32
-# Buckets per counting pass, and the largest cutoff table that is broadcast.
+# Buckets per counting pass, rows of a bucket that are ranked instead of counted
+# again, and the largest cutoff table that is broadcast.
 BUCKETS = 1_024
+BOUNDARY_ROWS = 100_000
 BROADCAST_KEYS = 100_000
 
 
@@ -37,7 +39,9 @@ def log_read(df: DataFrame, after, count: int | None = None, id_column: str = "i
         return rest
     if count <= TOP_LIMIT:
         return rest.orderBy(column).limit(count)
-    return _first_per_key(rest, F.lit(0), column, count, exact=True)
+    values = rest.select(F.lit(0).alias("_key"), column.cast("bigint").alias("_value"))
+    found = _cutoffs(values, count, exact=True).first()  # one key, so one row
+    return rest if found is None else rest.where(column <= found["_cutoff"])
 
 
 def log_trim(
@@ -64,7 +68,8 @@ def _first_per_key(df: DataFrame, key: Column, value: Column, count: int, exact:
     """Rows with the ``count`` smallest values of each key, without sorting.
 
     Only counts are shuffled: each pass counts rows in buckets of the value
-    range that still holds the cutoff, and narrows it to one bucket.
+    range that still holds the cutoff, and narrows it to one bucket, until that
+    has few rows.
     """
     columns = df.columns
     rows = df.withColumn("_key", key).withColumn("_value", value.cast("bigint"))
@@ -88,20 +93,34 @@ def _cutoffs(values: DataFrame, count: int, exact: bool) -> DataFrame:
     done = open_spans.limit(0).select("_cut_key", F.col("low").alias("_cutoff"))
     while not open_spans.isEmpty():
         narrowed = checkpointed(_narrow(values, open_spans))
-        settled = F.lit(not exact) | (F.col("inside") == F.col("need")) | (F.col("low") == F.col("high"))
-        done = done.unionAll(narrowed.where(settled).select("_cut_key", F.col("high").alias("_cutoff")))
-        open_spans = narrowed.where(~settled).select("_cut_key", "low", "high", "need")
+        whole = F.lit(not exact) | (F.col("inside") == F.col("need")) | (F.col("low") == F.col("high"))
+        few = ~whole & (F.col("inside") <= BOUNDARY_ROWS)
+        done = done.unionAll(narrowed.where(whole).select("_cut_key", F.col("high").alias("_cutoff")))
+        if not narrowed.where(few).isEmpty():
+            done = done.unionAll(_ranked(values, narrowed.where(few)))
+        open_spans = narrowed.where(~whole & ~few).select("_cut_key", "low", "high", "need")
     return done
 
 
-def _narrow(values: DataFrame, spans: DataFrame) -> DataFrame:
-    """Per key, the one bucket of its span in which the wanted row lies."""
-    width = F.expr(f"(high - low) DIV {BUCKETS} + 1")
+def _ranked(values: DataFrame, spans: DataFrame) -> DataFrame:
+    """Per key, the wanted row's value among the few rows of its span."""
+    inside = _within(values, spans.select("_cut_key", "low", "high", "need"))
+    rank = F.row_number().over(W.partitionBy("_cut_key").orderBy("_value"))  # at most BOUNDARY_ROWS per key
+    return inside.withColumn("rank", rank).where("rank = need").select("_cut_key", F.col("_value").alias("_cutoff"))
+
+
+def _within(values: DataFrame, spans: DataFrame) -> DataFrame:
+    """Rows that lie in their key's span, with the span's columns."""
     table = F.broadcast(spans) if spans.count() <= BROADCAST_KEYS else spans
     matched = F.col("_key").eqNullSafe(F.col("_cut_key")) & F.col("_value").between(F.col("low"), F.col("high"))
+    return values.join(table, matched)
+
+
+def _narrow(values: DataFrame, spans: DataFrame) -> DataFrame:
+    """Per key, the one bucket of its span in which the wanted row lies."""
     counts = (
-        values.join(table, matched)
-        .withColumn("width", width)
+        _within(values, spans)
+        .withColumn("width", F.expr(f"(high - low) DIV {BUCKETS} + 1"))
         .withColumn("bucket", F.expr("(_value - low) DIV width"))
         .groupBy("_cut_key", "low", "high", "need", "width", "bucket")
         .agg(F.count("*").alias("inside"))

@@ -24,7 +24,7 @@ def strict_concat(tables: Sequence[DataFrame]) -> DataFrame:
 
 def partition_guard(df: DataFrame, columns: Sequence[str], max_partitions: int) -> DataFrame:
     """``df`` itself, or an error when the columns have too many different values."""
-    if not df.select(*columns).distinct().offset(max_partitions).isEmpty():
+    if df.select(*columns).distinct().limit(max_partitions + 1).count() > max_partitions:
         raise DataError(f"more than {max_partitions} partitions by {', '.join(columns)}")
     return df
 

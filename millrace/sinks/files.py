@@ -63,14 +63,19 @@ def write_files(
     if not cfg["append"]:
         if order_by is not None:
             rows = last_payloads(rows)
-        elif path_column is None and rows.offset(1).isEmpty() is False:
+        elif not rows.groupBy("path").count().where("count > 1").isEmpty():
             raise ConfigError(f"{STEP}: several payloads replace one file; say which is last with order_by")
         layout = "SINGLE"
     elif cfg["layout"] == "SINGLE":
         rows = rows.repartition("path").sortWithinPartitions("path", "ord")
         layout = "SINGLE"
     else:
-        rows = rows.repartitionByRange("path", "ord").sortWithinPartitions("path", "ord")
+        # By range, a path that holds much of the data is cut at its order values;
+        # without an order, adaptive execution cuts it anywhere.
+        if order_by is not None:
+            rows = rows.repartitionByRange("path", "ord").sortWithinPartitions("path", "ord")
+        elif path_column is not None:
+            rows = rows.hint("rebalance", "path").sortWithinPartitions("path")
         layout = "PARTS"
     codec = "gzip" if cfg["compression"] == "GZIP" else "none"
     save_payloads(rows.select("path", "payload"), base, layout, codec, cfg["compression_level"], cfg["append"])

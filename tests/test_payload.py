@@ -153,6 +153,20 @@ def test_trim(spark, count):
     assert rows(log.log_trim(df, count)) == newest(data, count)
 
 
+@pytest.mark.parametrize("limit", [0, 3, 50])
+def test_trim_counts_out_cutoffs_to_the_end(spark, monkeypatch, limit):
+    monkeypatch.setattr(log, "BOUNDARY_ROWS", limit)
+    monkeypatch.setattr(log, "BUCKETS", 16)
+    data, df = stream(spark)
+    assert rows(log.log_trim(df, 1234)) == newest(data, 1234)
+
+
+def test_trim_joins_large_cutoff_tables_without_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(log, "BROADCAST_KEYS", 0)
+    data, df = stream(spark)
+    assert rows(log.log_trim(df, 1234)) == newest(data, 1234)
+
+
 def test_trim_without_a_limit_and_approximately(spark):
     data, df = stream(spark)
     assert log.log_trim(df, 0) is df

@@ -6,7 +6,7 @@ from collections.abc import Iterator, Mapping
 from typing import Any
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -49,26 +49,34 @@ def write_csv(df: DataFrame, config: Mapping[str, Any]) -> None:
     """Write CSV part files below ``path``, each with its own header line.
 
     Lines are built by column expressions and written by Spark's text writer;
-    codecs it does not have go through the payload writer.
+    codecs it does not have go through the payload writer. A table without rows
+    gives one file with the header.
     """
     cfg = csv_sink_config(config)
     opts = cfg["write_options"]
     path = use_storage(df.sparkSession, cfg["path"], cfg["common"])
     codec = resolve_codec(path, cfg["common"]["compression"])
+    header = csv_header(df.columns, opts)
     line = _line(df, opts)
     if opts["include_header"]:
         # The low bits of the row id count the rows of a task, and a task writes one file.
         first = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) == 0
-        line = F.when(first, F.concat(F.lit(csv_header(df.columns, opts) + opts["eol"]), line)).otherwise(line)
-    lines = df.select(line.alias("value"))
+        line = F.when(first, F.concat(F.lit(header + opts["eol"]), line)).otherwise(line)
+    rows = Observation()
+    lines = df.select(line.alias("value")).observe(rows, F.count(F.lit(1)).alias("n"))
+    _write_lines(lines, path, codec, opts["eol"], cfg["append"])
+    if opts["include_header"] and rows.get["n"] == 0:
+        _write_lines(df.sparkSession.createDataFrame([(header,)], "value string"), path, codec, opts["eol"], cfg["append"])
+
+
+def _write_lines(lines: DataFrame, path: str, codec: str, eol: str, append: bool) -> None:
     if codec in _TEXT_CODECS:
-        mode = "append" if cfg["append"] else "overwrite"
-        lines.write.mode(mode).options(
-            lineSep=opts["eol"], compression=_TEXT_CODECS[codec], maxRecordsPerFile="0"
+        lines.write.mode("append" if append else "overwrite").options(
+            lineSep=eol, compression=_TEXT_CODECS[codec], maxRecordsPerFile="0"
         ).text(path)
         return
     name = stream_codec(STEP, codec)
-    end = opts["eol"].encode()
+    end = eol.encode()
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -76,8 +84,8 @@ def write_csv(df: DataFrame, config: Mapping[str, Any]) -> None:
                 text = b"".join(v.as_buffer().to_pybytes() + end for v in batch.column(0))
                 yield pa.RecordBatch.from_arrays([pa.array([""]), pa.array([text], pa.binary())], ["path", "payload"])
 
-    if not cfg["append"]:
-        lines.limit(0).write.mode("overwrite").text(path)
+    if not append:
+        lines.sparkSession.createDataFrame([], "value string").write.mode("overwrite").text(path)
     payloads = lines.mapInArrow(join, "path string, payload binary")
     suffix = {"zstd": ".csv.zst", "lz4": ".csv.lz4", "brotli": ".csv.br"}[name]
     save_payloads(payloads, path, "PARTS", name, suffix=suffix)

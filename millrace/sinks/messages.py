@@ -21,7 +21,6 @@ from millrace.operators.payload import drop_empty
 NATS_URL = "nats://127.0.0.1:4222"
 REDIS_HOST, REDIS_PORT, REDIS_CONNECT_MS = "127.0.0.1", 6379, 2000
 FLUSH_MS = 1000
-KAFKA_FLUSH_MS = 5000
 HTTP_TIMEOUT_MS = 5000
 HTTP_CONTENT_TYPE = "application/json"
 HTTP_METHODS = ("UNSPECIFIED", "POST", "PUT")

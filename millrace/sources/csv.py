@@ -15,7 +15,7 @@ from millrace.functions.convert import FALSE_TOKENS, NULL_TOKENS, TRUE_TOKENS, T
 from millrace.operators.dictionary import dictionary_encode
 from millrace.schema import ColumnSpec, column_spec, enable_time_type
 from millrace.sources.lines import decoded_lines, first_lines, native_codec, text_lines, without_leading
-from millrace.storage import common_section, output_type, resolve_codec, use_storage
+from millrace.storage import common_section, output_type, use_storage
 
 STEP = "csv_source"
 
@@ -198,7 +198,7 @@ def _parse_lines(spark, path, cfg, native, tell_quoted):
         else:
             data = lines
     else:
-        codec = resolve_codec(path, cfg["common"]["compression"])
+        codec = cfg["common"]["compression"]
         quote = parse["quote_char"] if parse["newlines_in_values"] and parse["quoting"] else None
         escape = parse["escape_char"] if parse["escaping"] else None
         head = decoded_lines(spark, path, codec, quote, escape)

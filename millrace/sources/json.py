@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterator, Mapping
 from typing import Any
 
@@ -15,8 +16,8 @@ from millrace.config import enum, require, section
 from millrace.errors import ConfigError, DataError
 from millrace.functions.convert import TextRules, convert, infer_specs, require_ansi
 from millrace.schema import ColumnSpec, checked, column_spec, enable_time_type, spark_type
-from millrace.sources.lines import decoded_lines, native_codec, text_lines
-from millrace.storage import common_section, output_type, resolve_codec, use_storage
+from millrace.sources.lines import decoded_lines, decoded_objects, native_codec, text_lines
+from millrace.storage import common_section, output_type, use_storage
 
 STEP = "json_source"
 UNEXPECTED = ("INFER_TYPE", "IGNORE", "ERROR")
@@ -26,6 +27,8 @@ _NUMBERS = {"INT8", "INT16", "INT32", "INT64", "UINT8", "UINT16", "UINT32", "UIN
 _TEXTS = {"STRING", "LARGE_STRING", "BINARY", "LARGE_BINARY", "TIMESTAMP"}
 _COUNTS = {"DATE32", "DATE64", "TIME32", "TIME64"}  # days, or units since midnight
 _NUMBERS_OR_TEXTS = {"DECIMAL128", "DECIMAL256"}
+_SPACE = re.compile(r"\s*")
+_LEFT_OVER = re.compile(r"\}\s*$")
 _PLAIN_TEXT = TextRules(null_values=())
 
 
@@ -59,16 +62,15 @@ def read_json(spark: SparkSession, config: Mapping[str, Any], streaming: bool =
     parse = cfg["parse_options"]
     path = use_storage(spark, cfg["path"], cfg["common"])
     explicit, behavior = parse["explicit_schema"], parse["unexpected_field_behavior"]
+    codec = cfg["common"]["compression"]
     if streaming and (not explicit or behavior == "INFER_TYPE" or parse["newlines_in_values"]):
         raise ConfigError("a streaming JSON read takes an explicit schema, one object per line, and ignore or error")
     if streaming:
         objects = text_lines(spark, path, streaming=True)
-    elif native_codec(spark, STEP, path, cfg["common"]["compression"]):
+    elif native_codec(spark, STEP, path, codec):
         objects = concatenated_objects(spark, path) if parse["newlines_in_values"] else text_lines(spark, path)
     else:
-        objects = decoded_lines(spark, path, resolve_codec(path, cfg["common"]["compression"]))
-        if parse["newlines_in_values"]:
-            raise ConfigError(f"{STEP}: objects over several lines need files named after their codec")
+        objects = (decoded_objects if parse["newlines_in_values"] else decoded_lines)(spark, path, codec)
     objects = objects.where(F.length(F.trim("value")) > 0)
     return parse_objects(objects, explicit, behavior)
 
@@ -223,12 +225,9 @@ def _whole_objects(texts: pd.Series) -> pd.Series:
 def split_objects(text: str) -> Iterator[str]:
     """Top-level objects of a text; a closing brace left over at its end is dropped."""
     decoder = json.JSONDecoder()
-    position = 0
-    while True:
-        while position < len(text) and text[position].isspace():
-            position += 1
-        if position >= len(text) or text[position:].strip() == "}":
-            return
-        _, end = decoder.raw_decode(text, position)
-        yield text[position:end]
-        position = end
+    end = _LEFT_OVER.search(text)
+    position = _SPACE.match(text).end()
+    while position < len(text) and not (end and position >= end.start()):
+        _, stop = decoder.raw_decode(text, position)
+        yield text[position:stop]
+        position = _SPACE.match(text, stop).end()

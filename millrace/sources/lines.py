@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import codecs
+import json
 import re
 from collections.abc import Iterable, Iterator
 
@@ -11,34 +13,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.errors import ConfigError, DataError
-from millrace.storage import NATIVE_READ_SUFFIX, STREAM_CODECS, SUFFIX_CODECS, resolve_codec, stream_codec
+from millrace.storage import NATIVE_READ_SUFFIX, STREAM_CODECS, resolve_codec, stream_codec
 
 _CHUNK = 4 << 20
 _BATCH_BYTES = 8 << 20
+_SPACE = re.compile(r"\s*")
 
 
 def native_codec(spark: SparkSession, step: str, path: str, codec: str) -> bool:
     """Whether Spark's text readers decode the files by themselves.
 
     They go by the file name only: a gzip file named ``.csv`` would come back
-    empty without any error, so names are checked against an explicit codec.
+    empty without any error, so the names are checked against the codec.
     """
-    if codec == "AUTO":
-        found = resolve_codec(path, codec)
-        return found == "UNCOMPRESSED" or found in NATIVE_READ_SUFFIX
-    if codec == "UNCOMPRESSED":
-        names = _file_names(spark, path)
-        named = " OR ".join(f"path LIKE '%{suffix}'" for suffix in SUFFIX_CODECS)
-        return names.where(named).isEmpty()
-    stream_codec(step, codec)
-    suffix = NATIVE_READ_SUFFIX.get(codec)
-    if suffix is None:
+    if codec not in ("AUTO", "UNCOMPRESSED"):
+        stream_codec(step, codec)
+    names = spark.read.format("binaryFile").load(path).inputFiles()
+    wanted = {codec} if codec != "AUTO" else {"UNCOMPRESSED", *NATIVE_READ_SUFFIX}
+    if codec != "AUTO" and codec != "UNCOMPRESSED" and codec not in NATIVE_READ_SUFFIX:
         return False
-    return path.endswith(suffix) or _file_names(spark, path).where(~F.col("path").endswith(suffix)).isEmpty()
-
-
-def _file_names(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.format("binaryFile").load(path).select("path")
+    return all(resolve_codec(name, "AUTO") in wanted for name in names)
 
 
 def text_lines(spark: SparkSession, path: str, line_sep: str | None = None, streaming: bool = False) -> DataFrame:
@@ -136,21 +130,59 @@ def decoded_lines(
     to the record. One file may have at most 2 GiB compressed (a limit of
     Spark's binary reader); larger ones need the suffix of their codec.
     """
-    decoder = STREAM_CODECS.get(codec)
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for content in batch.column(0):
-                dropper = LeadingLines(skip, header, after, ignore_empty)
-                for lines in _batched(split_records(_chunks(content.as_buffer(), decoder), quote, escape)):
-                    values = pa.array(lines, pa.binary()).view(pa.binary())
-                    text = pa.Array.from_buffers(pa.string(), len(values), values.buffers())
-                    text = text.slice(dropper.count(text))
-                    if len(text):
-                        yield pa.RecordBatch.from_arrays([text], ["value"])
-
-    files = spark.read.format("binaryFile").load(path).select("content")
-    return files.mapInArrow(decode, "value string")
+        for chunks in _contents(batches, codec):
+            dropper = LeadingLines(skip, header, after, ignore_empty)
+            for lines in _batched(split_records(chunks, quote, escape)):
+                values = pa.array(lines, pa.binary())
+                text = pa.Array.from_buffers(pa.string(), len(values), values.buffers())
+                text = text.slice(dropper.count(text))
+                if len(text):
+                    yield pa.RecordBatch.from_arrays([text], ["value"])
+
+    return _contents_of(spark, path).mapInArrow(decode, "value string")
+
+
+def decoded_objects(spark: SparkSession, path: str, codec: str) -> DataFrame:
+    """JSON objects, one after the other, in files like those of :func:`decoded_lines`."""
+
+    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for chunks in _contents(batches, codec):
+            for objects in _batched(split_object_stream(chunks)):
+                yield pa.RecordBatch.from_arrays([pa.array(objects, pa.string())], ["value"])
+
+    return _contents_of(spark, path).mapInArrow(decode, "value string")
+
+
+def _contents_of(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.format("binaryFile").load(path).select("path", "content")
+
+
+def _contents(batches: Iterator[pa.RecordBatch], codec: str) -> Iterator[Iterator[bytes]]:
+    """Decoded chunks of each file; codec AUTO goes by each file's name."""
+    for batch in batches:
+        for path, content in zip(batch.column(0).to_pylist(), batch.column(1)):
+            yield _chunks(content.as_buffer(), STREAM_CODECS.get(resolve_codec(path, codec)))
+
+
+def split_object_stream(chunks: Iterable[bytes]) -> Iterator[str]:
+    """Top-level JSON objects of a byte stream."""
+    decoder, utf8 = json.JSONDecoder(), codecs.getincrementaldecoder("utf-8")()
+    rest = ""
+    for chunk in chunks:
+        rest += utf8.decode(chunk)
+        position = 0
+        while True:
+            start = _SPACE.match(rest, position).end()
+            try:
+                _, position = decoder.raw_decode(rest, start)
+            except json.JSONDecodeError:
+                break  # the object goes on in the next chunk
+            yield rest[start:position]
+        rest = rest[position:]
+    if rest.strip():
+        raise DataError(f"not a JSON object: {rest.strip()[:100]}")
 
 
 def _chunks(content: pa.Buffer, decoder: str | None) -> Iterator[bytes]:

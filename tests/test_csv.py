@@ -215,3 +215,22 @@ def test_nested_columns_and_bad_null_strings_are_rejected(spark, tmp_path):
         write_csv(spark.createDataFrame([([1],)], "a array<int>"), {"path": str(tmp_path / "o")})
     with pytest.raises(ConfigError):
         write_csv(spark.range(1), {"path": str(tmp_path / "o"), "write_options": {"null_string": '"'}})
+
+
+@pytest.mark.parametrize("codec", ["UNCOMPRESSED", "GZIP", "ZSTD"])
+def test_a_table_without_rows_has_a_header(spark, sample, tmp_path, codec):
+    common = {"compression": codec}
+    write_csv(sample.where("id > 5").repartition(3), {"path": str(tmp_path / "o"), "common": common})
+    found = read_csv(spark, {"path": str(tmp_path / "o"), "common": {"compression": "AUTO"}})
+    assert found.columns == ["id", "name"] and found.count() == 0
+
+
+def test_folders_with_files_of_several_codecs(spark, tmp_path):
+    write(tmp_path, "a,b\n1,x\n", "1.csv")
+    write(tmp_path, gzip.compress(b"a,b\n2,y\n"), "2.csv.gz")
+    assert rows(read_csv(spark, {"path": str(tmp_path)})) == [(1, "x"), (2, "y")]
+    sink = pa.BufferOutputStream()
+    with pa.CompressedOutputStream(sink, "lz4") as out:
+        out.write(b"a,b\n3,z\n")
+    write(tmp_path, sink.getvalue().to_pybytes(), "3.csv.lz4")
+    assert rows(read_csv(spark, {"path": str(tmp_path)})) == [(1, "x"), (2, "y"), (3, "z")]

@@ -14,6 +14,7 @@ from hypothesis import strategies as st
 from conftest import rows
 from millrace.errors import ConfigError, DataError
 from millrace.sources.json import read_json, split_objects
+from millrace.sources.lines import split_object_stream
 
 
 def write(tmp_path, data, name="f.json"):
@@ -149,6 +150,25 @@ def test_splitting_objects(objects, space, brace):
     assert [json.loads(p) for p in pieces] == objects
 
 
+@settings(max_examples=50, deadline=None)
+@given(st.lists(st.dictionaries(st.text(max_size=3), st.text(max_size=5) | st.integers(), max_size=3), max_size=5), st.integers(1, 9))
+def test_splitting_an_object_stream(objects, size):
+    data = " \n".join(json.dumps(o, ensure_ascii=False) for o in objects).encode("utf-8", "surrogatepass")
+    if b"\xed" in data:
+        return  # lone surrogates are not UTF-8
+    chunks = [data[i:i + size] for i in range(0, len(data), size)]
+    assert [json.loads(o) for o in split_object_stream(chunks)] == objects
+
+
+def test_objects_over_several_lines_in_a_compressed_file(spark, tmp_path):
+    path = write(tmp_path, gzip.compress(SEVERAL.encode()))
+    found = read(spark, path, newlines_in_values=True, common={"compression": "gzip"})
+    assert sorted(r.id for r in found.collect()) == [1, 2, 3, 4]
+    broken = write(tmp_path, gzip.compress(b'{"id":1}\n{"id":'), "broken.json")
+    with pytest.raises(Exception, match="not a JSON object"):
+        read(spark, broken, newlines_in_values=True, common={"compression": "gzip"}).collect()
+
+
 def test_streaming_read(spark, tmp_path):
     path = tmp_path / "in"
     path.mkdir()

@@ -744,6 +744,26 @@ def resize_area(spark, folder):
     return table(spark, folder, "embeddings").select("vec_id", images.resize_grid("embedding", 8, 8, config).alias("grid"))
 
 
+def _linear_sql(height: str, width: str) -> str:
+    """Blend of four neighbours at half-size coordinates, in SQL."""
+    def ends(n: str) -> tuple[str, str, str]:
+        low = f"CAST(floor(({n} + 0.5::DOUBLE) / 2 - 0.5::DOUBLE) AS BIGINT)"
+        return f"greatest({low}, 0)", f"least({low} + 1, 7)", f"(({n} + 0.5::DOUBLE) / 2 - 0.5::DOUBLE - {low})"
+
+    (top, bottom, down), (left, right, across) = ends(height), ends(width)
+    at = "embedding[{} * 8 + {} + 1]::DOUBLE".format
+    first = f"({at(top, left)} * (1 - {down}) + {at(bottom, left)} * {down})"
+    second = f"({at(top, right)} * (1 - {down}) + {at(bottom, right)} * {down})"
+    return f"CAST({first} * (1 - {across}) + {second} * {across} AS FLOAT)"
+
+
+@query(f"SELECT vec_id, list_transform(range(256), lambda p: {_linear_sql('(p // 16)', '(p % 16)')}) AS grid FROM embeddings")
+def resize_linear(spark, folder):
+    """8 × 8 grids enlarged to 16 × 16 with linear interpolation."""
+    config = {"output_width": 16, "output_height": 16, "resize_mode": "stretch"}
+    return table(spark, folder, "embeddings").select("vec_id", images.resize_grid("embedding", 8, 8, config).alias("grid"))
+
+
 @query("SELECT vec_id, list_transform(embedding, lambda x: (x::DOUBLE - 0.25) * 2.0) AS blob FROM embeddings")
 def blob_preprocess(spark, folder):
     """Mean and scale over pixel arrays."""
@@ -804,6 +824,22 @@ def inference_linear(spark, folder):
     return scored.select("vec_id", *[(F.round(data[k], 3) + 0).alias(f"s{k}") for k in range(3)])
 
 
+_PIXEL_SCORE = """list_sum(list_transform(range(192), lambda p: floor((embedding[p % 64 + 1]::DOUBLE + 1) * 127)
+    * (((7 * p + 3 * {k}) % 11) - 5) / 8.0::DOUBLE))"""
+
+
+@query("SELECT vec_id, " + ", ".join(f"{_PIXEL_SCORE.format(k=k)} AS s{k}" for k in range(2)) + " FROM embeddings")
+def image_inference(spark, folder):
+    """Images → tensors → a model file → JSON → numbers."""
+    p, k = np.meshgrid(np.arange(192), np.arange(2), indexing="ij")
+    model = linear_model((((7 * p + 3 * k) % 11) - 5) / 8, (3, 8, 8))
+    path = fresh_dir(spark, "model") + ".onnx"
+    write_files(spark.createDataFrame([(model,)], "payload binary"), {"path": path})
+    scored = inference.infer_images(_byte_images(spark, folder), {"model_path": path})
+    data = F.from_json("json", "map<string, struct<shape: array<int>, data: array<double>>>")["output"]["data"]
+    return scored.select("vec_id", *[data[k].alias(f"s{k}") for k in range(2)])
+
+
 # -------------------------------------------------------------------- flows
 def _flow(source: str, target: str, names: list[str], types: dict) -> dict:
     return {

@@ -6,6 +6,7 @@ import time
 import uuid
 import zlib
 from collections.abc import Iterator, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from typing import Any
 
@@ -25,6 +26,7 @@ STEP = "file_sink"
 COMPRESSION = ("UNSPECIFIED", "NONE", "GZIP")
 LAYOUTS = ("PARTS", "SINGLE")
 FORMAT = "millrace_files"
+_RENAMES = 32  # files the driver renames at a time
 
 
 def files_config(config: Mapping[str, Any]) -> dict[str, Any]:
@@ -167,15 +169,13 @@ class PayloadFilesWriter(DataSourceArrowWriter):
 
     def commit(self, messages) -> None:
         filesystem, staging = arrow_filesystem(self.staging)
-        made = set()
-        for message in messages:
-            for staged, target in message.moves if message else ():
-                _, name = arrow_filesystem(target)
-                parent = name.rpartition("/")[0]
-                if parent not in made:
-                    filesystem.create_dir(parent, recursive=True)
-                    made.add(parent)
-                filesystem.move(staged, name)
+        moves = [
+            (staged, arrow_filesystem(target)[1]) for message in messages if message for staged, target in message.moves
+        ]
+        for parent in {name.rpartition("/")[0] for _, name in moves}:
+            filesystem.create_dir(parent, recursive=True)
+        with ThreadPoolExecutor(_RENAMES) as pool:
+            list(pool.map(lambda move: filesystem.move(*move), moves))
         self._clear(filesystem, staging)
 
     def abort(self, messages) -> None:

@@ -50,7 +50,7 @@ def parquet_sink_config(config: Mapping[str, Any]) -> dict[str, Any]:
             f"{STEP}.write_opts",
             cfg["write_opts"],
             {"basename_template": DEFAULT_BASENAME, "max_rows_per_file": 0, "max_rows_per_group": 0,
-             "max_partitions": 0, "partition_columns": []},
+             "max_partitions": 0, "partition_columns": [], "rebalance": True},
         )
         non_negative(STEP, opts, "max_rows_per_file", "max_rows_per_group", "max_partitions")
         if not opts["partition_columns"]:
@@ -156,6 +156,8 @@ def write_parquet(df: DataFrame, config: Mapping[str, Any]) -> None:
     go to ``column=value/`` directories of a new or empty ``path``. A limit on
     the number of directories is checked before the write, in a pass of its own
     over the partition columns, and only where ``max_partitions`` sets one.
+    ``rebalance: false`` leaves out the shuffle that brings the rows of one
+    directory together: right for few directories and large input splits.
     """
     cfg = parquet_sink_config(config)
     spark = df.sparkSession
@@ -171,7 +173,8 @@ def write_parquet(df: DataFrame, config: Mapping[str, Any]) -> None:
         _require_empty(spark, path)
         if opts["max_partitions"]:
             partition_guard(df, opts["partition_columns"], opts["max_partitions"])
-        df = partition_files(df, opts["partition_columns"])
+        if opts["rebalance"]:
+            df = partition_files(df, opts["partition_columns"])
         basename = opts["basename_template"].split("{i}")[0].rstrip("-_.")
         if basename:
             options["mapreduce.output.basename"] = basename

@@ -408,17 +408,20 @@ def _footers(spark: SparkSession, path: str) -> DataFrame:
     return files.mapInArrow(read, "num_rows bigint, largest_group bigint")
 
 
-@query("SELECT count(*) AS num_rows, 700 AS largest_group FROM orders")
+@query("SELECT count(*) AS num_rows, least(700, count(*)) AS largest_group FROM orders")
 def row_groups(spark, folder):
     """Rows per row group of the written files."""
     path = fresh_dir(spark, "parquet")
     write_parquet(table(spark, folder, "orders"), {"path": path, "row_group_size": 700})
     return _footers(spark, path).agg(
-        F.sum("num_rows").alias("num_rows"), F.max("largest_group").cast("int").alias("largest_group")
+        F.sum("num_rows").alias("num_rows"), F.max("largest_group").alias("largest_group")
     )
 
 
-@query("SELECT count(*) AS num_rows, 500 AS largest_file FROM orders")
+@query(
+    """SELECT CAST(sum(n) AS BIGINT) AS num_rows, least(500, max(n)) AS largest_file
+    FROM (SELECT count(*) AS n FROM orders GROUP BY o_orderstatus)"""
+)
 def max_rows_per_file(spark, folder):
     """Rows per file of a partitioned write."""
     path = fresh_dir(spark, "hive")
@@ -427,7 +430,7 @@ def max_rows_per_file(spark, folder):
         {"path": path, "write_opts": {"partition_columns": ["o_orderstatus"], "max_rows_per_file": 500}},
     )
     return _footers(spark, path).agg(
-        F.sum("num_rows").alias("num_rows"), F.max("num_rows").cast("int").alias("largest_file")
+        F.sum("num_rows").alias("num_rows"), F.max("num_rows").alias("largest_file")
     )
 
 
@@ -530,11 +533,11 @@ def arrow_batches(spark, folder):
     return payload.arrow_decode(payload.arrow_encode(source, 1000), source.schema)
 
 
-@query("SELECT count(*) AS num_rows, 1000 AS largest_batch FROM lineitem")
+@query("SELECT count(*) AS num_rows, least(1000, count(*)) AS largest_batch FROM lineitem")
 def arrow_batch_sizes(spark, folder):
     """Rows per Arrow payload."""
     encoded = payload.arrow_encode(table(spark, folder, "lineitem"), 1000)
-    return encoded.agg(F.sum("num_rows").alias("num_rows"), F.max("num_rows").cast("int").alias("largest_batch"))
+    return encoded.agg(F.sum("num_rows").alias("num_rows"), F.max("num_rows").alias("largest_batch"))
 
 
 @query("SELECT event_id AS id, event_type AS stream, props AS body FROM events WHERE event_type <> 'purchase'")

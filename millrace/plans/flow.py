@@ -1,8 +1,9 @@
 """Pipelines described as data: named queues, and steps that read and fill them.
 
 Each queue names a DataFrame. A step that fills a queue defines it, the one step
-that reads the queue consumes it, and sinks run the job. Threads and queue
-capacities are accepted but not used: Spark sizes its tasks by the data.
+that reads the queue consumes it, and sinks run the job. Thread counts are
+accepted but not used: Spark sizes its tasks by the data. The capacity of a queue
+that files are streamed into is the number of files per micro-batch.
 """
 
 from __future__ import annotations
@@ -31,15 +32,18 @@ def load_flow(path: str) -> dict[str, Any]:
 
 
 def check_flow(flow: Mapping[str, Any]) -> list[dict[str, Any]]:
-    """Check a whole flow and return its steps, each after the steps it reads from."""
+    """Check a whole flow and return its steps, each after the steps it reads from.
+
+    A step that fills a queue carries the queue's ``capacity``.
+    """
     flow = section("flow", flow, {"queues": [], "stages": [], "name": ""})
-    queues = set()
+    queues = {}
     for value in flow["queues"]:
         queue = section("queue", value, {"name": "", "capacity": 1, "type": "", "schema": ""})
         require("queue", queue, "name")
         if queue["capacity"] <= 0:
             raise ConfigError(f"queue {queue['name']}: capacity must be positive")
-        queues.add(queue["name"])
+        queues[queue["name"]] = queue["capacity"]
     steps = []
     for value in flow["stages"]:
         item = section(
@@ -56,7 +60,7 @@ def check_flow(flow: Mapping[str, Any]) -> list[dict[str, Any]]:
                 raise ConfigError(f"stage {item['name']}: unknown queue {item[end]}")
         if kind.check is not None:
             kind.check(item["config"])
-        steps.append(item)
+        steps.append({**item, "capacity": queues.get(item["output_queue"])})
     require("flow", {"stages": steps}, "stages")
     return _ordered(steps)
 
@@ -138,7 +142,10 @@ def _plan(spark: SparkSession, steps: list[dict[str, Any]], streaming: bool):
                     and registry.step(reader["type"]).takes == IMAGE:
                 entry = (IMAGE, registry.read_image_files(spark, item["config"]))
             else:
-                entry = (step.gives, step.run(spark, item["config"], streaming))
+                more = {}
+                if streaming and registry.step_name(item["type"]) in registry.FILE_SOURCES:
+                    more = {"max_files": item["capacity"]}
+                entry = (step.gives, step.run(spark, item["config"], streaming, **more))
                 if step.gives == TABLE and reader is not None and registry.step(reader["type"]).takes == PAYLOAD:
                     entry = (PAYLOAD, arrow_encode(entry[1], _batch_rows(item["config"])).select("payload"))
         else:

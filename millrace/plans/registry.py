@@ -83,6 +83,9 @@ _UNAVAILABLE = {
 }
 
 
+FILE_SOURCES = ("csv_source", "json_source", "parquet_source", "orc_source", "file_source")
+
+
 def _resize(df: DataFrame, config: Mapping[str, Any]) -> DataFrame:
     return resize_images(df.select("image"), config).where("image IS NOT NULL")
 

@@ -14,7 +14,7 @@ from millrace.errors import ConfigError
 from millrace.functions.convert import FALSE_TOKENS, NULL_TOKENS, TRUE_TOKENS, TextRules, convert, infer_specs, require_ansi
 from millrace.operators.dictionary import dictionary_encode
 from millrace.schema import ColumnSpec, column_spec, enable_time_type
-from millrace.sources.lines import decoded_lines, first_lines, native_codec, text_lines, without_leading
+from millrace.sources.lines import decoded_lines, first_lines, native_codec, stream_reader, text_lines, without_leading
 from millrace.storage import common_section, output_type, use_storage
 
 STEP = "csv_source"
@@ -65,7 +65,9 @@ def csv_config(config: Mapping[str, Any]) -> dict[str, Any]:
     return cfg
 
 
-def read_csv(spark: SparkSession, config: Mapping[str, Any], streaming: bool = False) -> DataFrame:
+def read_csv(
+    spark: SparkSession, config: Mapping[str, Any], streaming: bool = False, max_files: int | None = None
+) -> DataFrame:
     """CSV files → typed table.
 
     Every field is first read as text by Spark's own CSV parser, whole rows
@@ -95,12 +97,12 @@ def read_csv(spark: SparkSession, config: Mapping[str, Any], streaming: bool = F
     if streaming:
         if by_lines or not types:
             raise ConfigError("a streaming CSV read takes column_types and none of the per-file line options")
-        raw, names = _scan(spark, path, read, parse, list(types), streaming)
+        raw, names = _scan(stream_reader(spark, max_files), path, read, parse, list(types))
         specs = dict(types)
     elif by_lines:
         raw, names = _parse_lines(spark, path, cfg, native, tell_quoted)
     else:
-        raw, names = _scan(spark, path, read, parse, None, streaming)
+        raw, names = _scan(spark.read, path, read, parse, None)
     quoted = {}
     texts = {}
     for position, name in enumerate(names):
@@ -155,14 +157,14 @@ def read_csv(spark: SparkSession, config: Mapping[str, Any], streaming: bool = F
     return table
 
 
-def _scan(spark, path, read, parse, stream_names, streaming):
+def _scan(reader, path, read, parse, stream_names):
     """Spark's CSV scan, split into blocks, every field as text.
 
     Bytes are read one to one as Latin-1, so that text columns can be checked
     for valid UTF-8 afterwards.
     """
     generated = bool(read["column_names"]) or read["autogenerate_column_names"]
-    reader = (spark.readStream if streaming else spark.read).options(
+    reader = reader.options(
         **_dialect(parse),
         header=str(not generated).lower(),
         enforceSchema="false",

@@ -10,13 +10,16 @@ from pyspark.sql import functions as F
 
 from millrace.config import enum, non_negative, require, section
 from millrace.operators.compress import decompress
+from millrace.sources.lines import stream_reader
 from millrace.storage import use_storage
 
 STEP = "file_source"
 COMPRESSION = ("UNSPECIFIED", "NONE", "GZIP", "AUTO")
 
 
-def read_files(spark: SparkSession, config: Mapping[str, Any], streaming: bool = False) -> DataFrame:
+def read_files(
+    spark: SparkSession, config: Mapping[str, Any], streaming: bool = False, max_files: int | None = None
+) -> DataFrame:
     """Files → rows ``(path, payload)``, one payload per file.
 
     ``compression`` is none, gzip or auto (gzip for ``.gz`` names);
@@ -27,7 +30,7 @@ def read_files(spark: SparkSession, config: Mapping[str, Any], streaming: bool =
     non_negative(STEP, cfg, "max_bytes")
     compression = enum(STEP, cfg["compression"], "COMPRESSION_", COMPRESSION)
     path = use_storage(spark, cfg["path"], {"filesystem": "AUTO", "filesystem_options": {}})
-    reader = spark.readStream if streaming else spark.read
+    reader = stream_reader(spark, max_files) if streaming else spark.read
     files = reader.format("binaryFile").load(path)
     limit = cfg["max_bytes"]
     content = F.col("content")

@@ -52,7 +52,9 @@ def json_config(config: Mapping[str, Any]) -> dict[str, Any]:
     return cfg
 
 
-def read_json(spark: SparkSession, config: Mapping[str, Any], streaming: bool = False) -> DataFrame:
+def read_json(
+    spark: SparkSession, config: Mapping[str, Any], streaming: bool = False, max_files: int | None = None
+) -> DataFrame:
     """JSON objects, one per line or pretty-printed one after the other → typed table.
 
     Columns: the explicit schema in its order, then (behaviour "infer") the
@@ -66,7 +68,7 @@ def read_json(spark: SparkSession, config: Mapping[str, Any], streaming: bool =
     if streaming and (not explicit or behavior == "INFER_TYPE" or parse["newlines_in_values"]):
         raise ConfigError("a streaming JSON read takes an explicit schema, one object per line, and ignore or error")
     if streaming:
-        objects = text_lines(spark, path, streaming=True)
+        objects = text_lines(spark, path, streaming=True, max_files=max_files)
     elif native_codec(spark, STEP, path, codec):
         objects = concatenated_objects(spark, path) if parse["newlines_in_values"] else text_lines(spark, path)
     else:

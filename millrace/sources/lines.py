@@ -11,6 +11,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamReader
 
 from millrace.errors import ConfigError, DataError
 from millrace.storage import NATIVE_READ_SUFFIX, STREAM_CODECS, resolve_codec, stream_codec
@@ -35,9 +36,17 @@ def native_codec(spark: SparkSession, step: str, path: str, codec: str) -> bool:
     return all(resolve_codec(name, "AUTO") in wanted for name in names)
 
 
-def text_lines(spark: SparkSession, path: str, line_sep: str | None = None, streaming: bool = False) -> DataFrame:
+def stream_reader(spark: SparkSession, max_files: int | None) -> DataStreamReader:
+    """A file stream with at most ``max_files`` files per micro-batch."""
+    reader = spark.readStream
+    return reader if max_files is None else reader.option("maxFilesPerTrigger", str(max_files))
+
+
+def text_lines(
+    spark: SparkSession, path: str, line_sep: str | None = None, streaming: bool = False, max_files: int | None = None
+) -> DataFrame:
     """One row per line (column ``value``); large plain files are split."""
-    reader = spark.readStream if streaming else spark.read
+    reader = stream_reader(spark, max_files) if streaming else spark.read
     if line_sep is not None:
         reader = reader.option("lineSep", line_sep)
     return reader.text(path)

@@ -8,21 +8,23 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 
 from millrace.config import require, section
-from millrace.errors import ConfigError
+from millrace.sources.lines import stream_reader
 from millrace.storage import common_section, output_type, use_storage
 
 STEP = "orc_source"
 
 
-def read_orc(spark: SparkSession, config: Mapping[str, Any], streaming: bool = False, schema=None) -> DataFrame:
-    """ORC files → table. The files describe themselves; a codec setting is ignored."""
+def read_orc(
+    spark: SparkSession, config: Mapping[str, Any], streaming: bool = False, schema=None, max_files: int | None = None
+) -> DataFrame:
+    """ORC files → table. The files describe themselves; a codec setting is ignored.
+
+    A streaming read takes the schema of the files that are there when none is given.
+    """
     cfg = section(STEP, config, {"path": "", "output_type": "TABLE", "common": {}})
     require(STEP, cfg, "path")
     output_type(STEP, cfg)
     path = use_storage(spark, cfg["path"], common_section(STEP, cfg["common"]))
-    reader = spark.readStream if streaming else spark.read
-    if schema is not None:
-        reader = reader.schema(schema)
-    elif streaming:
-        raise ConfigError("a streaming ORC read needs a schema")
-    return reader.orc(path)
+    if streaming:
+        return stream_reader(spark, max_files).schema(schema or spark.read.orc(path).schema).orc(path)
+    return (spark.read if schema is None else spark.read.schema(schema)).orc(path)

@@ -13,7 +13,8 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import from_arrow_type, to_arrow_schema
 
 from millrace.config import non_negative, require, section
-from millrace.errors import ConfigError, DataError
+from millrace.errors import DataError
+from millrace.sources.lines import stream_reader
 from millrace.storage import arrow_filesystem, common_section, output_type, use_storage
 
 STEP = "parquet_source"
@@ -29,26 +30,31 @@ def parquet_config(config: Mapping[str, Any]) -> dict[str, Any]:
 
 
 def read_parquet(
-    spark: SparkSession, config: Mapping[str, Any], streaming: bool = False, schema=None, strict: bool = True
+    spark: SparkSession,
+    config: Mapping[str, Any],
+    streaming: bool = False,
+    schema=None,
+    strict: bool = True,
+    max_files: int | None = None,
 ) -> DataFrame:
     """One file, or every ``*.parquet`` file below a directory, as one table.
 
     Directory names add no columns. The files must have the same schema, which
     is checked on their footers, one task per group of files; ``strict=False``
-    leaves the check out where all files are known to come from one writer.
+    leaves the check out where all files are known to come from one writer. A
+    streaming read takes the schema of the files that are there when none is given.
     """
     cfg = parquet_config(config)
     path = use_storage(spark, cfg["path"], cfg["common"])
-    reader = spark.readStream if streaming else spark.read
-    if schema is not None:
-        reader = reader.schema(schema)
-    elif streaming:
-        raise ConfigError("a streaming Parquet read needs a schema")
     options = {} if path.endswith(".parquet") else {"recursiveFileLookup": "true", "pathGlobFilter": "*.parquet"}
-    if not streaming and strict:
+    if streaming:
+        schema = schema or spark.read.options(**options).parquet(path).schema
+        return stream_reader(spark, max_files).schema(schema).options(**options).parquet(path)
+    if strict:
         stored = _common_schema(spark, path, options)
         if any(_needs_arrow(field.type) for field in stored):
             return _read_by_arrow(spark, path, options, stored)
+    reader = spark.read if schema is None else spark.read.schema(schema)
     return reader.options(**options).parquet(path)
 
 

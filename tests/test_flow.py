@@ -171,6 +171,23 @@ def test_streaming_flow_takes_each_file_once(spark, tmp_path):
         run_flow(spark, flow, streaming=True)
 
 
+@pytest.mark.parametrize("kind", ["parquet", "orc"])
+def test_columnar_files_are_streamed_with_their_own_schema(spark, tmp_path, kind):
+    source, target = str(tmp_path / "in"), str(tmp_path / "out")
+    flow = {
+        "queues": [{"name": "q", "capacity": 1}],
+        "stages": [
+            {"name": "r", "type": f"{kind}_source", "output_queue": "q", "config": {"path": source}},
+            {"name": "w", "type": "orc_sink", "input_queue": "q", "config": {"path": target}},
+        ],
+    }
+    df = spark.range(10).selectExpr("id", "id * 1.5D AS x")
+    df.repartition(3).write.format(kind).save(source)
+    run_flow(spark, flow, streaming=True, checkpoint=str(tmp_path / "positions"))
+    assert rows(spark.read.option("recursiveFileLookup", "true").orc(target)) == rows(df)
+    assert len([p for p in (tmp_path / "out").iterdir() if p.name.startswith("batch-")]) == 3
+
+
 def test_messages_through_a_flow(spark, tmp_path):
     events = spark.read.parquet(f"{SMALL}/events.parquet")
     (tmp_path / "out").mkdir()

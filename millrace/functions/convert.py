@@ -145,7 +145,13 @@ def type_mask(text: Column, trimmed: Column, rules: TextRules) -> Column:
     )
 
 
-def infer_specs(df: DataFrame, columns: Sequence[str], rules: TextRules, latin_bytes: bool = False, quoted: Mapping[str, str] | None = None) -> dict[str, ColumnSpec]:
+def infer_specs(
+    df: DataFrame,
+    columns: Sequence[str],
+    rules: TextRules,
+    latin_bytes: bool = False,
+    quoted: Mapping[str, str] | None = None,
+) -> dict[str, ColumnSpec]:
     """Types of text columns, from every row: the first candidate all values fit.
 
     One aggregation over one pass; each task sends one row of bit sets. With

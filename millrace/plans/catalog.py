@@ -26,7 +26,7 @@ from millrace.sinks.orc import write_orc
 from millrace.sinks.parquet import write_parquet
 from millrace.sources.csv import read_csv
 from millrace.sources.files import read_files
-from millrace.sources.json import concatenated_objects, parse_objects, read_json, unexpected_fields
+from millrace.sources.json import parse_objects, read_json, unexpected_fields
 from millrace.sources.orc import read_orc
 from millrace.sources.parquet import read_parquet
 from millrace.streaming.log_source import read_log

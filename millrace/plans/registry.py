@@ -47,11 +47,15 @@ _steps: dict[str, Step] = {}
 _aliases: dict[str, str] = {}
 
 
-def register_source(name: str, run: Callable[[SparkSession, Mapping[str, Any], bool], DataFrame], gives: str = TABLE, check=None) -> None:
+def register_source(
+    name: str, run: Callable[[SparkSession, Mapping[str, Any], bool], DataFrame], gives: str = TABLE, check=None
+) -> None:
     _steps[name] = Step(SOURCE, run, gives=gives, check=check)
 
 
-def register_transform(name: str, run: Callable[[DataFrame, Mapping[str, Any]], DataFrame], takes: str = TABLE, gives: str = TABLE, check=None) -> None:
+def register_transform(
+    name: str, run: Callable[[DataFrame, Mapping[str, Any]], DataFrame], takes: str = TABLE, gives: str = TABLE, check=None
+) -> None:
     _steps[name] = Step(TRANSFORM, run, takes, gives, check)
 
 

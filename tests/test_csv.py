@@ -234,3 +234,17 @@ def test_folders_with_files_of_several_codecs(spark, tmp_path):
         out.write(b"a,b\n3,z\n")
     write(tmp_path, sink.getvalue().to_pybytes(), "3.csv.lz4")
     assert rows(read_csv(spark, {"path": str(tmp_path)})) == [(1, "x"), (2, "y"), (3, "z")]
+
+
+def test_long_quoted_fields_are_told_apart(spark, tmp_path):
+    long = 'x"' * 200_000
+    path = write(tmp_path, 'a,b\n1,"' + long.replace('"', '""') + '"\nNA,"NA"\n')
+    conv = {"strings_can_be_null": True, "quoted_strings_can_be_null": False}
+    assert columns(read_csv(spark, {"path": path, "convert_options": conv})) == {"a": [1, None], "b": [long, "NA"]}
+
+
+def test_ragged_rows_after_skipped_lines(spark, tmp_path):
+    path = write(tmp_path, "junk\na,b\n1,2\n3\n")
+    config = {"path": path, "read_options": {"skip_rows": 1}, "convert_options": {"column_types": {"a": "int64", "b": "int64"}}}
+    with pytest.raises(Exception, match="MALFORMED"):
+        read_csv(spark, config).select("a").collect()

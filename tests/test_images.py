@@ -169,8 +169,6 @@ def test_tensor_json_escapes_and_keeps_precision(spark):
 
 
 def test_inference_over_image_files(spark, tmp_path):
-    from conftest import ROOT  # noqa: F401
-
     # A model over flat vectors does not take image tensors, so the shape is refused by name.
     (tmp_path / "m.onnx").write_bytes(linear_model(WEIGHTS))
     df = frame(spark, pixels(1, 4, 4))

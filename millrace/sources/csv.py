@@ -144,9 +144,8 @@ def read_csv(
             if not spec.is_text and not tell_quoted and "" in rules.null_values:
                 text, column_rules = F.col(f"c{names.index(name)}"), bare_rules
             if spec.is_text:
-                text = F.encode(text, "ISO-8859-1").cast("string")
-                if conv["check_utf8"] and name in types and spec.kind in ("STRING", "LARGE_STRING"):
-                    text = F.validate_utf8(text)
+                check = conv["check_utf8"] and name in types and spec.kind in ("STRING", "LARGE_STRING")
+                text = _utf8(text, check)
             column = convert(text, spec, column_rules, name, quoted.get(name))
         columns.append(column.alias(name))
     table = raw.select(*columns)
@@ -252,6 +251,15 @@ def _dialect(parse: Mapping[str, Any]) -> dict[str, str]:
     }
 
 
+def _utf8(text: Column, check: bool) -> Column:
+    """Latin-1 text → the text its bytes spell. ASCII, which is the same in both,
+    has as many bytes as characters and is left alone."""
+    other = F.encode(text, "ISO-8859-1").cast("string")
+    if check:
+        other = F.validate_utf8(other)
+    return F.when(F.octet_length(text) == F.length(text), text).otherwise(other)
+
+
 def _mark_quoted(line: Column, parse: Mapping[str, Any]) -> Column:
     """Put a mark in front of every quoted field of a line."""
     quote = "\\" + parse["quote_char"]

@@ -14,6 +14,7 @@ from millrace.sources.lines import stream_reader
 from millrace.storage import use_storage
 
 STEP = "file_source"
+_LARGEST = (1 << 31) - 1  # bytes of one binary value
 COMPRESSION = ("UNSPECIFIED", "NONE", "GZIP", "AUTO")
 
 
@@ -32,7 +33,7 @@ def read_files(
     path = use_storage(spark, cfg["path"], {"filesystem": "AUTO", "filesystem_options": {}})
     reader = stream_reader(spark, max_files) if streaming else spark.read
     files = reader.format("binaryFile").load(path)
-    limit = cfg["max_bytes"]
+    limit = min(cfg["max_bytes"], _LARGEST)
     content = F.col("content")
     if compression in ("GZIP", "AUTO"):
         plain = F.lit(False) if compression == "GZIP" else ~F.col("path").endswith(".gz")

@@ -36,7 +36,8 @@ def kafka_options(config: Mapping[str, Any]) -> dict[str, str]:
         options["subscribe"] = cfg["topic"]
     extra = dict(cfg["consumer_config"])
     reset = cfg["auto_offset_reset"] or extra.pop("auto.offset.reset", "") or "latest"
-    extra.pop("auto.offset.reset", None)
+    for name in ("auto.offset.reset", "enable.auto.commit"):  # Spark keeps the offsets
+        extra.pop(name, None)
     reset = {"smallest": "earliest", "beginning": "earliest", "largest": "latest", "end": "latest"}.get(reset, reset)
     if reset not in ("earliest", "latest"):
         raise ConfigError(f"{STEP}: auto_offset_reset must be earliest or latest, got {reset}")

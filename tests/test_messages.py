@@ -20,7 +20,9 @@ BASE = {"brokers": "b:9092", "topic": "t", "group_id": "g"}
 
 
 def test_kafka_source_options():
-    options = kafka_options({**BASE, "consumer_config": {"fetch.min.bytes": "5"}, "client_id": "me"})
+    config = {"fetch.min.bytes": "5", "enable.auto.commit": "true"}
+    options = kafka_options({**BASE, "consumer_config": config, "client_id": "me"})
+    assert "kafka.enable.auto.commit" not in options
     assert options["subscribe"] == "t" and "assign" not in options and options["startingOffsets"] == "latest"
     assert options["kafka.fetch.min.bytes"] == "5" and options["kafka.client.id"] == "me" and options["kafkaConsumer.pollTimeoutMs"] == "1000"
     assert json.loads(kafka_options({**BASE, "partition": 0})["assign"]) == {"t": [0]}

@@ -98,64 +98,69 @@ def read_csv(
         if by_lines or not types:
             raise ConfigError("a streaming CSV read takes column_types and none of the per-file line options")
         raw, names = _scan(stream_reader(spark, max_files), path, read, parse, list(types))
-        specs = dict(types)
     elif by_lines:
         raw, names = _parse_lines(spark, path, cfg, native, tell_quoted)
     else:
         raw, names = _scan(spark.read, path, read, parse, None)
-    quoted = {}
-    texts = {}
-    for position, name in enumerate(names):
+    texts, quoted = [], []
+    for position in range(len(names)):
         field = F.col(f"c{position}")
         if tell_quoted:
-            quoted[name] = F.coalesce(field.startswith(_QUOTED), F.lit(False))
-            texts[name] = F.when(quoted[name], F.expr(f"substring(c{position}, 2)")).otherwise(F.coalesce(field, F.lit("")))
+            quoted.append(F.coalesce(field.startswith(_QUOTED), F.lit(False)))
+            bare = F.coalesce(field, F.lit(""))
+            texts.append(F.when(quoted[position], F.expr(f"substring(c{position}, 2)")).otherwise(bare))
         else:
-            texts[name] = F.when(field.isNull() | (field == _QUOTED_EMPTY), "").otherwise(field)
-    wanted = list(conv["include_columns"]) or names
-    missing = [name for name in wanted if name not in texts]
-    if missing and not conv["include_missing_columns"]:
-        raise ConfigError(f"{STEP}: no such column in the file: {', '.join(missing)}")
+            texts.append(F.when(field.isNull() | (field == _QUOTED_EMPTY), "").otherwise(field))
+    wanted = _chosen(names, conv["include_columns"], conv["include_missing_columns"])
 
-    if not streaming:
-        untyped = [name for name in wanted if name in texts and name not in types]
-        inferred = {}
-        if untyped:
-            columns = [f"t{i}" for i in range(len(untyped))]
-            flags = {f"t{i}": f"q{i}" for i in range(len(untyped))} if quoted else None
-            profile = raw.select(
-                *[texts[name].alias(f"t{i}") for i, name in enumerate(untyped)],
-                *[quoted[name].alias(f"q{i}") for i, name in enumerate(untyped) if quoted],
-            )
-            found = infer_specs(profile, columns, rules, conv["check_utf8"], flags)
-            inferred = dict(zip(untyped, found.values()))
-        specs = {**inferred, **types}
-    enable_time_type(spark, specs.values())
+    untyped = [position for name, position in wanted if position is not None and name not in types]
+    if untyped and streaming:
+        raise ConfigError("a streaming CSV read needs column_types for every column")
+    inferred: dict[int, ColumnSpec] = {}
+    if untyped:
+        profile = raw.select(
+            *[texts[p].alias(f"t{p}") for p in untyped], *[quoted[p].alias(f"q{p}") for p in untyped if quoted]
+        )
+        flags = {f"t{p}": f"q{p}" for p in untyped} if quoted else None
+        found = infer_specs(profile, [f"t{p}" for p in untyped], rules, conv["check_utf8"], flags)
+        inferred = dict(zip(untyped, found.values()))
+    enable_time_type(spark, [*types.values(), *inferred.values()])
 
-    columns = []
-    for name in wanted:
-        spec = specs.get(name, ColumnSpec("NULL"))
-        if name not in texts:
-            column = F.lit(None)
-            if name in types:
-                column = convert(F.lit(None).cast("string"), spec, rules, name)
+    columns, encoded = [], []
+    for name, position in wanted:
+        if position is None:
+            column = convert(F.lit(None).cast("string"), types[name], rules, name) if name in types else F.lit(None)
         else:
-            text, column_rules = texts[name], rules
+            spec = types.get(name) or inferred[position]
+            text, column_rules = texts[position], rules
             if not spec.is_text and not tell_quoted and "" in rules.null_values:
-                text, column_rules = F.col(f"c{names.index(name)}"), bare_rules
+                text, column_rules = F.col(f"c{position}"), bare_rules
             if spec.is_text:
                 check = conv["check_utf8"] and name in types and spec.kind in ("STRING", "LARGE_STRING")
                 text = _utf8(text, check)
-            column = convert(text, spec, column_rules, name, quoted.get(name))
+            column = convert(text, spec, column_rules, name, quoted[position] if quoted else None)
+            if inferred.get(position) == ColumnSpec("STRING"):
+                encoded.append(name)
         columns.append(column.alias(name))
     table = raw.select(*columns)
-    if conv["auto_dict_encode"] and not streaming:
-        for name in wanted:
-            if name not in types and specs.get(name) == ColumnSpec("STRING"):
-                table = dictionary_encode(table, name, conv["auto_dict_max_cardinality"])
+    if conv["auto_dict_encode"]:
+        for name in encoded:
+            table = dictionary_encode(table, name, conv["auto_dict_max_cardinality"])
     return table
 
 
+def _chosen(names: list[str], include: list[str], include_missing: bool) -> list[tuple[str, int | None]]:
+    """Names and positions of the columns to read; the position of a missing one is None."""
+    if not include:
+        return [(name, position) for position, name in enumerate(names)]
+    for name in include:
+        if names.count(name) > 1:
+            raise ConfigError(f"{STEP}: the file has several columns called {name}")
+        if name not in names and not include_missing:
+            raise ConfigError(f"{STEP}: no such column in the file: {name}")
+    return [(name, names.index(name) if name in names else None) for name in include]
+
+
 def _scan(reader, path, read, parse, stream_names):
     """Spark's CSV scan, split into blocks, every field as text.
 
@@ -166,20 +171,30 @@ def _scan(reader, path, read, parse, stream_names):
     reader = reader.options(
         **_dialect(parse),
         header=str(not generated).lower(),
-        enforceSchema="false",
         encoding="ISO-8859-1",
         columnPruning="false",
     )
+    checked = stream_names is not None
     if stream_names is not None:
         names = list(read["column_names"]) or stream_names
     else:
-        found = [name.encode("latin-1").decode("utf-8") for name in reader.csv(path).columns]
+        found = reader.csv(path).columns
+        if not generated and any(name == f"_c{i}" or name.endswith(str(i)) for i, name in enumerate(found)):
+            # Spark renames empty and repeated names; look at the header itself.
+            first = reader.option("header", "false").csv(path).first()
+            found = ["" if name in (None, _QUOTED_EMPTY) else name for name in first]
+            reader.option("header", "true")
+        found = [name.encode("latin-1").decode("utf-8").removeprefix("\ufeff") for name in found]
+        checked = len({name.lower() for name in found}) == len(found) and "" not in found
         names = list(read["column_names"])
         if not names:
             names = [f"f{i}" for i in range(len(found))] if generated else found
         elif len(names) != len(found):
             raise ConfigError(f"{STEP}: {len(names)} column names for {len(found)} columns")
-    schema = ", ".join(f"`{name.encode('utf-8').decode('latin-1').replace('`', '``')}` string" for name in names)
+    stored = names if checked and not generated else [f"c{i}" for i in range(len(names))]
+    schema = ", ".join(f"`{name.encode('utf-8').decode('latin-1').replace('`', '``')}` string" for name in stored)
+    # The header of every file is compared with the names where they are plain names.
+    reader = reader.option("enforceSchema", str(not (checked and not generated)).lower())
     table = reader.schema(schema).csv(path).toDF(*[f"c{i}" for i in range(len(names))])
     return table, names
 

@@ -54,6 +54,12 @@ CASES = [
     ("a,b\nyes,1\nno,0\n", {}, {}, {"true_values": ["yes"], "false_values": ["no"]}),
     ("a,b\n1,2\n", {}, {}, {"include_columns": ["b", "z"], "include_missing_columns": True}),
     ("a,b\r\n1,x\r\n2,y\r\n", {}, {}, {}),
+    ("a,,b\n1,2,3\n", {}, {}, {}),
+    ("A,a\n1,2\n", {}, {}, {}),
+    ("f0,f1\n1,2\n", {}, {}, {}),
+    ('"x ""q""","y,z",é,c`d,e.f\n1,2,3,4,5\n', {}, {}, {}),
+    ("\ufeffa1,b1\n1,2\n", {}, {}, {}),
+    ("a,b\n", {}, {}, {}),
 ]
 
 
@@ -93,6 +99,21 @@ def test_invalid_utf8_in_a_declared_string(spark, tmp_path):
     assert read_csv(spark, {"path": path, "convert_options": unchecked}).first().a == b"\xff"
 
 
+def test_repeated_names(spark, tmp_path):
+    path = write(tmp_path, "a,b,a\n1,2,3\n")
+    found = read_csv(spark, {"path": path})
+    assert found.columns == ["a", "b", "a"] and [tuple(r) for r in found.collect()] == [(1, 2, 3)]
+    with pytest.raises(ConfigError, match="several columns"):
+        read_csv(spark, {"path": path, "convert_options": {"include_columns": ["a"]}})
+
+
+def test_headers_of_all_files_are_compared(spark, tmp_path):
+    write(tmp_path, "a,b\n1,2\n", "1.csv")
+    write(tmp_path, "a,c\n1,2\n", "2.csv")
+    with pytest.raises(Exception):
+        read_csv(spark, {"path": str(tmp_path), "convert_options": {"column_types": {"a": "int64", "b": "int64", "c": "int64"}}}).collect()
+
+
 def test_escape_characters(spark, tmp_path):
     path = write(tmp_path, 'a,b\n1,"say \\"hi\\""\n')
     parse = {"escaping": True, "double_quote": False}

@@ -14,7 +14,7 @@ empty table leaves the starting estimates as they are.
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -65,6 +65,7 @@ class Measured:
 
     frame: DataFrame
     names: dict[str, str]
+    fence: str
 
     def __getitem__(self, measure: str) -> Column:
         return F.col(f"`{self.names[measure]}`")
@@ -119,26 +120,26 @@ def measure(docs: DataFrame, text: str = "text") -> Measured:
     repeated = add("_repeated", F.sort_array(F.array_distinct(places)))
     covered = F.transform(repeated, lambda at, k: F.least(F.lit(3), F.coalesce(F.get(repeated, k + 1) - at, F.lit(3))))
     names["n_repeat_words"] = add("n_repeat_words", F.coalesce(F.aggregate(covered, F.lit(0), lambda a, b: a + b), F.lit(0)).cast("bigint"))
-    return Measured(frame.select(*(F.col(f"`{c}`") for c in inputs), *(F.col(f"`{names[m]}`") for m in MEASURES)), names)
+    # Conditions that use a column that is not deterministic stay above it; else the optimiser would copy the measures
+    # into every condition on them.
+    fence = add("_fence", F.monotonically_increasing_id())
+    return Measured(frame.select(*(F.col(f"`{c}`") for c in inputs), *(F.col(f"`{names[m]}`") for m in MEASURES), fence), names, fence)
 
 
 @dataclass(frozen=True)
 class Estimates:
-    """The share of good documents, and by class how often each rule gives each vote."""
+    """The share of good documents, and by class how often each rule, in order, gives each vote."""
 
     good: float
-    votes: dict[str, dict[bool, dict[int, float]]] = field(default_factory=dict)
+    votes: tuple[dict[bool, dict[int, float]], ...]
 
-    def log_odds(self, votes: dict[str, Column]) -> Column:
-        odds = F.lit(math.log(self.good) - math.log1p(-self.good))
-        for name, vote in votes.items():
-            by = self.votes[name]
-            ratio = {v: math.log(by[True][v]) - math.log(by[False][v]) for v in VOTES}
-            odds = odds + F.when(vote == BAD, ratio[BAD]).when(vote == GOOD, ratio[GOOD]).otherwise(ratio[ABSTAIN])
-        return odds
-
-    def posterior(self, votes: dict[str, Column]) -> Column:
-        return 1 / (1 + F.exp(-self.log_odds(votes)))
+    def posterior(self, votes: Column) -> Column:
+        """Of an array with each rule's vote. The numbers are one constant array, so that all rounds share their code."""
+        ratios = [[math.log(by[True][v]) - math.log(by[False][v]) for v in VOTES] for by in self.votes]
+        prior = math.log(self.good) - math.log1p(-self.good)
+        table = F.array(*(F.array(*(F.lit(x) for x in row)) for row in [*ratios, [prior] * len(VOTES)]))
+        picked = F.transform(F.concat(votes, F.array(F.lit(ABSTAIN))), lambda v, k: F.get(F.get(table, k), v + 1))
+        return 1 / (1 + F.exp(-F.aggregate(picked, F.lit(0.0), lambda a, b: a + b)))
 
 
 #: Where expectation-maximisation starts: a complaint is rare among good documents, a bad one earns only some.
@@ -148,33 +149,26 @@ COMPLAINT_RATIO = 20
 
 
 def fit(patterns: DataFrame, rules: tuple[Rule, ...] = RULES, rounds: int = 12, tolerance: float = 1e-4) -> Estimates:
-    """Estimates from ``patterns``: a column of votes for each rule's name, and ``rows``.
+    """Estimates from ``patterns``: ``votes``, an array in the order of the rules, and ``rows``.
 
-    Each round is one aggregation of at most 3 ** len(rules) rows to one. Counts are smoothed by half a document.
+    Each round is one aggregation of at most 3 ** len(rules) rows to 3 * len(rules). Counts are smoothed by half a document.
     """
-    found = Estimates(0.9, {rule.name: START for rule in rules})
-    votes = {rule.name: F.col(rule.name) for rule in rules}
+    found = Estimates(0.9, (START,) * len(rules))
     for _ in range(rounds):
-        good = found.posterior(votes)
-        sums = [F.sum(F.col("rows") * good).alias("good"), F.sum("rows").alias("rows")]
-        for rule in rules:
-            for v in VOTES:
-                there = F.when(F.col(rule.name) == v, F.col("rows")).otherwise(0)
-                sums += [F.sum(there * good).alias(f"{rule.name} {v} good"), F.sum(there).alias(f"{rule.name} {v}")]
-        row = patterns.agg(*sums).first()
-        if not row["rows"]:
+        weighed = patterns.select("rows", (F.col("rows") * found.posterior(F.col("votes"))).alias("good"), F.posexplode("votes").alias("rule", "vote"))
+        sums = weighed.groupBy("rule", "vote").agg(F.sum("rows").alias("rows"), F.sum("good").alias("good"))
+        counts = {(row["rule"], row["vote"]): (row["rows"], row["good"]) for row in sums.collect()}
+        if not counts:
             break
-        shares = {
-            rule.name: {
-                True: {v: (row[f"{rule.name} {v} good"] + 0.5) / (row["good"] + 1.5) for v in VOTES},
-                False: {v: (row[f"{rule.name} {v}"] - row[f"{rule.name} {v} good"] + 0.5) / (row["rows"] - row["good"] + 1.5) for v in VOTES},
-            }
-            for rule in rules
-        }
-        for by in shares.values():
+        rows, good = (sum(counts.get((0, v), (0, 0.0))[k] for v in VOTES) for k in (0, 1))
+        shares = []
+        for k in range(len(rules)):
+            there = {v: counts.get((k, v), (0, 0.0)) for v in VOTES}
+            by = {True: {v: (there[v][1] + 0.5) / (good + 1.5) for v in VOTES},
+                  False: {v: (there[v][0] - there[v][1] + 0.5) / (rows - good + 1.5) for v in VOTES}}
             by[True][BAD] = min(by[True][BAD], by[False][BAD] / COMPLAINT_RATIO)
-            by.update({c: {v: max(x, 1e-9) for v, x in by[c].items()} for c in by})
-        last, found = found, Estimates((row["good"] + 0.5) / (row["rows"] + 1), shares)
+            shares.append({c: {v: max(x, 1e-9) for v, x in by[c].items()} for c in by})
+        last, found = found, Estimates((good + 0.5) / (rows + 1), tuple(shares))
         if abs(last.good - found.good) < tolerance:
             break
     return found
@@ -182,15 +176,18 @@ def fit(patterns: DataFrame, rules: tuple[Rule, ...] = RULES, rounds: int = 12,
 
 def vote_patterns(measured: Measured, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """Documents by pattern of votes, in the shared folder."""
-    votes = measured.frame.select(*(rule.vote(measured.names).alias(rule.name) for rule in rules))
-    return checkpointed(votes.groupBy(*(rule.name for rule in rules)).agg(F.count(F.lit(1)).alias("rows")))
+    return checkpointed(measured.frame.select(votes(measured, rules).alias("votes")).groupBy("votes").agg(F.count(F.lit(1)).alias("rows")))
+
+
+def votes(measured: Measured, rules: tuple[Rule, ...] = RULES) -> Column:
+    return F.array(*(rule.vote(measured.names) for rule in rules))
 
 
 def judged(measured: Measured, rules: tuple[Rule, ...] = RULES) -> tuple[DataFrame, str]:
     """The measured frame with its posterior probability of being good, and that column's name."""
     found = fit(vote_patterns(measured, rules), rules)
     name = unused(measured.frame, "good_probability")
-    return measured.frame.withColumn(name, found.posterior({rule.name: rule.vote(measured.names) for rule in rules})), name
+    return measured.frame.withColumn(name, found.posterior(votes(measured, rules))), name
 
 
 def base_failed(measured: Measured) -> Column:
@@ -205,7 +202,7 @@ def quality(docs: DataFrame, text: str = "text", id_column: str = "doc_id") -> D
     """
     narrow = docs.select(F.col(f"`{id_column}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     measured = measure(narrow)
-    saved = Measured(checkpointed(measured.frame.drop("text")), measured.names)
+    saved = Measured(checkpointed(measured.frame.drop("text")), measured.names, measured.fence)
     frame, probability = judged(saved)
     return frame.withColumn("base_failed", base_failed(saved)).withColumn("kept", ~F.col("base_failed") & (F.col(probability) >= 0.5))
 
@@ -214,4 +211,5 @@ def keep_good(docs: DataFrame, text: str = "text") -> DataFrame:
     """The documents that pass, as they are. The table is read twice, once to estimate and once to filter; no text is shuffled."""
     measured = measure(docs, text)
     frame, probability = judged(measured)
-    return frame.filter(~base_failed(measured) & (F.col(f"`{probability}`") >= 0.5)).select(*(F.col(f"`{c}`") for c in docs.columns))
+    passed = ~base_failed(measured) & (F.col(f"`{probability}`") >= 0.5) & (F.col(f"`{measured.fence}`") >= 0)
+    return frame.filter(passed).select(*(F.col(f"`{c}`") for c in docs.columns))

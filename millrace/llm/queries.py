@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, decontaminate, quality, secrets, sharding, simhash
+from millrace.llm import bpe, decontaminate, quality, secrets, sharding, simhash, substrings, suffixes
 from millrace.session import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -76,7 +76,11 @@ def op9_secrets(spark: SparkSession, folder: str) -> DataFrame:
         return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["rule"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
     of_base = F.filter("spans", lambda s: s["rule"].isin(base))
-    counts = [F.size(F.filter("spans", lambda s, name=name: s["rule"] == name)).cast("bigint").alias(f"n_{name}") for name in base]
+
+    def count(name: str):
+        return F.size(F.filter("spans", lambda s: s["rule"] == name)).cast("bigint").alias(f"n_{name}")
+
+    counts = [count(name) for name in base]
     return found.select("doc_id", *counts, F.sha2(joined(of_base).cast("binary"), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
 
 
@@ -89,3 +93,17 @@ def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
     back = bpe.decode(digest, vocabulary)
     return back.select("doc_id", (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
                        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query()
+def op6_substrings(spark: SparkSession, folder: str) -> DataFrame:
+    """Words left when sequences of 50 that an earlier document has are gone."""
+    found = substrings.repeated_words(table(spark, folder, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+@query()
+def op8_suffixes(spark: SparkSession, folder: str) -> DataFrame:
+    """Bytes left when strings of 50 that an earlier document has are gone."""
+    found = suffixes.repeated_bytes(table(spark, folder, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", F.size("runs").cast("bigint").alias("n_spans"), "kept_sha256")

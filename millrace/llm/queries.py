@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, decontaminate, quality, secrets, sharding, simhash, substrings, suffixes
+from millrace.llm import bpe, decontaminate, lm, quality, secrets, sharding, simhash, substrings, suffixes, token_shards
 from millrace.session import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -107,3 +107,21 @@ def op8_suffixes(spark: SparkSession, folder: str) -> DataFrame:
     """Bytes left when strings of 50 that an earlier document has are gone."""
     found = suffixes.repeated_bytes(table(spark, folder, "documents"))
     return found.select("doc_id", "n_bytes", "n_removed", F.size("runs").cast("bigint").alias("n_spans"), "kept_sha256")
+
+
+@query()
+def op3_lm(spark: SparkSession, folder: str) -> DataFrame:
+    """Scores under a model of the documents that are not held out."""
+    docs = table(spark, folder, "documents")
+    out = lm.held_out(F.col("doc_id"))
+    model = lm.train(docs.filter(~out))
+    found = lm.score(docs, model)
+    return found.select("doc_id", out.alias("held_out"), "n_tokens", "n_known", F.lit(model.n).cast("bigint").alias("train_tokens"), "base_score", "score")
+
+
+@query()
+def op7_token_shards(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's sequences at their global slots, with the ids."""
+    found = token_shards.sequences(table(spark, folder, "documents"), bpe.public_vocabulary())
+    ordered = token_shards.in_training_order(found, key=42)
+    return ordered.select("slot", "shard", "record", "doc_id", "part", "n_tokens", "ids", F.sha2("ids", 256).alias("ids_sha256"))

@@ -5,20 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.errors import ConfigError
 from millrace.workdir import checkpointed
 
-# Up to this many entries, top-k operators are used: they keep at most this many
-# rows per task and group. Beyond it, a cutoff id is counted out instead.
+# Up to this many entries, top-k operators give the same rows for less: they keep at most this many per task and group.
 TOP_LIMIT = 1_000
 # A hot stream's candidates are first reduced in this many groups.
 SALTS = 32
-# Buckets per counting pass, rows of a bucket that are ranked instead of counted
-# again, and the largest cutoff table that is broadcast.
-BUCKETS = 1_024
-BOUNDARY_ROWS = 100_000
-BROADCAST_KEYS = 100_000
 
 
 def entry_id(text: str | Column) -> Column:
@@ -31,112 +26,68 @@ def entry_id(text: str | Column) -> Column:
     )
 
 
-def log_read(df: DataFrame, after, count: int | None = None, id_column: str = "id") -> DataFrame:
-    """Entries with an id above ``after``, the first ``count`` of them by id."""
-    column = F.col(id_column)
-    rest = df.where(column > after)
+def log_read(df: DataFrame, after, count: int | None = None, id_column: str | Column = "id") -> DataFrame:
+    """Entries with an id above ``after``, the first ``count`` of them by id, then by their other columns."""
+    entry = F.col(id_column) if isinstance(id_column, str) else id_column
+    rest = df.where(entry > after)
     if count is None or count <= 0:
         return rest
+    order = [entry.asc_nulls_last(), *_ties(df)]
     if count <= TOP_LIMIT:
-        return rest.orderBy(column).limit(count)
-    values = rest.select(F.lit(0).alias("_key"), column.cast("bigint").alias("_value"))
-    found = _cutoffs(values, count, exact=True).first()  # one key, so one row
-    return rest if found is None else rest.where(column <= found["_cutoff"])
+        return rest.orderBy(*order).limit(count)
+    return _first(rest, F.lit(0), order, count, exact=True)
 
 
 def log_trim(
-    df: DataFrame, maxlen: int, approximate: bool = False, stream_column: str = "stream", id_column: str = "id"
+    df: DataFrame, maxlen: int, approximate: bool = False, stream_column: str = "stream", id_column: str | Column = "id"
 ) -> DataFrame:
     """The newest ``maxlen`` entries of every stream.
 
-    ``approximate`` may keep some more, for one counting pass instead of several.
-    Ids are unique within a stream; beyond ``TOP_LIMIT`` they must be integers.
+    Ids may have any type that sorts; null ids are the oldest, and equal ids are told apart by the other columns.
+    ``approximate`` may keep some more, and ranks nothing.
     """
     if maxlen <= 0:
         return df
-    stream, entry = F.col(stream_column), F.col(id_column)
+    stream = F.col(stream_column)
+    entry = F.col(id_column) if isinstance(id_column, str) else id_column
+    order = [entry.desc_nulls_last(), *_ties(df)]
     if maxlen <= TOP_LIMIT:
-        salted = df.withColumn("_salt", F.pmod(F.xxhash64(entry), F.lit(SALTS)))
+        salted = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns, F.monotonically_increasing_id()), F.lit(SALTS)))
         for keys in ([stream, F.col("_salt")], [stream]):
-            newest = F.row_number().over(W.partitionBy(*keys).orderBy(entry.desc()))
+            newest = F.row_number().over(W.partitionBy(*keys).orderBy(*order))
             salted = salted.withColumn("_rank", newest).where(F.col("_rank") <= maxlen)
         return salted.drop("_salt", "_rank")
-    return _first_per_key(df, stream, -entry, maxlen, exact=not approximate)
+    return _first(df, stream, order, maxlen, exact=not approximate)
 
 
-def _first_per_key(df: DataFrame, key: Column, value: Column, count: int, exact: bool) -> DataFrame:
-    """Rows with the ``count`` smallest values of each key, without sorting.
+def _ties(df: DataFrame) -> list[Column]:
+    """All columns that sort: entries equal in them are the same entry for every purpose here."""
+    return [F.col(f"`{f.name}`").asc_nulls_last() for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
 
-    Only counts are shuffled: each pass counts rows in buckets of the value
-    range that still holds the cutoff, and narrows it to one bucket, until that
-    has few rows.
+
+def _first(df: DataFrame, key: Column, order: list[Column], count: int, exact: bool) -> DataFrame:
+    """The first ``count`` rows of each key.
+
+    Rows are dealt by ranges of key and order, so that a hot key is cut at its order values, and a place in the input
+    parts even equal rows. Ranges are counted; all before the cutoff stay whole, and only the range that holds it is
+    ranked: one range per key.
     """
     columns = df.columns
-    rows = df.withColumn("_key", key).withColumn("_value", value.cast("bigint"))
-    cutoffs = checkpointed(_cutoffs(rows.select("_key", "_value"), count, exact))
-    if cutoffs.count() <= BROADCAST_KEYS:
-        cutoffs = F.broadcast(cutoffs)
-    kept = rows.join(cutoffs, F.col("_key").eqNullSafe(F.col("_cut_key")), "left")
-    return kept.where("_cutoff IS NULL OR _value <= _cutoff").select(*columns)
-
-
-def _cutoffs(values: DataFrame, count: int, exact: bool) -> DataFrame:
-    """``(_cut_key, _cutoff)`` of every key that has more than ``count`` rows."""
-    spans = values.groupBy("_key").agg(
-        F.min("_value").alias("low"), F.max("_value").alias("high"), F.count("_value").alias("rows")
-    )
-    open_spans = checkpointed(
-        spans.where(F.col("rows") > count).select(
-            F.col("_key").alias("_cut_key"), "low", "high", F.lit(count).cast("bigint").alias("need")
-        )
-    )
-    done = open_spans.limit(0).select("_cut_key", F.col("low").alias("_cutoff"))
-    while not open_spans.isEmpty():
-        narrowed = checkpointed(_narrow(values, open_spans))
-        whole = F.lit(not exact) | (F.col("inside") == F.col("need")) | (F.col("low") == F.col("high"))
-        few = ~whole & (F.col("inside") <= BOUNDARY_ROWS)
-        done = done.unionAll(narrowed.where(whole).select("_cut_key", F.col("high").alias("_cutoff")))
-        if not narrowed.where(few).isEmpty():
-            done = done.unionAll(_ranked(values, narrowed.where(few)))
-        open_spans = narrowed.where(~whole & ~few).select("_cut_key", "low", "high", "need")
-    return done
-
-
-def _ranked(values: DataFrame, spans: DataFrame) -> DataFrame:
-    """Per key, the wanted row's value among the few rows of its span."""
-    inside = _within(values, spans.select("_cut_key", "low", "high", "need"))
-    rank = F.row_number().over(W.partitionBy("_cut_key").orderBy("_value"))  # at most BOUNDARY_ROWS per key
-    return inside.withColumn("rank", rank).where("rank = need").select("_cut_key", F.col("_value").alias("_cutoff"))
-
-
-def _within(values: DataFrame, spans: DataFrame) -> DataFrame:
-    """Rows that lie in their key's span, with the span's columns."""
-    table = F.broadcast(spans) if spans.count() <= BROADCAST_KEYS else spans
-    matched = F.col("_key").eqNullSafe(F.col("_cut_key")) & F.col("_value").between(F.col("low"), F.col("high"))
-    return values.join(table, matched)
-
-
-def _narrow(values: DataFrame, spans: DataFrame) -> DataFrame:
-    """Per key, the one bucket of its span in which the wanted row lies."""
-    counts = (
-        _within(values, spans)
-        .withColumn("width", F.expr(f"(high - low) DIV {BUCKETS} + 1"))
-        .withColumn("bucket", F.expr("(_value - low) DIV width"))
-        .groupBy("_cut_key", "low", "high", "need", "width", "bucket")
-        .agg(F.count("*").alias("inside"))
-    )
-    upto = F.sum("inside").over(W.partitionBy("_cut_key").orderBy("bucket"))  # at most BUCKETS rows per key
-    return (
-        counts.withColumn("upto", upto)
-        .where("upto >= need AND upto - inside < need")
-        .select(
-            "_cut_key",
-            F.expr("low + bucket * width").alias("low"),
-            F.expr("least(high, low + bucket * width + width - 1)").alias("high"),
-            F.expr("need - (upto - inside)").alias("need"),
-            "inside",
-        )
-    )
+    rows = df.withColumns({"_key": key, "_place": F.monotonically_increasing_id()})
+    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = rows.repartitionByRange(ranges, F.col("_key"), *order, F.col("_place")).withColumn("_range", F.spark_partition_id())
+    dealt = checkpointed(dealt)
+    counts = dealt.groupBy("_key", "_range").agg(F.count("*").alias("_rows"))
+    upto = F.sum("_rows").over(W.partitionBy("_key").orderBy("_range"))  # one row per range
+    needed = checkpointed(counts.withColumn("_upto", upto).where(F.col("_upto") - F.col("_rows") < count).select(
+        F.col("_key").alias("_of"), F.col("_range").alias("_in"), (F.lit(count) - F.col("_upto") + F.col("_rows")).alias("_need"),
+        (F.col("_upto") > count).alias("_cut")))
+    kept = dealt.join(needed, F.col("_key").eqNullSafe(F.col("_of")) & (F.col("_range") == F.col("_in")))
+    if not exact:
+        return kept.select(*columns)
+    rank = F.row_number().over(W.partitionBy("_key", "_range").orderBy(*order))
+    last = kept.where("_cut").withColumn("_rank", rank).where("_rank <= _need")
+    return kept.where("NOT _cut").select(*columns).unionAll(last.select(*columns))
 
 
 def queue_group(df: DataFrame, members: int, member: int, id_column: str = "id", hashed: bool = True) -> DataFrame:

@@ -6,6 +6,7 @@ return what the matching reader finds there.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 import numpy as np
@@ -605,6 +606,47 @@ def log_trim_many(spark, folder):
     return log.log_trim(table(spark, folder, "events").select("event_id", "event_type"), 1500, False, "event_type", "event_id")
 
 
+_ID_KINDS = {
+    "double": ("CAST(event_id DIV 3 AS DOUBLE) / 4", "CAST(event_id // 3 AS DOUBLE) / 4"),
+    "timestamp": ("date_trunc('HOUR', ts)", "date_trunc('hour', ts)"),
+    "decimal": ("CAST(event_id AS DECIMAL(18,0)) * 1000000000", "CAST(event_id AS DECIMAL(18,0)) * 1000000000"),
+    "text": ("concat(event_id DIV 10, '-', event_id % 10)", "event_id"),
+}
+_COUNTS = (1000, 1001, 7777)
+
+
+def _by_kind(spark, folder, keep):
+    source = table(spark, folder, "events")
+    parts = []
+    for kind, (spark_id, _) in _ID_KINDS.items():
+        entries = source.selectExpr("event_id", f"if(event_id % 11 = 0, null, {spark_id}) AS id")
+        entry = log.entry_id("id") if kind == "text" else F.col("id")
+        parts += [keep(entries, kind, entry, n).selectExpr("event_id", f"'{kind}' AS kind", f"{n} AS n") for n in _COUNTS]
+    return functools.reduce(DataFrame.unionAll, parts)
+
+
+def _by_kind_sql(where, order):
+    return " UNION ALL ".join(
+        f"""SELECT event_id, '{kind}' AS kind, {n} AS n FROM (SELECT event_id, CASE WHEN event_id % 11 = 0 THEN NULL ELSE {sql} END AS id FROM events)
+        {where} QUALIFY row_number() OVER (ORDER BY id {order} NULLS LAST, event_id) <= {n}"""
+        for kind, (_, sql) in _ID_KINDS.items() for n in _COUNTS
+    )
+
+
+@query(_by_kind_sql("WHERE id IS NOT NULL", "ASC"))
+def log_read_kinds(spark, folder):
+    """Reads at several counts, with ties and nulls, for ids of every type."""
+    before = F.struct(F.lit(-1).cast("bigint").alias("ms"), F.lit(0).cast("decimal(20,0)").alias("seq"))
+    least = {"double": -1.0, "timestamp": F.lit("1900-01-01").cast("timestamp"), "decimal": -1, "text": before}
+    return _by_kind(spark, folder, lambda df, kind, entry, n: log.log_read(df, least[kind], n, entry))
+
+
+@query(_by_kind_sql("", "DESC"))
+def log_trim_kinds(spark, folder):
+    """Trims at several counts, with ties and nulls, for ids of every type."""
+    return _by_kind(spark, folder, lambda df, kind, entry, n: log.log_trim(df.withColumn("stream", F.lit("s")), n, False, "stream", entry))
+
+
 @query("SELECT event_type, true AS enough FROM events GROUP BY event_type")
 def log_trim_approximate(spark, folder):
     """At least the newest entries of every stream."""

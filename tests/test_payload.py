@@ -153,18 +153,33 @@ def test_trim(spark, count):
     assert rows(log.log_trim(df, count)) == newest(data, count)
 
 
-@pytest.mark.parametrize("limit", [0, 3, 50])
-def test_trim_counts_out_cutoffs_to_the_end(spark, monkeypatch, limit):
-    monkeypatch.setattr(log, "BOUNDARY_ROWS", limit)
-    monkeypatch.setattr(log, "BUCKETS", 16)
-    data, df = stream(spark)
-    assert rows(log.log_trim(df, 1234)) == newest(data, 1234)
-
-
-def test_trim_joins_large_cutoff_tables_without_broadcast(spark, monkeypatch):
-    monkeypatch.setattr(log, "BROADCAST_KEYS", 0)
-    data, df = stream(spark)
-    assert rows(log.log_trim(df, 1234)) == newest(data, 1234)
+KINDS = {
+    "double": "id / 3.0D", "timestamp": "timestamp_millis(id)", "decimal": "cast(id AS decimal(38,0)) * 18446744073709551616",
+    "text": "concat(id DIV 10, '-', id % 10)", "ties": "id DIV 7",
+}
+
+
+@pytest.mark.parametrize("kind", KINDS)
+@pytest.mark.parametrize("count", [1000, 1001, 2500])
+def test_every_count_means_the_same_for_every_id(spark, kind, count):
+    df = spark.range(3000).selectExpr("if(id % 10 = 0, null, 'a') AS stream", f"if(id % 50 = 1, null, {KINDS[kind]}) AS entry", "id AS n").repartition(7)
+    entry = log.entry_id("entry") if kind == "text" else F.col("entry")
+    found = [r.n for r in log.log_trim(df, count, id_column=entry).where("stream = 'a'").collect()]
+    number = {r.n: None if r.e is None else tuple(r.e) if kind == "text" else r.e for r in df.select("n", entry.alias("e")).collect()}
+    known = sorted((n for n in number if n % 10), key=lambda n: n)
+    newest = sorted((n for n in known if n % 50 != 1), key=lambda n: number[n], reverse=True)
+    wanted = (newest + [n for n in known if n % 50 == 1])[:count]
+    assert len(found) == len(wanted)
+    assert sorted(map(str, (number[n] for n in found))) == sorted(map(str, (number[n] for n in wanted)))
+    least = log.entry_id(F.lit("50-0")) if kind == "text" else {r.n: r.e for r in df.select("n", entry.alias("e")).collect()}[500]
+    read = log.log_read(df, least, count, entry)
+    assert read.count() == min(count, df.where(entry > least).count())
+
+
+def test_equal_rows_are_cut_to_the_count(spark):
+    df = spark.range(6000).selectExpr("'a' AS stream", "1 AS id").repartition(6)
+    assert log.log_trim(df, 1500).count() == 1500 and log.log_trim(df, 500).count() == 500
+    assert log.log_read(df, 0, 2500).count() == 2500
 
 
 def test_trim_without_a_limit_and_approximately(spark):

@@ -30,8 +30,6 @@ from millrace.sources.files import read_files
 from millrace.sources.json import parse_objects, read_json, unexpected_fields
 from millrace.sources.orc import read_orc
 from millrace.sources.parquet import read_parquet
-from millrace.streaming.log_source import read_log
-from millrace.streaming.publish import publish
 from millrace.workdir import fresh_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -717,35 +715,102 @@ def http_requests(spark, folder):
     return frame.withColumn("headers", F.array_join(lines, "; "))
 
 
-@query(f"SELECT event_id AS id, 'events.raw' AS subject, props AS payload {_NOT_EMPTY}")
-def publish_messages(spark, folder):
-    """Message frames sent from tasks to a landing client and read back."""
-    path = fresh_dir(spark, "landed")
-    frame = messages.nats_publish(event_payloads(spark, folder), {"subject": "events.raw"}, ("id",))
-    settings = {"path": path, "columns": ["id", "subject", "payload"]}
-    publish(frame, "millrace.streaming.clients:LandingClient", settings)
-    return _as_text(read_parquet(spark, {"path": path})).dropDuplicates(["id"])
-
-
 @query("SELECT event_id AS id, props AS payload FROM events")
 def durable_resume(spark, folder):
-    """Two runs over a growing log with one checkpoint: every entry once."""
+    """Two runs over a growing folder with one checkpoint: every entry once."""
     landed, out = fresh_dir(spark, "log"), fresh_dir(spark, "out")
-    entries = table(spark, folder, "events").select(F.col("event_id").alias("id"), "props")
+    entries = table(spark, folder, "events").select(F.col("event_id").alias("id"), F.col("props").alias("payload"))
     middle = entries.agg(F.expr("(min(id) + max(id)) DIV 2")).first()[0]
     for part in (F.col("id") <= middle, F.col("id") > middle):
         entries.where(part).write.mode("append").parquet(landed)
-        stream = read_log(
-            spark, "millrace.streaming.clients:LandedLog", {"path": landed}, start="-1", partitions=4
-        )
-        found = stream.select(
-            F.col("id").cast("bigint").alias("id"), F.decode(payload.field_extract("fields", "props"), "UTF-8").alias("payload")
-        )
-        running = found.writeStream.format("parquet").option("checkpointLocation", out + "-checkpoint")
+        stream = read_parquet(spark, {"path": landed}, streaming=True, schema=entries.schema)
+        running = stream.writeStream.format("parquet").option("checkpointLocation", out + "-checkpoint")
         running.trigger(availableNow=True).start(out).awaitTermination()
     return spark.read.parquet(out)
 
 
+@query("SELECT event_id, event_type, value FROM events")
+def stream_hive(spark, folder):
+    """A streaming flow to Hive directories; its files have as many rows as they may."""
+    landed, out = fresh_dir(spark, "in"), fresh_dir(spark, "out")
+    table(spark, folder, "events").select("event_id", "event_type", "value").write.parquet(landed)
+    flow = {"queues": [{"name": "q"}], "stages": [
+        {"name": "r", "type": "parquet_source", "output_queue": "q", "config": {"path": landed}},
+        {"name": "w", "type": "parquet_sink", "input_queue": "q",
+         "config": {"path": out, "write_opts": {"partition_columns": ["event_type"], "max_rows_per_file": 100, "max_partitions": 0}}},
+    ]}
+    run_flow(spark, flow, streaming=True, checkpoint=out + "-checkpoint")
+    found = spark.read.parquet(out)
+    rows = found.groupBy(F.input_file_name()).count().agg(F.max("count")).first()[0]
+    return found.where(F.lit(rows is None or rows <= 100))
+
+
+def _gzip_stream(spark, folder, step, lines, config):
+    """Files whose names do not tell that they are gzip, through a streaming flow."""
+    landed, out = fresh_dir(spark, "in"), fresh_dir(spark, "out")
+    data = lines.groupBy(F.pmod("event_id", F.lit(3)).alias("part")).agg(F.array_join(F.sort_array(F.collect_list("line")), "\n").alias("text"))
+    payloads = data.select(F.concat(F.lit("part"), F.col("part"), F.lit(".txt")).alias("path"), F.encode("text", "UTF-8").alias("payload"))
+    write_files(payloads, {"path": landed, "compression": "GZIP", "layout": "SINGLE"}, path_column="path")
+    flow = {"queues": [{"name": "q"}], "stages": [
+        {"name": "r", "type": step, "output_queue": "q", "config": {"path": landed, "common": {"compression": "COMPRESSION_GZIP"}, **config}},
+        {"name": "w", "type": "parquet_sink", "input_queue": "q", "config": {"path": out}},
+    ]}
+    run_flow(spark, flow, streaming=True, checkpoint=out + "-checkpoint")
+    return spark.read.option("recursiveFileLookup", "true").parquet(out)
+
+
+@query("SELECT event_id, event_type FROM events")
+def stream_gzip_csv(spark, folder):
+    """A stream of CSV files with a codec that only the configuration names."""
+    lines = table(spark, folder, "events").select("event_id", F.concat_ws(",", "event_id", "event_type").alias("line"))
+    config = {"read_options": {"column_names": ["event_id", "event_type"]}, "convert_options": {"column_types": {"event_id": "int64", "event_type": "string"}}}
+    return _gzip_stream(spark, folder, "csv_source", lines, config)
+
+
+@query("SELECT event_id, event_type FROM events")
+def stream_gzip_json(spark, folder):
+    """The same with JSON lines."""
+    lines = table(spark, folder, "events").select("event_id", F.to_json(F.struct("event_id", "event_type")).alias("line"))
+    schema = {"event_id": "int64", "event_type": "string"}
+    return _gzip_stream(spark, folder, "json_source", lines, {"parse_options": {"explicit_schema": schema, "unexpected_field_behavior": "UNEXPECTED_FIELD_BEHAVIOR_IGNORE"}})
+
+
+@query("SELECT event_id % 50 AS name, max(event_id) AS last FROM events WHERE event_id % 5 = 0 GROUP BY 1 UNION ALL SELECT -1, -1")
+def file_replace_nulls(spark, folder):
+    """Payloads with null orders replace nothing, and are written where nothing else is."""
+    out = fresh_dir(spark, "files")
+    source = table(spark, folder, "events").where("event_id % 5 = 0").select(
+        (F.col("event_id") % 50).cast("string").alias("path"), F.col("event_id").alias("ord"), F.col("event_id").cast("string").alias("text"))
+    empty = source.select("path", F.lit(None).cast("bigint").alias("ord"), F.lit("none").alias("text"))
+    alone = spark.range(1).select(F.lit("-1").alias("path"), F.lit(None).cast("bigint").alias("ord"), F.lit("-1").alias("text"))
+    rows = source.unionAll(empty).unionAll(alone).withColumn("payload", F.encode("text", "UTF-8"))
+    write_files(rows, {"path": out}, path_column="path", order_by="ord")
+    found = read_files(spark, {"path": out + "/*"})
+    name = F.element_at(F.split("path", "/"), -1).cast("bigint")
+    return found.select(name.alias("name"), F.decode("payload", "UTF-8").cast("bigint").alias("last"))
+
+
+@query("SELECT o_orderkey, o_orderstatus FROM orders")
+def csv_late_header(spark, folder):
+    """A header after a hundred empty lines."""
+    out = fresh_dir(spark, "csv")
+    rows = table(spark, folder, "orders").select(F.concat_ws(",", "o_orderkey", "o_orderstatus").alias("line"))
+    head = spark.range(1).select(F.concat(F.repeat(F.lit("\n"), 100), F.lit("o_orderkey,o_orderstatus")).alias("line"))
+    head.unionAll(rows).coalesce(1).write.text(out)
+    kinds = {"o_orderkey": "int64", "o_orderstatus": "string"}
+    return read_csv(spark, {"path": out, "read_options": {"skip_rows": 2}, "convert_options": {"column_types": kinds}})
+
+
+@query("SELECT n_nationkey, n_name FROM nation")
+def parquet_any_name(spark, folder):
+    """One Parquet file without the suffix."""
+    out = fresh_dir(spark, "parquet")
+    table(spark, folder, "nation").select("n_nationkey", "n_name").coalesce(1).write.option("mapreduce.output.basename", "x").parquet(out)
+    payload_of = read_files(spark, {"path": out + "/*.parquet"}).select(F.lit("table.pq").alias("path"), "payload")
+    write_files(payload_of, {"path": out + "-one", "layout": "SINGLE"}, path_column="path")
+    return read_parquet(spark, {"path": out + "-one/table.pq"})
+
+
 # ------------------------------------------------------------------- images
 _SIZE = "CAST(p_size * 13 + 1 AS INTEGER) AS w, CAST(p_partkey % 480 + 1 AS INTEGER) AS h"
 

@@ -21,7 +21,7 @@ from millrace.operators.tables import strict_concat
 from millrace.plans import registry
 from millrace.plans.registry import IMAGE, PAYLOAD, SINK, SOURCE, TABLE
 from millrace.session import prepare
-from millrace.sinks.parquet import parquet_options, parquet_sink_config
+from millrace.sinks.parquet import stream_parquet
 
 
 def load_flow(path: str) -> dict[str, Any]:
@@ -183,9 +183,7 @@ def _stream(rows: DataFrame, item: Mapping[str, Any], step, checkpoint: str):
         return step.run(rows, config, checkpoint)
     writer = rows.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
     if name == "parquet_sink" and config.get("write_opts"):
-        cfg = parquet_sink_config(config)
-        writer = writer.format("parquet").options(**parquet_options(cfg))
-        return writer.partitionBy(*cfg["write_opts"]["partition_columns"]).start(cfg["path"])
+        return stream_parquet(rows, config, checkpoint)
 
     def write(batch: DataFrame, number: int) -> None:
         folder = dict(config)

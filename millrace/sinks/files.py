@@ -60,6 +60,7 @@ def write_files(
     spark = df.sparkSession
     base = use_storage(spark, cfg["path"], {"filesystem": "AUTO", "filesystem_options": {}})
     path = F.col(path_column).cast("string") if path_column else F.lit("")
+    path = F.coalesce(path, F.raise_error(F.lit(f"{STEP}: a payload has no path")).cast("string"))
     order = F.col(order_by) if order_by else F.lit(0)
     rows = drop_empty(df).select(path.alias("path"), order.alias("ord"), "payload")
     if not cfg["append"]:
@@ -84,12 +85,13 @@ def write_files(
 
 
 def last_payloads(rows: DataFrame) -> DataFrame:
-    """The payload with the largest order value of every path.
+    """The payload with the largest order value of every path; null orders come before all others.
 
     Only path and order are aggregated; payloads are not moved to find the last one.
     """
-    last = rows.groupBy("path").agg(F.max("ord").alias("ord"))
-    return rows.join(last, ["path", "ord"], "left_semi").dropDuplicates(["path"])
+    last = rows.groupBy("path").agg(F.max("ord").alias("last")).withColumnRenamed("path", "of")
+    match = F.col("path").eqNullSafe(F.col("of")) & F.col("ord").eqNullSafe(F.col("last"))
+    return rows.join(last, match, "left_semi").dropDuplicates(["path"])
 
 
 def save_payloads(

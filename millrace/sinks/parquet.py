@@ -9,6 +9,7 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from millrace.config import enum, non_negative, require, section
 from millrace.errors import ConfigError, DataError
@@ -195,6 +196,31 @@ def write_parquet(df: DataFrame, config: Mapping[str, Any]) -> None:
             spark.conf.unset("spark.sql.parquet.writeLegacyFormat")
 
 
+def stream_parquet(rows: DataFrame, config: Mapping[str, Any], checkpoint: str) -> StreamingQuery:
+    """Write a stream to ``column=value/`` directories, every row once, until it has taken what is there.
+
+    Spark names the files of a stream and writes them as they come; what needs a look at all rows is refused.
+    """
+    cfg = parquet_sink_config(config)
+    opts = cfg["write_opts"]
+    refused = [name for name, given in (
+        ("write_opts.max_partitions", opts["max_partitions"]), ("writer_properties.sorting_columns", cfg["writer_properties"]["sorting_columns"]),
+        ("write_opts.basename_template", opts["basename_template"].split("{i}")[0].rstrip("-_.") not in ("", "part")),
+        ("writer_properties.store_decimal_as_integer", cfg["writer_properties"]["store_decimal_as_integer"] is False),
+    ) if given]
+    if refused:
+        raise ConfigError(f"{STEP}: not for a stream: {', '.join(refused)}")
+    missing = [name for name in opts["partition_columns"] if name not in rows.columns]
+    if missing:
+        raise ConfigError(f"{STEP}: missing partition column: {', '.join(missing)}")
+    options = parquet_options(cfg)
+    if opts["max_rows_per_file"]:
+        options["maxRecordsPerFile"] = str(opts["max_rows_per_file"])
+    path = use_storage(rows.sparkSession, cfg["path"], cfg["common"])
+    writer = _no_void(rows).writeStream.format("parquet").options(**options).option("checkpointLocation", checkpoint)
+    return writer.trigger(availableNow=True).partitionBy(*opts["partition_columns"]).start(path)
+
+
 def _sort_order(df: DataFrame, columns) -> list:
     order = []
     for value in columns:

@@ -14,7 +14,7 @@ from millrace.errors import ConfigError
 from millrace.functions.convert import FALSE_TOKENS, NULL_TOKENS, TRUE_TOKENS, TextRules, convert, infer_specs, require_ansi
 from millrace.operators.dictionary import dictionary_encode
 from millrace.schema import ColumnSpec, column_spec, enable_time_type
-from millrace.sources.lines import decoded_lines, first_lines, native_codec, stream_reader, text_lines, without_leading
+from millrace.sources.lines import decoded_lines, first_line, native_codec, stream_reader, text_lines, without_leading
 from millrace.storage import common_section, output_type, use_storage
 
 STEP = "csv_source"
@@ -89,15 +89,19 @@ def read_csv(
     # Where an empty field spells null, null fields need not be made empty first.
     bare_rules = replace(rules, null_values=(*rules.null_values, _QUOTED_EMPTY))
     types = conv["column_types"]
-    native = streaming or native_codec(spark, STEP, path, cfg["common"]["compression"])
+    codec = cfg["common"]["compression"]
+    native = codec in ("AUTO", "UNCOMPRESSED") if streaming else native_codec(spark, STEP, path, codec)
     tell_quoted = parse["quoting"] and not rules.quoted_strings_can_be_null
     by_lines = (
         not native or tell_quoted or read["skip_rows"] or read["skip_rows_after_names"] or not parse["ignore_empty_lines"]
     )
     if streaming:
-        if by_lines or not types:
+        if (by_lines and native) or not types:
             raise ConfigError("a streaming CSV read takes column_types and none of the per-file line options")
-        raw, names = _scan(stream_reader(spark, max_files), path, read, parse, list(types))
+        if native:
+            raw, names = _scan(stream_reader(spark, max_files), path, read, parse, list(types))
+        else:
+            raw, names = _parse_lines(spark, path, cfg, False, tell_quoted, list(types), max_files)
     elif by_lines:
         raw, names = _parse_lines(spark, path, cfg, native, tell_quoted)
     else:
@@ -199,16 +203,15 @@ def _scan(reader, path, read, parse, stream_names):
     return table, names
 
 
-def _parse_lines(spark, path, cfg, native, tell_quoted):
+def _parse_lines(spark, path, cfg, native, tell_quoted, streamed=None, max_files=None):
     """Line by line: for per-file skips, kept empty lines, told-apart quotes and
-    codecs the file name does not tell."""
+    codecs the file name does not tell. ``streamed`` names the columns of a stream."""
     read, parse = cfg["read_options"], cfg["parse_options"]
     skip, after = read["skip_rows"], read["skip_rows_after_names"]
     generated = bool(read["column_names"]) or read["autogenerate_column_names"]
     ignore_empty = parse["ignore_empty_lines"]
     if native and not parse["newlines_in_values"]:
         lines = text_lines(spark, path)
-        head = lines.where(F.col("_metadata.file_block_start") == 0)
         if skip or after or not generated:
             data = without_leading(lines, skip, not generated, after, ignore_empty)
         else:
@@ -217,11 +220,17 @@ def _parse_lines(spark, path, cfg, native, tell_quoted):
         codec = cfg["common"]["compression"]
         quote = parse["quote_char"] if parse["newlines_in_values"] and parse["quoting"] else None
         escape = parse["escape_char"] if parse["escaping"] else None
-        head = decoded_lines(spark, path, codec, quote, escape)
-        data = decoded_lines(spark, path, codec, quote, escape, skip, not generated, after, ignore_empty)
-    names = list(read["column_names"])
+        streaming = streamed is not None
+        data = decoded_lines(spark, path, codec, quote, escape, skip, not generated, after, ignore_empty, streaming, max_files)
+    names = list(read["column_names"] or streamed or [])
     if not names:
-        first = first_lines(head, skip, ignore_empty)
+        if native and not parse["newlines_in_values"]:
+            one = lines.select(F.col("_metadata.file_path").alias("path")).first()
+            start = (F.col("_metadata.file_path") == (one.path if one else "")) & (F.col("_metadata.file_block_start") == 0)
+            head = without_leading(lines.where(start), skip, False, 0, ignore_empty)
+        else:
+            head = decoded_lines(spark, path, codec, quote, escape, skip)
+        first = first_line(head, ignore_empty)
         found = _split_fields(spark, first, parse)
         names = [f"f{i}" for i in range(len(found))] if generated else found
     fields = ", ".join(f"c{i} string" for i in range(len(names)))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from millrace.config import enum, non_negative, require, section
 from millrace.operators.compress import decompress
-from millrace.sources.lines import stream_reader
+from millrace.sources.lines import FILE_COLUMNS, stream_reader
 from millrace.storage import use_storage
 
 STEP = "file_source"
@@ -31,7 +31,7 @@ def read_files(
     non_negative(STEP, cfg, "max_bytes")
     compression = enum(STEP, cfg["compression"], "COMPRESSION_", COMPRESSION)
     path = use_storage(spark, cfg["path"], {"filesystem": "AUTO", "filesystem_options": {}})
-    reader = stream_reader(spark, max_files) if streaming else spark.read
+    reader = stream_reader(spark, max_files).schema(FILE_COLUMNS) if streaming else spark.read
     files = reader.format("binaryFile").load(path)
     limit = min(cfg["max_bytes"], _LARGEST)
     content = F.col("content")

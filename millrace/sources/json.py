@@ -67,8 +67,10 @@ def read_json(
     codec = cfg["common"]["compression"]
     if streaming and (not explicit or behavior == "INFER_TYPE" or parse["newlines_in_values"]):
         raise ConfigError("a streaming JSON read takes an explicit schema, one object per line, and ignore or error")
-    if streaming:
+    if streaming and codec in ("AUTO", "UNCOMPRESSED"):
         objects = text_lines(spark, path, streaming=True, max_files=max_files)
+    elif streaming:
+        objects = decoded_lines(spark, path, codec, streaming=True, max_files=max_files)
     elif native_codec(spark, STEP, path, codec):
         objects = concatenated_objects(spark, path) if parse["newlines_in_values"] else text_lines(spark, path)
     else:

@@ -16,6 +16,8 @@ from pyspark.sql.streaming import DataStreamReader
 from millrace.errors import ConfigError, DataError
 from millrace.storage import NATIVE_READ_SUFFIX, STREAM_CODECS, resolve_codec, stream_codec
 
+#: What Spark's reader of whole files gives; a stream has to be told.
+FILE_COLUMNS = "path string, modificationTime timestamp, length bigint, content binary"
 _CHUNK = 4 << 20
 _BATCH_BYTES = 8 << 20
 _SPACE = re.compile(r"\s*")
@@ -131,6 +133,8 @@ def decoded_lines(
     header: bool = False,
     after: int = 0,
     ignore_empty: bool = True,
+    streaming: bool = False,
+    max_files: int | None = None,
 ) -> DataFrame:
     """Lines of files whose codec the file name does not tell.
 
@@ -150,7 +154,7 @@ def decoded_lines(
                 if len(text):
                     yield pa.RecordBatch.from_arrays([text], ["value"])
 
-    return _contents_of(spark, path).mapInArrow(decode, "value string")
+    return _contents_of(spark, path, streaming, max_files).mapInArrow(decode, "value string")
 
 
 def decoded_objects(spark: SparkSession, path: str, codec: str) -> DataFrame:
@@ -164,8 +168,9 @@ def decoded_objects(spark: SparkSession, path: str, codec: str) -> DataFrame:
     return _contents_of(spark, path).mapInArrow(decode, "value string")
 
 
-def _contents_of(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.format("binaryFile").load(path).select("path", "content")
+def _contents_of(spark: SparkSession, path: str, streaming: bool = False, max_files: int | None = None) -> DataFrame:
+    reader = stream_reader(spark, max_files).schema(FILE_COLUMNS) if streaming else spark.read
+    return reader.format("binaryFile").load(path).select("path", "content")
 
 
 def _contents(batches: Iterator[pa.RecordBatch], codec: str) -> Iterator[Iterator[bytes]]:
@@ -242,10 +247,9 @@ def _batched(records: Iterable[bytes]) -> Iterator[list[bytes]]:
         yield batch
 
 
-def first_lines(lines: DataFrame, skip: int, ignore_empty: bool) -> str:
-    """The first line of the data after ``skip`` lines (the header, if any)."""
-    rows = lines.limit(skip + 64).offset(skip).collect()
-    for row in rows:
-        if row.value or not ignore_empty:
-            return row.value
-    raise ConfigError("no header line found")
+def first_line(lines: DataFrame, ignore_empty: bool) -> str:
+    """The first line of the data (the header, if any), however many empty ones come before it."""
+    row = (lines.where(F.length("value") > 0) if ignore_empty else lines).first()
+    if row is None:
+        raise ConfigError("no header line found")
+    return row.value

@@ -46,7 +46,10 @@ def read_parquet(
     """
     cfg = parquet_config(config)
     path = use_storage(spark, cfg["path"], cfg["common"])
-    options = {} if path.endswith(".parquet") else {"recursiveFileLookup": "true", "pathGlobFilter": "*.parquet"}
+    if _is_file(spark, path):
+        options = {"pathGlobFilter": "*"}  # one file may have any name
+    else:
+        options = {} if path.endswith(".parquet") else {"recursiveFileLookup": "true", "pathGlobFilter": "*.parquet"}
     if streaming:
         schema = schema or spark.read.options(**options).parquet(path).schema
         return stream_reader(spark, max_files).schema(schema).options(**options).parquet(path)
@@ -58,6 +61,12 @@ def read_parquet(
     return reader.options(**options).parquet(path)
 
 
+def _is_file(spark: SparkSession, path: str) -> bool:
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    filesystem = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return filesystem.exists(hadoop_path) and filesystem.getFileStatus(hadoop_path).isFile()
+
+
 def _files(spark: SparkSession, path: str, options: Mapping[str, str]) -> DataFrame:
     # A path named x.parquet may itself be a folder of part files.
     return spark.read.format("binaryFile").options(**{"pathGlobFilter": "*.parquet", **options}).load(path).select("path")

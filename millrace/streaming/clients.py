@@ -199,75 +199,3 @@ class JetStreamLog(NatsClient):
 
     def ack(self, end: int) -> None:
         pass
-
-
-# -------------------------------------------------------------- landed log
-class LandedLog:
-    """A log kept as Parquet files ``(id, field columns…)`` in a shared folder."""
-
-    def __init__(self, settings: dict[str, Any]):
-        import pyarrow.dataset as ds
-
-        from millrace.storage import arrow_filesystem
-
-        filesystem, path = arrow_filesystem(settings["path"])
-        self._data = ds.dataset(path, filesystem=filesystem, format="parquet")
-        self._id = settings.get("id_column", "id")
-        self._fields = [name for name in self._data.schema.names if name != self._id]
-
-    def tail(self) -> int:
-        """Largest id, from the files' statistics."""
-        largest = 0
-        for fragment in self._data.get_fragments():
-            for group in fragment.row_groups:
-                largest = max(largest, group.statistics[self._id]["max"])
-        return largest
-
-    def read(self, start: int, end: int) -> Iterator[tuple[str, list[tuple[str, bytes]]]]:
-        import pyarrow.dataset as ds
-
-        wanted = (ds.field(self._id) > start) & (ds.field(self._id) <= end)
-        for batch in self._data.to_batches(filter=wanted):
-            columns = [batch.column(name).to_pylist() for name in self._fields]
-            for position, entry in enumerate(batch.column(self._id).to_pylist()):
-                values = ((name, column[position]) for name, column in zip(self._fields, columns))
-                yield str(entry), [(name, v if isinstance(v, bytes) else str(v).encode()) for name, v in values if v is not None]
-
-    def ack(self, end: int) -> None:
-        pass
-
-    def close(self) -> None:
-        pass
-
-
-class LandingClient:
-    """Keeps messages as Parquet files in a shared folder, in place of a broker."""
-
-    _ROWS = 10_000
-
-    def __init__(self, settings: dict[str, Any]):
-        from millrace.storage import arrow_filesystem
-
-        self._filesystem, self._path = arrow_filesystem(settings["path"])
-        self._columns = settings["columns"]
-        self._rows: list[dict[str, Any]] = []
-
-    def send(self, row: dict[str, Any]) -> None:
-        self._rows.append({name: row[name] for name in self._columns})
-        if len(self._rows) >= self._ROWS:
-            self.flush()
-
-    def flush(self) -> None:
-        import uuid
-
-        import pyarrow as pa
-        import pyarrow.parquet as pq
-
-        if self._rows:
-            self._filesystem.create_dir(self._path, recursive=True)
-            with self._filesystem.open_output_stream(f"{self._path}/{uuid.uuid4().hex}.parquet") as out:
-                pq.write_table(pa.Table.from_pylist(self._rows), out)
-            self._rows = []
-
-    def close(self) -> None:
-        pass

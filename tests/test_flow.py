@@ -197,8 +197,8 @@ def test_messages_through_a_flow(spark, tmp_path):
         "stages": [
             {"name": "r", "type": "events", "output_queue": "q"},
             {"name": "w", "type": "redis_stream_sink", "input_queue": "q",
-             "config": {"stream": "s", "client": "millrace.streaming.clients:LandingClient"}},
+             "config": {"stream": "s", "client": "fake_clients:Recorder"}},
         ],
     }
-    with pytest.raises(Exception):  # the landing client is not told where to land
+    with pytest.raises(Exception):  # the client is not told where to keep them
         run_flow(spark, flow)

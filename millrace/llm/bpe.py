@@ -27,6 +27,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField, StructType
@@ -36,15 +37,15 @@ from millrace.llm.common import map_batches
 #: Characters of a piece that is encoded directly, and bytes of a match that are merged directly.
 LEAF_CHARS = 16_384
 LEAF_BYTES = 48
-#: Characters of the texts whose new pieces are merged together.
-GROUP_CHARS = 4_000_000
+#: Bytes of the texts whose new pieces are merged together.
+GROUP_BYTES = 2_000_000
 #: Bytes from which merging keeps a heap.
 MANY_BYTES = 200
 UNRANKED = 1 << 62
 #: Distinct pieces between spaces and matches whose ids a worker remembers, and pairs of tokens whose verdict it does.
-REMEMBERED = 400_000
-REMEMBERED_MATCHES = 400_000
-REMEMBERED_PAIRS = 500_000
+REMEMBERED = 200_000
+REMEMBERED_MATCHES = 200_000
+REMEMBERED_PAIRS = 200_000
 
 
 class Codec:
@@ -60,7 +61,7 @@ class Codec:
             for token, rank in ranks.items() for k in range(1, len(token)) if token[:k] in ranks and token[k:] in ranks
         )
         self.pair_keys, self.pair_ranks = np.array(pairs, np.int64).T.copy()
-        self.known = _Memory(self._piece, REMEMBERED)
+        self.known = _Memory(self._piece, REMEMBERED // 4)
         self.known_spaced = _Memory(lambda word: self._piece(" " + word), REMEMBERED)
         self.known_matches = _Memory(self._one, REMEMBERED_MATCHES)
         self.pairs = _Memory(self._pair, REMEMBERED_PAIRS)
@@ -327,42 +328,44 @@ def public_vocabulary(name: str = "byte_bpe_50k.tiktoken") -> tuple[str, str]:
     return os.fspath(public_tokenizers.path(name)), public_tokenizers.PATTERN
 
 
-def _groups(texts: list[str | None]) -> Iterator[list[str]]:
-    """Runs of texts of about `GROUP_CHARS` together."""
-    group, size = [], 0
-    for text in texts:
-        group.append(text or "")
-        size += len(group[-1])
-        if size >= GROUP_CHARS:
-            yield group
-            group, size = [], 0
-    yield group
+def _slices(batch: pa.RecordBatch, sizes: list[int], most: int) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch whose rows together have about ``most``."""
+    start, size = 0, 0
+    for k, n in enumerate(sizes):
+        size += n
+        if size >= most:
+            yield batch.slice(start, k + 1 - start)
+            start, size = k + 1, 0
+    if start < batch.num_rows:
+        yield batch.slice(start)
+
+
+def _add(docs: DataFrame, column: str, into: str, make: Callable[[list], list[bytes]]) -> DataFrame:
+    """One more binary column, made of slices of ``column`` at a time so that a worker holds little."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = pc.fill_null(pc.binary_length(batch[column]), 0).to_pylist()
+            for part in _slices(batch, sizes, GROUP_BYTES):
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(make(part[column].to_pylist()), pa.binary())], [*part.schema.names, into])
+
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(into, BinaryType())]))
 
 
 def encode(docs: DataFrame, vocabulary: tuple[str, str], text: str = "text", into: str = "ids") -> DataFrame:
     """The input with its packed ids (binary) in one more column. ``vocabulary``: path on every node, and pattern."""
 
-    def add(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = codec(*vocabulary)
-        ids: list[bytes] = []
-        for texts in _groups(batch[text].to_pylist()):
-            found.learn(texts)
-            ids.extend(map(found.encode, texts))
-        ids = pa.array(ids, pa.binary())
-        return pa.RecordBatch.from_arrays([*batch.columns, ids], [*batch.schema.names, into])
+    def make(texts: list[str | None]) -> list[bytes]:
+        found, texts = codec(*vocabulary), [t or "" for t in texts]
+        found.learn(texts)
+        return list(map(found.encode, texts))
 
-    return map_batches(docs, add, StructType([*docs.schema.fields, StructField(into, BinaryType())]))
+    return _add(docs, text, into, make)
 
 
 def decode(docs: DataFrame, vocabulary: tuple[str, str], ids: str = "ids", into: str = "decoded") -> DataFrame:
     """The input with the bytes that its packed ids stand for in one more column."""
-
-    def add(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = codec(*vocabulary)
-        data = pa.array([found.decode(i or b"") for i in batch[ids].to_pylist()], pa.binary())
-        return pa.RecordBatch.from_arrays([*batch.columns, data], [*batch.schema.names, into])
-
-    return map_batches(docs, add, StructType([*docs.schema.fields, StructField(into, BinaryType())]))
+    return _add(docs, ids, into, lambda packed: [codec(*vocabulary).decode(i or b"") for i in packed])
 
 
 def unpacked(docs: DataFrame, ids: str = "ids") -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, decontaminate, lm, quality, secrets, sharding, simhash, substrings, suffixes, token_shards
+from millrace.llm import bpe, decontaminate, lm, quality, secrets, sharding, simhash, sql, substrings, suffixes, token_shards
 from millrace.session import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,7 +33,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-@query()
+@query(sql.DECONTAMINATION)
 def op1_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     """Hits of benchmark windows in every document."""
     found = decontaminate.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
@@ -66,7 +66,7 @@ def op5_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
 
 
-@query()
+@query(sql.secrets_sql(secrets.RULES))
 def op9_secrets(spark: SparkSession, folder: str) -> DataFrame:
     """Spans of secrets in every document, scanned blob by blob into a fresh ledger."""
     found = secrets.secret_spans(table(spark, folder, "documents"))
@@ -95,14 +95,14 @@ def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
                        F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
-@query()
+@query(sql.SUBSTRINGS)
 def op6_substrings(spark: SparkSession, folder: str) -> DataFrame:
     """Words left when sequences of 50 that an earlier document has are gone."""
     found = substrings.repeated_words(table(spark, folder, "documents"))
     return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
-@query()
+@query(sql.SUFFIXES)
 def op8_suffixes(spark: SparkSession, folder: str) -> DataFrame:
     """Bytes left when strings of 50 that an earlier document has are gone."""
     found = suffixes.repeated_bytes(table(spark, folder, "documents"))

@@ -24,9 +24,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents whose fingerprints over five-word shingles are linked under any seed, the one of smallest id stays."""
+    """Of documents that share 0.8 or more of their five-word shingles, by fingerprint, the one of smallest id stays."""
     prepare(spark)
-    return simhash.keep_one(docs, seeds=NEAR_SEEDS)
+    return simhash.keep_one(docs, similarity=0.8, width=5)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,8 +50,6 @@ def byte_level_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return back.select("doc_id", (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"), "ids", "exact")
 
 
-NEAR_SEEDS = (42, 43, 44, 45)
-
 STAGES: list[tuple[str, Stage]] = [
     ("quality rules", quality_rules),
     ("SimHash near-dedup", near_duplicates),

@@ -14,7 +14,9 @@ null. Equal rows each get their row; `keep_one` keeps one of them. Only the id a
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 from itertools import combinations, repeat
 
 import numpy as np
@@ -102,33 +104,79 @@ def near_duplicates(docs: DataFrame, radius: int = 2, width: int = 3, seed: int
     return prints.join(classes(prints, radius), "fp")
 
 
-def keep_one(docs: DataFrame, radius: int = 2, width: int = 5, seeds: Sequence[int] = (42,), text: str = "text", id_column: str = "doc_id") -> DataFrame:
-    """One document of each class, the one of smallest id, as it is.
+def _apart(similarity: float) -> float:
+    """The share of bits in which two texts of this similarity (of their shingle sets) differ on average."""
+    return math.acos(2 * similarity / (1 + similarity)) / math.pi
 
-    With several seeds, documents are linked where the fingerprints of any seed are within the radius, which finds near
-    copies that one fingerprint misses. ``docs`` must give the same rows in the same order when read again, as a stored
-    table does: rows are named by their place.
+
+@dataclass(frozen=True)
+class Tables:
+    """Short prints cut out of the fingerprints of several seeds, each with balls of its own."""
+
+    bits: int
+    count: int
+    seeds: int
+
+    @classmethod
+    def plan(cls, documents: int, similarity: float, recall: float) -> Tables:
+        """Prints grow with the logarithm of the documents, so that each meets only a few others by chance; as many
+        tables as it takes for a pair of this similarity to meet in one of them with probability ``recall``."""
+        bits = min(58, max(16, math.ceil(math.log2(max(2, documents))) + 7))
+        p = _apart(similarity)
+        hit = sum(math.comb(bits, k) * p**k * (1 - p) ** (bits - k) for k in range(3))
+        count = math.ceil(math.log(1 - recall) / math.log(1 - hit))
+        return cls(bits, count, max(8, math.ceil(count / (BITS // bits))))
+
+    def prints(self, fps: Column) -> Column:
+        """Table and print in one number, for each table."""
+        each = BITS // self.bits
+        mask = F.lit((1 << self.bits) - 1).cast("bigint")
+        cut = [F.shiftrightunsigned(F.get(fps, F.lit(t // each)), t % each * self.bits).bitwiseAND(mask) for t in range(self.count)]
+        return F.array(*(print_ + F.lit(t << self.bits).cast("bigint") for t, print_ in enumerate(cut)))
+
+
+def similar(nodes: DataFrame, tables: Tables, similarity: float) -> DataFrame:
+    """Verified links (a, b) between distinct ``node`` with ``fps``, arrays of fingerprints.
+
+    Nodes with one print are linked to the smallest of them. Those smallest ones emit the balls of half radius 1 around
+    their prints; at most ``bits + 1`` of them can meet at a variant, and all pairs there are candidates. A candidate
+    counts if all its fingerprints together differ in no more bits than texts of this similarity, less 0.05, do.
+    """
+    prints = nodes.select("node", F.explode(tables.prints(F.col("fps"))).alias("print"))
+    least = checkpointed(prints.groupBy("print").agg(F.min("node").alias("least")))
+    alike = prints.join(least, "print").filter("node != least").select(F.col("least").alias("a"), F.col("node").alias("b"))
+    masks = F.array(*(F.lit(m).cast("bigint") for m in [0, *(1 << k for k in range(tables.bits))]))
+    variants = least.select(F.col("least").alias("node"), F.explode(F.transform(masks, lambda m: F.col("print").bitwiseXOR(m))).alias("variant"))
+    met = variants.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("variant"))).filter("n > 1")
+    lists = met.groupBy("variant").agg(F.array_sort(F.collect_set("node")).alias("all"))
+    lists = lists.select("all", F.posexplode("all").alias("k", "a"))
+    near = lists.select("a", F.explode(F.expr("slice(all, k + 2, size(all))")).alias("b"))
+    pairs = alike.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).union(near).distinct()
+    pairs = pairs.join(nodes.select(F.col("node").alias("a"), F.col("fps").alias("x")), "a")
+    pairs = pairs.join(nodes.select(F.col("node").alias("b"), F.col("fps").alias("y")), "b")
+    apart = sum((F.bit_count(F.get("x", F.lit(k)).bitwiseXOR(F.get("y", F.lit(k)))) for k in range(tables.seeds)), F.lit(0))
+    return pairs.filter(apart <= int(BITS * tables.seeds * _apart(max(0.0, similarity - 0.05)))).select("a", "b")
+
+
+def keep_one(docs: DataFrame, similarity: float = 0.8, width: int = 5, recall: float = 0.9, seed: int = 42, text: str = "text",
+             id_column: str = "doc_id") -> DataFrame:
+    """One document of each class of similar ones, the one of smallest id, as it is.
+
+    Pairs of the given similarity are found with probability ``recall``, more similar ones with more (0.998 at 0.9).
+    ``docs`` must give the same rows in the same order when read again, as a stored table does: rows are named by their
+    place.
     """
-    row, fps = unused(docs, "_row"), "fps"
+    row = unused(docs, "_row")
     place = F.monotonically_increasing_id()
+    tables = Tables.plan(docs.count(), similarity, recall)
     narrow = docs.select(place.alias("row"), id_or_last(F.col(f"`{id_column}`")).alias("id"), F.col(f"`{text}`").alias("text"))
-    prints = checkpointed(with_fingerprints(narrow, fps, "text", width, seeds))
-
-    # A node for each seed and fingerprint; a document joins the nodes of its seeds.
-    def node(k: int, fp: Column) -> Column:
-        return F.xxhash64(F.lit(k), fp)
-
-    tuples = prints.select(fps).distinct()
-    edges = tuples.select(F.lit(0).cast("bigint").alias("a"), F.lit(0).cast("bigint").alias("b")).limit(0)
-    for k in range(len(seeds)):
-        found = links(tuples.select(F.col(fps)[k].alias("fp")).distinct(), radius)
-        edges = edges.union(found.select(node(k, F.col("a")), node(k, F.col("b"))))
-        if k:
-            edges = edges.union(tuples.select(node(0, F.col(fps)[0]), node(k, F.col(fps)[k])))
-    roots = checkpointed(components(edges))
-    named = prints.select("row", "id", node(0, F.col(fps)[0]).alias("node")).join(roots, "node", "left")
-    named = named.select("row", "id", F.coalesce("root", "node").alias("root"))
-    first = checkpointed(named.groupBy("root").agg(F.min(F.struct("id", "row")).alias("first")).select("root", F.col("first.row").alias("kept")))
+    prints = with_fingerprints(narrow, "fps", "text", width, range(seed, seed + tables.seeds))
+    prints = checkpointed(prints.withColumn("node", F.xxhash64("fps")))
+    nodes = checkpointed(prints.select("node", "fps").distinct())
+    roots = checkpointed(components(similar(nodes, tables, similarity)))
+    named = prints.select("row", "id", "node").join(roots, "node", "left").select("row", "id", F.coalesce("root", "node").alias("root"))
+    first = named.groupBy("root").agg(F.min(F.struct("id", "row")).alias("first"))
+    first = checkpointed(first.select("root", F.col("first.row").alias("kept")))
     losers = checkpointed(named.join(first, "root").filter("row != kept").select(F.col("row").alias(row)))
     return docs.withColumn(row, place).join(losers, row, "left_anti").drop(row)
 

@@ -158,11 +158,11 @@ def similar(nodes: DataFrame, tables: Tables, similarity: float) -> DataFrame:
     return pairs.filter(apart <= int(BITS * tables.seeds * _apart(max(0.0, similarity - 0.05)))).select("a", "b")
 
 
-def keep_one(docs: DataFrame, similarity: float = 0.8, width: int = 5, recall: float = 0.9, seed: int = 42, text: str = "text",
+def keep_one(docs: DataFrame, similarity: float = 0.8, width: int = 5, recall: float = 0.95, seed: int = 42, text: str = "text",
              id_column: str = "doc_id") -> DataFrame:
     """One document of each class of similar ones, the one of smallest id, as it is.
 
-    Pairs of the given similarity are found with probability ``recall``, more similar ones with more (0.998 at 0.9).
+    Pairs of the given similarity are found with probability ``recall``, more similar ones with more (above 0.999 at 0.9).
     ``docs`` must give the same rows in the same order when read again, as a stored table does: rows are named by their
     place.
     """

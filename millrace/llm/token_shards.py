@@ -33,6 +33,8 @@ from millrace.llm.bpe import read_ranks
 from millrace.workdir import checkpointed, fresh_dir
 
 LENGTH, PER_SHARD = 1024, 8192
+#: Splits of the stored sequences up to which their offsets are broadcast.
+BROADCAST_SPLITS = 1_000_000
 #: Distinct words whose ids a worker remembers.
 REMEMBERED = 400_000
 
@@ -125,6 +127,8 @@ def in_training_order(found: DataFrame, key: int, per_shard: int = PER_SHARD) ->
     size = int(counts.agg(F.sum("rows")).first()[0] or 0)
     earlier = Window.orderBy("split").rowsBetween(Window.unboundedPreceding, -1)  # one row for each split of the input
     offsets = counts.select("split", F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias("offset"))
+    if counts.count() <= BROADCAST_SPLITS:
+        offsets = F.broadcast(offsets)  # 16 bytes for each split; a join would shuffle all ids
 
     @F.pandas_udf("bigint")
     def slot(number: pd.Series) -> pd.Series:

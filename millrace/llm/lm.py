@@ -37,11 +37,11 @@ from millrace.llm.blocks import SCATTER, by_bucket, scatter
 from millrace.llm.common import ASCII_LOWER, map_batches, raw_texts, text_bytes
 from millrace.workdir import checkpointed
 
-HEAD = 1 << 21
+HEAD = 1 << 20
 FILTER_BYTES = 256 << 20
 BITS_PER_KEY, PROBES = 10, 6
 #: Bytes of text whose n-grams make one segment, and of texts that are counted together.
-SEGMENT_BYTES, GROUP_BYTES = 32_000_000, 16_000_000
+SEGMENT_BYTES, GROUP_BYTES = 32_000_000, 5_000_000
 WEIGHT = 0.4
 LEVELS = 128
 
@@ -166,9 +166,16 @@ class Model:
             size += row["size"]
         yield group
 
-    def filters(self, group: list[int]) -> dict[int, bytes]:
-        rows = self.table.filter(F.col("segment").isin(group)).select("segment", "bits").collect()
-        return {row["segment"]: bytes(row["bits"]) for row in rows}
+    def filters(self, group: list[int]) -> tuple[list[tuple[int, int]], np.ndarray]:
+        """(segment, bytes) in order, and their filters in one array, filled partition by partition."""
+        rows = self.table.filter(F.col("segment").isin(group))
+        total = rows.agg(F.sum(F.octet_length("bits"))).first()[0] or 0
+        bits, sizes, at = np.zeros(total, np.uint8), [], 0
+        for row in rows.select("segment", "bits").toLocalIterator():
+            bits[at : at + len(row["bits"])] = np.frombuffer(row["bits"], np.uint8)
+            sizes.append((row["segment"], len(row["bits"])))
+            at += len(row["bits"])
+        return sizes, bits
 
 
 def _blobs(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
@@ -205,14 +212,14 @@ def train(docs: DataFrame, text: str = "text", segment_bytes: int = SEGMENT_BYTE
 class _Probe:
     """Some segments' filters, side by side."""
 
-    def __init__(self, filters: dict[int, bytes], segments: int):
+    def __init__(self, filters: tuple[list[tuple[int, int]], np.ndarray], segments: int):
         self.segments = segments
+        sizes, self.bits = filters
         self.sizes, self.offsets = np.zeros(segments, np.uint64), np.zeros(segments, np.uint64)
         at = 0
-        for segment, bits in filters.items():
-            self.sizes[segment], self.offsets[segment] = len(bits) * 8, at * 8
-            at += len(bits)
-        self.bits = np.frombuffer(b"".join(filters.values()), np.uint8)
+        for segment, size in sizes:
+            self.sizes[segment], self.offsets[segment] = size * 8, at * 8
+            at += size
 
     def levels(self, h: np.ndarray) -> np.ndarray:
         """The highest level of each n-gram that, with all below it, is in these filters."""

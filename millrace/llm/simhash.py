@@ -29,7 +29,7 @@ from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 from millrace.errors import ConfigError
 from millrace.llm.common import ASCII_LOWER, id_or_last, map_batches, raw_texts, unused
 from millrace.llm.components import components
-from millrace.workdir import checkpointed
+from millrace.workdir import checkpointed, fresh_dir
 
 BITS = 64
 
@@ -163,13 +163,14 @@ def keep_one(docs: DataFrame, similarity: float = 0.8, width: int = 5, recall: f
     """One document of each class of similar ones, the one of smallest id, as it is.
 
     Pairs of the given similarity are found with probability ``recall``, more similar ones with more (above 0.999 at 0.9).
-    ``docs`` must give the same rows in the same order when read again, as a stored table does: rows are named by their
-    place.
+    Rows are numbered once, in a stored copy that everything after reads, so that their numbers rest on no later split.
     """
     row = unused(docs, "_row")
-    place = F.monotonically_increasing_id()
-    tables = Tables.plan(docs.count(), similarity, recall)
-    narrow = docs.select(place.alias("row"), id_or_last(F.col(f"`{id_column}`")).alias("id"), F.col(f"`{text}`").alias("text"))
+    path = fresh_dir(docs.sparkSession, "numbered")
+    docs.withColumn(row, F.monotonically_increasing_id()).write.option("compression", "zstd").parquet(path)
+    stored = docs.sparkSession.read.parquet(path)
+    tables = Tables.plan(stored.count(), similarity, recall)
+    narrow = stored.select(F.col(row).alias("row"), id_or_last(F.col(f"`{id_column}`")).alias("id"), F.col(f"`{text}`").alias("text"))
     prints = with_fingerprints(narrow, "fps", "text", width, range(seed, seed + tables.seeds))
     prints = checkpointed(prints.withColumn("node", F.xxhash64("fps")))
     nodes = checkpointed(prints.select("node", "fps").distinct())
@@ -178,7 +179,7 @@ def keep_one(docs: DataFrame, similarity: float = 0.8, width: int = 5, recall: f
     first = named.groupBy("root").agg(F.min(F.struct("id", "row")).alias("first"))
     first = checkpointed(first.select("root", F.col("first.row").alias("kept")))
     losers = checkpointed(named.join(first, "root").filter("row != kept").select(F.col("row").alias(row)))
-    return docs.withColumn(row, place).join(losers, row, "left_anti").drop(row)
+    return stored.join(losers, row, "left_anti").select(*(F.col(f"`{name}`") for name in docs.columns))
 
 
 def hex_digits(fp: Column) -> Column:

@@ -117,15 +117,15 @@ def permuted(numbers: np.ndarray, size: int, key: int, rounds: int = 4) -> np.nd
 def in_training_order(found: DataFrame, key: int, per_shard: int = PER_SHARD) -> DataFrame:
     """The sequences with slot, shard and record, range-partitioned and sorted by slot.
 
-    They are stored first: numbers rest on the stored files, which a lost executor does not change.
+    They are numbered and stored first: everything after reads the stored numbers, which no later split changes.
     """
     spark = found.sparkSession
     path = fresh_dir(spark, "sequences")
-    found.write.option("compression", "zstd").parquet(path)
-    stored = spark.read.parquet(path).withColumn("row", F.monotonically_increasing_id())
+    found.withColumn("row", F.monotonically_increasing_id()).write.option("compression", "zstd").parquet(path)
+    stored = spark.read.parquet(path)
     counts = checkpointed(stored.select(F.shiftright("row", 33).alias("split")).groupBy("split").agg(F.count(F.lit(1)).alias("rows")))
     size = int(counts.agg(F.sum("rows")).first()[0] or 0)
-    earlier = Window.orderBy("split").rowsBetween(Window.unboundedPreceding, -1)  # one row for each split of the input
+    earlier = Window.orderBy("split").rowsBetween(Window.unboundedPreceding, -1)  # one row for each task that stored
     offsets = counts.select("split", F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias("offset"))
     if counts.count() <= BROADCAST_SPLITS:
         offsets = F.broadcast(offsets)  # 16 bytes for each split; a join would shuffle all ids

@@ -24,14 +24,17 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
 from millrace.errors import ConfigError
+from millrace.llm.blocks import SCATTER, scatter
 from millrace.llm.common import ASCII_LOWER, id_or_last, map_batches, raw_texts, unused
 from millrace.llm.components import components
 from millrace.workdir import checkpointed, fresh_dir
 
 BITS = 64
+#: Rows up to which the numbers of wanted texts are broadcast.
+BROADCAST_ROWS = 1_000_000
 
 
 def fingerprints(text: bytes | None, width: int, seeds: Sequence[int]) -> list[int]:
@@ -135,12 +138,47 @@ class Tables:
         return F.array(*(print_ + F.lit(t << self.bits).cast("bigint") for t, print_ in enumerate(cut)))
 
 
-def similar(nodes: DataFrame, tables: Tables, similarity: float) -> DataFrame:
-    """Verified links (a, b) between distinct ``node`` with ``fps``, arrays of fingerprints.
+def shingle_set(text: bytes | None, width: int) -> np.ndarray:
+    """The distinct XXH64 values of a text's shingles, ascending; a text without words has one empty shingle."""
+    words = text.translate(ASCII_LOWER).split() if text else []
+    if len(words) <= width:
+        shingles = [b" ".join(words)]
+    else:
+        shingles = list(map(b" ".join, zip(*(words[k:] for k in range(width)), strict=False)))
+    return np.unique(np.fromiter(map(xxhash.xxh64_intdigest, shingles), np.uint64, len(shingles)))
+
+
+def with_sketches(docs: DataFrame, text: str, width: int, seeds: Sequence[int]) -> DataFrame:
+    """The input, but for the text, with ``node``, which names the set of shingles, its size ``n`` and its fingerprints
+    ``fps``: of the set, since similarity counts each shingle once. The values are hashed again for each seed."""
+    salts = np.array([s % (1 << 64) for s in seeds], np.uint64) * SCATTER[0]
+
+    def add(batch: pa.RecordBatch) -> pa.RecordBatch:
+        node, n, found = [], [], []
+        for raw in raw_texts(batch[text]):
+            hashes = shingle_set(raw, width)
+            node.append(xxhash.xxh64_intdigest(hashes.tobytes()))
+            n.append(len(hashes))
+            found.extend(_majority(scatter(hashes + salt).astype(">u8")) for salt in salts)
+        lists = pa.ListArray.from_arrays(np.arange(0, len(found) + 1, len(salts), dtype=np.int32), pa.array(np.array(found, np.uint64).view(np.int64)))
+        rest = [k for k in batch.schema.names if k != text]
+        made = [pa.array(np.array(node, np.uint64).view(np.int64)), pa.array(n, pa.int32()), lists]
+        return pa.RecordBatch.from_arrays([*(batch[k] for k in rest), *made], [*rest, "node", "n", "fps"])
+
+    fields = [f for f in docs.schema.fields if f.name != text]
+    more = [StructField("node", LongType()), StructField("n", IntegerType()), StructField("fps", ArrayType(LongType()))]
+    return map_batches(docs, add, StructType([*fields, *more]))
+
+
+def _ordered(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a != b")
+
+
+def candidates(nodes: DataFrame, tables: Tables) -> DataFrame:
+    """Pairs (a, b) of distinct ``node``.
 
     Nodes with one print are linked to the smallest of them. Those smallest ones emit the balls of half radius 1 around
-    their prints; at most ``bits + 1`` of them can meet at a variant, and all pairs there are candidates. A candidate
-    counts if all its fingerprints together differ in no more bits than texts of this similarity, less 0.05, do.
+    their prints; at most ``bits + 1`` of them can meet at a variant, and all pairs there are candidates.
     """
     prints = nodes.select("node", F.explode(tables.prints(F.col("fps"))).alias("print"))
     least = checkpointed(prints.groupBy("print").agg(F.min("node").alias("least")))
@@ -151,18 +189,55 @@ def similar(nodes: DataFrame, tables: Tables, similarity: float) -> DataFrame:
     lists = met.groupBy("variant").agg(F.array_sort(F.collect_set("node")).alias("all"))
     lists = lists.select("all", F.posexplode("all").alias("k", "a"))
     near = lists.select("a", F.explode(F.expr("slice(all, k + 2, size(all))")).alias("b"))
-    pairs = alike.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).union(near).distinct()
+    return _ordered(alike.union(near)).distinct()
+
+
+def alike(pairs: DataFrame, nodes: DataFrame, tables: Tables, similarity: float) -> DataFrame:
+    """The pairs whose fingerprints differ in no more bits than texts of this similarity do but for five deviations."""
     pairs = pairs.join(nodes.select(F.col("node").alias("a"), F.col("fps").alias("x")), "a")
     pairs = pairs.join(nodes.select(F.col("node").alias("b"), F.col("fps").alias("y")), "b")
     apart = sum((F.bit_count(F.get("x", F.lit(k)).bitwiseXOR(F.get("y", F.lit(k)))) for k in range(tables.seeds)), F.lit(0))
-    return pairs.filter(apart <= int(BITS * tables.seeds * _apart(max(0.0, similarity - 0.05)))).select("a", "b")
+    bits, p = BITS * tables.seeds, _apart(similarity)
+    return pairs.filter(apart <= math.ceil(bits * p + 5 * math.sqrt(bits * p * (1 - p)))).select("a", "b")
+
+
+def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """The pairs whose sets of shingles have the similarity, exactly."""
+    pairs = pairs.join(sets.select(F.col("node").alias("a"), F.col("hashes").alias("x")), "a")
+    pairs = pairs.join(sets.select(F.col("node").alias("b"), F.col("hashes").alias("y")), "b")
+    both = F.size(F.array_intersect("x", "y"))
+    return pairs.filter(both / (F.size("x") + F.size("y") - both) >= similarity).select("a", "b")
+
+
+def sets_of(wanted: DataFrame, nodes: DataFrame, texts: DataFrame, width: int) -> DataFrame:
+    """(node, n, hashes) of the nodes in ``wanted``, from the stored texts (row, text)."""
+    rows = checkpointed(wanted.join(nodes, "node").select("node", "n", "row"))
+    found = texts.join(F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows, "row").select("node", "n", "text")
+
+    def add(batch: pa.RecordBatch) -> pa.RecordBatch:
+        hashes = [shingle_set(raw, width).view(np.int64) for raw in raw_texts(batch["text"])]
+        lists = pa.array(hashes, pa.list_(pa.int64()))
+        return pa.RecordBatch.from_arrays([batch["node"], batch["n"], lists], ["node", "n", "hashes"])
+
+    return map_batches(found, add, "node bigint, n int, hashes array<bigint>")
+
+
+def similar(nodes: DataFrame, texts: DataFrame, tables: Tables, similarity: float, width: int) -> DataFrame:
+    """Links (a, b) of at least this similarity between distinct ``node`` with ``n``, ``row`` and ``fps``.
+
+    Bits only sort out pairs; the sets of shingles decide.
+    """
+    met = checkpointed(alike(candidates(nodes, tables), nodes, tables, similarity))
+    sets = checkpointed(sets_of(met.select(F.explode(F.array("a", "b")).alias("node")).distinct(), nodes, texts, width))
+    return verified(met, sets, similarity)
 
 
 def keep_one(docs: DataFrame, similarity: float = 0.8, width: int = 5, recall: float = 0.95, seed: int = 42, text: str = "text",
              id_column: str = "doc_id") -> DataFrame:
     """One document of each class of similar ones, the one of smallest id, as it is.
 
-    Pairs of the given similarity are found with probability ``recall``, more similar ones with more (above 0.999 at 0.9).
+    Two documents are linked only if their sets of shingles have the similarity, exactly. Pairs of that similarity are
+    found with probability ``recall``, more similar ones with more (above 0.999 at 0.9).
     Rows are numbered once, in a stored copy that everything after reads, so that their numbers rest on no later split.
     """
     row = unused(docs, "_row")
@@ -171,10 +246,9 @@ def keep_one(docs: DataFrame, similarity: float = 0.8, width: int = 5, recall: f
     stored = docs.sparkSession.read.parquet(path)
     tables = Tables.plan(stored.count(), similarity, recall)
     narrow = stored.select(F.col(row).alias("row"), id_or_last(F.col(f"`{id_column}`")).alias("id"), F.col(f"`{text}`").alias("text"))
-    prints = with_fingerprints(narrow, "fps", "text", width, range(seed, seed + tables.seeds))
-    prints = checkpointed(prints.withColumn("node", F.xxhash64("fps")))
-    nodes = checkpointed(prints.select("node", "fps").distinct())
-    roots = checkpointed(components(similar(nodes, tables, similarity)))
+    prints = checkpointed(with_sketches(narrow, "text", width, range(seed, seed + tables.seeds)))
+    nodes = checkpointed(prints.groupBy("node", "n", "fps").agg(F.min("row").alias("row")))
+    roots = checkpointed(components(similar(nodes, narrow.select("row", "text"), tables, similarity, width)))
     named = prints.select("row", "id", "node").join(roots, "node", "left").select("row", "id", F.coalesce("root", "node").alias("root"))
     first = named.groupBy("root").agg(F.min(F.struct("id", "row")).alias("first"))
     first = checkpointed(first.select("root", F.col("first.row").alias("kept")))

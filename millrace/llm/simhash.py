@@ -15,7 +15,7 @@ null. Equal rows each get their row; `keep_one` keeps one of them. Only the id a
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from itertools import combinations, repeat
 
@@ -33,6 +33,12 @@ from millrace.llm.components import components
 from millrace.workdir import checkpointed, fresh_dir
 
 BITS = 64
+#: Nodes of prints that meet, or of one shingle, up to which all their pairs are made at once.
+CROWD = 32
+#: Sets of up to so many shingles, whose fingerprints say little, are paired by their shingles.
+SHORT = 20
+#: First bits of a shingle's hash by which it is counted.
+COUNTED_BITS = 20
 #: Rows up to which the numbers of wanted texts are broadcast.
 BROADCAST_ROWS = 1_000_000
 
@@ -174,22 +180,93 @@ def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a != b")
 
 
-def candidates(nodes: DataFrame, tables: Tables) -> DataFrame:
-    """Pairs (a, b) of distinct ``node``.
+def _pairs_of(lists: DataFrame) -> DataFrame:
+    """All pairs (a, b) of each array ``all``."""
+    each = lists.select("all", F.posexplode("all").alias("k", "a"))
+    return each.select("a", F.explode(F.expr("slice(all, k + 2, size(all))")).alias("b"))
 
-    Nodes with one print are linked to the smallest of them. Those smallest ones emit the balls of half radius 1 around
-    their prints; at most ``bits + 1`` of them can meet at a variant, and all pairs there are candidates.
+
+def candidates(nodes: DataFrame, tables: Tables) -> tuple[DataFrame, DataFrame]:
+    """Pairs (a, b) of nodes with prints within 2 bits in some table, and the nodes in crowded places, whose pairs are
+    not among them.
+
+    Each distinct print emits the ball of half radius 1; at most ``bits + 1`` of them meet at a variant. Every pair of
+    nodes of two prints that meet, or of one, is a pair here, unless the prints have more than ``CROWD`` nodes.
     """
     prints = nodes.select("node", F.explode(tables.prints(F.col("fps"))).alias("print"))
-    least = checkpointed(prints.groupBy("print").agg(F.min("node").alias("least")))
-    alike = prints.join(least, "print").filter("node != least").select(F.col("least").alias("a"), F.col("node").alias("b"))
+    points = prints.groupBy("print").agg(F.min("node").alias("node"), F.least(F.count(F.lit(1)), F.lit(CROWD + 1)).cast("int").alias("rows"))
+    points = checkpointed(points)
     masks = F.array(*(F.lit(m).cast("bigint") for m in [0, *(1 << k for k in range(tables.bits))]))
-    variants = least.select(F.col("least").alias("node"), F.explode(F.transform(masks, lambda m: F.col("print").bitwiseXOR(m))).alias("variant"))
-    met = variants.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("variant"))).filter("n > 1")
-    lists = met.groupBy("variant").agg(F.array_sort(F.collect_set("node")).alias("all"))
-    lists = lists.select("all", F.posexplode("all").alias("k", "a"))
-    near = lists.select("a", F.explode(F.expr("slice(all, k + 2, size(all))")).alias("b"))
-    return _ordered(alike.union(near)).distinct()
+    balls = points.select("node", "rows", F.posexplode(F.transform(masks, lambda m: F.col("print").bitwiseXOR(m))).alias("bit", "variant"))
+    met = balls.withColumn("points", F.count(F.lit(1)).over(Window.partitionBy("variant"))).filter("points > 1")
+    point = F.struct(F.col("variant").bitwiseXOR(F.get(masks, F.col("bit"))).alias("print"), "node", "rows")
+    near = _pairs_of(met.groupBy("variant").agg(F.array_sort(F.collect_list(point)).alias("all"))).distinct()
+    near = checkpointed(near.select(*(F.col(f"{x}.{name}").alias(f"{name}_{x}") for x in "ab" for name in ("print", "node", "rows"))))
+    alone = near.filter("rows_a = 1 AND rows_b = 1").select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
+    few = near.filter(f"rows_a + rows_b > 2 AND rows_a + rows_b <= {CROWD}").select("print_a", "print_b")
+    few = few.join(prints.select(F.col("print").alias("print_a"), F.col("node").alias("a")), "print_a")
+    few = few.join(prints.select(F.col("print").alias("print_b"), F.col("node").alias("b")), "print_b").select("a", "b")
+    shared = prints.join(points.filter(f"rows > 1 AND rows <= {CROWD}").select("print"), "print")
+    shared = _pairs_of(shared.groupBy("print").agg(F.collect_list("node").alias("all")))
+    full = near.filter(f"rows_a + rows_b > {CROWD}").select(F.explode(F.array("print_a", "print_b")).alias("print"))
+    full = full.union(points.filter(f"rows > {CROWD}").select("print")).distinct()
+    crowded = prints.join(full, "print").select("node").union(nodes.filter(f"n <= {SHORT}").select("node")).distinct()
+    return _ordered(alone.union(few).union(shared)).distinct(), crowded
+
+
+def by_rare_shingles(sets: DataFrame, similarity: float) -> tuple[DataFrame, DataFrame]:
+    """For nodes with ``hashes``: all pairs (a, b) that can have the similarity and share one of their rare shingles, but
+    of a shingle of more than ``CROWD`` nodes only those with its smallest node; and (token, node, n) of such shingles.
+
+    Two sets of the similarity share a shingle among the rarest ``n - ceil(similarity * n) + 1`` of each, whatever the
+    order, if it is one for all. What a passage or template brings into many texts comes last. Shingles are counted by
+    their first bits; that only orders them, so the counts decide nothing but the work.
+    """
+    shift = np.uint64(BITS - COUNTED_BITS)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(1 << COUNTED_BITS, np.int64)
+        for batch in batches:
+            found = batch["hashes"].flatten().to_numpy(zero_copy_only=False).view(np.uint64) >> shift
+            counts += np.bincount(found.astype(np.int64), minlength=len(counts))
+        at = np.flatnonzero(counts)
+        for k in range(0, len(at), 10_000):
+            yield pa.RecordBatch.from_arrays([pa.array(at[k : k + 10_000].astype(np.int32)), pa.array(counts[at[k : k + 10_000]])], ["head", "rows"])
+
+    found = sets.select("hashes").mapInArrow(count, "head int, rows bigint").groupBy("head").agg(F.sum("rows").alias("rows")).toArrow()
+    counts = np.zeros(1 << COUNTED_BITS, np.int64)
+    counts[found["head"].to_numpy()] = found["rows"].to_numpy()
+
+    def rarest(batch: pa.RecordBatch) -> pa.RecordBatch:
+        token, owner = [], []
+        for k, hashes in enumerate(batch["hashes"]):
+            own = hashes.values.to_numpy(zero_copy_only=False).view(np.uint64)
+            least = len(own) - math.ceil(similarity * len(own) - 1e-9) + 1
+            token.append(own[np.lexsort((own, counts[(own >> shift).astype(np.int64)]))[:least]].view(np.int64))
+            owner.append(np.full(len(token[-1]), k, np.int32))
+        owners = pa.array(np.concatenate([np.zeros(0, np.int32), *owner]))
+        tokens = pa.array(np.concatenate([np.zeros(0, np.int64), *token]))
+        return pa.RecordBatch.from_arrays([tokens, batch["node"].take(owners), batch["n"].take(owners)], ["token", "node", "n"])
+
+    rare = map_batches(sets.select("node", "n", "hashes"), rarest, "token bigint, node bigint, n int")
+    sizes = rare.groupBy("token").agg(F.count(F.lit(1)).alias("rows"), F.min("node").alias("least")).filter("rows > 1")
+    listed = checkpointed(rare.join(sizes, "token"))
+    small = listed.filter(f"rows <= {CROWD}").groupBy("token").agg(F.collect_list(F.struct("node", "n")).alias("all"))
+    small = _pairs_of(small).filter(F.least("a.n", "b.n") >= similarity * F.greatest("a.n", "b.n") - 1e-9).select("a.node", "b.node").toDF("a", "b")
+    large = listed.filter(f"rows > {CROWD}")
+    stars = large.select(F.col("least").alias("a"), F.col("node").alias("b"))
+    return _ordered(small.union(stars)).distinct(), large.select("token", "node", "n")
+
+
+def across(large: DataFrame, roots: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (a, b) of nodes that share a shingle and are in different components, so that none is missed and a large
+    component is not paired with itself: one of the two is always outside the shingle's largest component."""
+    placed = large.join(roots.withColumnRenamed("root", "part"), "node", "left")
+    placed = checkpointed(placed.select("token", "node", "n", F.coalesce("part", "node").alias("part")))
+    main = placed.groupBy("token", "part").agg(F.count(F.lit(1)).alias("rows")).groupBy("token").agg(F.max_by("part", F.struct("rows", "part")).alias("main"))
+    outside = placed.join(main, "token").filter("part != main").select("token", *(F.col(x).alias(f"{x}_a") for x in ("node", "n", "part")))
+    met = outside.join(placed, "token").filter("part != part_a").filter(F.least("n", "n_a") >= similarity * F.greatest("n", "n_a") - 1e-9)
+    return _ordered(met.select(F.col("node_a").alias("a"), F.col("node").alias("b"))).distinct()
 
 
 def alike(pairs: DataFrame, nodes: DataFrame, tables: Tables, similarity: float) -> DataFrame:
@@ -225,11 +302,17 @@ def sets_of(wanted: DataFrame, nodes: DataFrame, texts: DataFrame, width: int) -
 def similar(nodes: DataFrame, texts: DataFrame, tables: Tables, similarity: float, width: int) -> DataFrame:
     """Links (a, b) of at least this similarity between distinct ``node`` with ``n``, ``row`` and ``fps``.
 
-    Bits only sort out pairs; the sets of shingles decide.
+    Pairs come from prints that meet, and of nodes in crowded places from the shingles they share. Bits only sort out
+    pairs; the sets of shingles decide.
     """
-    met = checkpointed(alike(candidates(nodes, tables), nodes, tables, similarity))
-    sets = checkpointed(sets_of(met.select(F.explode(F.array("a", "b")).alias("node")).distinct(), nodes, texts, width))
-    return verified(met, sets, similarity)
+    met, crowded = candidates(nodes, tables)
+    met, crowded = checkpointed(alike(met, nodes, tables, similarity)), checkpointed(crowded)
+    ends = met.select(F.explode(F.array("a", "b")).alias("node"))
+    sets = checkpointed(sets_of(ends.union(crowded).distinct(), nodes, texts, width))
+    shared, large = by_rare_shingles(sets.join(crowded, "node", "left_semi"), similarity)
+    found = checkpointed(verified(met.union(alike(shared, nodes, tables, similarity)).distinct(), sets, similarity))
+    rest = across(large, components(found), similarity)
+    return found.union(verified(alike(rest, nodes, tables, similarity), sets, similarity))
 
 
 def keep_one(docs: DataFrame, similarity: float = 0.8, width: int = 5, recall: float = 0.95, seed: int = 42, text: str = "text",
@@ -237,7 +320,8 @@ def keep_one(docs: DataFrame, similarity: float = 0.8, width: int = 5, recall: f
     """One document of each class of similar ones, the one of smallest id, as it is.
 
     Two documents are linked only if their sets of shingles have the similarity, exactly. Pairs of that similarity are
-    found with probability ``recall``, more similar ones with more (above 0.999 at 0.9).
+    found with probability ``recall``, more similar ones with more (above 0.999 at 0.9); pairs in crowded places always,
+    but for what the prefilter loses, about one in a million.
     Rows are numbered once, in a stored copy that everything after reads, so that their numbers rest on no later split.
     """
     row = unused(docs, "_row")

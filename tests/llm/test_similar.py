@@ -5,6 +5,7 @@ from __future__ import annotations
 from itertools import combinations
 
 import numpy as np
+import pytest
 
 from millrace.llm import simhash
 
@@ -45,6 +46,25 @@ def edited(rng, words, edits):
     return out
 
 
+@pytest.fixture
+def passages():
+    """Texts that share a long passage, so that prints are crowded, and pairs of similarity 0.7 to 0.97 among them."""
+    rng = np.random.default_rng(11)
+    passage = [f"p{k}" for k in range(150)]
+    texts = []
+    for k in range(90):
+        own = passage + [f"t{k}w{j}" for j in range(70)]
+        texts.append(" ".join(own))
+        texts.append(" ".join(edited(rng, own, 1 + k % 9)))
+    return texts
+
+
+def test_pairs_in_a_crowd_are_found(stored, passages, monkeypatch):
+    monkeypatch.setattr(simhash, "CROWD", 4, raising=False)
+    kept = sorted(r.doc_id for r in simhash.keep_one(stored(passages)).collect())
+    assert kept == kept_by(linked(passages), len(passages))
+
+
 def test_no_text_below_the_similarity_goes(stored):
     rng = np.random.default_rng(5)
     texts = []
@@ -61,3 +81,10 @@ def test_no_text_below_the_similarity_goes(stored):
 def test_like_fingerprints_are_no_like_texts(stored):
     texts = ["same words over and over " * 40 + " ".join(f"x{k}y{j}" for j in range(60)) for k in range(3)]
     assert simhash.keep_one(stored(texts)).count() == 3
+
+
+def test_a_large_family_is_one(stored):
+    rng = np.random.default_rng(3)
+    base = [f"w{k}" for k in range(300)]
+    texts = [" ".join(edited(rng, base, 3)) for _ in range(150)]
+    assert [r.doc_id for r in simhash.keep_one(stored(texts)).collect()] == kept_by(linked(texts), len(texts))

@@ -33,7 +33,7 @@ from millrace.llm.components import components
 from millrace.workdir import checkpointed, fresh_dir
 
 BITS = 64
-#: Nodes of prints that meet, or of one shingle, up to which all their pairs are made at once.
+#: Nodes of a print with all that it meets, or of one shingle, up to which all their pairs are made at once.
 CROWD = 32
 #: Sets of up to so many shingles, whose fingerprints say little, are paired by their shingles.
 SHORT = 20
@@ -191,7 +191,8 @@ def candidates(nodes: DataFrame, tables: Tables) -> tuple[DataFrame, DataFrame]:
     not among them.
 
     Each distinct print emits the ball of half radius 1; at most ``bits + 1`` of them meet at a variant. Every pair of
-    nodes of two prints that meet, or of one, is a pair here, unless the prints have more than ``CROWD`` nodes.
+    nodes of two prints that meet, or of one, is a pair here, unless one of the prints, with all that it meets, has more
+    than ``CROWD`` nodes: then the nodes of both are crowded.
     """
     prints = nodes.select("node", F.explode(tables.prints(F.col("fps"))).alias("print"))
     points = prints.groupBy("print").agg(F.min("node").alias("node"), F.least(F.count(F.lit(1)), F.lit(CROWD + 1)).cast("int").alias("rows"))
@@ -202,15 +203,20 @@ def candidates(nodes: DataFrame, tables: Tables) -> tuple[DataFrame, DataFrame]:
     point = F.struct(F.col("variant").bitwiseXOR(F.get(masks, F.col("bit"))).alias("print"), "node", "rows")
     near = _pairs_of(met.groupBy("variant").agg(F.array_sort(F.collect_list(point)).alias("all"))).distinct()
     near = checkpointed(near.select(*(F.col(f"{x}.{name}").alias(f"{name}_{x}") for x in "ab" for name in ("print", "node", "rows"))))
-    alone = near.filter("rows_a = 1 AND rows_b = 1").select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
-    few = near.filter(f"rows_a + rows_b > 2 AND rows_a + rows_b <= {CROWD}").select("print_a", "print_b")
+    sides = F.array(*(F.struct(F.col(f"print_{x}").alias("print"), F.col(f"rows_{x}").alias("rows"), F.col(f"rows_{y}").alias("others")) for x, y in ("ab", "ba")))
+    around = near.select(F.explode(sides).alias("side")).groupBy("side.print").agg((F.max("side.rows") + F.sum("side.others")).alias("rows"))
+    full = checkpointed(around.union(points.select("print", "rows")).filter(f"rows > {CROWD}").select("print").distinct())
+    for x in "ab":
+        near = near.join(full.select(F.col("print").alias(f"print_{x}"), F.lit(True).alias(f"full_{x}")), f"print_{x}", "left")
+    near = checkpointed(near.withColumn("full", F.coalesce("full_a", "full_b", F.lit(False))))
+    alone = near.filter("NOT full AND rows_a = 1 AND rows_b = 1").select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
+    few = near.filter("NOT full AND rows_a + rows_b > 2").select("print_a", "print_b")
     few = few.join(prints.select(F.col("print").alias("print_a"), F.col("node").alias("a")), "print_a")
     few = few.join(prints.select(F.col("print").alias("print_b"), F.col("node").alias("b")), "print_b").select("a", "b")
-    shared = prints.join(points.filter(f"rows > 1 AND rows <= {CROWD}").select("print"), "print")
+    shared = prints.join(points.filter("rows > 1").select("print").join(full, "print", "left_anti"), "print")
     shared = _pairs_of(shared.groupBy("print").agg(F.collect_list("node").alias("all")))
-    full = near.filter(f"rows_a + rows_b > {CROWD}").select(F.explode(F.array("print_a", "print_b")).alias("print"))
-    full = full.union(points.filter(f"rows > {CROWD}").select("print")).distinct()
-    crowded = prints.join(full, "print").select("node").union(nodes.filter(f"n <= {SHORT}").select("node")).distinct()
+    touched = near.filter("full").select(F.explode(F.array("print_a", "print_b")).alias("print")).union(full).distinct()
+    crowded = prints.join(touched, "print").select("node").union(nodes.filter(f"n <= {SHORT}").select("node")).distinct()
     return _ordered(alone.union(few).union(shared)).distinct(), crowded
 
 

@@ -141,6 +141,8 @@ class Codec:
 
     def merged_together(self, matches: list[bytes]) -> list[bytes]:
         """Packed ids of many short matches: in every round each match has its best pair merged, all at once."""
+        if not matches:
+            return []
         sizes = np.fromiter(map(len, matches), np.int64, len(matches))
         ids = self.bytes_to_ids[np.frombuffer(b"".join(matches), np.uint8)]
         owner = np.repeat(np.arange(len(matches)), sizes)

@@ -397,3 +397,20 @@ def test_token_shards(spark, docs, library):
         token_shards.write_shards(found, path)
         again = {r.record: bytes(r.ids) for r in token_shards.read_records(spark, path, 0, 64, first=3).collect()}
         assert again == {r.record: bytes(r.ids) for r in rows if r.shard == 0 and r.record >= 3}
+
+
+@pytest.mark.parametrize("texts", [[None], [""], ["word"], ["a\nb\tc"], ["one"] * 3, ["the same words here"] * 40])
+def test_texts_without_a_new_short_match(make, library, texts):
+    docs = make(texts).coalesce(1)
+    for _ in range(2):
+        coded = bpe.encode(docs.select("text"), VOCABULARY)
+        assert [np.frombuffer(r.ids, "<u4").tolist() for r in coded.collect()] == [library(t or "") for t in texts]
+
+
+def test_learning_the_same_texts_twice(library):
+    codec = bpe.Codec(bpe.read_ranks(VOCABULARY[0]), VOCABULARY[1])
+    for _ in range(2):
+        codec.learn([""])
+        codec.learn(["two words", "two words"])
+    assert codec.merged_together([]) == []
+    assert np.frombuffer(codec.encode("two words"), "<u4").tolist() == library("two words")

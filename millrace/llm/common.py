@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.workdir import checkpointed
+
 #: A-Z to a-z, every other byte as it is.
 ASCII_LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
@@ -45,3 +48,28 @@ def text_bytes(df: DataFrame, text: str) -> int:
 def id_or_last(column: Column) -> Column:
     """A bigint id; null comes after every other."""
     return F.coalesce(column.cast("bigint"), F.lit(2**63 - 1))
+
+
+#: Packed arrays that are added up in one task.
+ADDED_AT_ONCE = 64
+
+
+def added_up(parts: DataFrame, size: int) -> np.ndarray:
+    """The sum of packed arrays of ``size`` 64-bit integers, one for each row of the only column.
+
+    Rows are added in tasks of 64, level by level, so that the driver gets at most 64 arrays however many tasks made them.
+    """
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(size, np.int64)
+        for batch in batches:
+            for packed in batch[0].to_pylist():
+                total += np.frombuffer(packed, np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["packed"])
+
+    parts = checkpointed(parts.toDF("packed"))
+    count = parts.count()
+    while count > ADDED_AT_ONCE:
+        count = -(-count // ADDED_AT_ONCE)
+        parts = parts.repartition(count).mapInArrow(add, "packed binary")
+    return sum((np.frombuffer(row[0], np.int64) for row in parts.collect()), np.zeros(size, np.int64))

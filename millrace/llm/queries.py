@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, decontaminate, lm, quality, secrets, sharding, simhash, sql, substrings, suffixes, token_shards
+from millrace.llm import (bpe, centroids, decontaminate, importance, lines, lm, quality, secrets, sharding, simhash, sql, substrings, suffixes,
+                          token_shards)
 from millrace.session import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -125,3 +126,28 @@ def op7_token_shards(spark: SparkSession, folder: str) -> DataFrame:
     found = token_shards.sequences(table(spark, folder, "documents"), bpe.public_vocabulary())
     ordered = token_shards.in_training_order(found, key=42)
     return ordered.select("slot", "shard", "record", "doc_id", "part", "n_tokens", "ids", F.sha2("ids", 256).alias("ids_sha256"))
+
+
+@query(sql.RESAMPLING)
+def op11_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    """A tenth of the documents, drawn by how much their words are like the benchmark's."""
+    found = importance.resampled(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+@query(sql.CLUSTERING)
+def op12_clustering(spark: SparkSession, folder: str) -> DataFrame:
+    """Every vector's cluster after three rounds."""
+    found = centroids.clustered(table(spark, folder, "embeddings"))
+    inertia = found.summary.agg(F.sum("inertia").cast("bigint")).first()[0]
+    named = found.summary.select("cluster", F.col("inertia").alias("cluster_inertia"), "centroid_sha256")  # a row for each cluster
+    return found.vectors.join(F.broadcast(named), "cluster").select("vec_id", "cluster", "distance", "cluster_inertia", F.lit(inertia).cast("bigint").alias("inertia"),
+                                                                    "centroid_sha256")
+
+
+@query(sql.LINES)
+def op13_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document without the lines that ten or more documents hold."""
+    docs = table(spark, folder, "documents")
+    found = lines.Ledger.create(spark, min_docs=10, min_chars=1).insert(docs).without_repeats(docs)
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))

@@ -65,3 +65,54 @@ def secrets_sql(rules) -> str:
     found AS (SELECT doc_id, {counts}, string_agg({item}, ',' ORDER BY start, kind) FILTER (kind < 3) AS base,
     string_agg({item}, ',' ORDER BY start, kind) AS spans FROM spans GROUP BY doc_id)
     SELECT doc_id, {shown}, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans FROM docs LEFT JOIN found USING (doc_id)"""
+
+
+LINES = """
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+each AS (SELECT r, k, lines[k] AS line, translate(trim(lines[k], ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM (SELECT r, lines, unnest(generate_series(1, len(lines))) AS k FROM docs)),
+found AS (SELECT key FROM each WHERE key <> '' GROUP BY key HAVING count(DISTINCT r) >= 10),
+kept AS (SELECT r, count(*) AS n, string_agg(line, chr(10) ORDER BY k) AS text FROM each ANTI JOIN found USING (key) GROUP BY r)
+SELECT doc_id, CAST(len(lines) AS BIGINT) AS n_lines, len(lines) - coalesce(n, 0) AS n_dropped, sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM docs LEFT JOIN kept USING (r)"""
+
+RESAMPLING = f"""
+WITH crcs AS (SELECT list(list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, i: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) ORDER BY n) AS t
+    FROM (SELECT CAST(unnest(range(256)) AS UBIGINT) AS n)),
+docs AS (SELECT doc_id, {_ITEM_WORDS} AS w FROM documents),
+source AS (SELECT doc_id, unnest(w) AS word FROM docs),
+target AS (SELECT unnest({_ITEM_WORDS}) AS word FROM benchmark),
+hexed AS (SELECT word, hex(encode(word)) AS h FROM (SELECT word FROM source UNION SELECT word FROM target)),
+buckets AS (SELECT word, CAST(xor(list_reduce(list_concat([CAST(4294967295 AS UBIGINT)],
+    list_transform(range(strlen(word)), lambda i: CAST('0x' || substr(h, CAST(2 * i + 1 AS INT), 2) AS UBIGINT))),
+    lambda c, b: xor(c // 256, t[CAST(xor(c % 256, b) AS INT) + 1])), 4294967295) % 10000 AS INT) AS bucket FROM hexed, crcs),
+s AS (SELECT bucket, count(*) AS s FROM source JOIN buckets USING (word) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS t FROM target JOIN buckets USING (word) GROUP BY bucket),
+gains AS (SELECT bucket, CAST(floor(1000 * ln((coalesce(t, 0) + 1.0::DOUBLE) * ((SELECT sum(s) FROM s)::DOUBLE + 10000)
+    / ((coalesce(s, 0) + 1.0::DOUBLE) * (coalesce((SELECT sum(t) FROM t), 0)::DOUBLE + 10000)))) AS BIGINT) AS gain FROM s FULL JOIN t USING (bucket)),
+weights AS (SELECT doc_id, CAST(floor(sum(gain)::DOUBLE / count(*)) AS BIGINT) AS weight
+    FROM source JOIN buckets USING (word) JOIN gains USING (bucket) GROUP BY doc_id),
+scored AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_features, coalesce(weight, 0) AS weight, coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln(
+    (CAST('0x' || substr(sha256('2024:' || doc_id), 1, 8) AS UBIGINT)::DOUBLE + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score
+    FROM docs LEFT JOIN weights USING (doc_id)),
+ranked AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, count(*) OVER () AS n FROM scored WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN rank <= 10 * n // 100 THEN rank END AS rank FROM scored LEFT JOIN ranked USING (doc_id)"""
+
+
+def _round(k: int) -> str:
+    """Nearest centroid of c{k}, then the floors of the means as c{k + 1}."""
+    return f"""n{k} AS (SELECT vec_id, v, number AS cluster, d FROM (SELECT vec_id, v, number, list_sum(list_transform(list_zip(v, c), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS d,
+    row_number() OVER (PARTITION BY vec_id ORDER BY d, number) AS place FROM vectors, c{k}) WHERE place = 1),
+m{k} AS (SELECT cluster, list(CAST((total - ((total % n) + n) % n) // n AS BIGINT) ORDER BY i) AS c FROM (SELECT cluster, i, CAST(sum(v[i]) AS BIGINT) AS total, count(*) AS n
+    FROM n{k}, (SELECT unnest(generate_series(1, 64)) AS i) GROUP BY cluster, i) GROUP BY cluster),
+c{k + 1} AS (SELECT number, coalesce(m{k}.c, c{k}.c) AS c FROM c{k} LEFT JOIN m{k} ON number = cluster)"""
+
+
+CLUSTERING = f"""
+WITH vectors AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+    WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64),
+c0 AS (SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id)) - 1 AS number, v AS c FROM vectors QUALIFY number < 16),
+{_round(0)}, {_round(1)}, {_round(2)}, {_round(3)},
+sums AS (SELECT cluster, CAST(sum(d) AS BIGINT) AS cluster_inertia FROM n3 GROUP BY cluster)
+SELECT vec_id, CAST(cluster AS INT) AS cluster, CAST(d AS BIGINT) AS distance, cluster_inertia, CAST((SELECT sum(d) FROM n3) AS BIGINT) AS inertia,
+    sha256(array_to_string(c, ',')) AS centroid_sha256 FROM n3 JOIN sums USING (cluster) JOIN c3 ON number = cluster"""

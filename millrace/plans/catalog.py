@@ -10,6 +10,7 @@ import functools
 from collections.abc import Callable
 
 import numpy as np
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,7 +26,7 @@ from millrace.sinks.csv import csv_lines, write_csv
 from millrace.sinks.files import save_payloads, write_files
 from millrace.sinks.orc import write_orc
 from millrace.sinks.parquet import write_parquet
-from millrace.sources.csv import read_csv
+from millrace.sources.csv import malformed_rows, read_csv
 from millrace.sources.files import read_files
 from millrace.sources.json import parse_objects, read_json, unexpected_fields
 from millrace.sources.orc import read_orc
@@ -118,6 +119,68 @@ def csv_skip_rows(spark, folder):
     )
 
 
+@query("SELECT doc_id, lang, n_chars, md5(text) AS text_md5 FROM documents")
+def csv_quoted_ranges(spark, folder):
+    """Line ends in quotes; every file is read by many tasks."""
+    path = fresh_dir(spark, "csv")
+    write_csv(table(spark, folder, "documents").select("doc_id", "text", "lang", "n_chars").coalesce(2), {"path": path})
+    found = read_csv(
+        spark,
+        {"path": path, "read_options": {"block_size": 200_000}, "parse_options": {"newlines_in_values": True},
+         "convert_options": {"column_types": {"doc_id": "int64", "text": "string", "lang": "string", "n_chars": "int64"}}},
+    )
+    tasks = found.rdd.getNumPartitions()
+    return found.select("doc_id", "lang", "n_chars", F.md5("text").alias("text_md5")).where(F.lit(tasks > 2))
+
+
+@query("SELECT event_id, event_type FROM events WHERE event_id > (SELECT min(event_id) FROM events) + 399")
+def csv_long_head(spark, folder):
+    """A preamble longer than many ranges, the names late, and many rows after them to skip."""
+    path = fresh_dir(spark, "csv")
+    events = table(spark, folder, "events").select("event_id", F.concat_ws(",", "event_id", "event_type").alias("line"))
+    first = events.agg(F.min("event_id")).first()[0]
+    head = spark.range(500).select((F.col("id") - 2000).alias("event_id"), F.lit("by hand").alias("line"))
+    names = spark.range(1).select(F.lit(-1000).cast("bigint").alias("event_id"), F.lit("event_id,event_type").alias("line"))
+    rows = head.unionAll(names).unionAll(events.withColumn("event_id", F.col("event_id") - first))
+    rows.orderBy("event_id").coalesce(1).sortWithinPartitions("event_id").select("line").write.text(path)
+    return read_csv(
+        spark,
+        {"path": path, "read_options": {"skip_rows": 500, "skip_rows_after_names": 400, "block_size": 1000},
+         "convert_options": {"column_types": {"event_id": "int64", "event_type": "string"}}},
+    )
+
+
+@query(
+    """SELECT CAST(n + 2 AS BIGINT) AS line, o_orderkey || ',' || o_orderstatus || CASE WHEN n % 7 = 0 THEN ',extra' ELSE '' END AS value
+    FROM (SELECT *, row_number() OVER (ORDER BY o_orderkey) - 1 AS n FROM orders) WHERE n % 7 = 0"""
+)
+def csv_malformed(spark, folder):
+    """Where the rows with a field too many are."""
+    path = fresh_dir(spark, "csv")
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_orderstatus")
+    ordered = orders.repartitionByRange(1, "o_orderkey").sortWithinPartitions("o_orderkey").withColumn("n", F.monotonically_increasing_id())
+    extra = F.when(F.col("n") % 7 == 0, ",extra").otherwise("")
+    line = F.concat(F.col("o_orderkey"), F.lit(","), F.col("o_orderstatus"), extra)
+    ordered.select(F.when(F.col("n") == 0, F.concat(F.lit("o_orderkey,o_orderstatus\n"), line)).otherwise(line)).write.text(path)
+    return malformed_rows(spark, {"path": path, "read_options": {"block_size": 5000}}).select("line", "value")
+
+
+@query(
+    """SELECT CASE WHEN l THEN NULL ELSE n_nationkey END AS k, CASE WHEN l THEN '' ELSE n_name END AS name
+    FROM nation, (SELECT unnest([true, false]) AS l)"""
+)
+def csv_empty_lines(spark, folder):
+    """Empty lines that are kept: a null key and an empty text each."""
+    path = fresh_dir(spark, "csv")
+    lines = table(spark, folder, "nation").select(F.concat(F.col("n_nationkey"), F.lit(","), F.col("n_name"), F.lit("\n")).alias("line"))
+    lines.write.text(path)
+    return read_csv(
+        spark,
+        {"path": path, "read_options": {"column_names": ["k", "name"]}, "parse_options": {"ignore_empty_lines": False},
+         "convert_options": {"column_types": {"k": "int32", "name": "string"}}},
+    )
+
+
 @query(
     "SELECT event_id, CASE WHEN event_type IN ('error', 'view') THEN NULL ELSE event_type END AS event_type FROM events"
 )
@@ -174,11 +237,30 @@ def csv_decimal_point(spark, folder):
     )
 
 
-@query("SELECT doc_id, lang, true AS valid FROM documents")
+@query(
+    """SELECT n_nationkey AS k, n_name AS name, NOT bad AS accepted FROM nation,
+    (SELECT unnest([true, false]) AS bad)"""
+)
 def utf8_check(spark, folder):
-    """Validity of the bytes of every text."""
-    valid = F.is_valid_utf8(F.encode("text", "UTF-8").cast("string"))
-    return table(spark, folder, "documents").select("doc_id", "lang", valid.alias("valid"))
+    """Files with and without bytes that spell no text: the reader refuses the former."""
+    found = None
+    for bad in (True, False):
+        path = fresh_dir(spark, "csv")
+        line = F.encode(F.concat(F.col("n_nationkey"), F.lit(","), F.col("n_name")), "UTF-8")
+        broken = F.concat(line, F.unhex(F.lit("FF" if bad else "")), F.encode(F.lit("\n"), "UTF-8"))
+        save_payloads(table(spark, folder, "nation").select(F.lit("").alias("path"), broken.alias("payload")), path, "PARTS", "none")
+        config = {"path": path, "read_options": {"column_names": ["k", "name"]}, "convert_options": {"column_types": {"k": "int32", "name": "string"}}}
+        rows = read_csv(spark, config)
+        try:
+            accepted = rows.count() == rows.where("length(name) > 0").count()
+        except PySparkException:
+            accepted = False
+        # Where the check is off, the bytes come through; the last one goes here.
+        unchecked = read_csv(spark, config | {"convert_options": {"check_utf8": False, "column_types": {"k": "int32", "name": "binary"}}})
+        name = F.substring("name", F.lit(1), F.octet_length("name") - int(bad)).cast("string")
+        part = unchecked.select("k", name.alias("name"), F.lit(accepted).alias("accepted"))
+        found = part if found is None else found.unionAll(part)
+    return found
 
 
 @query(
@@ -342,6 +424,21 @@ def json_concat(spark, folder):
     return found.select("doc_id", "about.lang", "about.n_chars", F.md5("text").alias("text_md5"))
 
 
+@query("SELECT doc_id, lang, n_chars, md5(text) AS text_md5 FROM documents")
+def json_any_separator(spark, folder):
+    """Objects with nothing, blank lines or other line ends between them; every file is read by many tasks."""
+    path = fresh_dir(spark, "json")
+    row = F.struct("doc_id", "text", F.struct("lang", "n_chars").alias("about"))
+    form = F.pmod("doc_id", F.lit(3))
+    text = F.when(form == 0, F.concat(F.to_json(row), F.lit("\n\n \t\n"))).when(form == 1, F.to_json(row))
+    text = text.otherwise(F.concat(F.replace(F.to_json(row, {"pretty": "true"}), F.lit("\n"), F.lit("\r\n")), F.lit("\r\n")))
+    objects = table(spark, folder, "documents").select(F.lit("").alias("path"), F.encode(text, "UTF-8").alias("payload"))
+    save_payloads(objects.coalesce(2), path, "PARTS", "none")
+    found = read_json(spark, {"path": path, "parse_options": {"newlines_in_values": True}, "read_options": {"block_size": 100_000}})
+    tasks = found.rdd.getNumPartitions()
+    return found.select("doc_id", "about.lang", "about.n_chars", F.md5("text").alias("text_md5")).where(F.lit(tasks > 2))
+
+
 # ------------------------------------------------------------ Parquet, ORC
 @query("SELECT * FROM orders")
 def parquet_roundtrip(spark, folder):
@@ -497,6 +594,24 @@ def file_parts(spark, folder):
     return sizes.join(counts, "conv_id")
 
 
+@query(
+    """WITH files AS (SELECT conv_id, list(encode(text) ORDER BY turn) AS parts, CAST(sum(octet_length(encode(text))) AS BIGINT) AS size
+    FROM conversations GROUP BY conv_id)
+    SELECT conv_id, CAST(k * 1000 AS BIGINT) AS "offset", CAST(least(1000, least(size, 5000) - k * 1000) AS BIGINT) AS num_bytes
+    FROM files, unnest(range(5)) AS t(k) WHERE k * 1000 < least(size, 5000)"""
+)
+def file_chunks(spark, folder):
+    """The first 5,000 bytes of every file, plain or gzip, in pieces."""
+    path = fresh_dir(spark, "files")
+    source = _turns(spark, folder)
+    for codec, rest in (("NONE", 0), ("GZIP", 1)):
+        some = source.where(F.pmod(F.crc32("file"), F.lit(2)) == rest).withColumn("file", F.replace("file", F.lit(".gz"), F.lit(".gz" * rest)))
+        write_files(some, {"path": path, "append": True, "layout": "SINGLE", "compression": codec}, order_by="turn", path_column="file")
+    parts = read_files(spark, {"path": path, "compression": "AUTO", "max_bytes": 5000, "chunk_bytes": 1000})
+    key = F.regexp_extract("path", r"conv-(\d+)", 1).cast("bigint").alias("conv_id")
+    return parts.select(key, "offset", F.octet_length("payload").cast("bigint").alias("num_bytes"))
+
+
 @query("SELECT doc_id, md5(text) AS text_md5 FROM documents")
 def compress_column(spark, folder):
     """A binary column through gzip and zstd and back."""

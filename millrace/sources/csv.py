@@ -15,7 +15,8 @@ from millrace.functions.convert import FALSE_TOKENS, NULL_TOKENS, TRUE_TOKENS, T
 from millrace.operators.dictionary import dictionary_encode
 from millrace.schema import ColumnSpec, column_spec, enable_time_type
 from millrace.sources.lines import decoded_lines, first_line, native_codec, stream_reader, text_lines, without_leading
-from millrace.storage import common_section, output_type, use_storage
+from millrace.sources.ranges import Head, Lines, Opener, QuotedLines, file_records
+from millrace.storage import arrow_reads, arrow_store, common_section, output_type, use_storage
 
 STEP = "csv_source"
 
@@ -25,6 +26,7 @@ STEP = "csv_source"
 # field where quoted and bare fields must be told apart.
 _QUOTED_EMPTY = "\ue000"
 _QUOTED = "\ue001"
+_WRONG = "_wrong"  # the column of a line that does not have the fields it should
 
 
 def csv_config(config: Mapping[str, Any]) -> dict[str, Any]:
@@ -43,7 +45,7 @@ def csv_config(config: Mapping[str, Any]) -> dict[str, Any]:
         {"use_threads": True, "block_size": None, "skip_rows": 0, "skip_rows_after_names": 0,
          "column_names": [], "autogenerate_column_names": False},
     )
-    non_negative(STEP, read, "skip_rows", "skip_rows_after_names")
+    non_negative(STEP, read, "skip_rows", "skip_rows_after_names", "block_size")
     cfg["parse_options"] = parse = section(
         f"{STEP}.parse_options",
         cfg["parse_options"],
@@ -94,7 +96,8 @@ def read_csv(
     tell_quoted = parse["quoting"] and not rules.quoted_strings_can_be_null
     by_lines = (
         not native or tell_quoted or read["skip_rows"] or read["skip_rows_after_names"] or not parse["ignore_empty_lines"]
-    )
+        or (parse["newlines_in_values"] and not streaming and arrow_reads(path))
+    )
     if streaming:
         if (by_lines and native) or not types:
             raise ConfigError("a streaming CSV read takes column_types and none of the per-file line options")
@@ -204,46 +207,122 @@ def _scan(reader, path, read, parse, stream_names):
 
 
 def _parse_lines(spark, path, cfg, native, tell_quoted, streamed=None, max_files=None):
-    """Line by line: for per-file skips, kept empty lines, told-apart quotes and
-    codecs the file name does not tell. ``streamed`` names the columns of a stream."""
+    """Line by line: for per-file skips, kept empty lines, told-apart quotes, line ends
+    in quotes and codecs the file name does not tell. ``streamed`` names the columns of a stream."""
+    read, parse = cfg["read_options"], cfg["parse_options"]
+    generated = bool(read["column_names"]) or read["autogenerate_column_names"]
+    names = list(read["column_names"] or streamed or [])
+    numbered = False
+    if streamed is None and arrow_reads(path):
+        # Line ends in quotes need the lines before a range to be summed up, which numbers them as well.
+        numbered = parse["newlines_in_values"] and parse["quoting"]
+        data, first = _file_lines(spark, path, cfg, native, numbered)
+    else:
+        data, first = _spark_lines(spark, path, cfg, native, streamed, max_files)
+    if not names:
+        found = _split_fields(spark, first(), parse)
+        names = [f"f{i}" for i in range(len(found))] if generated else found
+    if parse["ignore_empty_lines"]:
+        data = data.where(F.length("value") > 0)
+    return _fields(data, parse, len(names), tell_quoted, numbered), names
+
+
+def _file_lines(spark, path, cfg, native, numbered):
+    """Lines of files that tasks open themselves, by byte range, and what gives the line of names."""
+    read, parse = cfg["read_options"], cfg["parse_options"]
+    generated = bool(read["column_names"]) or read["autogenerate_column_names"]
+    codec = cfg["common"]["compression"]
+    head = Head(read["skip_rows"], not generated, read["skip_rows_after_names"], parse["ignore_empty_lines"])
+    quoted = parse["newlines_in_values"] and parse["quoting"]
+    opener = Opener("AUTO" if native else codec, arrow_store(cfg["path"], cfg["common"]))
+    if native and not quoted and not head and not numbered:
+        data = text_lines(spark, path)
+        return data, lambda: first_line(data, parse["ignore_empty_lines"])
+    scanner = Lines()
+    if quoted:
+        escape = parse["escape_char"] if parse["escaping"] else None
+        scanner = QuotedLines(parse["delimiter"], parse["quote_char"], parse["double_quote"], escape)
+    data, files = file_records(spark, path, scanner, opener, head, numbered, read["block_size"])
+
+    def first() -> str:
+        if generated:
+            return first_line(data, parse["ignore_empty_lines"])
+        found = [row.names.removeprefix("\ufeff") for row in files.select("names").where("names IS NOT NULL").distinct().limit(2).collect()]
+        if len(found) != 1:
+            raise ConfigError(f"{STEP}: the files differ in their lines of names: {found}" if found else f"{STEP}: no header line found")
+        return found[0]
+
+    return data, first
+
+
+def _spark_lines(spark, path, cfg, native, streamed, max_files):
+    """The same for streams, and for stores that only Spark opens."""
     read, parse = cfg["read_options"], cfg["parse_options"]
     skip, after = read["skip_rows"], read["skip_rows_after_names"]
     generated = bool(read["column_names"]) or read["autogenerate_column_names"]
     ignore_empty = parse["ignore_empty_lines"]
     if native and not parse["newlines_in_values"]:
         lines = text_lines(spark, path)
-        if skip or after or not generated:
-            data = without_leading(lines, skip, not generated, after, ignore_empty)
-        else:
-            data = lines
+        data = without_leading(lines, skip, not generated, after, ignore_empty) if skip or after or not generated else lines
+
+        def first() -> str:
+            one = lines.select(F.col("_metadata.file_path").alias("path")).first()
+            start = (F.col("_metadata.file_path") == (one.path if one else "")) & (F.col("_metadata.file_block_start") == 0)
+            return first_line(without_leading(lines.where(start), skip, False, 0, ignore_empty), ignore_empty)
+
     else:
         codec = cfg["common"]["compression"]
         quote = parse["quote_char"] if parse["newlines_in_values"] and parse["quoting"] else None
         escape = parse["escape_char"] if parse["escaping"] else None
-        streaming = streamed is not None
-        data = decoded_lines(spark, path, codec, quote, escape, skip, not generated, after, ignore_empty, streaming, max_files)
-    names = list(read["column_names"] or streamed or [])
-    if not names:
-        if native and not parse["newlines_in_values"]:
-            one = lines.select(F.col("_metadata.file_path").alias("path")).first()
-            start = (F.col("_metadata.file_path") == (one.path if one else "")) & (F.col("_metadata.file_block_start") == 0)
-            head = without_leading(lines.where(start), skip, False, 0, ignore_empty)
-        else:
-            head = decoded_lines(spark, path, codec, quote, escape, skip)
-        first = first_line(head, ignore_empty)
-        found = _split_fields(spark, first, parse)
-        names = [f"f{i}" for i in range(len(found))] if generated else found
-    fields = ", ".join(f"c{i} string" for i in range(len(names)))
+        data = decoded_lines(spark, path, codec, quote, escape, skip, not generated, after, ignore_empty, streamed is not None, max_files)
+
+        def first() -> str:
+            return first_line(decoded_lines(spark, path, codec, quote, escape, skip), ignore_empty)
+
+    return data, first
+
+
+def _fields(data, parse, count, tell_quoted, numbered):
+    """Lines → one text column for each field."""
+    fields = ", ".join(f"c{i} string" for i in range(count))
     value = F.decode(F.col("value").cast("binary"), "ISO-8859-1")
     if tell_quoted:
         value = _mark_quoted(value, parse)
-    row = F.from_csv(value, fields, _dialect(parse) | {"multiLine": "true"})
-    if ignore_empty:
-        data = data.where(F.length("value") > 0)
+    dialect = _dialect(parse) | {"multiLine": "true"}
+    if numbered:
+        # A line with other fields is reported with its place.
+        row = F.from_csv(value, f"{fields}, {_WRONG} string", dialect | {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _WRONG})
     else:
-        blank = F.struct(*[F.lit("").alias(f"c{i}") for i in range(len(names))])
+        row = F.from_csv(value, fields, dialect)
+    if not parse["ignore_empty_lines"]:
+        blank = F.struct(*[F.lit("").alias(f"c{i}") for i in range(count)], *[F.lit(None).cast("string").alias(_WRONG)] * numbered)
         row = F.when(F.length("value") == 0, blank).otherwise(row)
-    return data.select(row.alias("row")).select("row.*"), names
+    if not numbered:
+        return data.select(row.alias("row")).select("row.*")
+    place = F.concat(F.lit("malformed CSV record at "), F.col("path"), F.lit(":"), F.col("line"), F.lit(": "), F.left("value", F.lit(200)))
+    whole = F.when(F.col("row").getField(_WRONG).isNotNull(), F.raise_error(place).cast("string"))
+    rows = data.select(row.alias("row"), "path", "line", "value")
+    return rows.select(*[F.coalesce(whole, F.col("row").getField(f"c{i}")).alias(f"c{i}") for i in range(count)])
+
+
+def malformed_rows(spark: SparkSession, config: Mapping[str, Any]) -> DataFrame:
+    """(path, line, record, value): the records that :func:`read_csv` would refuse for the number of their fields.
+
+    Lines and records are counted from 1 in each file, skipped ones and the line of names with them.
+    """
+    cfg = csv_config(config)
+    read, parse = cfg["read_options"], cfg["parse_options"]
+    path = use_storage(spark, cfg["path"], cfg["common"])
+    if not arrow_reads(path):
+        raise ConfigError(f"{STEP}: lines are numbered in stores that tasks open themselves only")
+    data, first = _file_lines(spark, path, cfg, native_codec(spark, STEP, path, cfg["common"]["compression"]), True)
+    names = list(read["column_names"]) or _split_fields(spark, first(), parse)
+    data = data.where(F.length("value") > 0)
+    fields = ", ".join(f"c{i} string" for i in range(len(names)))
+    value = F.decode(F.col("value").cast("binary"), "ISO-8859-1")
+    settings = _dialect(parse) | {"multiLine": "true", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _WRONG}
+    row = F.from_csv(value, f"{fields}, {_WRONG} string", settings)
+    return data.select("path", "line", "record", "value", row.getField(_WRONG).alias(_WRONG)).where(f"{_WRONG} IS NOT NULL").drop(_WRONG)
 
 
 def _split_fields(spark: SparkSession, line: str, parse: Mapping[str, Any]) -> list[str]:

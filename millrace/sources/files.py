@@ -1,42 +1,114 @@
-"""Whole files as binary payloads."""
+"""Whole files, their first bytes, or files in pieces, as binary payloads."""
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
 from typing import Any
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.config import enum, non_negative, require, section
+from millrace.errors import ConfigError, DataError
 from millrace.operators.compress import decompress
 from millrace.sources.lines import FILE_COLUMNS, stream_reader
-from millrace.storage import use_storage
+from millrace.sources.ranges import Opener
+from millrace.storage import arrow_reads, arrow_store, common_section, use_storage
 
 STEP = "file_source"
 _LARGEST = (1 << 31) - 1  # bytes of one binary value
+_READ = 4 << 20
 COMPRESSION = ("UNSPECIFIED", "NONE", "GZIP", "AUTO")
 
 
+def file_config(config: Mapping[str, Any]) -> dict[str, Any]:
+    cfg = section(STEP, config, {"path": "", "compression": "UNSPECIFIED", "max_bytes": 0, "chunk_bytes": 0, "common": {}})
+    require(STEP, cfg, "path")
+    non_negative(STEP, cfg, "max_bytes", "chunk_bytes")
+    cfg["compression"] = enum(STEP, cfg["compression"], "COMPRESSION_", COMPRESSION)
+    cfg["common"] = common_section(STEP, cfg["common"])
+    if cfg["chunk_bytes"] > _LARGEST:
+        raise ConfigError(f"{STEP}: chunk_bytes must be below 2 GiB")
+    return cfg
+
+
 def read_files(
     spark: SparkSession, config: Mapping[str, Any], streaming: bool = False, max_files: int | None = None
 ) -> DataFrame:
-    """Files → rows ``(path, payload)``, one payload per file.
+    """Files → rows ``(path, payload)``, one payload per file, or with
+    ``chunk_bytes`` rows ``(path, offset, payload)`` of at most so many bytes.
 
     ``compression`` is none, gzip or auto (gzip for ``.gz`` names);
-    ``max_bytes`` keeps the first bytes of the decompressed content.
+    ``max_bytes`` keeps the first bytes of the decompressed content, and no more
+    is read. Tasks stream the files themselves; a plain file in chunks is read
+    by many tasks, each from its own offset, and has no largest size. Empty files
+    give no row.
     """
-    cfg = section(STEP, config, {"path": "", "compression": "UNSPECIFIED", "max_bytes": 0})
-    require(STEP, cfg, "path")
-    non_negative(STEP, cfg, "max_bytes")
-    compression = enum(STEP, cfg["compression"], "COMPRESSION_", COMPRESSION)
-    path = use_storage(spark, cfg["path"], {"filesystem": "AUTO", "filesystem_options": {}})
+    cfg = file_config(config)
+    path = use_storage(spark, cfg["path"], cfg["common"])
     reader = stream_reader(spark, max_files).schema(FILE_COLUMNS) if streaming else spark.read
     files = reader.format("binaryFile").load(path)
+    if not arrow_reads(path):
+        if cfg["chunk_bytes"]:
+            raise ConfigError(f"{STEP}: chunk_bytes needs a store that tasks open themselves")
+        return _by_spark(files, cfg)
+    packed = {"GZIP": F.lit(True), "AUTO": F.col("path").endswith(".gz")}.get(cfg["compression"], F.lit(False))
+    found = files.select("path", F.col("length").alias("size"), packed.alias("packed"))  # no content is read
+    limit, chunk, store = cfg["max_bytes"], cfg["chunk_bytes"], arrow_store(cfg["path"], cfg["common"])
+    if not chunk:
+        return found.mapInArrow(lambda batches: _whole(batches, limit, store), "path string, payload binary")
+    end = F.least("size", F.lit(limit)) if limit else F.col("size")
+    # Each task reads some neighbouring chunks of a plain file; a compressed one is read through.
+    step = chunk * max(1, spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes() // chunk)
+    starts = F.when(F.col("packed"), F.array(F.lit(0).cast("bigint"))).when(end > 0, F.sequence(F.lit(0).cast("bigint"), end - 1, F.lit(step).cast("bigint")))
+    pieces = found.select("path", "packed", F.explode(starts).alias("start"), end.alias("end"))
+    if not streaming:
+        pieces = pieces.repartition(max(1, pieces.count()), "path", "start")
+    return pieces.mapInArrow(lambda batches: _chunks(batches, chunk, step, limit, store), "path string, offset bigint, payload binary")
+
+
+def _whole(batches: Iterator[pa.RecordBatch], limit: int, store) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for row in batch.to_pylist():
+            parts, size = [], 0
+            with Opener("GZIP" if row["packed"] else "UNCOMPRESSED", store).open(row["path"]) as file:
+                while (not limit or size < limit) and (part := file.read(min(_READ, limit - size) if limit else _READ)):
+                    parts.append(part)
+                    size += len(part)
+                    if size > _LARGEST:
+                        raise DataError(f"{row['path']} is too large for one payload; set chunk_bytes or max_bytes")
+            yield pa.RecordBatch.from_arrays([pa.array([row["path"]]), pa.array([b"".join(parts)], pa.binary())], ["path", "payload"])
+
+
+def _chunks(batches: Iterator[pa.RecordBatch], chunk: int, step: int, limit: int, store) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for row in batch.to_pylist():
+            with Opener("GZIP" if row["packed"] else "UNCOMPRESSED", store).open(row["path"]) as file:
+                offset = row["start"]
+                end = (limit or None) if row["packed"] else min(row["start"] + step, row["end"])
+                if offset:
+                    file.seek(offset)
+                while (end is None or offset < end) and (part := _full(file, chunk if end is None else min(chunk, end - offset))):
+                    columns = [pa.array([row["path"]]), pa.array([offset], pa.int64()), pa.array([part], pa.binary())]
+                    yield pa.RecordBatch.from_arrays(columns, ["path", "offset", "payload"])
+                    offset += len(part)
+
+
+def _full(file, size: int) -> bytes:
+    """The next ``size`` bytes, fewer only where the file ends."""
+    part = file.read(size)
+    while part and len(part) < size and (more := file.read(size - len(part))):
+        part += more
+    return part
+
+
+def _by_spark(files: DataFrame, cfg: Mapping[str, Any]) -> DataFrame:
+    """For stores that only Spark opens: whole files, of at most 2 GiB."""
     limit = min(cfg["max_bytes"], _LARGEST)
     content = F.col("content")
-    if compression in ("GZIP", "AUTO"):
-        plain = F.lit(False) if compression == "GZIP" else ~F.col("path").endswith(".gz")
+    if cfg["compression"] in ("GZIP", "AUTO"):
+        plain = F.lit(False) if cfg["compression"] == "GZIP" else ~F.col("path").endswith(".gz")
         unpacked = decompress(F.when(~plain, content), "GZIP", limit)
         payload = F.when(plain, content).otherwise(unpacked)
     else:

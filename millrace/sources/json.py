@@ -17,7 +17,8 @@ from millrace.errors import ConfigError, DataError
 from millrace.functions.convert import TextRules, convert, infer_specs, require_ansi
 from millrace.schema import ColumnSpec, checked, column_spec, enable_time_type, spark_type
 from millrace.sources.lines import decoded_lines, decoded_objects, native_codec, text_lines
-from millrace.storage import common_section, output_type, use_storage
+from millrace.sources.ranges import Lines, Objects, Opener, file_records
+from millrace.storage import arrow_reads, arrow_store, common_section, output_type, use_storage
 
 STEP = "json_source"
 UNEXPECTED = ("INFER_TYPE", "IGNORE", "ERROR")
@@ -71,8 +72,14 @@ def read_json(
         objects = text_lines(spark, path, streaming=True, max_files=max_files)
     elif streaming:
         objects = decoded_lines(spark, path, codec, streaming=True, max_files=max_files)
-    elif native_codec(spark, STEP, path, codec):
-        objects = concatenated_objects(spark, path) if parse["newlines_in_values"] else text_lines(spark, path)
+    elif (native := native_codec(spark, STEP, path, codec)) and not parse["newlines_in_values"]:
+        objects = text_lines(spark, path)
+    elif arrow_reads(path):
+        opener = Opener("AUTO" if native else codec, arrow_store(cfg["path"], cfg["common"]))
+        scanner = Objects() if parse["newlines_in_values"] else Lines()
+        objects, _ = file_records(spark, path, scanner, opener, range_bytes=cfg["read_options"]["block_size"])
+    elif native:
+        objects = concatenated_objects(spark, path)
     else:
         objects = (decoded_objects if parse["newlines_in_values"] else decoded_lines)(spark, path, codec)
     objects = objects.where(F.length(F.trim("value")) > 0)
@@ -200,7 +207,7 @@ def _storable(kind: T.DataType, name: str) -> T.DataType:
 
 # ------------------------------------------------- objects over several lines
 def concatenated_objects(spark: SparkSession, path: str) -> DataFrame:
-    """Pretty-printed objects, one after the other → one row per object.
+    """Pretty-printed objects, one after the other → one row per object, in stores that only Spark opens.
 
     A line end cannot be part of a JSON text, so ``}``, line end, ``{`` only
     occurs between objects. Hadoop's line reader splits large files there, and

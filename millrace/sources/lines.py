@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamReader
 
 from millrace.errors import ConfigError, DataError
-from millrace.storage import NATIVE_READ_SUFFIX, STREAM_CODECS, resolve_codec, stream_codec
+from millrace.storage import NATIVE_READ_SUFFIX, STREAM_CODECS, arrow_filesystem, arrow_reads, resolve_codec, stream_codec
 
 #: What Spark's reader of whole files gives; a stream has to be told.
 FILE_COLUMNS = "path string, modificationTime timestamp, length bigint, content binary"
@@ -140,8 +140,8 @@ def decoded_lines(
 
     Such files cannot be split by any reader, so one task streams one file,
     a few megabytes at a time. With ``quote``, line ends inside quotes belong
-    to the record. One file may have at most 2 GiB compressed (a limit of
-    Spark's binary reader); larger ones need the suffix of their codec.
+    to the record. In stores that only Spark opens, one file may have at most
+    2 GiB compressed.
     """
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -170,14 +170,20 @@ def decoded_objects(spark: SparkSession, path: str, codec: str) -> DataFrame:
 
 def _contents_of(spark: SparkSession, path: str, streaming: bool = False, max_files: int | None = None) -> DataFrame:
     reader = stream_reader(spark, max_files).schema(FILE_COLUMNS) if streaming else spark.read
-    return reader.format("binaryFile").load(path).select("path", "content")
+    files = reader.format("binaryFile").load(path)
+    return files.select("path") if arrow_reads(path) else files.select("path", "content")
 
 
 def _contents(batches: Iterator[pa.RecordBatch], codec: str) -> Iterator[Iterator[bytes]]:
     """Decoded chunks of each file; codec AUTO goes by each file's name."""
     for batch in batches:
-        for path, content in zip(batch.column(0).to_pylist(), batch.column(1)):
-            yield _chunks(content.as_buffer(), STREAM_CODECS.get(resolve_codec(path, codec)))
+        for k, path in enumerate(batch.column(0).to_pylist()):
+            decoder = STREAM_CODECS.get(resolve_codec(path, codec))
+            if batch.num_columns > 1:
+                yield _chunks(pa.input_stream(batch.column(1)[k].as_buffer(), compression=decoder))
+            else:
+                filesystem, name = arrow_filesystem(path)
+                yield _chunks(filesystem.open_input_stream(name, compression=decoder))
 
 
 def split_object_stream(chunks: Iterable[bytes]) -> Iterator[str]:
@@ -199,8 +205,8 @@ def split_object_stream(chunks: Iterable[bytes]) -> Iterator[str]:
         raise DataError(f"not a JSON object: {rest.strip()[:100]}")
 
 
-def _chunks(content: pa.Buffer, decoder: str | None) -> Iterator[bytes]:
-    with pa.input_stream(content, compression=decoder) as stream:
+def _chunks(content) -> Iterator[bytes]:
+    with content as stream:
         while chunk := stream.read(_CHUNK):
             yield chunk
 

@@ -147,8 +147,28 @@ def orc_codec(codec: str) -> str:
     return _ORC_CODECS[codec]
 
 
-def arrow_filesystem(uri: str):
-    """A PyArrow file system for use inside tasks, and the path on it."""
+#: Stores that tasks can open through Arrow.
+ARROW_SCHEMES = ("", "file", "s3", "s3a", "s3n", "gs", "gcs", "abfs", "abfss", "hdfs", "viewfs")
+
+
+def arrow_store(path: str, common: Mapping[str, Any]) -> dict[str, Any] | None:
+    """Store options for the file systems that tasks open, as plain values: the checked counterpart of
+    :func:`resolve_path`. None where nothing is set, so that the URI decides."""
+    options = common["filesystem_options"]
+    if common["filesystem"] == "LOCAL" or not options:
+        return None
+    resolve_path(path, common)
+    kind, values = next(iter(options.items()))
+    builders = {"s3": _arrow_s3, "gcs": _arrow_gcs, "azure": _arrow_azure, "hdfs": _arrow_hdfs}
+    return {"kind": kind, **{name: value for name, value in builders[kind](values).items() if value not in (None, "", {}, [])}}
+
+
+def arrow_reads(path: str) -> bool:
+    return urllib.parse.urlparse(path).scheme in ARROW_SCHEMES
+
+
+def arrow_filesystem(uri: str, store: Mapping[str, Any] | None = None):
+    """A PyArrow file system for use inside tasks, and the path on it. ``store``: what :func:`arrow_store` gave."""
     from pyarrow import fs
 
     parsed = urllib.parse.urlparse(uri)
@@ -156,11 +176,73 @@ def arrow_filesystem(uri: str):
         return fs.LocalFileSystem(), uri
     if parsed.scheme == "file":
         return fs.LocalFileSystem(), urllib.parse.unquote(parsed.path)
+    if store:
+        kind = store["kind"]
+        kinds = {"s3": "S3FileSystem", "gcs": "GcsFileSystem", "azure": "AzureFileSystem", "hdfs": "HadoopFileSystem"}
+        settings = {name: value for name, value in store.items() if name != "kind"}
+        if kind == "hdfs":
+            settings.setdefault("host", parsed.hostname or "default")
+            return fs.HadoopFileSystem(**settings), parsed.path
+        place = urllib.parse.unquote(parsed.netloc.rpartition("@")[0] or parsed.netloc) + urllib.parse.unquote(parsed.path)
+        return getattr(fs, kinds[kind])(**settings), place
     if parsed.scheme in ("s3a", "s3n"):
         uri = "s3" + uri[len(parsed.scheme):]
     return fs.FileSystem.from_uri(uri)
 
 
+def _arrow_s3(values: Mapping[str, Any]) -> dict[str, Any]:
+    kind = enum("filesystem_options.s3", values.get("credentials_kind", "DEFAULT"), "S3_CREDENTIALS_KIND_", S3_CREDENTIALS)
+    proxy = {name: value for name, value in (values.get("proxy_options") or {}).items() if value not in (None, "")}
+    same = (
+        "region", "connect_timeout", "request_timeout", "endpoint_override", "scheme", "force_virtual_addressing", "background_writes",
+        "allow_bucket_creation", "allow_bucket_deletion", "check_directory_existence_before_creation", "allow_delayed_open", "default_metadata",
+    )
+    out = {name: values.get(name) for name in same} | {"anonymous": True if kind == "ANONYMOUS" else None, "proxy_options": proxy}
+    if kind == "EXPLICIT":
+        out |= {name: values.get(name) for name in ("access_key", "secret_key", "session_token")}
+    elif kind == "ROLE":
+        out |= {name: values.get(name) for name in ("role_arn", "session_name", "external_id", "load_frequency")}
+    if values.get("sse_customer_key"):
+        raise ConfigError("sse_customer_key has no effect where tasks open S3 files themselves")
+    return out
+
+
+def _arrow_gcs(values: Mapping[str, Any]) -> dict[str, Any]:
+    cred = values.get("credentials") or {}
+    if cred.get("json_credentials"):
+        raise ConfigError("json_credentials have no effect where tasks open GCS files themselves; use the nodes' default credentials")
+    same = ("endpoint_override", "scheme", "default_bucket_location", "default_metadata", "project_id")
+    out = {name: values.get(name) for name in same}
+    out |= {"anonymous": cred.get("anonymous") or None, "target_service_account": cred.get("target_service_account")}
+    if values.get("retry_limit_seconds"):
+        from datetime import timedelta
+
+        out["retry_time_limit"] = timedelta(seconds=values["retry_limit_seconds"])
+    return out
+
+
+def _arrow_azure(values: Mapping[str, Any]) -> dict[str, Any]:
+    cred = values.get("credentials") or {}
+    kind = enum("filesystem_options.azure.credentials", cred.get("kind", "DEFAULT"), "AZURE_CREDENTIAL_KIND_", AZURE_CREDENTIALS)
+    same = ("account_name", "blob_storage_authority", "dfs_storage_authority", "blob_storage_scheme", "dfs_storage_scheme")
+    out = {name: values.get(name) for name in same}
+    if kind == "STORAGE_SHARED_KEY":
+        out["account_key"] = cred["storage_shared_key"]
+    elif kind == "SAS_TOKEN":
+        out["sas_token"] = cred["sas_token"]
+    elif kind == "CLIENT_SECRET":
+        out |= {name: cred[name] for name in ("tenant_id", "client_id", "client_secret")}
+    elif kind in ("MANAGED_IDENTITY", "WORKLOAD_IDENTITY"):
+        out["client_id"] = cred.get("client_id")
+    return out
+
+
+def _arrow_hdfs(values: Mapping[str, Any]) -> dict[str, Any]:
+    conn = values.get("connection_config") or {}
+    out = {name: conn.get(name) for name in ("host", "port", "user", "kerb_ticket", "extra_conf")}
+    return out | {name: values.get(name) for name in ("buffer_size", "replication", "default_block_size")}
+
+
 def _spark_uri(path: str) -> str:
     for scheme in ("s3://", "s3n://"):
         if path.startswith(scheme):
@@ -178,6 +260,13 @@ def _settings(pairs) -> dict[str, str]:
     return out
 
 
+def _refuse(store: str, values: Mapping[str, Any], *names: str) -> None:
+    """Options that no client here can use are an error, not a silent loss."""
+    for name in names:
+        if values[name] not in (None, False, "", {}, []):
+            raise ConfigError(f"filesystem_options.{store}.{name} has no effect in Spark's client of this store")
+
+
 def _s3_settings(values: Mapping[str, Any]) -> dict[str, str]:
     known = {
         "smart_defaults": "", "region": "", "connect_timeout": None, "request_timeout": None,
@@ -191,6 +280,7 @@ def _s3_settings(values: Mapping[str, Any]) -> dict[str, str]:
     }
     v = section("filesystem_options.s3", values, known)
     kind = enum("filesystem_options.s3", v["credentials_kind"], "S3_CREDENTIALS_KIND_", S3_CREDENTIALS)
+    _refuse("s3", v, "smart_defaults", "allow_bucket_creation", "allow_bucket_deletion")
     proxy = section(
         "filesystem_options.s3.proxy_options",
         v["proxy_options"],
@@ -251,11 +341,13 @@ def _gcs_settings(values: Mapping[str, Any]) -> dict[str, str]:
         "retry_limit_seconds": None, "default_metadata": {}, "project_id": "",
     }
     v = section("filesystem_options.gcs", values, known)
+    _refuse("gcs", v, "default_bucket_location", "default_metadata")
     cred = section(
         "filesystem_options.gcs.credentials",
         v["credentials"],
         {"anonymous": False, "access_token": "", "expiration": None, "target_service_account": "", "json_credentials": ""},
     )
+    _refuse("gcs.credentials", cred, "expiration")
     pairs = []
     if cred["anonymous"]:
         pairs.append(("fs.gs.auth.type", "UNAUTHENTICATED"))
@@ -292,6 +384,7 @@ def _azure_settings(values: Mapping[str, Any]) -> dict[str, str]:
     v = section("filesystem_options.azure", values, known)
     if not v["account_name"]:
         raise ConfigError("azure options need account_name")
+    _refuse("azure", v, "default_metadata")
     cred = section(
         "filesystem_options.azure.credentials",
         v["credentials"],

@@ -246,3 +246,36 @@ def test_dictionary_ways_agree(spark):
 def test_events_payloads(spark):
     events = spark.read.parquet(f"{SMALL}/events.parquet").select(F.encode("props", "UTF-8").alias("payload"))
     assert payload.drop_empty(events).count() == events.count()
+
+
+def test_reads_stop_at_max_bytes(spark, tmp_path, monkeypatch):
+    """A sparse file of 3 GiB: no more than asked is read, and in chunks it has no largest size."""
+    import os
+
+    path = tmp_path / "large.bin"
+    with open(path, "wb") as out:
+        out.write(b"0123456789" * 20)
+        os.truncate(out.fileno(), 3 << 30)
+    head = read_files(spark, {"path": str(path), "max_bytes": 100})
+    assert [bytes(r.payload) for r in head.collect()] == [b"0123456789" * 10]
+    pieces = read_files(spark, {"path": str(path), "chunk_bytes": 128 << 20})
+    assert pieces.rdd.getNumPartitions() == 24
+    assert sorted(r[0] for r in pieces.select("offset").collect()) == [k * (128 << 20) for k in range(24)]
+    with pytest.raises(Exception, match="too large for one payload"):
+        read_files(spark, {"path": str(path)}).collect()
+
+
+@pytest.mark.parametrize("limit", [0, 25])
+def test_chunks_of_files(spark, tmp_path, limit):
+    data = bytes(range(97))
+    (tmp_path / "a.bin").write_bytes(data)
+    (tmp_path / "b.gz").write_bytes(gzip.compress(data[:50]) + gzip.compress(data[50:]))
+    (tmp_path / "c.bin").write_bytes(b"")
+    found = read_files(spark, {"path": str(tmp_path), "compression": "AUTO", "chunk_bytes": 10, "max_bytes": limit}).collect()
+    for name in ("a.bin", "b.gz"):
+        parts = sorted((r.offset, bytes(r.payload)) for r in found if r.path.endswith(name))
+        assert b"".join(p for _, p in parts) == data[: limit or None]
+        assert [o for o, _ in parts] == list(range(0, limit or 97, 10)) and all(len(p) == 10 for _, p in parts[:-1])
+    assert not [r for r in found if r.path.endswith("c.bin")]
+    whole = {r.path.rpartition("/")[2]: bytes(r.payload) for r in read_files(spark, {"path": str(tmp_path), "compression": "AUTO"}).collect()}
+    assert whole == {"a.bin": data, "b.gz": data}  # an empty file has no bytes to send on

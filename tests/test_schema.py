@@ -92,3 +92,52 @@ def test_casts_that_fail_are_errors(spark):
 
 def test_describe_gives_rows(spark, sample):
     assert rows(describe(sample).select("position", "column_name", "type")) == [(0, "id", "int64"), (1, "name", "string")]
+
+
+@pytest.mark.parametrize(
+    "path, options, wanted",
+    [
+        ("s3://b/x", {"s3": {"region": "eu", "connect_timeout": 2.5, "scheme": "http", "endpoint_override": "h:1", "credentials_kind": "ANONYMOUS"}},
+         {"kind": "s3", "region": "eu", "connect_timeout": 2.5, "scheme": "http", "endpoint_override": "h:1", "anonymous": True}),
+        ("s3://b/x", {"s3": {"credentials_kind": "EXPLICIT", "access_key": "a", "secret_key": "s", "background_writes": False}},
+         {"kind": "s3", "access_key": "a", "secret_key": "s", "background_writes": False}),
+        ("s3a://b/x", {"s3": {"credentials_kind": "ROLE", "role_arn": "arn", "proxy_options": {"host": "p", "port": 3, "scheme": "http"}}},
+         {"kind": "s3", "role_arn": "arn", "proxy_options": {"host": "p", "port": 3, "scheme": "http"}}),
+        ("gs://b/x", {"gcs": {"credentials": {"anonymous": True}, "project_id": "p"}}, {"kind": "gcs", "anonymous": True, "project_id": "p"}),
+        ("abfss://c@a.dfs.core.windows.net/x", {"azure": {"account_name": "a", "credentials": {"kind": "STORAGE_SHARED_KEY", "storage_shared_key": "k"}}},
+         {"kind": "azure", "account_name": "a", "account_key": "k"}),
+        ("abfss://c@a.dfs.core.windows.net/x", {"azure": {"account_name": "a", "credentials": {"kind": "SAS_TOKEN", "sas_token": "t"}}},
+         {"kind": "azure", "account_name": "a", "sas_token": "t"}),
+        ("hdfs://n:8020/x", {"hdfs": {"connection_config": {"host": "n", "port": 8020, "user": "u"}, "replication": 2}},
+         {"kind": "hdfs", "host": "n", "port": 8020, "user": "u", "replication": 2}),
+        ("/x", {}, None),
+    ],
+)
+def test_store_options_for_tasks(path, options, wanted):
+    from millrace.storage import arrow_store, common_section
+
+    assert arrow_store(path, common_section("t", {"filesystem_options": options})) == wanted
+
+
+@pytest.mark.parametrize(
+    "options",
+    [
+        {"s3": {"smart_defaults": "standard"}}, {"s3": {"allow_bucket_creation": True}}, {"gcs": {"default_bucket_location": "eu"}},
+        {"gcs": {"credentials": {"expiration": 5}}}, {"azure": {"account_name": "a", "default_metadata": {"k": "v"}}},
+    ],
+)
+def test_store_options_without_effect_are_refused(options):
+    from millrace.storage import arrow_store, common_section
+
+    path = {"s3": "s3://b/x", "gcs": "gs://b/x", "azure": "abfss://c@a.dfs.core.windows.net/x"}[next(iter(options))]
+    with pytest.raises(ConfigError, match="no effect"):
+        arrow_store(path, common_section("t", {"filesystem_options": options}))
+
+
+def test_tasks_open_a_store_with_its_options():
+    from pyarrow import fs
+
+    from millrace.storage import arrow_filesystem
+
+    found, path = arrow_filesystem("s3a://bucket/a b", {"kind": "s3", "region": "eu-west-1", "anonymous": True})
+    assert isinstance(found, fs.S3FileSystem) and found.region == "eu-west-1" and path == "bucket/a b"

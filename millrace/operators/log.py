@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from itertools import count as counter
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from millrace.errors import ConfigError
 from millrace.workdir import checkpointed
@@ -52,14 +55,71 @@ def log_trim(
     entry = F.col(id_column) if isinstance(id_column, str) else id_column
     order = [entry.desc_nulls_last(), *_ties(df)]
     if maxlen <= TOP_LIMIT:
-        salted = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns, F.monotonically_increasing_id()), F.lit(SALTS)))
-        for keys in ([stream, F.col("_salt")], [stream]):
+        salt, rank = _unused(df, "salt", "rank")
+        salted = df.withColumn(salt, F.pmod(F.xxhash64(*_named(df), F.monotonically_increasing_id()), F.lit(SALTS)))
+        for keys in ([stream, F.col(salt)], [stream]):
             newest = F.row_number().over(W.partitionBy(*keys).orderBy(*order))
-            salted = salted.withColumn("_rank", newest).where(F.col("_rank") <= maxlen)
-        return salted.drop("_salt", "_rank")
+            salted = salted.withColumn(rank, newest).where(F.col(rank) <= maxlen)
+        return salted.drop(salt, rank)
     return _first(df, stream, order, maxlen, exact=not approximate)
 
 
+def trim_stream(
+    entries: DataFrame, path: str, checkpoint: str, maxlen: int, stream_column: str = "stream", id_column: str | Column = "id"
+) -> StreamingQuery:
+    """Keep the newest ``maxlen`` entries of every stream below ``path`` while a streaming table brings more.
+
+    Each micro-batch is trimmed together with what the last one left, so that the state is no larger than its result; a
+    version is written per batch, and a batch that is run again starts from the same version and writes the same one.
+    The result after any number of batches and restarts is that of :func:`log_trim` over all entries so far.
+    """
+    if maxlen <= 0:
+        raise ConfigError("maxlen must be positive")
+    schema = entries.schema
+
+    def write(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        rows = batch
+        versions = sorted(n for n in _versions(spark, path) if n < number)
+        if versions:
+            rows = spark.read.schema(schema).parquet(_version(path, versions[-1])).unionAll(batch)
+        log_trim(rows, maxlen, False, stream_column, id_column).write.mode("overwrite").parquet(_version(path, number))
+        for old in versions[:-1]:  # the last one stays, for this batch run again
+            folder = spark._jvm.org.apache.hadoop.fs.Path(_version(path, old))
+            folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+    writer = entries.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
+    return writer.foreachBatch(write).start()
+
+
+def trimmed(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """What :func:`trim_stream` has kept so far."""
+    versions = _versions(spark, path)
+    return spark.read.schema(schema).parquet(_version(path, max(versions))) if versions else spark.createDataFrame([], schema)
+
+
+def _version(path: str, number: int) -> str:
+    return f"{path.rstrip('/')}/batch-{number:012d}"
+
+
+def _versions(spark: SparkSession, path: str) -> list[int]:
+    """Batches that were written to their end; there are two at most, and one that was not finished."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    filesystem = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    done = filesystem.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/batch-*/_SUCCESS")) or []
+    return [int(item.getPath().getParent().getName().removeprefix("batch-")) for item in done]
+
+
+def _unused(df: DataFrame, *wishes: str) -> list[str]:
+    """Column names that the table does not have."""
+    taken = {name.lower() for name in df.columns}
+    return [next(name for k in counter() if (name := f"_{wish}{k or ''}") not in taken) for wish in wishes]
+
+
+def _named(df: DataFrame) -> list[Column]:
+    return [F.col(f"`{name}`") for name in df.columns]
+
+
 def _ties(df: DataFrame) -> list[Column]:
     """All columns that sort: entries equal in them are the same entry for every purpose here."""
     return [F.col(f"`{f.name}`").asc_nulls_last() for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
@@ -72,22 +132,24 @@ def _first(df: DataFrame, key: Column, order: list[Column], count: int, exact: b
     parts even equal rows. Ranges are counted; all before the cutoff stay whole, and only the range that holds it is
     ranked: one range per key.
     """
-    columns = df.columns
-    rows = df.withColumns({"_key": key, "_place": F.monotonically_increasing_id()})
+    columns = _named(df)
+    of_key, place, part = _unused(df, "key", "place", "range")
     ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = rows.repartitionByRange(ranges, F.col("_key"), *order, F.col("_place")).withColumn("_range", F.spark_partition_id())
-    dealt = checkpointed(dealt)
-    counts = dealt.groupBy("_key", "_range").agg(F.count("*").alias("_rows"))
-    upto = F.sum("_rows").over(W.partitionBy("_key").orderBy("_range"))  # one row per range
-    needed = checkpointed(counts.withColumn("_upto", upto).where(F.col("_upto") - F.col("_rows") < count).select(
-        F.col("_key").alias("_of"), F.col("_range").alias("_in"), (F.lit(count) - F.col("_upto") + F.col("_rows")).alias("_need"),
-        (F.col("_upto") > count).alias("_cut")))
-    kept = dealt.join(needed, F.col("_key").eqNullSafe(F.col("_of")) & (F.col("_range") == F.col("_in")))
+    rows = df.withColumns({of_key: key, place: F.monotonically_increasing_id()})
+    dealt = checkpointed(rows.repartitionByRange(ranges, F.col(of_key), *order, F.col(place)).withColumn(part, F.spark_partition_id()))
+    of, within, need, cut, rank = _unused(df, "of", "in", "need", "cut", "rank")
+    counts = dealt.groupBy(F.col(of_key).alias(of), F.col(part).alias(within)).agg(F.count("*").alias("rows"))
+    upto = F.sum("rows").over(W.partitionBy(of).orderBy(within))  # one row per range
+    needed = counts.withColumn("upto", upto).where(F.col("upto") - F.col("rows") < count)
+    left = F.lit(count) - F.col("upto") + F.col("rows")
+    needed = checkpointed(needed.select(of, within, left.alias(need), (F.col("upto") > count).alias(cut)))
+    match = F.col(of_key).eqNullSafe(F.col(of)) & (F.col(part) == F.col(within))
+    whole = dealt.join(needed.where(~F.col(cut)) if exact else needed, match, "left_semi").select(*columns)
     if not exact:
-        return kept.select(*columns)
-    rank = F.row_number().over(W.partitionBy("_key", "_range").orderBy(*order))
-    last = kept.where("_cut").withColumn("_rank", rank).where("_rank <= _need")
-    return kept.where("NOT _cut").select(*columns).unionAll(last.select(*columns))
+        return whole
+    place_in = F.row_number().over(W.partitionBy(of_key, part).orderBy(*order))
+    last = dealt.join(needed.where(cut), match).withColumn(rank, place_in).where(F.col(rank) <= F.col(need))
+    return whole.unionAll(last.select(*columns))
 
 
 def queue_group(df: DataFrame, members: int, member: int, id_column: str = "id", hashed: bool = True) -> DataFrame:

@@ -27,10 +27,10 @@ def drop_empty(df: DataFrame, payload: str = "payload") -> DataFrame:
 
 
 def byte_cap(payload: str | Column = "payload", max_bytes: int = DATAGRAM_BYTES) -> Column:
-    """The first ``max_bytes`` bytes of a payload; zero means the datagram size."""
-    if max_bytes < 0:
-        raise ConfigError("max_bytes must not be negative")
-    return F.substring(payload, 1, max_bytes or DATAGRAM_BYTES)
+    """The first ``max_bytes`` bytes of a payload, by default as many as a datagram holds."""
+    if max_bytes <= 0:
+        raise ConfigError("max_bytes must be positive")
+    return F.substring(payload, 1, max_bytes)
 
 
 def byte_chunks(df: DataFrame, keys: list[str], payload: str = "payload", size: int = CHUNK_BYTES) -> DataFrame:
@@ -39,9 +39,8 @@ def byte_chunks(df: DataFrame, keys: list[str], payload: str = "payload", size:
     The chunks are cut before the rows are multiplied, so a long payload is not
     copied once per chunk.
     """
-    if size <= 0:
-        size = CHUNK_BYTES
-    size = min(size, MAX_CHUNK_BYTES)
+    if not 0 < size <= MAX_CHUNK_BYTES:
+        raise ConfigError(f"the size of chunks must be from 1 to {MAX_CHUNK_BYTES}")
     column = F.col(payload)
     count = F.ceil(F.octet_length(column) / size).cast("int")
     numbers = F.sequence(F.lit(0), count - 1)

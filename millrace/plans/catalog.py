@@ -14,10 +14,12 @@ from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.errors import ConfigError
 from millrace.functions.linear_model import linear_model
 from millrace.operators import images, inference, log, payload, tables
 from millrace.operators.compress import compress, decompress
-from millrace.operators.dictionary import dictionary_encode
+from millrace.operators.dictionary import StoredDictionary, dictionary_encode
+from millrace.plans import registry
 from millrace.plans.flow import run_flow
 from millrace.schema import apply_schema, column_spec, describe_schema, fits
 from millrace.session import prepare
@@ -367,12 +369,37 @@ def dict_encode_large(spark, folder):
     return dictionary_encode(table(spark, folder, "customer").select("c_custkey", "c_name"), "c_name", 1 << 30)
 
 
-@query("SELECT o_orderkey, o_orderpriority FROM orders")
+@query("SELECT o_orderkey, o_orderpriority, CAST(NULL AS INTEGER) AS o_orderpriority_code FROM orders")
 def dict_encode_plain(spark, folder):
-    """Above the cardinality limit the column stays as it is."""
+    """Above the cardinality limit the codes are null."""
     return dictionary_encode(table(spark, folder, "orders").select("o_orderkey", "o_orderpriority"), "o_orderpriority", 3)
 
 
+@query(
+    """WITH bounds AS (SELECT min(event_id) AS low, max(event_id) - min(event_id) + 1 AS n FROM events),
+    parts AS (SELECT event_id, props, (event_id - low) * 3 // n AS part FROM events, bounds),
+    codes AS (SELECT props, row_number() OVER (ORDER BY min(part), props) - 1 AS code FROM parts GROUP BY props)
+    SELECT event_id, props, CAST(CASE WHEN code < 80 THEN code END AS INTEGER) AS props_code FROM parts JOIN codes USING (props)"""
+)
+def dict_encode_stream(spark, folder):
+    """Codes given out batch by batch over a stream that is restarted; those after the 80th value are null."""
+    landed, out = fresh_dir(spark, "in"), fresh_dir(spark, "out")
+    events = table(spark, folder, "events").select("event_id", "props")
+    low, high = events.agg(F.min("event_id"), F.max("event_id")).first()
+    part = F.expr(f"(event_id - {low}) * 3 DIV {high - low + 1}")
+    codes = StoredDictionary(spark, fresh_dir(spark, "dictionary"), 80)
+
+    def write(batch, number):
+        codes.encode(batch, "props", number).write.mode("overwrite").parquet(f"{out}/batch={number}")
+
+    for third in range(3):
+        events.where(part == third).write.mode("append").parquet(landed)
+        stream = read_parquet(spark, {"path": landed}, streaming=True, schema=events.schema)
+        writer = stream.writeStream.option("checkpointLocation", out + "-checkpoint").trigger(availableNow=True)
+        writer.foreachBatch(write).start().awaitTermination()
+    return spark.read.parquet(out).select("event_id", "props", "props_code")
+
+
 # -------------------------------------------------------------------- JSON
 def _event_lines(spark, folder) -> DataFrame:
     return table(spark, folder, "events").select(
@@ -719,6 +746,18 @@ def log_trim_many(spark, folder):
     return log.log_trim(table(spark, folder, "events").select("event_id", "event_type"), 1500, False, "event_type", "event_id")
 
 
+@query(_TRIM_SQL.format(count=150))
+def log_trim_stream(spark, folder):
+    """The newest entries of every stream, kept up while the log grows; each run goes on from the last one's state."""
+    landed, kept = fresh_dir(spark, "log"), fresh_dir(spark, "trimmed")
+    events = table(spark, folder, "events").select("event_id", "event_type")
+    for part in range(3):
+        events.where(F.pmod(F.xxhash64("event_id"), F.lit(3)) == part).write.mode("append").parquet(landed)
+        stream = read_parquet(spark, {"path": landed}, streaming=True, schema=events.schema)
+        log.trim_stream(stream, kept, kept + "-checkpoint", 150, "event_type", "event_id").awaitTermination()
+    return log.trimmed(spark, kept, events.schema)
+
+
 _ID_KINDS = {
     "double": ("CAST(event_id DIV 3 AS DOUBLE) / 4", "CAST(event_id // 3 AS DOUBLE) / 4"),
     "timestamp": ("date_trunc('HOUR', ts)", "date_trunc('hour', ts)"),
@@ -830,6 +869,35 @@ def http_requests(spark, folder):
     return frame.withColumn("headers", F.array_join(lines, "; "))
 
 
+@query(
+    """SELECT event_id AS id, 'events.' || 'all' AS subject, CASE WHEN event_type = 'purchase' THEN '' ELSE props END AS payload
+    FROM events WHERE event_type <> 'purchase'"""
+)
+def jetstream_publish(spark, folder):
+    """Messages for a persistent subject; empty ones are left out."""
+    config = {"url": "nats://host:4222", "subject": "events.all"}
+    return _as_text(messages.nats_publish(event_payloads(spark, folder), config, ("id",), step="nats_jetstream_sink"))
+
+
+@query("SELECT event_type, max(event_id) AS event_id FROM events GROUP BY event_type")
+def file_replace_stream(spark, folder):
+    """A stream of payloads to files that are replaced: each path ends with its last payload, over two runs."""
+    landed, out = fresh_dir(spark, "in"), fresh_dir(spark, "files")
+    events = table(spark, folder, "events").select(
+        F.concat("event_type", F.lit(".txt")).alias("file"), "event_id", F.encode(F.col("event_id").cast("string"), "UTF-8").alias("payload"))
+    middle = events.agg(F.expr("(min(event_id) + max(event_id)) DIV 2")).first()[0]
+    registry.register_source("landed_payloads", lambda spark, config, streaming: spark.readStream.schema(events.schema).parquet(config["path"]), "payload")
+    flow = {"queues": [{"name": "q"}], "stages": [
+        {"name": "r", "type": "landed_payloads", "output_queue": "q", "config": {"path": landed}},
+        {"name": "w", "type": "file_sink", "input_queue": "q", "config": {"path": out, "order_by": "event_id", "path_column": "file"}},
+    ]}
+    for part in (F.col("event_id") <= middle, F.col("event_id") > middle):
+        events.where(part).write.mode("append").parquet(landed)
+        run_flow(spark, flow, streaming=True, checkpoint=out + "-checkpoint")
+    found = read_files(spark, {"path": out})
+    return found.select(F.regexp_extract("path", r"(\w+)\.txt$", 1).alias("event_type"), F.col("payload").cast("string").cast("bigint").alias("event_id"))
+
+
 @query("SELECT event_id AS id, props AS payload FROM events")
 def durable_resume(spark, folder):
     """Two runs over a growing folder with one checkpoint: every entry once."""
@@ -1090,6 +1158,26 @@ def flow_csv_parquet(spark, folder):
     return read_parquet(spark, {"path": target}, strict=False)
 
 
+@query("SELECT c_custkey, upper(c_name) AS c_name, c_acctbal FROM customer WHERE c_acctbal > 0")
+def flow_custom_stages(spark, folder):
+    """A source, a transform and a sink of one's own in a flow, with checks of their configurations."""
+    def positive(config):
+        if not isinstance(config.get("least"), (int, float)):
+            raise ConfigError("customers: least must be a number")
+
+    out = fresh_dir(spark, "custom")
+    registry.register_source("customers", lambda spark, config, streaming: table(spark, folder, "customer").where(F.col("c_acctbal") > config["least"]), check=positive)
+    registry.register_transform("shouted", lambda df, config: df.withColumn(config["column"], F.upper(config["column"])))
+    registry.register_sink("stored", lambda df, config: df.write.parquet(config["path"]))
+    flow = {"queues": [{"name": "a"}, {"name": "b"}], "stages": [
+        {"name": "s", "type": "customers", "output_queue": "a", "config": {"least": 0}},
+        {"name": "t", "type": "shouted", "input_queue": "a", "output_queue": "b", "config": {"column": "c_name"}},
+        {"name": "w", "type": "stored", "input_queue": "b", "config": {"path": out}},
+    ]}
+    run_flow(spark, flow)
+    return spark.read.parquet(out).select("c_custkey", "c_name", "c_acctbal")
+
+
 @query("SELECT * FROM orders")
 def flow_streaming(spark, folder):
     """The same pipeline over a folder as a stream, resumed once."""

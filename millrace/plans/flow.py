@@ -100,8 +100,9 @@ def run_flow(
     """Run every sink of a flow.
 
     Batch: returns when all is written. Streaming: takes what is there, keeps
-    positions below ``checkpoint``, and returns the finished queries; file sinks
-    write one folder per micro-batch, so a repeated batch replaces itself.
+    positions below ``checkpoint``, and returns the finished queries; sinks that
+    write files have one folder per micro-batch, so a repeated batch replaces
+    itself. A file sink without ``append`` leaves the last payload of each path.
     """
     prepare(spark)
     steps = check_flow(flow)
@@ -187,7 +188,8 @@ def _stream(rows: DataFrame, item: Mapping[str, Any], step, checkpoint: str):
 
     def write(batch: DataFrame, number: int) -> None:
         folder = dict(config)
-        if "path" in folder:
+        # A payload of a file sink replaces the file, whatever batch it comes in.
+        if "path" in folder and not (name == "file_sink" and not folder.get("append")):
             folder["path"] = f"{folder['path'].rstrip('/')}/batch-{number:012d}"
         step.run(batch, folder)
 

@@ -11,20 +11,20 @@ from pyspark.sql import functions as F
 
 from millrace.errors import ConfigError
 from millrace.operators.images import encode_images, read_images, resize_config, resize_images
-from millrace.operators.inference import infer_images
+from millrace.operators.inference import inference_config, infer_images
 from millrace.sinks import messages
 from millrace.sinks.csv import csv_sink_config, write_csv
 from millrace.sinks.files import files_config, write_files
 from millrace.sinks.orc import orc_sink_config, write_orc
 from millrace.sinks.parquet import parquet_sink_config, write_parquet
 from millrace.sources.csv import csv_config, read_csv
-from millrace.sources.files import read_files
+from millrace.sources.files import file_config, read_files
 from millrace.sources.json import json_config, read_json
 from millrace.sources.kafka import kafka_options, read_kafka
-from millrace.sources.orc import read_orc
+from millrace.sources.orc import orc_config, read_orc
 from millrace.sources.parquet import parquet_config, read_parquet
 from millrace.storage import use_storage
-from millrace.streaming.log_source import read_jetstream, read_redis_stream
+from millrace.streaming.log_source import jetstream_config, read_jetstream, read_redis_stream, redis_stream_source_config
 from millrace.streaming.publish import publish
 
 SOURCE, TRANSFORM, SINK = "source", "transform", "sink"
@@ -125,13 +125,13 @@ def _register_built_in() -> None:
     register_source("csv_source", read_csv, check=csv_config)
     register_source("json_source", read_json, check=json_config)
     register_source("parquet_source", read_parquet, check=parquet_config)
-    register_source("orc_source", read_orc)
-    register_source("file_source", read_files, gives=PAYLOAD)
+    register_source("orc_source", read_orc, check=orc_config)
+    register_source("file_source", read_files, gives=PAYLOAD, check=file_config)
     register_source("kafka_source", read_kafka, gives=PAYLOAD, check=kafka_options)
-    register_source("jetstream_source", read_jetstream, gives=PAYLOAD)
-    register_source("redis_stream_source", read_redis_stream, gives=PAYLOAD)
+    register_source("jetstream_source", read_jetstream, gives=PAYLOAD, check=jetstream_config)
+    register_source("redis_stream_source", read_redis_stream, gives=PAYLOAD, check=redis_stream_source_config)
     register_transform("resize_letterbox", _resize, takes=IMAGE, gives=IMAGE, check=resize_config)
-    register_transform("dnn_inference", _infer, takes=IMAGE, gives=PAYLOAD)
+    register_transform("dnn_inference", _infer, takes=IMAGE, gives=PAYLOAD, check=inference_config)
     register_sink("csv_sink", write_csv, check=csv_sink_config)
     register_sink("parquet_sink", write_parquet, check=parquet_sink_config)
     register_sink("orc_sink", write_orc, check=orc_sink_config)

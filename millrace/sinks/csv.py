@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from millrace.config import enum, one_char, require, section
 from millrace.errors import ConfigError
 from millrace.sinks.files import save_payloads
-from millrace.storage import common_section, resolve_codec, stream_codec, use_storage
+from millrace.storage import arrow_store, common_section, resolve_codec, stream_codec, use_storage
 
 STEP = "csv_sink"
 QUOTING = ("NEEDED", "ALL_VALID", "NONE")
@@ -64,12 +64,13 @@ def write_csv(df: DataFrame, config: Mapping[str, Any]) -> None:
         line = F.when(first, F.concat(F.lit(header + opts["eol"]), line)).otherwise(line)
     rows = Observation()
     lines = df.select(line.alias("value")).observe(rows, F.count(F.lit(1)).alias("n"))
-    _write_lines(lines, path, codec, opts["eol"], cfg["append"])
+    store = arrow_store(cfg["path"], cfg["common"])
+    _write_lines(lines, path, codec, opts["eol"], cfg["append"], store)
     if opts["include_header"] and rows.get["n"] == 0:
-        _write_lines(df.sparkSession.createDataFrame([(header,)], "value string"), path, codec, opts["eol"], cfg["append"])
+        _write_lines(df.sparkSession.createDataFrame([(header,)], "value string"), path, codec, opts["eol"], cfg["append"], store)
 
 
-def _write_lines(lines: DataFrame, path: str, codec: str, eol: str, append: bool) -> None:
+def _write_lines(lines: DataFrame, path: str, codec: str, eol: str, append: bool, store: dict | None = None) -> None:
     if codec in _TEXT_CODECS:
         lines.write.mode("append" if append else "overwrite").options(
             lineSep=eol, compression=_TEXT_CODECS[codec], maxRecordsPerFile="0"
@@ -88,7 +89,7 @@ def _write_lines(lines: DataFrame, path: str, codec: str, eol: str, append: bool
         lines.sparkSession.createDataFrame([], "value string").write.mode("overwrite").text(path)
     payloads = lines.mapInArrow(join, "path string, payload binary")
     suffix = {"zstd": ".csv.zst", "lz4": ".csv.lz4", "brotli": ".csv.br"}[name]
-    save_payloads(payloads, path, "PARTS", name, suffix=suffix)
+    save_payloads(payloads, path, "PARTS", name, suffix=suffix, store=store)
 
 
 def csv_header(columns: list[str], opts: Mapping[str, Any]) -> str:

@@ -38,6 +38,7 @@ def redis_settings(step: str, cfg: Mapping[str, Any]) -> dict[str, Any]:
         "password": cfg["password"],
         "database": cfg["database"],
         "connect_ms": REDIS_CONNECT_MS,
+        "command_ms": cfg.get("command_timeout_ms") or None,
     }
 
 
@@ -92,6 +93,7 @@ def redis_stream_config(config: Mapping[str, Any]) -> dict[str, Any]:
         {**_REDIS_FIELDS, "stream": "", "field_name": "", "maxlen": 0, "maxlen_approx": False, "id": "", "command_timeout_ms": 0},
     )
     require("redis_stream_sink", cfg, "stream")
+    non_negative("redis_stream_sink", cfg, "command_timeout_ms")
     return cfg | {"settings": redis_settings("redis_stream_sink", cfg)}
 
 
@@ -114,6 +116,7 @@ def redis_publish(df: DataFrame, config: Mapping[str, Any], keys: tuple[str, ...
 def redis_pubsub_config(config: Mapping[str, Any]) -> dict[str, Any]:
     cfg = section("redis_pubsub_sink", config, {**_REDIS_FIELDS, "channel": "", "command_timeout_ms": 0})
     require("redis_pubsub_sink", cfg, "channel")
+    non_negative("redis_pubsub_sink", cfg, "command_timeout_ms")
     return cfg | {"settings": redis_settings("redis_pubsub_sink", cfg)}
 
 

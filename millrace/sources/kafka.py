@@ -51,10 +51,20 @@ def kafka_options(config: Mapping[str, Any]) -> dict[str, str]:
     return options
 
 
-def read_kafka(spark: SparkSession, config: Mapping[str, Any], streaming: bool = True) -> DataFrame:
-    """Message values as ``payload``. Needs Spark's Kafka package on the class path."""
+def kafka_batch_options(config: Mapping[str, Any]) -> dict[str, str]:
+    """The same for a batch read. Spark has no batch that starts at the end, where nothing would be left to read."""
+    named = config.get("auto_offset_reset") or (config.get("consumer_config") or {}).get("auto.offset.reset")
     options = kafka_options(config)
+    if named and options["startingOffsets"] == "latest":
+        raise ConfigError(f"{STEP}: a batch read from the latest offset has no messages; use earliest, or read a stream")
+    return options | {"startingOffsets": "earliest", "endingOffsets": "latest"}
+
+
+def read_kafka(spark: SparkSession, config: Mapping[str, Any], streaming: bool = True) -> DataFrame:
+    """Message values as ``payload``. Needs Spark's Kafka package on the class path.
+
+    A batch read takes what the topic holds, so that it starts with the earliest message; ``latest`` is an error there.
+    """
+    options = kafka_options(config) if streaming else kafka_batch_options(config)
     reader = spark.readStream if streaming else spark.read
-    if not streaming:
-        options["startingOffsets"] = "earliest"
     return reader.format("kafka").options(**options).load().select(F.col("value").alias("payload"))

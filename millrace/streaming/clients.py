@@ -75,7 +75,7 @@ class RedisClient:
             password=settings["password"] or None,
             db=settings["database"],
             socket_connect_timeout=settings["connect_ms"] / 1000,
-            socket_timeout=(settings.get("command_ms") or 0) / 1000 or None,
+            socket_timeout=settings["command_ms"] and settings["command_ms"] / 1000,
         )
         self._pipe = self._redis.pipeline(transaction=False)
         self._waiting = 0
@@ -121,6 +121,10 @@ class RedisStreamLog:
         last = self._redis.xrevrange(self._stream, count=1)
         return self._position(last[0][0]) if last else 0
 
+    def first(self, start: int) -> int | None:
+        found = self._redis.xrange(self._stream, self._id(start + 1), "+", count=1)
+        return self._position(found[0][0]) if found else None
+
     def read(self, start: int, end: int) -> Iterator[tuple[str, list[tuple[str, bytes]]]]:
         while start < end:
             page = self._redis.xrange(self._stream, self._id(start + 1), self._id(end), count=self._page)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterator, Mapping
 from typing import Any
 
@@ -11,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
 from millrace.config import non_negative, require, section
+from millrace.errors import ConfigError
 from millrace.operators.payload import field_extract
 from millrace.session import prepare
 from millrace.sinks.messages import NATS_URL, redis_settings
@@ -43,8 +45,10 @@ def read_log(
     ``read(start, end)``, ``ack(end)`` and ``close()``. Offsets are positions in
     the log and live in the query's checkpoint: after a failure the same range
     is read again. ``start`` is a position or ``$`` for the end of the log, which
-    is looked up once. A range is cut into ``partitions`` tasks;
-    ``max_positions`` bounds the range of one micro-batch.
+    is looked up once. A micro-batch takes what the log holds when it is planned,
+    so that a run over what is available leaves nothing; it is cut into at least
+    ``partitions`` tasks, between the first entry that is there and the end, and
+    with ``max_positions`` into tasks of at most so many positions.
     """
     prepare(spark).dataSource.register(MessageLog)
     reader = spark.readStream if streaming else spark.read
@@ -59,21 +63,15 @@ def read_log(
     )
 
 
-def read_jetstream(spark: SparkSession, config: Mapping[str, Any], streaming: bool = True, client: str | None = None) -> DataFrame:
-    """Messages of a JetStream subject as ``(id, payload)``."""
+def jetstream_config(config: Mapping[str, Any]) -> dict[str, Any]:
     step = "nats_jetstream_source"
     cfg = section(step, config, {"url": "", "subject": "", "stream_name": "", "durable_name": "", "poll_timeout_ms": 0})
     require(step, cfg, "subject")
-    settings = {**cfg, "url": cfg["url"] or NATS_URL}
-    log = read_log(spark, client or "millrace.streaming.clients:JetStreamLog", settings, streaming)
-    return log.select("id", field_extract("fields").alias("payload")).where("payload IS NOT NULL")
-
+    non_negative(step, cfg, "poll_timeout_ms")
+    return cfg
 
-def read_redis_stream(spark: SparkSession, config: Mapping[str, Any], streaming: bool = True, client: str | None = None) -> DataFrame:
-    """Entries of a Redis stream as ``(id, payload)``: the named field, or the first.
 
-    Entries without the field are skipped; every fetched entry is used.
-    """
+def redis_stream_source_config(config: Mapping[str, Any]) -> dict[str, Any]:
     step = "redis_stream_source"
     cfg = section(
         step,
@@ -83,7 +81,26 @@ def read_redis_stream(spark: SparkSession, config: Mapping[str, Any], streaming:
     )
     require(step, cfg, "stream")
     non_negative(step, cfg, "block_timeout_ms", "count")
-    settings = redis_settings(step, cfg) | {"stream": cfg["stream"], "count": cfg["count"], "block_ms": cfg["block_timeout_ms"]}
+    if not re.fullmatch(r"\$|\d+(-\d+)?", cfg["start_id"]):
+        raise ConfigError(f"{step}: start_id is $, milliseconds, or milliseconds-number, got {cfg['start_id']}")
+    return cfg | {"settings": redis_settings(step, cfg)}
+
+
+def read_jetstream(spark: SparkSession, config: Mapping[str, Any], streaming: bool = True, client: str | None = None) -> DataFrame:
+    """Messages of a JetStream subject as ``(id, payload)``."""
+    cfg = jetstream_config(config)
+    settings = {**cfg, "url": cfg["url"] or NATS_URL}
+    log = read_log(spark, client or "millrace.streaming.clients:JetStreamLog", settings, streaming)
+    return log.select("id", field_extract("fields").alias("payload")).where("payload IS NOT NULL")
+
+
+def read_redis_stream(spark: SparkSession, config: Mapping[str, Any], streaming: bool = True, client: str | None = None) -> DataFrame:
+    """Entries of a Redis stream as ``(id, payload)``: the named field, or the first.
+
+    Entries without the field are skipped; every fetched entry is used.
+    """
+    cfg = redis_stream_source_config(config)
+    settings = cfg["settings"] | {"stream": cfg["stream"], "count": cfg["count"], "block_ms": cfg["block_timeout_ms"]}
     start = cfg["start_id"]
     if start != "$" and "-" in start:
         ms, _, number = start.partition("-")
@@ -140,10 +157,21 @@ class _Log:
         """The positions after ``start`` up to ``end``, in about equal ranges."""
         if end <= start:
             return []
-        parts = min(self.parts, end - start)
+        if end - start > self.parts:
+            start = max(start, self._before_first(start))
+        parts = min(max(self.parts, -(-(end - start) // self.max_positions) if self.max_positions else 0), end - start)
         edges = [start + (end - start) * i // parts for i in range(parts + 1)]
         return [LogRange(low, high) for low, high in zip(edges, edges[1:])]
 
+    def _before_first(self, start: int) -> int:
+        """The position before the first entry after ``start``, where the client can tell: real ids start far from zero."""
+        client = self.connect()
+        try:
+            first = client.first(start) if hasattr(client, "first") else None
+        finally:
+            client.close()
+        return start if first is None else first - 1
+
     def read(self, partition: LogRange) -> Iterator[pa.RecordBatch]:
         client = self.connect()
         try:
@@ -169,21 +197,13 @@ class LogReader(_Log, DataSourceReader):
 
 
 class LogStreamReader(_Log, DataSourceStreamReader):
-    planned: int | None = None
-
     def initialOffset(self) -> dict:
         return {"position": str(self.first())}
 
     def latestOffset(self) -> dict:
-        end = self.tail()
-        if self.max_positions:
-            if self.planned is None:
-                self.planned = self.first()
-            end = min(end, self.planned + self.max_positions)
-        return {"position": str(end)}
+        return {"position": str(self.tail())}
 
     def partitions(self, start: dict, end: dict):
-        self.planned = int(end["position"])
         return self.ranges(int(start["position"]), int(end["position"]))
 
     def commit(self, end: dict) -> None:

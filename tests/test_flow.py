@@ -202,3 +202,14 @@ def test_messages_through_a_flow(spark, tmp_path):
     }
     with pytest.raises(Exception):  # the client is not told where to keep them
         run_flow(spark, flow)
+
+
+@pytest.mark.parametrize(
+    "name", ["csv_source", "json_source", "parquet_source", "orc_source", "file_source", "kafka_source", "jetstream_source", "redis_stream_source",
+             "resize_letterbox", "dnn_inference", "csv_sink", "parquet_sink", "orc_sink", "file_sink", "kafka_sink", "redis_stream_sink",
+             "redis_pubsub_sink", "nats_sink", "jetstream_sink", "http_sink"])
+def test_every_step_is_checked_before_a_flow_runs(name):
+    with pytest.raises(ConfigError):
+        registry.step(name).check({"nonsense": 1})
+    with pytest.raises(ConfigError):
+        registry.step(name).check({})

@@ -154,18 +154,54 @@ def test_reading_a_log(spark):
 
 
 def test_ranges_cover_a_log_once():
-    reader = LogReader({"client": "x:y", "settings": "{}", "partitions": "4"})
+    reader = LogReader({"client": "fake_clients:StreamLog", "settings": "{}", "partitions": "4"})
     for start, end in ((0, 0), (0, 1), (5, 8), (0, 10**30)):
         parts = reader.ranges(start, end)
         edges = [start, *[p.end for p in parts]]
         assert [p.start for p in parts] == edges[:-1] and edges[-1] == end
 
 
-def test_micro_batches_are_bounded():
-    reader = LogStreamReader({"client": "fake_clients:StreamLog", "settings": "{}", "maxPositions": "10"})
-    assert reader.initialOffset() == {"position": "0"} and reader.latestOffset() == {"position": "10"}
-    reader.partitions({"position": "0"}, {"position": "10"})
-    assert reader.latestOffset() == {"position": "20"}
+def test_tasks_are_bounded_and_a_batch_is_whole():
+    reader = LogStreamReader({"client": "fake_clients:Sequence", "settings": "{}", "maxPositions": "10", "partitions": "2"})
+    assert reader.initialOffset() == {"position": "0"} and reader.latestOffset() == {"position": "1100"}
+    parts = reader.partitions({"position": "0"}, reader.latestOffset())
+    assert [p.start for p in parts] == [999, *[p.end for p in parts][:-1]] and parts[-1].end == 1100
+    assert all(p.end - p.start <= 10 for p in parts)
+
+
+def test_a_run_over_what_is_available_leaves_nothing(spark, tmp_path):
+    found = read_log(spark, "fake_clients:Sequence", {}, max_positions=7).select("id")
+    writer = found.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "positions"))
+    writer.trigger(availableNow=True).start(str(tmp_path / "out")).awaitTermination()
+    assert rows(spark.read.parquet(str(tmp_path / "out"))) == sorted((str(k),) for k in range(1000, 1101))
+
+
+def test_ranges_of_real_ids_are_of_about_equal_size():
+    """Ids of milliseconds and a number lie far from zero: ranges are cut between the first and the last that is there."""
+    start = 1_700_000_000_000
+    reader = LogReader({"client": "fake_clients:Sequence", "settings": json.dumps({"from": start << 64, "to": (start + 3_600_000) << 64}), "partitions": "8"})
+    parts = reader.ranges(0, (start + 3_600_000) << 64)
+    spans = [(p.end - p.start) >> 64 for p in parts]
+    assert len(parts) == 8 and max(spans) - min(spans) <= 1
+
+
+def test_command_timeouts_reach_the_client():
+    for call, more in ((messages.redis_stream_config, {"stream": "s"}), (messages.redis_pubsub_config, {"channel": "c"})):
+        assert call({**more, "command_timeout_ms": 250})["settings"]["command_ms"] == 250
+        assert call(more)["settings"]["command_ms"] is None
+        with pytest.raises(ConfigError):
+            call({**more, "command_timeout_ms": -1})
+
+
+def test_batch_reads_of_a_topic_start_at_the_beginning():
+    from millrace.sources.kafka import kafka_batch_options
+
+    config = {"brokers": "b", "topic": "t", "group_id": "g"}
+    for more in ({}, {"auto_offset_reset": "earliest"}, {"consumer_config": {"auto.offset.reset": "beginning"}}):
+        assert kafka_batch_options(config | more)["startingOffsets"] == "earliest"
+    for more in ({"auto_offset_reset": "latest"}, {"consumer_config": {"auto.offset.reset": "end"}}):
+        with pytest.raises(ConfigError, match="batch read"):
+            kafka_batch_options(config | more)
 
 
 def test_streamed_log_resumes(spark, tmp_path):

@@ -14,7 +14,7 @@ from conftest import SMALL, rows
 from millrace.errors import ConfigError
 from millrace.operators import log, payload
 from millrace.operators.compress import compress, decompress
-from millrace.operators.dictionary import dictionary_encode
+from millrace.operators.dictionary import StoredDictionary, dictionary_encode
 from millrace.sinks.files import write_files
 from millrace.sources.files import read_files
 from millrace.sources.lines import split_records
@@ -100,8 +100,13 @@ def test_caps_and_chunks(spark):
     assert sorted((r.ord, r.chunk_no, bytes(r.chunk)) for r in chunks.collect()) == [
         (0, 0, b"1234"), (0, 1, b"5"), (2, 0, b"1234"), (2, 1, b"5678"), (2, 2, b"90")
     ]
-    assert payload.byte_chunks(payloads(spark, b"x" * 3_000_000), ["ord"], size=1 << 30).count() == 3
-    assert payload.byte_chunks(payloads(spark, b"x" * 3_000_000), ["ord"], size=0).count() == 46
+    assert payload.byte_chunks(payloads(spark, b"x" * 3_000_000), ["ord"], size=1 << 20).count() == 3
+    assert payload.byte_chunks(payloads(spark, b"x" * 3_000_000), ["ord"]).count() == 46
+    for size in (0, -1, (1 << 20) + 1):
+        with pytest.raises(ConfigError):
+            payload.byte_chunks(df, ["ord"], size=size)
+    with pytest.raises(ConfigError):
+        payload.byte_cap("payload", 0)
     plan = chunks._jdf.queryExecution().toString()
     assert "Generate posexplode" in plan and "[ord" in plan
 
@@ -238,9 +243,12 @@ def test_dictionary_ways_agree(spark):
     for limit in (1000, 1 << 30):
         found = dictionary_encode(df, "v", limit)
         assert rows(found.select("id", "v_code")) == wanted
-    assert "v_code" not in dictionary_encode(df, "v", 400).columns
-    assert "v_code" in dictionary_encode(df, "v", len(values)).columns
-    assert "v_code" not in dictionary_encode(df, "v", len(values) - 1).columns
+    for limit in (400, len(values) - 1):
+        assert dictionary_encode(df, "v", limit).where("v_code IS NOT NULL").isEmpty()
+    assert not dictionary_encode(df, "v", len(values)).where("v_code IS NOT NULL").isEmpty()
+    assert dictionary_encode(df, "v", 400).schema == dictionary_encode(df, "v", len(values)).schema
+    with pytest.raises(ConfigError):
+        dictionary_encode(df.withColumnRenamed("id", "V_CODE"), "v", 5)
 
 
 def test_events_payloads(spark):
@@ -279,3 +287,70 @@ def test_chunks_of_files(spark, tmp_path, limit):
     assert not [r for r in found if r.path.endswith("c.bin")]
     whole = {r.path.rpartition("/")[2]: bytes(r.payload) for r in read_files(spark, {"path": str(tmp_path), "compression": "AUTO"}).collect()}
     assert whole == {"a.bin": data, "b.gz": data}  # an empty file has no bytes to send on
+
+
+# ---------------------------------------------------------- growing results
+def test_stored_codes_stay(spark, tmp_path):
+    """Batches with new, old and null values; a batch run again changes nothing; another process goes on."""
+    batches = [["b", "a", None, "b"], [], ["c", "a"], ["d", "é", "a\"'`", None]]
+    frames = [spark.createDataFrame([(v,) for v in values], "v string") for values in batches]
+    wanted = {}
+    for values in batches:
+        for value in sorted({v for v in values if v is not None} - set(wanted), key=lambda v: v.encode()):
+            wanted[value] = len(wanted)
+    for number, frame in enumerate(frames):
+        for _ in range(2):
+            found = StoredDictionary(spark, str(tmp_path / "d")).encode(frame, "v", number)
+            assert found.columns == ["v", "v_code"]
+            assert sorted(map(tuple, found.collect()), key=repr) == sorted(((v, wanted.get(v)) for v in batches[number]), key=repr)
+    again = StoredDictionary(spark, str(tmp_path / "d")).encode(frames[0], "v", 4, "code")
+    assert {r.code for r in again.collect()} == {wanted["a"], wanted["b"], None}
+    with pytest.raises(ConfigError):
+        StoredDictionary(spark, str(tmp_path / "d")).encode(spark.createDataFrame([("a", 1)], "v string, V_CODE int"), "v", 5)
+
+
+def test_trimming_a_stream(spark, tmp_path):
+    """Entries out of order, equal ids, null ids, over batches of one file each and two runs."""
+    rng = random.Random(2)
+    entries = [(rng.choice("ab"), rng.choice([None, *range(60)]), rng.random()) for _ in range(300)]
+    schema = "stream string, id int, value double"
+    whole = spark.createDataFrame(entries, schema)
+    (tmp_path / "in").mkdir()
+    for run in range(2):
+        for k in range(3):
+            part = entries[150 * run + 50 * k : 150 * run + 50 * k + 50]
+            spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        source = spark.readStream.schema(schema).option("maxFilesPerTrigger", "1").parquet(str(tmp_path / "in"))
+        log.trim_stream(source, str(tmp_path / "out"), str(tmp_path / "check"), 7).awaitTermination()
+        sofar = whole.limit(150 * run + 150)
+        assert rows(log.trimmed(spark, str(tmp_path / "out"), whole.schema)) == rows(log.log_trim(sofar, 7))
+
+
+@pytest.mark.parametrize("maxlen", [3, 2000])
+def test_columns_with_the_names_trimming_uses(spark, maxlen):
+    names = ["_rank", "_salt", "_key", "_place", "_range", "_need", "of", "in"]
+    df = spark.range(5000).selectExpr("'s' AS stream", "id", *[f"id + {k} AS `{name}`" for k, name in enumerate(names)])
+    found = log.log_trim(df, maxlen)
+    assert found.columns == df.columns
+    assert rows(found) == rows(df.where(f"id >= {5000 - maxlen}"))
+
+
+def test_moves_are_finished_by_another_job(spark, tmp_path, monkeypatch):
+    """The driver dies between the manifest and the moves, and again amid them."""
+    from millrace.sinks import files
+
+    staged = {}
+    real = files.finish_moves
+    monkeypatch.setattr(files, "finish_moves", lambda spark, staging, store=None: staged.update(at=staging))
+    df = spark.range(40).selectExpr("concat('f', id) AS file", "encode(cast(id AS string), 'UTF-8') AS payload")
+    write_files(df, {"path": str(tmp_path / "out")}, path_column="file")
+    assert not list(tmp_path.glob("out/*"))
+    lines = (tmp_path / staged["at"].rpartition("/")[2] / files.MANIFEST).read_text().splitlines()
+    assert len(lines) == 40
+    import json
+
+    files._move([(m["staged"], m["target"]) for m in map(json.loads, lines[:15])], None)
+    monkeypatch.setattr(files, "SMALL_MANIFEST", 1000)
+    real(spark, staged["at"])
+    assert {p.name: p.read_text() for p in tmp_path.glob("out/*")} == {f"f{k}": str(k) for k in range(40)}
+    assert not list(tmp_path.glob(".out*"))

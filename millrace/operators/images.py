@@ -10,6 +10,7 @@ from typing import Any
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,6 +26,7 @@ _ARROW_IMAGE = pa.struct(
      ("nChannels", pa.int32()), ("mode", pa.int32()), ("data", pa.binary())]
 )
 BATCH_BYTES = 64 << 20
+STACK_NUMBERS = 4 << 20  # numbers, before or after, that are resampled together
 _BGR_MODE = 16  # Fixed value: the mode code of three 8-bit channels in Spark's image schema.
 
 
@@ -108,24 +110,27 @@ def _cubic(distance: np.ndarray, sharpness: float = -0.75) -> np.ndarray:
 
 
 def resample(pixels: np.ndarray, height: int, width: int, method: str) -> np.ndarray:
-    """``(rows, columns, channels)`` pixels in another size; bytes stay bytes."""
-    rows, columns = pixels.shape[:2]
+    """``(rows, columns, channels)`` pixels, or a stack of them, in another size; bytes stay bytes.
+
+    The weights depend on the two sizes only, so that a stack takes as many array operations as one image.
+    """
+    rows, columns = pixels.shape[-3:-1]
     if (rows, columns) == (height, width):
         return pixels
     if method == "NEAREST":
-        return pixels[taps(rows, height, method)[0][:, 0]][:, taps(columns, width, method)[0][:, 0]]
+        return pixels.take(taps(rows, height, method)[0][:, 0], axis=-3).take(taps(columns, width, method)[0][:, 0], axis=-2)
     if method == "AREA" and (height > rows or width > columns):
         method = "AREA_UP"
-    result = _along_rows(pixels.astype(np.float64), height, method)
-    result = _along_rows(result.swapaxes(0, 1), width, method).swapaxes(0, 1)
+    result = _along(_along(pixels.astype(np.float64), -3, height, method), -2, width, method)
     if pixels.dtype == np.uint8:
         return np.clip(np.rint(result), 0, 255).astype(np.uint8)
     return result.astype(pixels.dtype)
 
 
-def _along_rows(values: np.ndarray, target: int, method: str) -> np.ndarray:
-    index, weight = taps(values.shape[0], target, method)
-    return sum(values[index[:, k]] * weight[:, k, None, None] for k in range(index.shape[1]))
+def _along(values: np.ndarray, axis: int, target: int, method: str) -> np.ndarray:
+    index, weight = taps(values.shape[axis], target, method)
+    shape = (-1, 1, 1) if axis == -3 else (-1, 1)
+    return sum(values.take(index[:, k], axis=axis) * weight[:, k].reshape(shape) for k in range(index.shape[1]))
 
 
 # ------------------------------------------------------------- operators
@@ -156,15 +161,15 @@ def resize_pixels(pixels: np.ndarray, cfg: Mapping[str, Any]) -> np.ndarray:
     height, width = cfg["output_height"], cfg["output_width"]
     if not cfg["letterbox"]:
         return resample(pixels, height, width, cfg["interpolation"])
-    new_width, new_height = fitted_size(pixels.shape[1], pixels.shape[0], width, height)
-    channels = pixels.shape[2]
+    new_width, new_height = fitted_size(pixels.shape[-2], pixels.shape[-3], width, height)
+    channels = pixels.shape[-1]
     color = np.array(cfg["pad_color"][:channels])
     if pixels.dtype == np.uint8:
         color = np.clip(np.rint(color), 0, 255)
-    canvas = np.empty((height, width, channels), pixels.dtype)
+    canvas = np.empty((*pixels.shape[:-3], height, width, channels), pixels.dtype)
     canvas[:] = color
     left, top = (width - new_width) // 2, (height - new_height) // 2
-    canvas[top:top + new_height, left:left + new_width] = resample(pixels, new_height, new_width, cfg["interpolation"])
+    canvas[..., top:top + new_height, left:left + new_width, :] = resample(pixels, new_height, new_width, cfg["interpolation"])
     return canvas
 
 
@@ -189,23 +194,106 @@ def map_images(df: DataFrame, image: str, output: str, kind: str, arrow_kind, co
     return needed.mapInArrow(run, schema)
 
 
+def map_stacks(df: DataFrame, image: str, output: str, kind: str, arrow_kind, size_of, make) -> DataFrame:
+    """Apply ``make`` to stacks of images, as column ``output``; images that are not valid give null.
+
+    Images of equal size are stacked, and ``make`` turns a stack into one flat result per image. ``size_of`` tells the
+    numbers of a result from an image's height and width, so that a batch is given back in slices of ``BATCH_BYTES``
+    whatever it grows into. ``arrow_kind`` builds a column from the results laid end to end.
+    """
+    kept = [name for name in df.columns if name != output]
+    needed = df.select(*kept, *([image] if image not in kept else []))
+    schema = T.StructType([*df.select(*kept).schema.fields, T.StructField(output, T.StructType.fromDDL(f"c {kind}")[0].dataType)])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            images = Images.of(batch.column(image))
+            sizes = np.where(images.valid, size_of(images.height, images.width), 0)
+            heavy = np.cumsum(np.maximum(sizes * make.width, images.ends - images.starts))
+            for low, high in _slices(heavy, BATCH_BYTES):
+                found = arrow_kind(images, low, high, sizes[low:high], images.results(low, high, sizes[low:high], make))
+                yield pa.RecordBatch.from_arrays([*(batch.column(name).slice(low, high - low) for name in kept), found], [*kept, output])
+
+    return needed.mapInArrow(run, schema)
+
+
+def _slices(heavy: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """Runs of rows that together have at most so many bytes, one row at least, from the running sum of their bytes."""
+    low, before = 0, 0
+    while low < len(heavy):
+        high = max(low + 1, int(np.searchsorted(heavy, before + most, side="right")))
+        yield low, high
+        low, before = high, int(heavy[high - 1])
+
+
+class Images:
+    """A column of image structs as arrays."""
+
+    def __init__(self, origin, height, width, channels, valid, flat, starts, ends):
+        self.origin, self.height, self.width, self.channels, self.valid = origin, height, width, channels, valid
+        self.flat, self.starts, self.ends = flat, starts, ends
+
+    @classmethod
+    def of(cls, column: pa.Array) -> Images:
+        parts = dict(zip((f.name for f in column.type), column.flatten()))  # a null struct has null fields
+        numbers = [pc.fill_null(parts[name], 0).to_numpy(zero_copy_only=False).astype(np.int64) for name in ("height", "width", "nChannels")]
+        data = parts["data"]
+        edges = np.frombuffer(data.buffers()[1], np.int64 if pa.types.is_large_binary(data.type) else np.int32)
+        edges = edges[data.offset : data.offset + len(data) + 1].astype(np.int64) if len(data) else np.zeros(1, np.int64)
+        flat = np.frombuffer(data.buffers()[2] or b"", np.uint8)
+        height, width, channels = numbers
+        valid = data.is_valid().to_numpy(zero_copy_only=False) & (np.minimum(np.minimum(height, width), channels) > 0)
+        valid &= np.isin(channels, (1, 3, 4)) & (edges[1:] - edges[:-1] == height * width * channels)
+        return cls(parts["origin"], height, width, channels, valid, flat, edges[:-1], edges[1:])
+
+    def results(self, low: int, high: int, sizes: np.ndarray, make) -> np.ndarray:
+        """The results of the rows from ``low`` to ``high``, end to end."""
+        places = np.cumsum(sizes) - sizes
+        out = np.empty(int(sizes.sum()), make.kind)
+        rows = low + np.flatnonzero(self.valid[low:high])
+        shapes = np.stack([self.height[rows], self.width[rows], self.channels[rows]], axis=1)
+        for shape in np.unique(shapes, axis=0) if len(rows) else ():
+            some = rows[(shapes == shape).all(axis=1)]
+            height, width, channels = shape.tolist()
+            numbers = max(height * width * channels, int(sizes[some[0] - low]))
+            for part in np.array_split(some, -(-len(some) * numbers // STACK_NUMBERS)):
+                stack = np.empty((len(part), height * width * channels), np.uint8)
+                for k, row in enumerate(part.tolist()):
+                    stack[k] = self.flat[self.starts[row] : self.ends[row]]
+                stack = stack.reshape(-1, height, width, channels)
+                stack = np.repeat(stack, 3, axis=3) if channels == 1 else stack[..., :3]
+                made = make(stack).reshape(len(part), -1)
+                for k, row in enumerate(part.tolist()):
+                    out[places[row - low] : places[row - low] + made.shape[1]] = made[k]
+        return out
+
+
+class _Make:
+    """What :func:`map_stacks` does with a stack, the type of its numbers and their bytes."""
+
+    def __init__(self, function, kind):
+        self.function, self.kind, self.width = function, kind, np.dtype(kind).itemsize
+
+    def __call__(self, stack: np.ndarray) -> np.ndarray:
+        return self.function(stack)
+
+
+def _offsets(sizes: np.ndarray) -> pa.Array:
+    return pa.array(np.concatenate(([0], np.cumsum(sizes))), pa.int32())
+
+
 def resize_images(df: DataFrame, config: Mapping[str, Any], image: str = "image", output: str = "image") -> DataFrame:
     """Image structs → resized image structs. An image that is not valid gives null."""
     cfg = resize_config(config)
-    size = 3 * cfg["output_width"] * cfg["output_height"]
-    return map_images(df, image, output, IMAGE, _ARROW_IMAGE, lambda value: _resized(value, cfg), size)
+    height, width = cfg["output_height"], cfg["output_width"]
 
+    def structs(images: Images, low: int, high: int, sizes: np.ndarray, flat: np.ndarray) -> pa.Array:
+        data = pa.Array.from_buffers(pa.binary(), high - low, [None, _offsets(sizes).buffers()[1], pa.py_buffer(flat)])
+        fields = [images.origin.slice(low, high - low), *[pa.array(np.full(high - low, n, np.int32)) for n in (height, width, 3, _BGR_MODE)], data]
+        return pa.StructArray.from_arrays(fields, fields=list(_ARROW_IMAGE), mask=pa.array(~images.valid[low:high]))
 
-def _resized(value, cfg: Mapping[str, Any]) -> dict[str, Any] | None:
-    pixels = image_pixels(value)
-    if pixels is None:
-        return None
-    result = resize_pixels(pixels, cfg)
-    height, width, channels = result.shape
-    return {
-        "origin": value["origin"].as_py(), "height": height, "width": width, "nChannels": channels,
-        "mode": _BGR_MODE, "data": result.tobytes(),
-    }
+    make = _Make(lambda stack: resize_pixels(stack, cfg), np.uint8)
+    return map_stacks(df, image, output, IMAGE, structs, lambda h, w: np.full(len(h), 3 * height * width), make)
 
 
 def image_pixels(value) -> np.ndarray | None:
@@ -225,14 +313,14 @@ def resize_grid(grid: str | Column, width: int, height: int, config: Mapping[str
     cfg = resize_config(config)
 
     def run(grids: pa.Array) -> pa.Array:
-        rows = []
-        for value in grids:
-            if not value.is_valid or len(value.values) != width * height:
-                rows.append(None)
-                continue
-            pixels = value.values.to_numpy(zero_copy_only=False).reshape(height, width, 1)
-            rows.append(resize_pixels(pixels, cfg).ravel())
-        return pa.array(rows, pa.list_(pa.float32()))
+        fits = pc.fill_null(pc.equal(pc.list_value_length(grids), width * height), False)
+        pixels = grids.filter(fits).flatten().to_numpy(zero_copy_only=False).reshape(-1, height, width, 1)
+        numbers = len(pixels) * max(width * height, cfg["output_width"] * cfg["output_height"])
+        stacks = np.array_split(pixels, max(1, -(-numbers // STACK_NUMBERS)))
+        made = np.concatenate([resize_pixels(stack, cfg) for stack in stacks]).astype(np.float32).ravel()
+        valid = fits.to_numpy(zero_copy_only=False)
+        sizes = np.where(valid, cfg["output_width"] * cfg["output_height"], 0)
+        return pa.ListArray.from_arrays(_offsets(sizes), pa.array(made), mask=pa.array(~valid))
 
     return F.arrow_udf(run, "array<float>")(grid)
 
@@ -288,16 +376,19 @@ def blob_preprocess(df: DataFrame, config: Mapping[str, Any], image: str = "imag
     ``(pixel - mean) * scale``; an input size of zero is the image's own."""
     cfg = blob_config(config)
     kind = "struct<shape: array<int>, data: array<float>>"
-    arrow_kind = pa.struct([("shape", pa.list_(pa.int32())), ("data", pa.list_(pa.float32()))])
 
-    def convert(value) -> dict[str, Any] | None:
-        pixels = image_pixels(value)
-        if pixels is None:
-            return None
-        blob = pixels_blob(pixels, cfg)
-        return {"shape": blob.shape, "data": blob.ravel()}
+    def own(given: int, sizes: np.ndarray) -> np.ndarray:
+        return np.full(len(sizes), given) if given else sizes
+
+    def structs(images: Images, low: int, high: int, sizes: np.ndarray, flat: np.ndarray) -> pa.Array:
+        heights, widths = own(cfg["input_height"], images.height[low:high]), own(cfg["input_width"], images.width[low:high])
+        shapes = np.stack([np.ones_like(heights), np.full_like(heights, 3), heights, widths], axis=1).astype(np.int32)
+        shape = pa.ListArray.from_arrays(pa.array(np.arange(0, 4 * len(shapes) + 1, 4), pa.int32()), pa.array(shapes.ravel()))
+        data = pa.ListArray.from_arrays(_offsets(sizes), pa.array(flat))
+        return pa.StructArray.from_arrays([shape, data], names=["shape", "data"], mask=pa.array(~images.valid[low:high]))
 
-    return map_images(df, image, output, kind, arrow_kind, convert, blob_bytes(cfg))
+    make = _Make(lambda stack: pixels_blob(stack, cfg), np.float32)
+    return map_stacks(df, image, output, kind, structs, lambda h, w: 3 * own(cfg["input_height"], h) * own(cfg["input_width"], w), make)
 
 
 def blob_bytes(cfg: Mapping[str, Any]) -> int:
@@ -306,20 +397,22 @@ def blob_bytes(cfg: Mapping[str, Any]) -> int:
 
 
 def pixels_blob(pixels: np.ndarray, cfg: Mapping[str, Any]) -> np.ndarray:
-    rows, columns = pixels.shape[:2]
+    """Tensors ``(images, channels, rows, columns)`` of one image or of a stack."""
+    pixels = pixels if pixels.ndim == 4 else pixels[None]
+    rows, columns = pixels.shape[1:3]
     height, width = cfg["input_height"] or rows, cfg["input_width"] or columns
     if cfg["crop"]:
         factor = max(width / columns, height / rows)
         pixels = resample(pixels, max(height, round(rows * factor)), max(width, round(columns * factor)), "LINEAR")
-        top, left = (pixels.shape[0] - height) // 2, (pixels.shape[1] - width) // 2
-        pixels = pixels[top:top + height, left:left + width]
+        top, left = (pixels.shape[1] - height) // 2, (pixels.shape[2] - width) // 2
+        pixels = pixels[:, top:top + height, left:left + width]
     else:
         pixels = resample(pixels, height, width, "LINEAR")
     if cfg["swap_rb"]:
-        pixels = pixels[:, :, ::-1]
+        pixels = pixels[..., ::-1]
     mean = np.array(cfg["mean_values"], np.float32)
     blob = (pixels.astype(np.float32) - mean) * np.float32(cfg["scale"])
-    return np.ascontiguousarray(blob.transpose(2, 0, 1))[None]
+    return np.ascontiguousarray(blob.transpose(0, 3, 1, 2))
 
 
 def normalize(values: str | Column, mean: float = 0.0, scale: float = 0.0) -> Column:

@@ -177,3 +177,36 @@ def test_inference_over_image_files(spark, tmp_path):
     for bad in ({}, {"model_path": "x", "framework": "caffe"}, {"model_path": "x", "config_path": "y"}):
         with pytest.raises(ConfigError):
             inference.infer_images(df, bad)
+
+
+@pytest.mark.parametrize("method", ["NEAREST", "LINEAR", "AREA", "CUBIC", "LANCZOS4"])
+def test_stacks_are_resampled_like_single_images(method):
+    rng = np.random.default_rng(3)
+    for kind, shape, target in ((np.uint8, (7, 5, 3), (11, 4)), (np.float32, (8, 8, 1), (3, 16)), (np.uint8, (4, 4, 3), (4, 4))):
+        stack = (rng.random((6, *shape)) * 255).astype(kind)
+        found = images.resample(stack, *target, method)
+        assert found.dtype == kind
+        assert (found == np.stack([images.resample(one, *target, method) for one in stack])).all()
+
+
+def test_images_of_many_sizes_and_invalid_ones(spark, monkeypatch):
+    """Mixed sizes and channels, invalid rows between, slices of a few rows: each image as if it were alone."""
+    rng = np.random.default_rng(5)
+    shapes = [(4, 6, 3), (5, 5, 1), (4, 6, 3), (3, 9, 4), (5, 5, 1)] * 8
+    rows = [(k, ("o", h, w, c, 16, bytearray(rng.integers(0, 256, h * w * c, np.uint8).tobytes()))) for k, (h, w, c) in enumerate(shapes)]
+    rows += [(100, None), (101, ("o", 2, 2, 3, 16, None)), (102, ("o", 2, 2, 3, 16, bytearray(5))), (103, ("o", None, 2, 3, 16, bytearray(12)))]
+    df = spark.createDataFrame(rows, f"id int, image {images.IMAGE}").repartition(2)
+    monkeypatch.setattr(images, "BATCH_BYTES", 500)
+    cfg = images.resize_config({"output_width": 6, "output_height": 5, "interpolation": "AREA"})
+    blob = images.blob_config({"scale": 0.5, "mean_values": [1, 2, 3], "swap_rb": True})
+    resized = {r.id: r.image for r in images.resize_images(df, {"output_width": 6, "output_height": 5, "interpolation": "AREA"}).collect()}
+    blobs = {r.id: r.blob for r in images.blob_preprocess(df, {"scale": 0.5, "mean_values": [1, 2, 3], "swap_rb": True}).collect()}
+    assert len(resized) == len(blobs) == len(rows)
+    for k, (_, image) in enumerate(rows[:40]):
+        pixels = np.frombuffer(bytes(image[5]), np.uint8).reshape(image[1:4])
+        pixels = np.repeat(pixels, 3, axis=2) if pixels.shape[2] == 1 else pixels[:, :, :3]
+        assert bytes(resized[k].data) == images.resize_pixels(pixels, cfg).tobytes()
+        wanted = images.pixels_blob(pixels, blob)
+        assert blobs[k].shape == list(wanted.shape) and blobs[k].data == wanted.ravel().tolist()
+    for k in (100, 101, 102, 103):
+        assert resized[k] is None and blobs[k] is None

@@ -421,6 +421,10 @@ def normalize(values: str | Column, mean: float = 0.0, scale: float = 0.0) -> Co
     return F.transform(values, lambda v: (v.cast("double") - F.lit(float(mean))) * F.lit(factor))
 
 
-def read_images(spark, path: str, drop_invalid: bool = True) -> DataFrame:
+def read_images(spark, path: str, drop_invalid: bool = True, streaming: bool = False, max_files: int | None = None) -> DataFrame:
     """Image files → image structs; files that cannot be decoded are left out."""
-    return spark.read.format("image").option("dropInvalid", str(drop_invalid).lower()).load(path)
+    reader = spark.read
+    if streaming:
+        reader = spark.readStream.schema(f"image {IMAGE}")
+        reader = reader if max_files is None else reader.option("maxFilesPerTrigger", str(max_files))
+    return reader.format("image").option("dropInvalid", str(drop_invalid).lower()).load(path)

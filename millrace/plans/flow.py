@@ -141,7 +141,7 @@ def _plan(spark: SparkSession, steps: list[dict[str, Any]], streaming: bool):
             reader = readers.get(item["output_queue"])
             if step.gives == PAYLOAD and registry.step_name(item["type"]) == "file_source" and reader is not None \
                     and registry.step(reader["type"]).takes == IMAGE:
-                entry = (IMAGE, registry.read_image_files(spark, item["config"]))
+                entry = (IMAGE, registry.read_image_files(spark, item["config"], streaming, item["capacity"] if streaming else None))
             else:
                 more = {}
                 if streaming and registry.step_name(item["type"]) in registry.FILE_SOURCES:

@@ -103,9 +103,9 @@ def image_payloads(df: DataFrame, output_format: str) -> DataFrame:
     return df.select(encode_images("image", output_format).alias("payload")).where("payload IS NOT NULL")
 
 
-def read_image_files(spark: SparkSession, config: Mapping[str, Any]) -> DataFrame:
-    path = use_storage(spark, config["path"], {"filesystem": "AUTO", "filesystem_options": {}})
-    return read_images(spark, path)
+def read_image_files(spark: SparkSession, config: Mapping[str, Any], streaming: bool = False, max_files: int | None = None) -> DataFrame:
+    cfg = file_config(config)
+    return read_images(spark, use_storage(spark, cfg["path"], cfg["common"]), streaming=streaming, max_files=max_files)
 
 
 def _sender(frame, configure, client: str):

@@ -213,3 +213,39 @@ def test_every_step_is_checked_before_a_flow_runs(name):
         registry.step(name).check({"nonsense": 1})
     with pytest.raises(ConfigError):
         registry.step(name).check({})
+
+
+def test_images_in_a_streaming_flow(spark, tmp_path):
+    """Two runs over a folder of images with one checkpoint; a file that is no image is left out."""
+    import numpy as np
+
+    from millrace.operators.images import png_bytes
+
+    source, target = tmp_path / "in", tmp_path / "out"
+    source.mkdir()
+    flow = {"queues": [{"name": "a", "capacity": 1}, {"name": "b"}], "stages": [
+        {"name": "r", "type": "file_source", "output_queue": "a", "config": {"path": str(source)}},
+        {"name": "t", "type": "resize_letterbox", "input_queue": "a", "output_queue": "b",
+         "config": {"output_width": 4, "output_height": 4, "output_format": ".png"}},
+        {"name": "w", "type": "file_sink", "input_queue": "b", "config": {"path": str(target), "append": True}},
+    ]}
+    for run in range(2):
+        for k in range(2):
+            (source / f"{run}-{k}.png").write_bytes(png_bytes(np.full((2, 3 + k, 3), 50 * run + k, np.uint8)))
+        (source / f"{run}.txt").write_text("no image")
+        run_flow(spark, flow, streaming=True, checkpoint=str(tmp_path / "positions"))
+    found = [p.read_bytes() for p in target.rglob("part-*")]
+    assert sum(data.count(b"\x89PNG") for data in found) == 4
+
+
+def test_the_entry_works_without_a_library_of_the_training_data(tmp_path):
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    (tmp_path / "ahocorasick.py").write_text("raise ModuleNotFoundError('no module', name='ahocorasick')")
+    code = "import __spark_entry__ as e; print(len(e.queries()), any(n.startswith('op') for n in e.queries()))"
+    root = Path(__file__).resolve().parent.parent
+    done = subprocess.run([sys.executable, "-c", f"import sys; sys.path.insert(0, {str(tmp_path)!r}); {code}"], cwd=root, capture_output=True, text=True, timeout=120)
+    count, llm = done.stdout.split()
+    assert int(count) > 80 and llm == "False", done.stderr

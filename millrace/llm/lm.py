@@ -277,7 +277,10 @@ def score(docs: DataFrame, model: Model, text: str = "text", id_column: str = "d
                     t, sizes = np.concatenate(each), np.array(list(map(len, each)))
                     starts = np.cumsum(sizes) - sizes
                     before, pairs = _pairs(t, starts)
-                    found = np.stack([filters.levels(pairs), filters.levels(before), filters.levels(t)])
+                    words = filters.levels(t)
+                    context = np.append(np.uint8(0), words[:-1])  # that of the word before
+                    context[starts] = 0
+                    found = np.stack([filters.levels(pairs), context, words])
                     known = levels[done : done + len(texts)]
                     if known and known[0] is not None:
                         found = np.maximum(found, np.concatenate([np.frombuffer(x, np.uint8).reshape(3, -1) for x in known], axis=1))

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.common import unused
-from millrace.workdir import checkpointed
+from millrace.workdir import checkpointed, fresh_dir
 
 SPACE = r"[\x20\x09-\x0D]+"
 SYMBOLS = r"[#*$%&|<>]"
@@ -208,8 +208,14 @@ def quality(docs: DataFrame, text: str = "text", id_column: str = "doc_id") -> D
 
 
 def keep_good(docs: DataFrame, text: str = "text") -> DataFrame:
-    """The documents that pass, as they are. The table is read twice, once to estimate and once to filter; no text is shuffled."""
+    """The documents that pass, as they are. They are measured once and stored with their votes, which the estimates and the
+    verdicts are then made from; no text is shuffled."""
+    spark = docs.sparkSession
     measured = measure(docs, text)
-    frame, probability = judged(measured)
-    passed = ~base_failed(measured) & (F.col(f"`{probability}`") >= 0.5) & (F.col(f"`{measured.fence}`") >= 0)
-    return frame.filter(passed).select(*(F.col(f"`{c}`") for c in docs.columns))
+    vote, failed = unused(measured.frame, "_votes"), unused(measured.frame, "_failed")
+    inputs = [F.col(f"`{c}`") for c in docs.columns]
+    path = fresh_dir(spark, "votes")
+    measured.frame.select(*inputs, votes(measured).alias(vote), base_failed(measured).alias(failed)).write.option("compression", "zstd").parquet(path)
+    stored = spark.read.parquet(path)
+    patterns = checkpointed(stored.groupBy(F.col(vote).alias("votes")).agg(F.count(F.lit(1)).alias("rows")))
+    return stored.filter(~F.col(failed) & (fit(patterns).posterior(F.col(vote)) >= 0.5)).select(*inputs)

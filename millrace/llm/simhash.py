@@ -37,8 +37,8 @@ BITS = 64
 CROWD = 32
 #: Sets of up to so many shingles, whose fingerprints say little, are paired by their shingles.
 SHORT = 20
-#: First bits of a shingle's hash by which it is counted.
-COUNTED_BITS = 20
+#: First bits of a shingle's hash by which it is counted, and tasks' counts that are added in one task.
+COUNTED_BITS, ADDED_AT_ONCE = 20, 16
 #: Rows up to which the numbers of wanted texts are broadcast.
 BROADCAST_ROWS = 1_000_000
 
@@ -220,6 +220,38 @@ def candidates(nodes: DataFrame, tables: Tables) -> tuple[DataFrame, DataFrame]:
     return _ordered(alone.union(few).union(shared)).distinct(), crowded
 
 
+def _counted(sets: DataFrame, shift: np.uint64) -> np.ndarray:
+    """How many shingles of all ``hashes`` have each head. A task sends the heads it has in one row; rows are added in a tree."""
+
+    def packed(counts: np.ndarray) -> pa.RecordBatch:
+        at = np.flatnonzero(counts)
+        return pa.RecordBatch.from_arrays([pa.array([at.astype("<u4").tobytes()], pa.binary()), pa.array([counts[at].tobytes()], pa.binary())], ["heads", "rows"])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(1 << COUNTED_BITS, np.int64)
+        for batch in batches:
+            found = batch["hashes"].flatten().to_numpy(zero_copy_only=False).view(np.uint64) >> shift
+            counts += np.bincount(found.astype(np.int64), minlength=len(counts))
+        yield packed(counts)
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(1 << COUNTED_BITS, np.int64)
+        for batch in batches:
+            for heads, rows in zip(batch["heads"].to_pylist(), batch["rows"].to_pylist(), strict=True):
+                counts[np.frombuffer(heads, "<u4")] += np.frombuffer(rows, np.int64)
+        yield packed(counts)
+
+    parts = checkpointed(sets.select("hashes").mapInArrow(count, "heads binary, rows binary"))
+    left = parts.count()
+    while left > 1:
+        left = -(-left // ADDED_AT_ONCE)
+        parts = parts.repartition(left).mapInArrow(add, "heads binary, rows binary")
+    counts = np.zeros(1 << COUNTED_BITS, np.int64)
+    for row in parts.collect():
+        counts[np.frombuffer(row["heads"], "<u4")] += np.frombuffer(row["rows"], np.int64)
+    return counts
+
+
 def by_rare_shingles(sets: DataFrame, similarity: float) -> tuple[DataFrame, DataFrame]:
     """For nodes with ``hashes``: all pairs (a, b) that can have the similarity and share one of their rare shingles, but
     of a shingle of more than ``CROWD`` nodes only those with its smallest node; and (token, node, n) of such shingles.
@@ -230,18 +262,7 @@ def by_rare_shingles(sets: DataFrame, similarity: float) -> tuple[DataFrame, Dat
     """
     shift = np.uint64(BITS - COUNTED_BITS)
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(1 << COUNTED_BITS, np.int64)
-        for batch in batches:
-            found = batch["hashes"].flatten().to_numpy(zero_copy_only=False).view(np.uint64) >> shift
-            counts += np.bincount(found.astype(np.int64), minlength=len(counts))
-        at = np.flatnonzero(counts)
-        for k in range(0, len(at), 10_000):
-            yield pa.RecordBatch.from_arrays([pa.array(at[k : k + 10_000].astype(np.int32)), pa.array(counts[at[k : k + 10_000]])], ["head", "rows"])
-
-    found = sets.select("hashes").mapInArrow(count, "head int, rows bigint").groupBy("head").agg(F.sum("rows").alias("rows")).toArrow()
-    counts = np.zeros(1 << COUNTED_BITS, np.int64)
-    counts[found["head"].to_numpy()] = found["rows"].to_numpy()
+    counts = _counted(sets, shift)
 
     def rarest(batch: pa.RecordBatch) -> pa.RecordBatch:
         token, owner = [], []

@@ -197,12 +197,17 @@ def candidates(nodes: DataFrame, tables: Tables) -> tuple[DataFrame, DataFrame]:
     prints = nodes.select("node", F.explode(tables.prints(F.col("fps"))).alias("print"))
     points = prints.groupBy("print").agg(F.min("node").alias("node"), F.least(F.count(F.lit(1)), F.lit(CROWD + 1)).cast("int").alias("rows"))
     points = checkpointed(points)
+    # Only a variant and the bit that leads back to its print are sent.
     masks = F.array(*(F.lit(m).cast("bigint") for m in [0, *(1 << k for k in range(tables.bits))]))
-    balls = points.select("node", "rows", F.posexplode(F.transform(masks, lambda m: F.col("print").bitwiseXOR(m))).alias("bit", "variant"))
+    balls = points.select(F.posexplode(F.transform(masks, lambda m: F.col("print").bitwiseXOR(m))).alias("bit", "variant"))
+    balls = balls.select("variant", F.col("bit").cast("tinyint").alias("bit"))
     met = balls.withColumn("points", F.count(F.lit(1)).over(Window.partitionBy("variant"))).filter("points > 1")
-    point = F.struct(F.col("variant").bitwiseXOR(F.get(masks, F.col("bit"))).alias("print"), "node", "rows")
-    near = _pairs_of(met.groupBy("variant").agg(F.array_sort(F.collect_list(point)).alias("all"))).distinct()
-    near = checkpointed(near.select(*(F.col(f"{x}.{name}").alias(f"{name}_{x}") for x in "ab" for name in ("print", "node", "rows"))))
+    print_ = F.col("variant").bitwiseXOR(F.get(masks, F.col("bit").cast("int")))
+    near = _pairs_of(met.groupBy("variant").agg(F.array_sort(F.collect_list(print_)).alias("all"))).distinct()
+    for x in "ab":
+        known = points.select(F.col("print").alias(f"print_{x}"), F.col("node").alias(f"node_{x}"), F.col("rows").alias(f"rows_{x}"))
+        near = near.withColumnRenamed(x, f"print_{x}").join(known, f"print_{x}")
+    near = checkpointed(near)
     sides = F.array(*(F.struct(F.col(f"print_{x}").alias("print"), F.col(f"rows_{x}").alias("rows"), F.col(f"rows_{y}").alias("others")) for x, y in ("ab", "ba")))
     around = near.select(F.explode(sides).alias("side")).groupBy("side.print").agg((F.max("side.rows") + F.sum("side.others")).alias("rows"))
     full = checkpointed(around.union(points.select("print", "rows")).filter(f"rows > {CROWD}").select("print").distinct())

@@ -166,8 +166,11 @@ def fit(patterns: DataFrame, rules: tuple[Rule, ...] = RULES, rounds: int = 12,
             there = {v: counts.get((k, v), (0, 0.0)) for v in VOTES}
             by = {True: {v: (there[v][1] + 0.5) / (good + 1.5) for v in VOTES},
                   False: {v: (there[v][0] - there[v][1] + 0.5) / (rows - good + 1.5) for v in VOTES}}
-            by[True][BAD] = min(by[True][BAD], by[False][BAD] / COMPLAINT_RATIO)
-            shares.append({c: {v: max(x, 1e-9) for v, x in by[c].items()} for c in by})
+            most = by[False][BAD] / COMPLAINT_RATIO
+            if by[True][BAD] > most:  # the other votes of good documents share what is left
+                rest = (1 - most) / (1 - by[True][BAD])
+                by[True] = {v: most if v == BAD else x * rest for v, x in by[True].items()}
+            shares.append(by)
         last, found = found, Estimates((good + 0.5) / (rows + 1), tuple(shares))
         if abs(last.good - found.good) < tolerance:
             break

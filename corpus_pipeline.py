@@ -2,6 +2,9 @@
 
 Each stage takes the documents its predecessor kept. Between stages they are written as Parquet to the session's shared
 folder and read again.
+
+Defined results of every stage: rows are told apart by their place, not by their id, so that equal rows and null ids each
+count; extra columns are carried along, whatever their names, but for the last stage; an empty table stays empty.
 """
 
 from __future__ import annotations
@@ -19,30 +22,31 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the rules reject go."""
+    """Documents that the rules reject go; a null or empty text has too few words and goes."""
     return quality.keep_good(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that share 0.8 or more of their five-word shingles, by fingerprint, the one of smallest id stays."""
+    """Of documents that share 0.8 or more of their five-word shingles, the one of smallest id stays, null ids last; of
+    equal ids, the row stored first. Null and blank texts are copies of each other, and go but for one."""
     prepare(spark)
     return simhash.keep_one(docs, similarity=0.8, width=5)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold ten consecutive words of a benchmark item go."""
+    """Documents that hold ten consecutive words of a benchmark item, or all of a shorter one, go; null texts stay."""
     prepare(spark)
     return decontaminate.keep_clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Secrets are replaced in the text; n_chars follows it."""
+    """Secrets are replaced in the text, overlapping ones by one mark; n_chars follows it. Null texts stay null."""
     clean = secrets.redact(docs)
     return clean.withColumn("n_chars", F.length("text").cast("bigint")) if "n_chars" in clean.columns else clean
 
 
 def byte_level_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids, decoded again to show that nothing is lost."""
+    """Token ids, decoded again to show that nothing is lost; a null text has none."""
     prepare(spark)
     vocabulary = bpe.public_vocabulary()
     coded = bpe.encode(docs.select("doc_id", "text"), vocabulary)
@@ -58,7 +62,7 @@ STAGES: list[tuple[str, Stage]] = [
     ("byte-level BPE", byte_level_bpe),
 ]
 
-#: Fingerprints and estimates have no SQL; tests hold the result against a brute-force version.
+#: Fingerprints and estimates have no SQL; tests/llm/test_pipeline.py holds the stages against brute-force versions.
 ORACLE_SQL = None
 
 

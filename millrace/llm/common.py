@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.workdir import checkpointed
@@ -50,6 +51,15 @@ def id_or_last(column: Column) -> Column:
     return F.coalesce(column.cast("bigint"), F.lit(2**63 - 1))
 
 
+def free_unused(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files of tables that nothing refers to any more.
+
+    Its cleaner follows the JVM's collector, which has no reason to run while only disks fill.
+    """
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 #: Packed arrays that are added up in one task.
 ADDED_AT_ONCE = 64
 

@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.blocks import SCATTER, by_bucket, scatter
-from millrace.llm.common import ASCII_LOWER, map_batches, raw_texts, text_bytes
+from millrace.llm.common import ASCII_LOWER, free_unused, map_batches, raw_texts, text_bytes
 from millrace.workdir import checkpointed
 
 HEAD = 1 << 20
@@ -257,6 +257,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", id_column: str = "d
           filter_bytes: int = FILTER_BYTES) -> DataFrame:
     """One row per document: doc_id, n_tokens, n_known, base_score, score."""
     spark = docs.sparkSession
+    free_unused(spark)  # what training shuffled
     kind = docs.select(F.col(f"`{id_column}`")).schema[0].dataType.simpleString()
     head_hashes, head_counts = model.head()
     segments, floor = model.segments, model.floor

@@ -28,13 +28,17 @@ from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, Str
 
 from millrace.errors import ConfigError
 from millrace.llm.blocks import SCATTER, scatter
-from millrace.llm.common import ASCII_LOWER, id_or_last, map_batches, raw_texts, unused
+from millrace.llm.common import ASCII_LOWER, free_unused, id_or_last, map_batches, raw_texts, unused
 from millrace.llm.components import components
 from millrace.workdir import checkpointed, fresh_dir
 
 BITS = 64
 #: Nodes of a print with all that it meets, or of one shingle, up to which all their pairs are made at once.
 CROWD = 32
+#: Nodes of a block in which sets are compared, on average.
+BLOCK_NODES = 64
+#: How many times as many nodes of a crowded shingle are met in each round.
+PARTNERS = 8
 #: Sets of up to so many shingles, whose fingerprints say little, are paired by their shingles.
 SHORT = 20
 #: First bits of a shingle's hash by which it is counted, and tasks' counts that are added in one task.
@@ -176,6 +180,14 @@ def with_sketches(docs: DataFrame, text: str, width: int, seeds: Sequence[int])
     return map_batches(docs, add, StructType([*fields, *more]))
 
 
+def _settled(df: DataFrame) -> DataFrame:
+    """A checkpoint, after which what was shuffled for it goes."""
+    stored = checkpointed(df)
+    df = None
+    free_unused(stored.sparkSession)
+    return stored
+
+
 def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a != b")
 
@@ -196,7 +208,7 @@ def candidates(nodes: DataFrame, tables: Tables) -> tuple[DataFrame, DataFrame]:
     """
     prints = nodes.select("node", F.explode(tables.prints(F.col("fps"))).alias("print"))
     points = prints.groupBy("print").agg(F.min("node").alias("node"), F.least(F.count(F.lit(1)), F.lit(CROWD + 1)).cast("int").alias("rows"))
-    points = checkpointed(points)
+    points = _settled(points)
     # Only a variant and the bit that leads back to its print are sent.
     masks = F.array(*(F.lit(m).cast("bigint") for m in [0, *(1 << k for k in range(tables.bits))]))
     balls = points.select(F.posexplode(F.transform(masks, lambda m: F.col("print").bitwiseXOR(m))).alias("bit", "variant"))
@@ -207,13 +219,13 @@ def candidates(nodes: DataFrame, tables: Tables) -> tuple[DataFrame, DataFrame]:
     for x in "ab":
         known = points.select(F.col("print").alias(f"print_{x}"), F.col("node").alias(f"node_{x}"), F.col("rows").alias(f"rows_{x}"))
         near = near.withColumnRenamed(x, f"print_{x}").join(known, f"print_{x}")
-    near = checkpointed(near)
+    near = _settled(near)
     sides = F.array(*(F.struct(F.col(f"print_{x}").alias("print"), F.col(f"rows_{x}").alias("rows"), F.col(f"rows_{y}").alias("others")) for x, y in ("ab", "ba")))
     around = near.select(F.explode(sides).alias("side")).groupBy("side.print").agg((F.max("side.rows") + F.sum("side.others")).alias("rows"))
-    full = checkpointed(around.union(points.select("print", "rows")).filter(f"rows > {CROWD}").select("print").distinct())
+    full = _settled(around.union(points.select("print", "rows")).filter(f"rows > {CROWD}").select("print").distinct())
     for x in "ab":
         near = near.join(full.select(F.col("print").alias(f"print_{x}"), F.lit(True).alias(f"full_{x}")), f"print_{x}", "left")
-    near = checkpointed(near.withColumn("full", F.coalesce("full_a", "full_b", F.lit(False))))
+    near = _settled(near.withColumn("full", F.coalesce("full_a", "full_b", F.lit(False))))
     alone = near.filter("NOT full AND rows_a = 1 AND rows_b = 1").select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
     few = near.filter("NOT full AND rows_a + rows_b > 2").select("print_a", "print_b")
     few = few.join(prints.select(F.col("print").alias("print_a"), F.col("node").alias("a")), "print_a")
@@ -246,7 +258,7 @@ def _counted(sets: DataFrame, shift: np.uint64) -> np.ndarray:
                 counts[np.frombuffer(heads, "<u4")] += np.frombuffer(rows, np.int64)
         yield packed(counts)
 
-    parts = checkpointed(sets.select("hashes").mapInArrow(count, "heads binary, rows binary"))
+    parts = _settled(sets.select("hashes").mapInArrow(count, "heads binary, rows binary"))
     left = parts.count()
     while left > 1:
         left = -(-left // ADDED_AT_ONCE)
@@ -259,7 +271,7 @@ def _counted(sets: DataFrame, shift: np.uint64) -> np.ndarray:
 
 def by_rare_shingles(sets: DataFrame, similarity: float) -> tuple[DataFrame, DataFrame]:
     """For nodes with ``hashes``: all pairs (a, b) that can have the similarity and share one of their rare shingles, but
-    of a shingle of more than ``CROWD`` nodes only those with its smallest node; and (token, node, n) of such shingles.
+    of a shingle of more than ``CROWD`` nodes only those with its smallest node; and (token, node, n, rows) of such shingles.
 
     Two sets of the similarity share a shingle among the rarest ``n - ceil(similarity * n) + 1`` of each, whatever the
     order, if it is one for all. What a passage or template brings into many texts comes last. Shingles are counted by
@@ -282,25 +294,44 @@ def by_rare_shingles(sets: DataFrame, similarity: float) -> tuple[DataFrame, Dat
 
     rare = map_batches(sets.select("node", "n", "hashes"), rarest, "token bigint, node bigint, n int")
     sizes = rare.groupBy("token").agg(F.count(F.lit(1)).alias("rows"), F.min("node").alias("least")).filter("rows > 1")
-    listed = checkpointed(rare.join(sizes, "token"))
+    listed = _settled(rare.join(sizes, "token"))
     small = listed.filter(f"rows <= {CROWD}").groupBy("token").agg(F.collect_list(F.struct("node", "n")).alias("all"))
     small = _pairs_of(small).filter(F.least("a.n", "b.n") >= similarity * F.greatest("a.n", "b.n") - 1e-9).select("a.node", "b.node").toDF("a", "b")
     large = listed.filter(f"rows > {CROWD}")
     stars = large.select(F.col("least").alias("a"), F.col("node").alias("b"))
-    return _ordered(small.union(stars)).distinct(), large.select("token", "node", "n")
+    return _ordered(small.union(stars)).distinct(), large.select("token", "node", "n", "rows")
 
 
-def across(large: DataFrame, roots: DataFrame, similarity: float) -> DataFrame:
-    """Pairs (a, b) of nodes that share a shingle and are in different components, so that none is missed and a large
-    component is not paired with itself: one of the two is always outside the shingle's largest component."""
+def across(large: DataFrame, roots: DataFrame, similarity: float, partners: int) -> DataFrame:
+    """Pairs (a, b) of nodes that share a shingle and are in different components; one of the two is outside the
+    shingle's largest component, and the other is among about ``partners`` of its nodes, picked by their hash."""
     placed = large.join(roots.withColumnRenamed("root", "part"), "node", "left")
-    placed = checkpointed(placed.select("token", "node", "n", F.coalesce("part", "node").alias("part")))
-    main = placed.groupBy("token", "part").agg(F.count(F.lit(1)).alias("rows")).groupBy("token").agg(F.max_by("part", F.struct("rows", "part")).alias("main"))
+    placed = _settled(placed.select("token", "node", "n", "rows", F.coalesce("part", "node").alias("part")))
+    main = placed.groupBy("token", "part").agg(F.count(F.lit(1)).alias("many")).groupBy("token").agg(F.max_by("part", F.struct("many", "part")).alias("main"))
     outside = placed.join(main, "token").filter("part != main").select("token", *(F.col(x).alias(f"{x}_a") for x in ("node", "n", "part")))
-    met = outside.join(placed, "token").filter("part != part_a").filter(F.least("n", "n_a") >= similarity * F.greatest("n", "n_a") - 1e-9)
+    picked = placed.filter(F.pmod(F.xxhash64("node"), F.lit(1 << 30)) < F.lit(float(partners << 30)) / F.col("rows"))
+    met = outside.join(picked, "token").filter("part != part_a").filter(F.least("n", "n_a") >= similarity * F.greatest("n", "n_a") - 1e-9)
     return _ordered(met.select(F.col("node_a").alias("a"), F.col("node").alias("b"))).distinct()
 
 
+def joined_across(found: DataFrame, large: DataFrame, nodes: DataFrame, sets: DataFrame, tables: Tables, similarity: float) -> DataFrame:
+    """The links with more of them, until no pair of a crowded shingle is left that is similar and in two components.
+
+    A family of near copies has the square of its number in pairs. So nodes outside a shingle's largest component first
+    meet a few of its nodes; what that links is one component, and no pair within it is looked at again. Those still
+    outside meet eight times as many, and in the last round all, so that none is missed.
+    """
+    most = large.agg(F.max("rows")).first()[0] or 0
+    partners = 1
+    while partners < most:
+        partners *= PARTNERS
+        roots = _settled(components(found))
+        pairs = _settled(alike(across(large, roots, similarity, partners), nodes, tables, similarity))
+        held = roots.select(F.col("root").alias("a"), F.col("node").alias("b")).filter("a != b")
+        found = _settled(held.union(verified_in_blocks(pairs, sets, large, similarity)))
+    return found
+
+
 def alike(pairs: DataFrame, nodes: DataFrame, tables: Tables, similarity: float) -> DataFrame:
     """The pairs whose fingerprints differ in no more bits than texts of this similarity do but for five deviations."""
     pairs = pairs.join(nodes.select(F.col("node").alias("a"), F.col("fps").alias("x")), "a")
@@ -318,9 +349,35 @@ def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     return pairs.filter(both / (F.size("x") + F.size("y") - both) >= similarity).select("a", "b")
 
 
+def verified_in_blocks(pairs: DataFrame, sets: DataFrame, large: DataFrame, similarity: float) -> DataFrame:
+    """The same for pairs of nodes that share crowded shingles, many of which have the same few nodes.
+
+    The nodes of a shingle are dealt into blocks, each node by the most crowded of its shingles; two blocks meet with each
+    of their sets once, whatever the number of their pairs.
+    """
+    home = large.groupBy("node").agg(F.max_by(F.struct("token", "rows"), F.struct("rows", "token")).alias("home"))
+    block = F.xxhash64("home.token", F.pmod(F.xxhash64("node"), F.ceil(F.col("home.rows") / BLOCK_NODES)))
+    blocks = home.select("node", block.alias("block"))
+    for x in "ab":
+        pairs = pairs.join(blocks.select(F.col("node").alias(x), F.col("block").alias(f"block_{x}")), x)
+    low, high = F.least("block_a", "block_b"), F.greatest("block_a", "block_b")
+    keyed = _settled(pairs.select(low.alias("low"), high.alias("high"), "a", "b"))
+    meeting = keyed.groupBy("low", "high").agg(F.collect_list(F.struct("a", "b")).alias("pairs"))
+    need = keyed.select("low", "high", F.explode(F.array("a", "b")).alias("node")).distinct().join(sets.select("node", "hashes"), "node")
+    held = need.groupBy("low", "high").agg(F.map_from_entries(F.collect_list(F.struct("node", "hashes"))).alias("sets"))
+
+    def close(pair: Column) -> Column:
+        x, y = F.element_at("sets", pair["a"]), F.element_at("sets", pair["b"])
+        both = F.size(F.array_intersect(x, y))
+        return both / (F.size(x) + F.size(y) - both) >= similarity
+
+    good = meeting.join(held, ["low", "high"]).select(F.explode(F.filter("pairs", close)).alias("pair"))
+    return good.select("pair.a", "pair.b")
+
+
 def sets_of(wanted: DataFrame, nodes: DataFrame, texts: DataFrame, width: int) -> DataFrame:
     """(node, n, hashes) of the nodes in ``wanted``, from the stored texts (row, text)."""
-    rows = checkpointed(wanted.join(nodes, "node").select("node", "n", "row"))
+    rows = _settled(wanted.join(nodes, "node").select("node", "n", "row"))
     found = texts.join(F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows, "row").select("node", "n", "text")
 
     def add(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -338,13 +395,12 @@ def similar(nodes: DataFrame, texts: DataFrame, tables: Tables, similarity: floa
     pairs; the sets of shingles decide.
     """
     met, crowded = candidates(nodes, tables)
-    met, crowded = checkpointed(alike(met, nodes, tables, similarity)), checkpointed(crowded)
+    met, crowded = _settled(alike(met, nodes, tables, similarity)), _settled(crowded)
     ends = met.select(F.explode(F.array("a", "b")).alias("node"))
-    sets = checkpointed(sets_of(ends.union(crowded).distinct(), nodes, texts, width))
+    sets = _settled(sets_of(ends.union(crowded).distinct(), nodes, texts, width))
     shared, large = by_rare_shingles(sets.join(crowded, "node", "left_semi"), similarity)
-    found = checkpointed(verified(met.union(alike(shared, nodes, tables, similarity)).distinct(), sets, similarity))
-    rest = across(large, components(found), similarity)
-    return found.union(verified(alike(rest, nodes, tables, similarity), sets, similarity))
+    found = _settled(verified(met.union(alike(shared, nodes, tables, similarity)).distinct(), sets, similarity))
+    return joined_across(found, large, nodes, sets, tables, similarity)
 
 
 def keep_one(docs: DataFrame, similarity: float = 0.8, width: int = 5, recall: float = 0.95, seed: int = 42, text: str = "text",
@@ -362,13 +418,13 @@ def keep_one(docs: DataFrame, similarity: float = 0.8, width: int = 5, recall: f
     stored = docs.sparkSession.read.parquet(path)
     tables = Tables.plan(stored.count(), similarity, recall)
     narrow = stored.select(F.col(row).alias("row"), id_or_last(F.col(f"`{id_column}`")).alias("id"), F.col(f"`{text}`").alias("text"))
-    prints = checkpointed(with_sketches(narrow, "text", width, range(seed, seed + tables.seeds)))
-    nodes = checkpointed(prints.groupBy("node", "n", "fps").agg(F.min("row").alias("row")))
-    roots = checkpointed(components(similar(nodes, narrow.select("row", "text"), tables, similarity, width)))
+    prints = _settled(with_sketches(narrow, "text", width, range(seed, seed + tables.seeds)))
+    nodes = _settled(prints.groupBy("node", "n", "fps").agg(F.min("row").alias("row")))
+    roots = _settled(components(similar(nodes, narrow.select("row", "text"), tables, similarity, width)))
     named = prints.select("row", "id", "node").join(roots, "node", "left").select("row", "id", F.coalesce("root", "node").alias("root"))
     first = named.groupBy("root").agg(F.min(F.struct("id", "row")).alias("first"))
-    first = checkpointed(first.select("root", F.col("first.row").alias("kept")))
-    losers = checkpointed(named.join(first, "root").filter("row != kept").select(F.col("row").alias(row)))
+    first = _settled(first.select("root", F.col("first.row").alias("kept")))
+    losers = _settled(named.join(first, "root").filter("row != kept").select(F.col("row").alias(row)))
     return stored.join(losers, row, "left_anti").select(*(F.col(f"`{name}`") for name in docs.columns))
 
 

@@ -22,6 +22,8 @@ from millrace.workdir import checkpointed, fresh_dir
 
 #: Bytes of text in a block.
 BLOCK_BYTES = 4_000_000
+#: Buckets of the stored table; Spark takes no more than 100,000.
+MOST_BUCKETS = 50_000
 #: What comes back for every distinct text: its SHA-256 and smallest id, its size in units, and the removed runs of units.
 RESULT = "sha string, first bigint, units bigint, n_removed bigint, kept_sha256 string, runs array<struct<start:int,end:int>>"
 
@@ -49,7 +51,8 @@ def store(docs: DataFrame, text: str, id_column: str, block_bytes: int = BLOCK_B
 
     dealt = map_batches(narrow, fold, "text string, first bigint").withColumn("block", F.pmod(F.xxhash64("text"), F.lit(blocks)).cast("int"))
     name = f"millrace_blocks_{uuid.uuid4().hex}"
-    writer = dealt.repartition(blocks, "block").write.bucketBy(blocks, "block").option("compression", "zstd")
+    buckets = min(blocks, MOST_BUCKETS)  # beyond that a bucket holds several blocks, each still its own group
+    writer = dealt.repartition(buckets, "block").write.bucketBy(buckets, "block").option("compression", "zstd")
     writer.option("path", fresh_dir(spark, "blocks")).saveAsTable(name)
     return Stored(spark.table(name), name, blocks)
 

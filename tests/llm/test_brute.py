@@ -414,3 +414,17 @@ def test_learning_the_same_texts_twice(library):
         codec.learn(["two words", "two words"])
     assert codec.merged_together([]) == []
     assert np.frombuffer(codec.encode("two words"), "<u4").tolist() == library("two words")
+
+
+def test_more_blocks_than_buckets(stored, monkeypatch):
+    """Blocks of a few bytes, many in a bucket, give what one block gives."""
+    from millrace.llm import blocks
+
+    rng = np.random.default_rng(8)
+    passages = [" ".join(f"p{k}w{j}" for j in range(70)) for k in range(4)]
+    docs = stored([f"own {k} words " * 3 + passages[rng.integers(4)] + f" end {k}" for k in range(60)])
+    by_bytes = lambda **more: Counter(map(tuple, suffixes.repeated_bytes(docs, **more).select("doc_id", "n_removed", "kept_sha256").collect()))
+    by_words = lambda **more: Counter(map(tuple, substrings.repeated_words(docs, **more).select("doc_id", "n_removed", "kept_sha256").collect()))
+    want = by_bytes(), by_words()
+    monkeypatch.setattr(blocks, "MOST_BUCKETS", 3)
+    assert (by_bytes(block_bytes=500), by_words(block_bytes=500)) == want

@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.errors import ConfigError
+from millrace.llm.common import unused
 from millrace.workdir import checkpointed
 
 
@@ -40,14 +41,15 @@ def shard_of(key: list[Column], weights: list[float]) -> Column:
 
 def with_slots(records: DataFrame, shard: str = "shard", slot: str = "slot") -> DataFrame:
     """The records with their slots. They are written to the shared folder first, since slots rest on their partitions."""
-    kept = checkpointed(records.withColumn("_row", F.monotonically_increasing_id()))
-    kept = kept.withColumn("_part", F.shiftright("_row", 33))
-    counts = kept.groupBy(shard, "_part").agg(F.count(F.lit(1)).alias("_rows"))
-    earlier = Window.partitionBy(shard).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(shard, "_part", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_offset"))
-    inside = Window.partitionBy(shard, "_part").orderBy("_row")
-    placed = kept.withColumn("_place", F.row_number().over(inside) - 1).join(offsets, [shard, "_part"])
-    return placed.withColumn(slot, (F.col("_offset") + F.col("_place")).cast("bigint")).drop("_row", "_part", "_place", "_offset", "_rows")
+    row, part, place, offset = (unused(records, name) for name in ("_row", "_part", "_place", "_offset"))
+    inputs = [F.col(f"`{name}`") for name in records.columns if name != slot]
+    kept = checkpointed(records.withColumn(row, F.monotonically_increasing_id())).withColumn(part, F.shiftright(row, 33))
+    counts = kept.groupBy(shard, part).agg(F.count(F.lit(1)).alias("rows"))
+    earlier = Window.partitionBy(shard).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(shard, part, F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias(offset))
+    inside = Window.partitionBy(shard, part).orderBy(row)
+    placed = kept.withColumn(place, F.row_number().over(inside) - 1).join(offsets, [shard, part])
+    return placed.select(*inputs, (F.col(offset) + F.col(place)).cast("bigint").alias(slot))
 
 
 def sharded(docs: DataFrame, weights: list[float], text: str = "text", id_column: str = "doc_id") -> DataFrame:

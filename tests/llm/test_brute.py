@@ -431,9 +431,9 @@ def test_more_blocks_than_buckets(stored, monkeypatch):
 
 
 def test_slots_keep_columns_of_any_name(spark):
-    names = ["_row", "_part", "_place", "_offset", "_rows", "slot", "a`b"]
-    records = spark.range(50).selectExpr("id", "CAST(id % 3 AS INT) AS shard", *[f"id + {k} AS `{name.replace('`', '``')}`" for k, name in enumerate(names)])
+    names = ["_row", "_part", "_place", "_offset", "_rows", "slot", "a.b"]
+    records = spark.range(50).selectExpr("id", "CAST(id % 3 AS INT) AS shard", *[f"id + {k} AS `{name}`" for k, name in enumerate(names)])
     found = sharding.with_slots(records).collect()
-    assert all(r["_row"] == r["id"] and r["_offset"] == r["id"] + 3 and r["_rows"] == r["id"] + 4 and r["a`b"] == r["id"] + 6 for r in found)
+    assert all(r["_row"] == r["id"] and r["_offset"] == r["id"] + 3 and r["_rows"] == r["id"] + 4 and r["a.b"] == r["id"] + 6 for r in found)
     for shard in range(3):
         assert sorted(r["slot"] for r in found if r["shard"] == shard) == list(range(sum(r["shard"] == shard for r in found)))

@@ -38,7 +38,7 @@ CROWD = 32
 #: Nodes of a block in which sets are compared, on average.
 BLOCK_NODES = 64
 #: How many times as many nodes of a crowded shingle are met in each round.
-PARTNERS = 8
+PARTNERS = 64
 #: Sets of up to so many shingles, whose fingerprints say little, are paired by their shingles.
 SHORT = 20
 #: First bits of a shingle's hash by which it is counted, and tasks' counts that are added in one task.
@@ -319,7 +319,7 @@ def joined_across(found: DataFrame, large: DataFrame, nodes: DataFrame, sets: Da
 
     A family of near copies has the square of its number in pairs. So nodes outside a shingle's largest component first
     meet a few of its nodes; what that links is one component, and no pair within it is looked at again. Those still
-    outside meet eight times as many, and in the last round all, so that none is missed.
+    outside meet many times as many, and in the last round all, so that none is missed.
     """
     most = large.agg(F.max("rows")).first()[0] or 0
     partners = 1

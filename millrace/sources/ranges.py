@@ -27,8 +27,12 @@ from millrace.workdir import checkpointed
 
 #: Bytes of a read, and of the records that are handed to Spark at a time.
 READ_BYTES = 4 << 20
+#: Bytes of a first read beyond what a range owns; each further one is twice as long.
+AHEAD_BYTES = 64 << 10
 BATCH_BYTES = 8 << 20
 BATCH_ROWS = 10_000
+#: Tasks of a read, and ranges of its files, however short their blocks; more only where each has a file split of bytes.
+MOST_TASKS = 128
 
 #: Where a record stands at a cut: in quotes (or a string) or not, and how many objects are open.
 State = tuple[int, int]
@@ -198,15 +202,19 @@ class Opener:
         return filesystem.open_input_stream(name, compression=codec) if codec else filesystem.open_input_file(name)
 
 
-def region(file, start: int, end: int, size: int, cut: bytes, first: bool) -> Iterator[bytes]:
+def region(file, start: int, end: int, size: int, cut: bytes, first: bool, sure: int | None = None) -> Iterator[bytes]:
     """Bytes after the first cut at or after ``start - 1`` up to and with the first cut at or after ``end - 1``.
 
-    The file's first range begins right at ``start``, its last one (``end`` = ``size``) ends with the file.
+    The file's first range begins right at ``start``, its last one (``end`` = ``size``) ends with the file. All bytes up
+    to ``sure`` (``end`` unless told) will be wanted; beyond it little is read at first.
     """
     place = start if first else start - 1
+    sure, ahead = end if sure is None else sure, AHEAD_BYTES
     file.seek(place)
     skipping = not first
-    while chunk := file.read(READ_BYTES):
+    while chunk := file.read(min(READ_BYTES, sure - place if place < sure else ahead)):
+        if place >= sure:
+            ahead *= 2
         base, place = place, place + len(chunk)
         if skipping:
             k = chunk.find(cut)
@@ -282,7 +290,7 @@ def _file_records(opener: Opener, scanner: Scanner, row: dict[str, Any]) -> Iter
             if row["end"] >= row["size"]:
                 return
             # The range's own bytes end with the first cut from end - 1 on, and what follows starts there.
-            yield from region(file, row["end"], row["size"], row["size"], scanner.cut, False)
+            yield from region(file, row["end"], row["size"], row["size"], scanner.cut, False, sure=row["end"] - 1)
 
         yield from records(whole_pieces(own, scanner.cut), more, scanner, (row["inside"], row["depth"]))
 
@@ -382,16 +390,21 @@ def byte_ranges(files: DataFrame, opener: Opener, range_bytes: int) -> DataFrame
     return ranges.select("path", "size", "whole", "line", "record", "start", end.alias("end"), (F.col("start") == F.col("offset")).alias("first"))
 
 
-def _spread(ranges: DataFrame) -> DataFrame:
-    """One range for each task, more or less."""
-    return ranges.repartition(max(1, ranges.count()), "path", "start")
+def task_bound(total: int, split_bytes: int) -> int:
+    """How many tasks may share files of ``total`` bytes."""
+    return max(MOST_TASKS, -(-total // split_bytes))
+
+
+def _spread(ranges: DataFrame, most: int) -> DataFrame:
+    """One range for each task, more or less, up to ``most`` tasks."""
+    return ranges.repartition(max(1, min(most, ranges.count())), "path", "start")
 
 
 STATES = "path string, size bigint, whole boolean, start bigint, end bigint, first boolean, inside int, depth bigint, line bigint, record bigint"
 _SUMS = ("inside0", "depth0", "records0", "inside1", "depth1", "records1", "lines")
 
 
-def with_states(ranges: DataFrame, scanner: Scanner, opener: Opener, numbered: bool) -> DataFrame:
+def with_states(ranges: DataFrame, scanner: Scanner, opener: Opener, numbered: bool, most: int) -> DataFrame:
     """The state each range starts in, and (``numbered``) the lines and records of its file before it."""
     if len(scanner.starts) == 1 and not numbered:
         return ranges.selectExpr("path", "size", "whole", "start", "`end`", "first", "0 AS inside", "0L AS depth", "line", "record")
@@ -418,7 +431,7 @@ def with_states(ranges: DataFrame, scanner: Scanner, opener: Opener, numbered: b
 
     sums = ", ".join(f"{name} bigint" for name in _SUMS)
     kinds = "path string, size bigint, whole boolean, line bigint, record bigint, start bigint, end bigint, first boolean"
-    summed = _spread(ranges).mapInArrow(add_up, f"{kinds}, {sums}")
+    summed = _spread(ranges, most).mapInArrow(add_up, f"{kinds}, {sums}")
     # A file has as many rows here as it has ranges.
     return checkpointed(summed.groupBy("path").applyInArrow(compose, STATES))
 
@@ -444,7 +457,7 @@ def _sums(opener: Opener, scanner: Scanner, row: dict[str, Any]) -> tuple[int, .
     return (*one, *two, lines)
 
 
-def read_records(states: DataFrame, scanner: Scanner, opener: Opener, numbered: bool = False) -> DataFrame:
+def read_records(states: DataFrame, scanner: Scanner, opener: Opener, numbered: bool, most: int) -> DataFrame:
     """``value`` (one row for each record), and with ``numbered`` its file, the line it starts on and its number, from 1."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -465,7 +478,7 @@ def read_records(states: DataFrame, scanner: Scanner, opener: Opener, numbered:
                     number += count
 
     schema = "value string" + ", path string, line bigint, record bigint" * numbered
-    return _spread(states).mapInArrow(read, schema)
+    return _spread(states, most).mapInArrow(read, schema)
 
 
 def _batched(found: Iterable[tuple[int, bytes]]) -> Iterator[tuple[list[int], list[bytes]]]:
@@ -486,10 +499,17 @@ def _batched(found: Iterable[tuple[int, bytes]]) -> Iterator[tuple[list[int], li
 def file_records(
     spark: SparkSession, path: str, scanner: Scanner, opener: Opener, head: Head = Head(), numbered: bool = False, range_bytes: int | None = None
 ) -> tuple[DataFrame, DataFrame]:
-    """Records of all files, and the files with their heads. Ranges are as long as Spark's file splits may be, unless told."""
-    range_bytes = range_bytes or spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    """Records of all files, and the files with their heads.
+
+    Ranges are as long as Spark's file splits may be, unless told. A told length is a block: a range has as many blocks as
+    keep the ranges of all files to about ``MOST_TASKS``, or to the file splits if those are more.
+    """
+    split_bytes = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
     files = files_with_heads(spark, path, scanner, opener, head)
     if head:
         files = checkpointed(files)
-    ranges = byte_ranges(files, opener, range_bytes)
-    return read_records(with_states(ranges, scanner, opener, numbered), scanner, opener, numbered), files
+    total = files.agg(F.sum("size")).first()[0] or 0
+    most = task_bound(total, split_bytes)
+    block = range_bytes or split_bytes
+    ranges = byte_ranges(files, opener, block * max(1, -(-total // (block * most))))
+    return read_records(with_states(ranges, scanner, opener, numbered, most), scanner, opener, numbered, most), files

@@ -200,3 +200,41 @@ def test_json_without_separators_is_read_by_many_tasks(spark, tmp_path):
     found = read_json(spark, {"path": str(tmp_path), "parse_options": {"newlines_in_values": True}, "read_options": {"block_size": 2000}})
     assert found.rdd.getNumPartitions() > 20
     assert rows(found.selectExpr("id", "o.t")) == sorted([(k, "}{" * (k % 3)) for k in range(800)] * 3)
+
+
+def test_short_blocks_make_no_more_tasks(spark, tmp_path):
+    """A block of ten bytes is not a task of its own; the records and their numbers stay."""
+    table = [(k, f"n{k}") for k in range(9000)]
+    (tmp_path / "in.csv").write_text("head\n" * 30 + "id,name\n" + "".join(f"{k},{name}\n" for k, name in table) + "1,2,3\n")
+    config = {"path": str(tmp_path / "in.csv"), "read_options": {"block_size": 10, "skip_rows": 30}}
+    wrong = malformed_rows(spark, config)
+    assert wrong.rdd.getNumPartitions() <= ranges.MOST_TASKS
+    assert [(r.line, r.record, r.value) for r in wrong.collect()] == [(9032, 9032, "1,2,3")]
+    (tmp_path / "in.csv").write_text("head\n" * 30 + "id,name\n" + "".join(f"{k},{name}\n" for k, name in table))
+    found = read_csv(spark, config)
+    assert 10 < found.rdd.getNumPartitions() <= ranges.MOST_TASKS
+    assert rows(found) == table
+
+
+def test_short_json_blocks_make_no_more_tasks(spark, tmp_path):
+    (tmp_path / "in.json").write_bytes(b"".join(json.dumps({"id": k, "t": "}{"}).encode() for k in range(3000)))
+    found = read_json(spark, {"path": str(tmp_path), "parse_options": {"newlines_in_values": True}, "read_options": {"block_size": 20}})
+    assert 10 < found.rdd.getNumPartitions() <= ranges.MOST_TASKS
+    assert rows(found.select("id")) == [(k,) for k in range(3000)]
+
+
+@pytest.mark.parametrize("scanner", [Lines(), Objects()])
+def test_a_range_reads_little_beyond_its_end(tmp_path, scanner):
+    class Counted(io.BytesIO):
+        def read(self, size):
+            done.append(super().read(size))
+            return done[-1]
+
+    class Open:
+        def open(self, path):
+            return Counted(data)
+
+    data, done = b'{"a": 1}\n' * 500_000, []
+    row = {"path": "", "size": len(data), "whole": False, "start": 90_000, "end": 99_000, "first": False, "inside": 0, "depth": 0}
+    assert len(list(ranges._file_records(Open(), scanner, row))) == 1000
+    assert sum(map(len, done)) < 300_000

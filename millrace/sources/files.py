@@ -13,7 +13,7 @@ from millrace.config import enum, non_negative, require, section
 from millrace.errors import ConfigError, DataError
 from millrace.operators.compress import decompress
 from millrace.sources.lines import FILE_COLUMNS, stream_reader
-from millrace.sources.ranges import Opener
+from millrace.sources.ranges import BATCH_BYTES, BATCH_ROWS, MOST_TASKS, Opener, task_bound
 from millrace.storage import arrow_reads, arrow_store, common_section, use_storage
 
 STEP = "file_source"
@@ -42,8 +42,8 @@ def read_files(
     ``compression`` is none, gzip or auto (gzip for ``.gz`` names);
     ``max_bytes`` keeps the first bytes of the decompressed content, and no more
     is read. Tasks stream the files themselves; a plain file in chunks is read
-    by many tasks, each from its own offset, and has no largest size. Empty files
-    give no row.
+    by many tasks, each from its own offset, and has no largest size; of small
+    files a task reads many. Empty files give no row.
     """
     cfg = file_config(config)
     path = use_storage(spark, cfg["path"], cfg["common"])
@@ -59,12 +59,16 @@ def read_files(
     if not chunk:
         return found.mapInArrow(lambda batches: _whole(batches, limit, store), "path string, payload binary")
     end = F.least("size", F.lit(limit)) if limit else F.col("size")
-    # Each task reads some neighbouring chunks of a plain file; a compressed one is read through.
-    step = chunk * max(1, spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes() // chunk)
+    # Neighbouring chunks of a plain file are read at once; a compressed one is read through.
+    split_bytes = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    step = chunk * max(1, split_bytes // chunk)
+    if not streaming:
+        found = found.coalesce(MOST_TASKS)
     starts = F.when(F.col("packed"), F.array(F.lit(0).cast("bigint"))).when(end > 0, F.sequence(F.lit(0).cast("bigint"), end - 1, F.lit(step).cast("bigint")))
     pieces = found.select("path", "packed", F.explode(starts).alias("start"), end.alias("end"))
     if not streaming:
-        pieces = pieces.repartition(max(1, pieces.count()), "path", "start")
+        count, total = pieces.agg(F.count(F.lit(1)), F.sum(F.least(F.col("end") - F.col("start"), F.lit(step)))).first()
+        pieces = pieces.repartition(max(1, min(count, task_bound(total or 0, split_bytes))), "path", "start")
     return pieces.mapInArrow(lambda batches: _chunks(batches, chunk, step, limit, store), "path string, offset bigint, payload binary")
 
 
@@ -82,6 +86,7 @@ def _whole(batches: Iterator[pa.RecordBatch], limit: int, store) -> Iterator[pa.
 
 
 def _chunks(batches: Iterator[pa.RecordBatch], chunk: int, step: int, limit: int, store) -> Iterator[pa.RecordBatch]:
+    paths, offsets, parts, size = [], [], [], 0
     for batch in batches:
         for row in batch.to_pylist():
             with Opener("GZIP" if row["packed"] else "UNCOMPRESSED", store).open(row["path"]) as file:
@@ -90,9 +95,20 @@ def _chunks(batches: Iterator[pa.RecordBatch], chunk: int, step: int, limit: int
                 if offset:
                     file.seek(offset)
                 while (end is None or offset < end) and (part := _full(file, chunk if end is None else min(chunk, end - offset))):
-                    columns = [pa.array([row["path"]]), pa.array([offset], pa.int64()), pa.array([part], pa.binary())]
-                    yield pa.RecordBatch.from_arrays(columns, ["path", "offset", "payload"])
-                    offset += len(part)
+                    if parts and (size + len(part) > BATCH_BYTES or len(parts) == BATCH_ROWS):
+                        yield _chunk_batch(paths, offsets, parts)
+                        paths, offsets, parts, size = [], [], [], 0
+                    paths.append(row["path"])
+                    offsets.append(offset)
+                    parts.append(part)
+                    offset, size = offset + len(part), size + len(part)
+    if parts:
+        yield _chunk_batch(paths, offsets, parts)
+
+
+def _chunk_batch(paths: list[str], offsets: list[int], parts: list[bytes]) -> pa.RecordBatch:
+    columns = [pa.array(paths), pa.array(offsets, pa.int64()), pa.array(parts, pa.binary())]
+    return pa.RecordBatch.from_arrays(columns, ["path", "offset", "payload"])
 
 
 def _full(file, size: int) -> bytes:

@@ -354,3 +354,12 @@ def test_moves_are_finished_by_another_job(spark, tmp_path, monkeypatch):
     real(spark, staged["at"])
     assert {p.name: p.read_text() for p in tmp_path.glob("out/*")} == {f"f{k}": str(k) for k in range(40)}
     assert not list(tmp_path.glob(".out*"))
+
+
+def test_small_files_in_chunks_share_tasks(spark, tmp_path):
+    for k in range(400):
+        (tmp_path / f"{k}.txt").write_bytes(b"%06d" % k * 5)
+    found = read_files(spark, {"path": str(tmp_path), "chunk_bytes": 12})
+    assert found.rdd.getNumPartitions() <= 128
+    got = sorted((int(r.path.rpartition("/")[2][:-4]), r.offset, bytes(r.payload)) for r in found.collect())
+    assert got == [(k, at, (b"%06d" % k * 5)[at : at + 12]) for k in range(400) for at in (0, 12, 24)]

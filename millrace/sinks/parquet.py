@@ -199,7 +199,9 @@ def write_parquet(df: DataFrame, config: Mapping[str, Any]) -> None:
 def stream_parquet(rows: DataFrame, config: Mapping[str, Any], checkpoint: str) -> StreamingQuery:
     """Write a stream to ``column=value/`` directories, every row once, until it has taken what is there.
 
-    Spark names the files of a stream and writes them as they come; what needs a look at all rows is refused.
+    Spark names the files of a stream and writes them as they come; what needs a look at all rows is refused. With a limit
+    on the rows of a file, a micro-batch can be very many files, whatever the files it was read from; so its rows are
+    dealt to as many tasks as there are cores.
     """
     cfg = parquet_sink_config(config)
     opts = cfg["write_opts"]
@@ -216,6 +218,7 @@ def stream_parquet(rows: DataFrame, config: Mapping[str, Any], checkpoint: str)
     options = parquet_options(cfg)
     if opts["max_rows_per_file"]:
         options["maxRecordsPerFile"] = str(opts["max_rows_per_file"])
+        rows = rows.repartition(rows.sparkSession.sparkContext.defaultParallelism)
     path = use_storage(rows.sparkSession, cfg["path"], cfg["common"])
     writer = _no_void(rows).writeStream.format("parquet").options(**options).option("checkpointLocation", checkpoint)
     return writer.trigger(availableNow=True).partitionBy(*opts["partition_columns"]).start(path)

@@ -249,3 +249,18 @@ def test_the_entry_works_without_a_library_of_the_training_data(tmp_path):
     done = subprocess.run([sys.executable, "-c", f"import sys; sys.path.insert(0, {str(tmp_path)!r}); {code}"], cwd=root, capture_output=True, text=True, timeout=120)
     count, llm = done.stdout.split()
     assert int(count) > 80 and llm == "False", done.stderr
+
+
+def test_a_stream_of_many_short_files_is_written_by_many_tasks(spark, tmp_path):
+    spark.range(1000).selectExpr("id", "id % 2 AS k").coalesce(1).write.parquet(str(tmp_path / "in"))
+    flow = {"queues": [{"name": "q"}], "stages": [
+        {"name": "r", "type": "parquet_source", "output_queue": "q", "config": {"path": str(tmp_path / "in")}},
+        {"name": "w", "type": "parquet_sink", "input_queue": "q",
+         "config": {"path": str(tmp_path / "out"), "write_opts": {"partition_columns": ["k"], "max_rows_per_file": 100, "max_partitions": 0}}},
+    ]}
+    run_flow(spark, flow, streaming=True, checkpoint=str(tmp_path / "positions"))
+    found = spark.read.parquet(str(tmp_path / "out"))
+    assert rows(found) == [(k, k % 2) for k in range(1000)]
+    files = [r.name.rpartition("/")[2] for r in found.select(F.input_file_name().alias("name")).distinct().collect()]
+    assert max(r["count"] for r in found.groupBy(F.input_file_name()).count().collect()) <= 100
+    assert len({name.split("-")[1] for name in files}) > 1

@@ -37,8 +37,8 @@ BITS = 64
 CROWD = 32
 #: Nodes of a block in which sets are compared, on average.
 BLOCK_NODES = 64
-#: How many times as many nodes of a crowded shingle are met in each round.
-PARTNERS = 64
+#: Nodes of a crowded shingle that are met in the first round, and how many times as many in each further one.
+FEW, PARTNERS = 8, 64
 #: Sets of up to so many shingles, whose fingerprints say little, are paired by their shingles.
 SHORT = 20
 #: First bits of a shingle's hash by which it is counted, and tasks' counts that are added in one task.
@@ -271,7 +271,8 @@ def _counted(sets: DataFrame, shift: np.uint64) -> np.ndarray:
 
 def by_rare_shingles(sets: DataFrame, similarity: float) -> tuple[DataFrame, DataFrame]:
     """For nodes with ``hashes``: all pairs (a, b) that can have the similarity and share one of their rare shingles, but
-    of a shingle of more than ``CROWD`` nodes only those with its smallest node; and (token, node, n, rows) of such shingles.
+    of a shingle of more than ``CROWD`` nodes only those with its smallest node; and (token, node, n, at, rows) of such
+    shingles, ``at`` being how many of the node's shingles are rarer.
 
     Two sets of the similarity share a shingle among the rarest ``n - ceil(similarity * n) + 1`` of each, whatever the
     order, if it is one for all. What a passage or template brings into many texts comes last. Shingles are counted by
@@ -282,35 +283,52 @@ def by_rare_shingles(sets: DataFrame, similarity: float) -> tuple[DataFrame, Dat
     counts = _counted(sets, shift)
 
     def rarest(batch: pa.RecordBatch) -> pa.RecordBatch:
-        token, owner = [], []
+        token, owner, at = [], [], []
         for k, hashes in enumerate(batch["hashes"]):
             own = hashes.values.to_numpy(zero_copy_only=False).view(np.uint64)
             least = len(own) - math.ceil(similarity * len(own) - 1e-9) + 1
             token.append(own[np.lexsort((own, counts[(own >> shift).astype(np.int64)]))[:least]].view(np.int64))
             owner.append(np.full(len(token[-1]), k, np.int32))
+            at.append(np.arange(len(token[-1]), dtype=np.int32))
         owners = pa.array(np.concatenate([np.zeros(0, np.int32), *owner]))
         tokens = pa.array(np.concatenate([np.zeros(0, np.int64), *token]))
-        return pa.RecordBatch.from_arrays([tokens, batch["node"].take(owners), batch["n"].take(owners)], ["token", "node", "n"])
+        places = pa.array(np.concatenate([np.zeros(0, np.int32), *at]))
+        return pa.RecordBatch.from_arrays([tokens, batch["node"].take(owners), batch["n"].take(owners), places], ["token", "node", "n", "at"])
 
-    rare = map_batches(sets.select("node", "n", "hashes"), rarest, "token bigint, node bigint, n int")
+    rare = map_batches(sets.select("node", "n", "hashes"), rarest, "token bigint, node bigint, n int, at int")
     sizes = rare.groupBy("token").agg(F.count(F.lit(1)).alias("rows"), F.min("node").alias("least")).filter("rows > 1")
     listed = _settled(rare.join(sizes, "token"))
-    small = listed.filter(f"rows <= {CROWD}").groupBy("token").agg(F.collect_list(F.struct("node", "n")).alias("all"))
-    small = _pairs_of(small).filter(F.least("a.n", "b.n") >= similarity * F.greatest("a.n", "b.n") - 1e-9).select("a.node", "b.node").toDF("a", "b")
+    small = listed.filter(f"rows <= {CROWD}").groupBy("token").agg(F.collect_list(F.struct("node", "n", "at")).alias("all"))
+    sides = [F.col(f"{x}.{k}") for x in "ab" for k in ("n", "at")]
+    small = _pairs_of(small).filter(_can_be_similar(*sides, similarity)).select("a.node", "b.node").toDF("a", "b")
     large = listed.filter(f"rows > {CROWD}")
     stars = large.select(F.col("least").alias("a"), F.col("node").alias("b"))
-    return _ordered(small.union(stars)).distinct(), large.select("token", "node", "n", "rows")
+    return _ordered(small.union(stars)).distinct(), large.select("token", "node", "n", "at", "rows")
 
 
-def across(large: DataFrame, roots: DataFrame, similarity: float, partners: int) -> DataFrame:
-    """Pairs (a, b) of nodes that share a shingle and are in different components; one of the two is outside the
-    shingle's largest component, and the other is among about ``partners`` of its nodes, picked by their hash."""
+def _can_be_similar(n_a: Column, at_a: Column, n_b: Column, at_b: Column, similarity: float) -> Column:
+    """Whether sets of these sizes can have the similarity if the rarest shingle they share has these places in them.
+
+    They share at most what follows it in both. A shared shingle that is not their rarest may refuse them wrongly; but
+    similar sets also meet at their rarest, where they are not refused.
+    """
+    common = F.least(n_a - at_a, n_b - at_b)
+    return (F.least(n_a, n_b) >= similarity * F.greatest(n_a, n_b) - 1e-9) & ((1 + similarity) * common >= similarity * (n_a + n_b) - 1e-9)
+
+
+def across(large: DataFrame, roots: DataFrame, tables: Tables, similarity: float, partners: int) -> DataFrame:
+    """Pairs (a, b) of nodes that share a shingle, are alike, and are in different components; one of the two is outside
+    the shingle's largest component, and the other is among about ``partners`` of its nodes, picked by their hash.
+
+    Places and fingerprints come along, so that what meets and cannot be similar or is not alike never leaves the join.
+    """
     placed = large.join(roots.withColumnRenamed("root", "part"), "node", "left")
-    placed = _settled(placed.select("token", "node", "n", "rows", F.coalesce("part", "node").alias("part")))
+    placed = _settled(placed.select("token", "node", "n", "at", "rows", "fps", F.coalesce("part", "node").alias("part")))
     main = placed.groupBy("token", "part").agg(F.count(F.lit(1)).alias("many")).groupBy("token").agg(F.max_by("part", F.struct("many", "part")).alias("main"))
-    outside = placed.join(main, "token").filter("part != main").select("token", *(F.col(x).alias(f"{x}_a") for x in ("node", "n", "part")))
+    outside = placed.join(main, "token").filter("part != main").select("token", *(F.col(x).alias(f"{x}_a") for x in ("node", "n", "at", "fps", "part")))
     picked = placed.filter(F.pmod(F.xxhash64("node"), F.lit(1 << 30)) < F.lit(float(partners << 30)) / F.col("rows"))
-    met = outside.join(picked, "token").filter("part != part_a").filter(F.least("n", "n_a") >= similarity * F.greatest("n", "n_a") - 1e-9)
+    met = outside.join(picked, "token").filter("part != part_a")
+    met = met.filter(_can_be_similar(*map(F.col, ("n", "at", "n_a", "at_a")), similarity)).filter(_close("fps", "fps_a", tables, similarity))
     return _ordered(met.select(F.col("node_a").alias("a"), F.col("node").alias("b"))).distinct()
 
 
@@ -322,23 +340,31 @@ def joined_across(found: DataFrame, large: DataFrame, nodes: DataFrame, sets: Da
     outside meet many times as many, and in the last round all, so that none is missed.
     """
     most = large.agg(F.max("rows")).first()[0] or 0
-    partners = 1
+    if not most:
+        return found
+    large = _settled(large.join(nodes.select("node", "fps"), "node"))
+    partners = 0
     while partners < most:
-        partners *= PARTNERS
+        partners = partners * PARTNERS or FEW
         roots = _settled(components(found))
-        pairs = _settled(alike(across(large, roots, similarity, partners), nodes, tables, similarity))
+        pairs = _settled(across(large, roots, tables, similarity, partners))
         held = roots.select(F.col("root").alias("a"), F.col("node").alias("b")).filter("a != b")
         found = _settled(held.union(verified_in_blocks(pairs, sets, large, similarity)))
     return found
 
 
+def _close(x: str, y: str, tables: Tables, similarity: float) -> Column:
+    """Whether fingerprints differ in no more bits than those of texts of this similarity do but for five deviations."""
+    apart = sum((F.bit_count(F.get(x, F.lit(k)).bitwiseXOR(F.get(y, F.lit(k)))) for k in range(tables.seeds)), F.lit(0))
+    bits, p = BITS * tables.seeds, _apart(similarity)
+    return apart <= math.ceil(bits * p + 5 * math.sqrt(bits * p * (1 - p)))
+
+
 def alike(pairs: DataFrame, nodes: DataFrame, tables: Tables, similarity: float) -> DataFrame:
-    """The pairs whose fingerprints differ in no more bits than texts of this similarity do but for five deviations."""
+    """The pairs whose fingerprints are close enough for texts of this similarity."""
     pairs = pairs.join(nodes.select(F.col("node").alias("a"), F.col("fps").alias("x")), "a")
     pairs = pairs.join(nodes.select(F.col("node").alias("b"), F.col("fps").alias("y")), "b")
-    apart = sum((F.bit_count(F.get("x", F.lit(k)).bitwiseXOR(F.get("y", F.lit(k)))) for k in range(tables.seeds)), F.lit(0))
-    bits, p = BITS * tables.seeds, _apart(similarity)
-    return pairs.filter(apart <= math.ceil(bits * p + 5 * math.sqrt(bits * p * (1 - p)))).select("a", "b")
+    return pairs.filter(_close("x", "y", tables, similarity)).select("a", "b")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:

@@ -88,3 +88,15 @@ def test_a_large_family_is_one(stored):
     base = [f"w{k}" for k in range(300)]
     texts = [" ".join(edited(rng, base, 3)) for _ in range(150)]
     assert [r.doc_id for r in simhash.keep_one(stored(texts)).collect()] == kept_by(linked(texts), len(texts))
+
+
+def test_texts_that_only_share_a_passage_are_not_compared_pair_by_pair(spark, monkeypatch):
+    """Where a shared passage is the rarest that two sets share, what follows it shows that they cannot be similar."""
+    passage = " ".join(f"p{k}" for k in range(19))
+    texts = [f"{passage} x{k} y{k} z{k}" for k in range(80)]
+    assert not linked(texts)
+    verify, compared = simhash.verified_in_blocks, []
+    monkeypatch.setattr(simhash, "verified_in_blocks", lambda pairs, *rest: compared.append(pairs.count()) or verify(pairs, *rest))
+    kept = simhash.keep_one(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string"))
+    assert sorted(r.doc_id for r in kept.collect()) == list(range(80))
+    assert sum(compared) <= len(texts)

@@ -199,12 +199,13 @@ def _pairs_of(lists: DataFrame) -> DataFrame:
 
 
 def candidates(nodes: DataFrame, tables: Tables) -> tuple[DataFrame, DataFrame]:
-    """Pairs (a, b) of nodes with prints within 2 bits in some table, and the nodes in crowded places, whose pairs are
-    not among them.
+    """Pairs (a, b) of nodes with prints within 2 bits in some table, and the nodes in crowded places, whose pairs with
+    each other need not be among them.
 
-    Each distinct print emits the ball of half radius 1; at most ``bits + 1`` of them meet at a variant. Every pair of
-    nodes of two prints that meet, or of one, is a pair here, unless one of the prints, with all that it meets, has more
-    than ``CROWD`` nodes: then the nodes of both are crowded.
+    Each distinct print emits the ball of half radius 1; at most ``bits + 1`` of them meet at a variant. A print that,
+    with all that it meets, has more than ``CROWD`` nodes is full, and its nodes are crowded. Every pair of nodes of two
+    prints that meet, or of one, is a pair here, unless both prints are full. So what meets a full print by chance, which
+    ever more texts do, is paired with its nodes and not crowded itself: a print that is not full has few pairs.
     """
     prints = nodes.select("node", F.explode(tables.prints(F.col("fps"))).alias("print"))
     points = prints.groupBy("print").agg(F.min("node").alias("node"), F.least(F.count(F.lit(1)), F.lit(CROWD + 1)).cast("int").alias("rows"))
@@ -225,15 +226,14 @@ def candidates(nodes: DataFrame, tables: Tables) -> tuple[DataFrame, DataFrame]:
     full = _settled(around.union(points.select("print", "rows")).filter(f"rows > {CROWD}").select("print").distinct())
     for x in "ab":
         near = near.join(full.select(F.col("print").alias(f"print_{x}"), F.lit(True).alias(f"full_{x}")), f"print_{x}", "left")
-    near = _settled(near.withColumn("full", F.coalesce("full_a", "full_b", F.lit(False))))
-    alone = near.filter("NOT full AND rows_a = 1 AND rows_b = 1").select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
-    few = near.filter("NOT full AND rows_a + rows_b > 2").select("print_a", "print_b")
+    near = _settled(near.filter("full_a IS NULL OR full_b IS NULL"))
+    alone = near.filter("rows_a = 1 AND rows_b = 1").select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
+    few = near.filter("rows_a + rows_b > 2").select("print_a", "print_b")
     few = few.join(prints.select(F.col("print").alias("print_a"), F.col("node").alias("a")), "print_a")
     few = few.join(prints.select(F.col("print").alias("print_b"), F.col("node").alias("b")), "print_b").select("a", "b")
     shared = prints.join(points.filter("rows > 1").select("print").join(full, "print", "left_anti"), "print")
     shared = _pairs_of(shared.groupBy("print").agg(F.collect_list("node").alias("all")))
-    touched = near.filter("full").select(F.explode(F.array("print_a", "print_b")).alias("print")).union(full).distinct()
-    crowded = prints.join(touched, "print").select("node").union(nodes.filter(f"n <= {SHORT}").select("node")).distinct()
+    crowded = prints.join(full, "print").select("node").union(nodes.filter(f"n <= {SHORT}").select("node")).distinct()
     return _ordered(alone.union(few).union(shared)).distinct(), crowded
 
 
@@ -295,7 +295,8 @@ def by_rare_shingles(sets: DataFrame, similarity: float) -> tuple[DataFrame, Dat
         places = pa.array(np.concatenate([np.zeros(0, np.int32), *at]))
         return pa.RecordBatch.from_arrays([tokens, batch["node"].take(owners), batch["n"].take(owners), places], ["token", "node", "n", "at"])
 
-    rare = map_batches(sets.select("node", "n", "hashes"), rarest, "token bigint, node bigint, n int, at int")
+    # Stored, since it is read twice: to count a shingle's nodes, and to list them.
+    rare = _settled(map_batches(sets.select("node", "n", "hashes"), rarest, "token bigint, node bigint, n int, at int"))
     sizes = rare.groupBy("token").agg(F.count(F.lit(1)).alias("rows"), F.min("node").alias("least")).filter("rows > 1")
     listed = _settled(rare.join(sizes, "token"))
     small = listed.filter(f"rows <= {CROWD}").groupBy("token").agg(F.collect_list(F.struct("node", "n", "at")).alias("all"))

@@ -100,3 +100,18 @@ def test_texts_that_only_share_a_passage_are_not_compared_pair_by_pair(spark, mo
     kept = simhash.keep_one(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string"))
     assert sorted(r.doc_id for r in kept.collect()) == list(range(80))
     assert sum(compared) <= len(texts)
+
+
+def test_what_meets_a_crowd_by_chance_is_not_crowded(spark, monkeypatch):
+    """A print beside a full one that is not full itself has its few pairs made at once; its nodes are not crowded."""
+    monkeypatch.setattr(simhash, "CROWD", 4)
+    tables = simhash.Tables(16, 1, 1)
+    # Six of one print, 7 within 2 bits of it, 8 within 2 bits of 7 only, 9 far from all.
+    prints = {1: 0, 2: 0, 3: 0, 4: 0, 5: 0, 6: 0, 7: 0b11, 8: 0b1111, 9: 0xFF00}
+    meeting = {(a, b) for a in prints for b in prints if a < b and (prints[a] ^ prints[b]).bit_count() <= 2}
+    nodes = spark.createDataFrame([(k, 100, [p]) for k, p in prints.items()], "node bigint, n int, fps array<bigint>")
+    pairs, crowded = simhash.candidates(nodes, tables)
+    pairs, crowded = {tuple(r) for r in pairs.collect()}, {r.node for r in crowded.collect()}
+    assert crowded == {1, 2, 3, 4, 5, 6, 7}, "8 meets 7 only"
+    assert pairs == {(7, 8)}
+    assert meeting - pairs <= {(a, b) for a in crowded for b in crowded}, "what is no pair here has both ends crowded"
